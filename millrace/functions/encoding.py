@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 
 def long_bytes(value: Column) -> Column:
@@ -14,13 +15,13 @@ def long_bytes(value: Column) -> Column:
     return F.unhex(F.lpad(F.hex(value.cast("bigint")), 16, "0"))
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(BinaryType())
 def double_bytes(values: pa.Array) -> pa.Array:
     """IEEE-754 bits of a double, big endian. Spark has no built-in for the raw bits."""
     return _big_endian(values, "<f8", "<u8", False)
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(BinaryType())
 def float_bytes(values: pa.Array) -> pa.Array:
     """IEEE-754 bits of a float, widened to eight bytes with the sign bit extended."""
     return _big_endian(values, "<f4", "<i4", True)
