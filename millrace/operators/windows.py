@@ -62,11 +62,27 @@ def count_windows(df: DataFrame, aggregations: Sequence[Aggregation], ts: str =
 
     parts = []
     for _, group in groupby(sorted(aggregations, key=spec), key=spec):
-        counted = keyed_windows(df, list(group), ts).groupBy("window", "agg_name", "agg_key").count()
+        members = list(group)
+        if len(members) == 1:
+            counted = _count_one(df, members[0], ts)
+        else:
+            counted = keyed_windows(df, members, ts).groupBy("window", "agg_name", "agg_key").count()
         parts.append(as_results(counted, F.col("count")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _count_one(df: DataFrame, aggregation: Aggregation, ts: str) -> DataFrame:
+    """One aggregation groups by the key columns themselves: the key text is built once per
+    result instead of once per event, and the shuffle carries the native types."""
+    if df.isStreaming:
+        df = df.withWatermark(ts, interval(aggregation.lateness_ms))
+    window = F.window(F.col(ts), interval(aggregation.length_ms)).alias("window")
+    keys = [F.col(f).alias(f"_k{i}") for i, f in enumerate(aggregation.key_fields)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    counted = df.select(window, *keys).groupBy("window", *names).count()
+    return counted.select("window", F.lit(aggregation.name).alias("agg_name"), key_text(names).alias("agg_key"), "count")
+
+
 def as_results(counted: DataFrame, count: Column, pane: Column | None = None, is_final: Column | None = None) -> DataFrame:
     """Shape counts as LONG results."""
     return counted.select(

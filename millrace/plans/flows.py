@@ -25,7 +25,7 @@ from millrace.sinks.files import WindowedFiles
 from millrace.sinks.tables import AppendTable
 from millrace.sources.generator import GeneratorOptions, generate_records
 from millrace.streaming.panes import count_panes
-from millrace.streaming.running import run_batches
+from millrace.streaming.running import finish, run_batches, start_batches
 
 
 # -- generate ----------------------------------------------------------------------------------
@@ -105,14 +105,23 @@ def ingest_batch(batch: DataFrame, batch_id: int, table: AppendTable, schema, fr
         unpacked.unpersist()
 
 
-def ingest(spark: SparkSession, transports: DataFrame, options: TableOptions, schema, frame_transform: Callable | None = None, event_transform: Callable | None = None, checkpoint: str | None = None) -> AppendTable:
-    """Streaming ingestion into an append-only table until the source is drained."""
+def start_ingest(spark: SparkSession, transports: DataFrame, options: TableOptions, schema, frame_transform: Callable | None = None, event_transform: Callable | None = None, checkpoint: str | None = None, trigger: dict | None = None):
+    """Start ingestion into an append-only table; returns (table, running query). The trigger
+    defaults to the table's flush cadence, or to draining the source."""
     table = AppendTable(spark, options)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, batch_id, table, schema, frame_transform, event_transform)
 
-    run_batches(transports, spark, "ingest", handle, checkpoint=checkpoint)
+    return table, start_batches(transports, spark, "ingest", handle, checkpoint=checkpoint, trigger=trigger or options.trigger)
+
+
+def ingest(spark: SparkSession, transports: DataFrame, options: TableOptions, schema, frame_transform: Callable | None = None, event_transform: Callable | None = None, checkpoint: str | None = None) -> AppendTable:
+    """Ingest what the source holds now, then stop."""
+    table, query = start_ingest(
+        spark, transports, options, schema, frame_transform, event_transform, checkpoint, {"availableNow": True}
+    )
+    finish(query)
     return table
 
 
@@ -125,10 +134,11 @@ def aggregate_bounded(transports: DataFrame, schema, aggregations: Sequence[Aggr
     return cell_ops.to_cells(count_windows(decoded.ok, aggregations, ts))
 
 
-def aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always") -> CellTable:
-    """Streaming windowed counts into a cell table, with panes where the configuration asks.
+def start_aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always", trigger: dict | None = None):
+    """Start windowed counts into a cell table; returns (table, running query).
 
     ``destination`` names the cell table in three parts; it becomes a folder below ``root``.
+    Configured early firings bring panes; otherwise each window is written once, when it closes.
     """
     table = CellTable(spark, "/".join([root.rstrip("/"), *cell_destination(destination)]))
     decoded = decode(maybe_decompress(transports).ok, schema).ok
@@ -140,7 +150,13 @@ def aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations:
         results, mode = count_panes(decoded, aggregations, closing=closing), "update"
     else:
         results, mode = count_windows(decoded, aggregations), "append"
-    run_batches(results, spark, "aggregate", handle, mode, checkpoint)
+    return table, start_batches(results, spark, "aggregate", handle, mode, checkpoint, trigger)
+
+
+def aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always") -> CellTable:
+    """Aggregate what the source holds now, then stop."""
+    table, query = start_aggregate(spark, transports, schema, aggregations, destination, root, checkpoint, closing)
+    finish(query)
     return table
 
 

@@ -65,13 +65,11 @@ class WindowedFiles:
             f"{self.path}/progress"
         )
         known = known.filter(F.col("batch_id") <= batch_id)
-        limit = known.agg((F.max("latest") - self.lateness_seconds * 1_000_000).alias("watermark"))
+        watermark = known.agg(F.max("latest") - self.lateness_seconds * 1_000_000).scalar()
         ended = (
             known.select(F.explode("hours").alias("hour_start"))
             .distinct()
-            .crossJoin(F.broadcast(limit))  # one row
-            .filter((F.col("hour_start") + 3600) * 1_000_000 <= F.col("watermark"))
-            .select("hour_start")
+            .filter((F.col("hour_start") + 3600) * 1_000_000 <= watermark)
         )
         if Folder(self.spark, f"{self.path}/markers").exists():
             earlier = self.spark.read.schema("hour_start bigint, batch_id bigint").parquet(f"{self.path}/markers")

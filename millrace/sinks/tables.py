@@ -94,4 +94,4 @@ class AppendTable:
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         if not Folder(self.spark, path).exists():
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

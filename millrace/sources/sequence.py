@@ -39,8 +39,10 @@ def active_publishers(elapsed_seconds: Column, publishers: int, interval_seconds
 
 def ramp(df: DataFrame, ts: str, publishers: int, interval_seconds: int, number: str) -> DataFrame:
     """Assign each element to one of the publishers running at its time."""
-    start = df.agg(F.min(ts).alias("_start"))  # one row, so the broadcast is one row
-    elapsed = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_start").cast("timestamp"))
-    active = active_publishers(F.floor(elapsed / F.lit(1_000_000)), publishers, interval_seconds)
-    timed = df.crossJoin(F.broadcast(start)).withColumn("active", active).drop("_start")
+    def micros(column):
+        return F.unix_micros(column.cast("timestamp"))
+
+    start = df.agg(micros(F.min(ts))).scalar()
+    elapsed = F.floor((micros(F.col(ts)) - start) / F.lit(1_000_000))
+    timed = df.withColumn("active", active_publishers(elapsed, publishers, interval_seconds))
     return timed.withColumn("publisher", F.pmod(F.col(number), F.col("active")))

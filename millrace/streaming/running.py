@@ -28,10 +28,7 @@ def run_to_end(writer, spark: SparkSession, partitions: int | None = None) -> No
     """Process everything available, finish in-flight work, stop. Failures are raised."""
     with scoped_conf(spark, stateful_settings(spark, partitions)):
         query = writer.trigger(availableNow=True).start()
-    try:
-        query.awaitTermination()
-    finally:
-        query.stop()
+    finish(query)
 
 
 def drain(query) -> None:
@@ -50,10 +47,28 @@ def append_to_files(df: DataFrame, spark: SparkSession, label: str, fmt: str = "
     return path
 
 
-def run_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None) -> None:
-    """Run ``handle(batch, batch_id)`` for every micro-batch."""
+def start_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None, trigger: dict | None = None):
+    """Start ``handle(batch, batch_id)`` for every micro-batch and return the running query.
+
+    ``trigger`` is that of ``DataStreamWriter.trigger``; the default drains the source and stops.
+    """
     writer = df.writeStream.outputMode(mode).foreachBatch(handle)
-    run_to_end(writer.option("checkpointLocation", checkpoint or fresh_dir(spark, label + "-checkpoint")), spark)
+    writer = writer.option("checkpointLocation", checkpoint or fresh_dir(spark, label + "-checkpoint"))
+    with scoped_conf(spark, stateful_settings(spark)):
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def finish(query) -> None:
+    """Wait for a draining query; failures are raised."""
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+
+
+def run_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None) -> None:
+    """Drain the source through ``handle``."""
+    finish(start_batches(df, spark, label, handle, mode, checkpoint))
 
 
 def update_to_files(df: DataFrame, spark: SparkSession, label: str, mode: str = "update") -> str:
