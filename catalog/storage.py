@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from catalog import duck
 from catalog.counts import COUNT_15M, cells_sql, count_by, shown_cells, timed_events
 from catalog.registry import ntz, query, table, text_hex
-from catalog.streams import LATENESS, LENGTH, panes_sql, staged
+from catalog.streams import LATENESS, LENGTH, event_stream, panes_sql, staged
 from catalog.transports import EVENT, PROPS, TURN, event_transports, record_transports, text_transports
 from millrace.operators.decode import decode, payload_text
 from millrace.operators.envelope import maybe_decompress, pack
@@ -250,12 +250,11 @@ def generated_uuid() -> str:
       {duck.DRAWS.long('externalId')} AS external_id, ts AS event_ts FROM {duck.lanes('events', 'event_id')}""",
 )
 def flow_generate(spark, sf_dir):
-    """Generate compound events with a skewed key, pack them into envelopes, publish to a topic
-    folder, read the topic back and decode."""
+    """Generate compound events with a skewed key from a stream of numbers, pack them into
+    envelopes, publish to a topic folder, read the topic back and decode."""
     options = flows.GenerateOptions("compound", "THRIFT", GENERATED, compressed=True, records_per_envelope=450)
-    sequence = timed_events(spark, sf_dir).select("event_id", "event_ts")
-    stream = as_stream(flows.generate_events(sequence, "event_id", options, "event_ts"))
-    path = append_to_files(stream, spark, "generated")
+    numbers = event_stream(spark, sf_dir).select("event_id", "event_ts")
+    path = append_to_files(flows.generate_events(numbers, "event_id", options, "event_ts"), spark, "generated")
     topic = spark.read.schema(TRANSPORT).parquet(path)
     found = decode(maybe_decompress(topic).ok, "compound").ok
     return found.select("event_id", "uuid", F.col("externalId").alias("external_id"), ntz("event_ts", "event_ts"))

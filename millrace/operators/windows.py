@@ -51,12 +51,16 @@ def keyed_windows(df: DataFrame, aggregations: Sequence[Aggregation], ts: str) -
 
 
 def count_windows(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "event_ts") -> DataFrame:
-    """Count per key and window. Batch input: every window closes. Streaming input: use append
-    mode for one row per closed window, update mode for running counts.
+    """Count per key and window. Batch input: every window closes, and all aggregations share one
+    scan and one shuffle. Streaming input: use append mode for one row per closed window, update
+    mode for running counts; aggregations with the same window and lateness share the input.
 
     The count is a partial aggregation followed by one shuffle, so a hot key travels as one row
     per map task.
     """
+    if len(aggregations) > 1 and not df.isStreaming:
+        return _count_together(df, aggregations, ts)
+
     def spec(a: Aggregation):
         return (a.length_ms, a.lateness_ms)
 
@@ -71,6 +75,25 @@ def count_windows(df: DataFrame, aggregations: Sequence[Aggregation], ts: str =
     return reduce(DataFrame.unionByName, parts)
 
 
+def _count_together(df: DataFrame, aggregations: Sequence[Aggregation], ts: str) -> DataFrame:
+    """Bounded input, several aggregations: each event fans out to one row per aggregation."""
+    fields = list(dict.fromkeys(f for a in aggregations for f in a.key_fields))
+    lengths = list(dict.fromkeys(a.length_ms for a in aggregations))
+    timed = df.select(F.col(ts).alias("_ts"), *fields)
+    for length in lengths:  # one window expression per select
+        timed = timed.withColumn(f"_w{length}", F.window("_ts", interval(length)))
+    rows = [
+        F.struct(
+            F.col(f"_w{a.length_ms}").alias("window"),
+            F.lit(a.name).alias("agg_name"),
+            key_text(a.key_fields).alias("agg_key"),
+        )
+        for a in aggregations
+    ]
+    fanned = timed.select(F.inline(F.array(*rows)))
+    return as_results(fanned.groupBy("window", "agg_name", "agg_key").count(), F.col("count"))
+
+
 def _count_one(df: DataFrame, aggregation: Aggregation, ts: str) -> DataFrame:
     """One aggregation groups by the key columns themselves: the key text is built once per
     result instead of once per event, and the shuffle carries the native types."""

@@ -24,6 +24,7 @@ from millrace.sinks.cells import CellTable
 from millrace.sinks.files import WindowedFiles
 from millrace.sinks.tables import AppendTable
 from millrace.sources.generator import GeneratorOptions, generate_records
+from millrace.sources.sequence import expand_impulses, impulses_per_second, unbounded_sequence
 from millrace.streaming.panes import count_panes
 from millrace.streaming.running import finish, run_batches, start_batches
 
@@ -57,6 +58,20 @@ def generate_events(sequence: DataFrame, number: str, options: GenerateOptions,
     return pack(plain, options.records_per_envelope, options.level) if options.compressed else plain
 
 
+def start_generate(spark: SparkSession, options: GenerateOptions, events_per_second: int, path: str, checkpoint: str, ramp_up: str | None = None, partitions: int | None = None):
+    """Generate at a rate into a topic folder; returns the running query.
+
+    With compression, a sequence element stands for one envelope, so the sequence runs at the
+    event rate divided by the envelope size.
+    """
+    per_impulse = options.records_per_envelope if options.compressed else 1
+    numbers = unbounded_sequence(spark, impulses_per_second(events_per_second, per_impulse), ramp_up, partitions)
+    if options.compressed:
+        numbers = expand_impulses(numbers, "value", per_impulse, ("timestamp",))
+    events = generate_events(numbers, "value", options, "timestamp")
+    return write_topic_files(events, path, checkpoint).start()
+
+
 def write_topic_files(transports: DataFrame, path: str, checkpoint: str):
     """Streaming writer of transports to a folder of files, where no broker is at hand."""
     return (

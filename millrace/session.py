@@ -21,6 +21,8 @@ def local_session(cores: int | str = 8, app: str = "millrace", **conf: str) -> S
         "spark.ui.enabled": "false",
         "spark.driver.memory": "16g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Wide generated records: many small methods, which the JVM compiles, instead of one huge one.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

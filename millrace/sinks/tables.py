@@ -75,11 +75,17 @@ class AppendTable:
             batch = destination(batch, name, opt.destinations, row_id, opt.skewed)
         if opt.time_column:
             batch = batch.withColumn("time_partition", time_partition(opt.time_column, opt.time_unit))
+        by = tuple(self._partitions())
+        shards = opt.streams
         if opt.autoshard:
-            return batch.hint("rebalance", *self._partitions())
-        if opt.streams:
-            by = self._partitions()
-            return spread_for_write(batch, tuple(by), opt.streams) if by else batch.repartition(opt.streams)
+            session = batch.sparkSession
+            if session.conf.get("spark.sql.adaptive.enabled") == "true":
+                return batch.hint("rebalance", *by)
+            # Micro-batches may run without adaptive execution, where the hint would not split a
+            # hot partition.
+            shards = session.sparkContext.defaultParallelism
+        if shards:
+            return spread_for_write(batch, by, shards) if by else batch.repartition(shards)
         return batch
 
     def _write(self, df: DataFrame, path: str, batch_id: int, partitions: list[str]) -> None:

@@ -23,7 +23,7 @@ NOW = "_now"
 
 @dataclass(frozen=True)
 class GeneratorOptions:
-    """Defaults are the reference options: strings of 20-79 letters, 1-19 elements."""
+    """Defaults: strings of 20 to 79 letters, collections of 1 to 19 elements."""
 
     min_chars: int = 20
     max_chars: int = 80
@@ -249,7 +249,9 @@ def sample_corpus(df: DataFrame, row_id: str, corpus: DataFrame, seed: int = 42,
     numbered, rows, weight = number_rows(spark, corpus, order_by)
     if rows == 0:
         raise ValueError("the corpus is empty")
-    drawn = with_lanes(df, row_id, seed).withColumn("corpus_index", F.expr(Draws(seed).below(rows, "corpus")))
+    # Never null: saves the null filter that a join would evaluate the whole draw for.
+    index = F.coalesce(F.expr(Draws(seed).below(rows, "corpus")), F.lit(0))
+    drawn = with_lanes(df, row_id, seed).withColumn("corpus_index", index)
     if weight <= SMALL_CORPUS_BYTES:
         joined = drawn.join(F.broadcast(numbered), "corpus_index")
     else:

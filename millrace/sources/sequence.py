@@ -31,6 +31,14 @@ def unbounded_sequence(spark: SparkSession, per_second: int, ramp_up: str | None
     return reader.load()
 
 
+def expand_impulses(df: DataFrame, number: str, per_impulse: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per event of each sequence element: element n carries events n*k .. n*k + k-1.
+    The events of an element stay together in its task, so packing them needs no shuffle."""
+    each = F.explode(F.sequence(F.lit(0), F.lit(per_impulse - 1)))
+    fanned = df.select(number, *keep, each.alias("_i"))
+    return fanned.select((F.col(number) * per_impulse + F.col("_i")).alias(number), *keep)
+
+
 def active_publishers(elapsed_seconds: Column, publishers: int, interval_seconds: int) -> Column:
     """Step function of a gradual ramp: one more publisher per interval, up to ``publishers``."""
     started = F.floor(elapsed_seconds / F.lit(interval_seconds)) + 1

@@ -98,20 +98,36 @@ class PaneProcessor(StatefulProcessor):
         )
 
 
-def partial_counts(keyed: DataFrame) -> DataFrame:
+HELD_GROUPS = 50_000
+
+
+def partial_counts(keyed: DataFrame, held_groups: int = HELD_GROUPS) -> DataFrame:
     """Count per key and window inside each task, before the shuffle.
 
     Without this, every event of a hot key would travel to one task and through its Python
-    worker. With it, a key sends one row per Arrow batch.
+    worker. With it, a hot key sends about one row per task; a task holds at most twice
+    ``held_groups`` groups and passes them on when keys are many.
     """
     columns = ["agg_name", "agg_key", "start_us", "end_us"]
 
+    def grouped(table: pa.Table, how: tuple) -> pa.Table:
+        counted = table.group_by(columns, use_threads=False).aggregate([how])
+        return counted.select([*columns, counted.column_names[-1]]).rename_columns([*columns, "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            if batch.num_rows:
-                table = pa.Table.from_batches([batch])
-                counted = table.group_by(columns, use_threads=False).aggregate([([], "count_all")])
-                yield from counted.select([*columns, "count_all"]).rename_columns([*columns, "n"]).to_batches()
+            if batch.num_rows == 0:
+                continue
+            counted = grouped(pa.Table.from_batches([batch]), ([], "count_all"))
+            held = counted if held is None else pa.concat_tables([held, counted])
+            if held.num_rows > 2 * held_groups:
+                held = grouped(held, ("n", "sum"))
+                if held.num_rows > held_groups:
+                    yield from held.to_batches()
+                    held = None
+        if held is not None:
+            yield from grouped(held, ("n", "sum")).to_batches()
 
     bounds = [F.unix_micros(f"window.{edge}").alias(f"{edge}_us") for edge in ("start", "end")]
     return keyed.select("agg_name", "agg_key", *bounds).mapInArrow(

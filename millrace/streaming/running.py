@@ -91,7 +91,7 @@ def stage_arrivals(df: DataFrame, batch: Column, spread: Column, files_per_batch
     """
     spark = df.sparkSession
     path = fresh_dir(spark, "arrivals")
-    slot = F.pmod(spread, F.lit(files_per_batch)).cast("int")
+    slot = F.pmod(F.xxhash64(spread), F.lit(files_per_batch)).cast("int")
     staged = df.withColumn("arrival_batch", batch.cast("int")).withColumn("arrival_slot", slot)
     staged.repartition("arrival_batch", "arrival_slot").write.partitionBy(
         "arrival_batch", "arrival_slot"

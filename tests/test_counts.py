@@ -101,6 +101,25 @@ def test_shared_windows_read_the_input_once(spark):
     assert {(r["agg_key"], r["window_start"]): r["result_long"] for r in both.collect()} == expected
 
 
+def test_different_windows_still_read_the_input_once(spark):
+    df = skewed_events(spark)
+    wanted = [Aggregation(("user",), 900_000), Aggregation(("side",), 3_600_000), Aggregation(("user", "side"), 900_000)]
+    made = count_windows(df, wanted)
+    assert plan_text(made).count("Range (") == 1 and plan_text(made).count("Exchange") == 1
+    expected = Counter()
+    for a in wanted:
+        for (key, start), n in brute_force(df.collect(), a.key_fields, a.length_ms // 60_000).items():
+            expected[a.name, key, start] = n
+    assert {(r["agg_name"], r["agg_key"], r["window_start"]): r["result_long"] for r in made.collect()} == expected
+
+
+def test_configuration_file(spark, tmp_path):
+    from millrace.plans.config import read_aggregations
+
+    (tmp_path / "counts.yaml").write_text(CONFIG)
+    assert read_aggregations(spark, str(tmp_path / "counts.yaml")) == load_aggregations(CONFIG)
+
+
 def test_hot_keys_are_counted_before_the_shuffle(spark):
     plan = plan_text(count_windows(skewed_events(spark), [Aggregation(("user",), 900_000)]))
     assert plan.count("partial_count") >= 1 and plan.count("Exchange") == 1 and "Python" not in plan

@@ -199,3 +199,42 @@ def test_generated_transports_carry_their_schema(spark):
     assert T.StructType.fromJson(__import__("json").loads(expand_schema(row["schema"]))).fieldNames()[0] == "category"
     thrift = flows.generate_events(spark.range(5), "id", flows.GenerateOptions("simple", "THRIFT"))
     assert thrift.first()["attributes"] == {} and decode(thrift, "simple").ok.count() == 5
+
+
+def test_generation_at_a_rate_fills_envelopes(spark):
+    from millrace.operators.envelope import maybe_decompress
+    from millrace.sources.generator import GeneratorOptions
+
+    path = fresh_dir(spark, "topic")
+    options = flows.GenerateOptions("simple", "THRIFT", GeneratorOptions(min_chars=5, max_chars=9), compressed=True, records_per_envelope=25)
+    query = flows.start_generate(spark, options, 100, path, fresh_dir(spark, "checkpoint"), partitions=2)
+    try:
+        for _ in range(60):
+            query.processAllAvailable()
+            if any(p["numInputRows"] for p in query.recentProgress):
+                break
+    finally:
+        query.stop()
+    topic = spark.read.schema(TRANSPORT).parquet(path)
+    sizes = [int(r["attributes"]["records"]) for r in topic.collect()]
+    assert sizes and set(sizes) == {25}
+    names = [r["event_id"] for r in topic.collect()]
+    assert len(set(names)) == len(names)
+    opened = decode(maybe_decompress(topic).ok, "simple").ok
+    assert opened.select("event_id").distinct().count() == sum(sizes)
+
+
+def test_streaming_autoshard_and_streaming_sizes(spark):
+    from millrace.operators.stats import observe_payloads
+    from millrace.streaming.running import finish, start_batches
+
+    source = fresh_dir(spark, "topic")
+    bodies = [(str(i), {}, bytearray(b"abc"), None) for i in range(50)]
+    spark.createDataFrame(bodies, TRANSPORT).write.parquet(source)
+    table = AppendTable(spark, TableOptions(fresh_dir(spark, "t"), destinations=2, autoshard=True, guarantee="exactly_once"))
+    stream, _ = observe_payloads(spark.readStream.schema(TRANSPORT).parquet(source), "sizes")
+    query = start_batches(stream.select("event_id"), spark, "auto", table.write)
+    finish(query)
+    assert table.read(T.StructType([T.StructField("event_id", T.StringType())])).count() == 50
+    seen = [p["observedMetrics"]["sizes"]["total"] for p in query.recentProgress if "sizes" in p["observedMetrics"]]
+    assert sum(v or 0 for v in seen) == 150
