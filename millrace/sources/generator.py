@@ -119,10 +119,17 @@ class FieldBuilder:
             return self.bucket_text(name, draws.skewed(opt.skew_buckets, opt.skew_degree, path + "^", pos))
         # One draw decides both: its low digits the repetition, the rest the length.
         drawn = draws.number(path + "*", pos)
-        fresh = f"{drawn} % 10000 < {FRESH_PER_TEN_THOUSAND}"
+        if pos is None:
+            return self.drawn_text(drawn, name, path, pos)
+        # Lambda bodies are interpreted: bind the draw once instead of repeating it.
+        bound = self.variable()
+        return f"element_at(transform(array({drawn}), {bound} -> {self.drawn_text(bound, name, path, pos)}), 1)"
+
+    def drawn_text(self, drawn: str, name: str, path: str, pos: str | None) -> str:
+        opt = self.opt
         length = f"({drawn} DIV 10000 % {opt.max_chars - opt.min_chars} + {opt.min_chars})"
-        made = draws.letters(path, length, opt.max_chars - 1, pos)
-        return f"IF({fresh}, {made}, '{repeated_text(opt, name)}')"
+        made = self.draws.letters(path, length, opt.max_chars - 1, pos)
+        return f"IF({drawn} % 10000 < {FRESH_PER_TEN_THOUSAND}, {made}, '{repeated_text(opt, name)}')"
 
     def bucket_text(self, name: str, bucket: str) -> str:
         """The one string of a skew bucket: a function of field name and bucket only."""
