@@ -10,7 +10,7 @@ from catalog.registry import query, table, text_hex
 from millrace import schemas
 from millrace.functions.draws import with_lanes
 from millrace.sources.generator import GeneratorOptions, generate, generate_records, refresh_timestamps, sample_corpus
-from millrace.sources.sequence import impulses_per_second, pace, ramp
+from millrace.sources.sequence import impulses_per_second, pace, ramp, spread
 
 D = duck.DRAWS
 EVENTS = duck.lanes("events", "event_id")
@@ -18,9 +18,14 @@ OPT = GeneratorOptions()
 SMALL = GeneratorOptions(max_collection=5, min_chars=10, max_chars=20)
 
 
+def numbers(spark, sf_dir):
+    """The event ids, spread over tasks by row count."""
+    return spread(table(spark, sf_dir, "events").select("event_id"))
+
+
 def drawn(spark, sf_dir, **columns: str):
     """Draw expressions over the event sequence."""
-    laned = with_lanes(table(spark, sf_dir, "events").select("event_id"), "event_id")
+    laned = with_lanes(numbers(spark, sf_dir), "event_id")
     return laned.select("event_id", *[F.expr(text).alias(name) for name, text in columns.items()])
 
 
@@ -70,7 +75,7 @@ PRIMITIVE_TYPES = T.StructType(
 
 @query("gen_primitives", over_events(**PRIMITIVES))
 def gen_primitives(spark, sf_dir):
-    return generate(table(spark, sf_dir, "events"), "event_id", PRIMITIVE_TYPES, OPT, ("event_id",))
+    return generate(numbers(spark, sf_dir), "event_id", PRIMITIVE_TYPES, OPT, ("event_id",))
 
 
 SYMBOLS = "[" + ", ".join(f"'{s}'" for s in schemas.SOURCES) + "]"
@@ -79,7 +84,7 @@ SYMBOLS = "[" + ", ".join(f"'{s}'" for s in schemas.SOURCES) + "]"
 @query("gen_enum", over_events(source=f"({SYMBOLS})[CAST({D.below(30, 'source')} + 1 AS INT)]"))
 def gen_enum(spark, sf_dir):
     kind = T.StructType([T.StructField("source", T.StringType(), True, {"symbols": schemas.SOURCES})])
-    return generate(table(spark, sf_dir, "events"), "event_id", kind, OPT, ("event_id",))
+    return generate(numbers(spark, sf_dir), "event_id", kind, OPT, ("event_id",))
 
 
 LENGTH = f"({D.below(60, 'word#')} + 20)"
@@ -94,7 +99,7 @@ def gen_string(spark, sf_dir):
 @query("gen_string_repeat", over_events(name=duck.text("name", "name", OPT)))
 def gen_string_repeat(spark, sf_dir):
     """About half of the strings reuse the field's one cached value."""
-    return generate(table(spark, sf_dir, "events"), "event_id", T.StructType([T.StructField("name", T.StringType())]), OPT, ("event_id",))
+    return generate(numbers(spark, sf_dir), "event_id", T.StructType([T.StructField("name", T.StringType())]), OPT, ("event_id",))
 
 
 SKEWED = GeneratorOptions(skewed_fields=("uuid",), skew_degree=10, skew_buckets=1000)
@@ -114,7 +119,7 @@ def bucket_text(name: str, bucket: str) -> str:
 )
 def gen_skewed_key(spark, sf_dir):
     made = generate_records(
-        with_lanes(table(spark, sf_dir, "events"), "event_id").withColumn("bucket", F.expr(D.skewed(1000, 10, "uuid^"))).select("event_id", "bucket"),
+        with_lanes(numbers(spark, sf_dir), "event_id").withColumn("bucket", F.expr(D.skewed(1000, 10, "uuid^"))).select("event_id", "bucket"),
         "event_id",
         T.StructType([T.StructField("uuid", T.StringType())]),
         SKEWED,
@@ -126,7 +131,7 @@ def gen_skewed_key(spark, sf_dir):
 @query("gen_binary", over_events(blob_hex=f"hex(encode({duck.text('blob', 'blob', OPT)}))"))
 def gen_binary(spark, sf_dir):
     kind = T.StructType([T.StructField("blob", T.BinaryType())])
-    made = generate(table(spark, sf_dir, "events"), "event_id", kind, GeneratorOptions(complete=False), ("event_id",))
+    made = generate(numbers(spark, sf_dir), "event_id", kind, GeneratorOptions(complete=False), ("event_id",))
     return made.select("event_id", text_hex("blob", "blob_hex"))
 
 
@@ -160,7 +165,7 @@ def gen_collections(spark, sf_dir):
             T.StructField("pairs", T.MapType(T.StringType(), T.LongType())),
         ]
     )
-    made = generate(table(spark, sf_dir, "events"), "event_id", kind, SMALL, ("event_id",))
+    made = generate(numbers(spark, sf_dir), "event_id", kind, SMALL, ("event_id",))
     pairs = F.transform(F.map_entries("pairs"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return made.select(
         "event_id",
@@ -190,7 +195,7 @@ def gen_optional(spark, sf_dir):
         ]
     )
     options = GeneratorOptions(max_collection=5, min_chars=10, max_chars=20, complete=False)
-    made = generate(table(spark, sf_dir, "events"), "event_id", kind, options, ("event_id",))
+    made = generate(numbers(spark, sf_dir), "event_id", kind, options, ("event_id",))
     may = F.coalesce(F.col("may").cast("string"), F.lit("absent"))
     return made.select("event_id", "must", may.alias("may"), F.size("items").alias("n_items"))
 
@@ -226,7 +231,7 @@ def list_text(path: str, members: dict[str, str]) -> str:
     )})""",
 )
 def gen_compound_event(spark, sf_dir):
-    made = generate(table(spark, sf_dir, "events"), "event_id", "compound", SMALL, ("event_id",))
+    made = generate(numbers(spark, sf_dir), "event_id", "compound", SMALL, ("event_id",))
 
     def joined(column, *members):
         return F.array_join(
@@ -272,7 +277,7 @@ def gen_json_message(spark, sf_dir):
 
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
     now = F.timestamp_seconds(F.unix_seconds(start) + F.col("event_id"))
-    made = generate_records(table(spark, sf_dir, "events"), "event_id", "message", replace(MESSAGE_OPT, now=now), ("event_id",))
+    made = generate_records(numbers(spark, sf_dir), "event_id", "message", replace(MESSAGE_OPT, now=now), ("event_id",))
     return made.select("event_id", F.to_json("record").alias("payload"))
 
 
@@ -292,7 +297,7 @@ JSON_ARRAY = """{"type": "object", "required": ["marks", "level"], "properties":
 def gen_json_array(spark, sf_dir):
     """JSON arrays may be empty."""
     kind = schemas.from_json_schema(JSON_ARRAY)
-    made = generate(table(spark, sf_dir, "events"), "event_id", kind, MESSAGE_OPT, ("event_id",))
+    made = generate(numbers(spark, sf_dir), "event_id", kind, MESSAGE_OPT, ("event_id",))
     return made.select(
         "event_id",
         F.size("marks").alias("n_marks"),
@@ -313,7 +318,7 @@ def gen_json_array(spark, sf_dir):
     ),
 )
 def gen_log_event(spark, sf_dir):
-    made = generate(table(spark, sf_dir, "events"), "event_id", "log", GeneratorOptions.for_format("AVRO"), ("event_id",))
+    made = generate(numbers(spark, sf_dir), "event_id", "log", GeneratorOptions.for_format("AVRO"), ("event_id",))
     return made.select("*", "event.*").drop("event")
 
 

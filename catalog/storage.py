@@ -20,6 +20,7 @@ from millrace.schemas import ERROR, TRANSPORT
 from millrace.session import fresh_dir
 from millrace.sinks.tables import SKEW_DEGREE, AppendTable, destination
 from millrace.sources.generator import GeneratorOptions
+from millrace.sources.sequence import spread
 from millrace.streaming.running import append_to_files, read_arrivals, run_batches, run_to_end
 
 STORED = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("event_ts", T.TimestampType())] + EVENT.fields)
@@ -253,7 +254,7 @@ def flow_generate(spark, sf_dir):
     """Generate compound events with a skewed key from a stream of numbers, pack them into
     envelopes, publish to a topic folder, read the topic back and decode."""
     options = flows.GenerateOptions("compound", "THRIFT", GENERATED, compressed=True, records_per_envelope=450)
-    numbers = event_stream(spark, sf_dir).select("event_id", "event_ts")
+    numbers = spread(event_stream(spark, sf_dir).select("event_id", "event_ts"))
     path = append_to_files(flows.generate_events(numbers, "event_id", options, "event_ts"), spark, "generated")
     topic = spark.read.schema(TRANSPORT).parquet(path)
     found = decode(maybe_decompress(topic).ok, "compound").ok

@@ -31,6 +31,18 @@ def unbounded_sequence(spark: SparkSession, per_second: int, ramp_up: str | None
     return reader.load()
 
 
+def spread(df: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
+    """Spread a narrow sequence over tasks by its number of rows.
+
+    A split of ids is a few bytes per row, and each row becomes a whole record: partitions sized
+    by input bytes would give one task far too much. Counting a Parquet table reads footers only.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    if not df.isStreaming:
+        tasks = max(tasks, -(-df.count() // rows_per_task))
+    return df.repartition(tasks)
+
+
 def expand_impulses(df: DataFrame, number: str, per_impulse: int, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per event of each sequence element: element n carries events n*k .. n*k + k-1.
     The events of an element stay together in its task, so packing them needs no shuffle."""
