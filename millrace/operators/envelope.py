@@ -23,7 +23,7 @@ RECORDS_KEY = "records"
 RAW_BYTES_KEY = "raw_bytes"
 MAX_RECORDS = 4500  # fixed value: default records per envelope
 MAX_RAW_BYTES = 64 << 20
-OUTPUT_ROWS = 10_000
+OUTPUT_ROWS, OUTPUT_BYTES = 10_000, 64 << 20
 
 UNPACKED = T.StructType(
     TRANSPORT.fields
@@ -124,7 +124,7 @@ def unpack_all(df: DataFrame) -> DataFrame:
             if plain.num_rows:
                 yield _with_error(plain, None, None)
             held: list[pa.RecordBatch] = []
-            rows = 0
+            rows, size = 0, 0
             envelopes = incoming.filter(packed)
             for number in range(envelopes.num_rows):
                 one = envelopes.slice(number, 1)
@@ -137,9 +137,10 @@ def unpack_all(df: DataFrame) -> DataFrame:
                     made = [_with_error(one, type(problem).__name__, str(problem))]
                 held += made
                 rows += sum(b.num_rows for b in made)
-                if rows >= OUTPUT_ROWS:
+                size += sum(b.nbytes for b in made)
+                if rows >= OUTPUT_ROWS or size >= OUTPUT_BYTES:
                     yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                    held, rows = [], 0
+                    held, rows, size = [], 0, 0
             if rows:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable, Iterator
+from datetime import datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,7 +46,7 @@ def apply_events(df: DataFrame, transform: Callable[[dict], dict] | None) -> Out
             for event in incoming.to_pylist():
                 event["attributes"] = dict(event["attributes"] or [])
                 try:
-                    made = dict(transform(dict(event)))
+                    made = _checked(transform(dict(event)), event)
                     made |= {"error_class": None, "error_message": None}
                 except Exception as problem:
                     made = event | {"error_class": type(problem).__name__, "error_message": str(problem)}
@@ -60,6 +61,22 @@ def apply_events(df: DataFrame, transform: Callable[[dict], dict] | None) -> Out
     return split(frame, "transform", names)
 
 
+def _checked(made: dict, event: dict) -> dict:
+    """The function's result as transport values; what does not fit is that event's error.
+    Fields that the function leaves out keep their value."""
+    result = event | {name: made[name] for name in TRANSPORT.fieldNames() if name in made}
+    if isinstance(result["payload"], str):
+        result["payload"] = result["payload"].encode()
+    if result["payload"] is not None:
+        result["payload"] = bytes(memoryview(result["payload"]))
+    if not isinstance(result["event_id"], str):
+        raise TypeError("event_id must be text")
+    if result["event_ts"] is not None and not isinstance(result["event_ts"], datetime):
+        raise TypeError("event_ts must be a datetime")
+    result["attributes"] = {str(k): None if v is None else str(v) for k, v in (result["attributes"] or {}).items()}
+    return result
+
+
 def empty_errors(df: DataFrame) -> DataFrame:
     """No dead letters, as a frame of the same kind (batch or streaming) as ``df``."""
     from pyspark.sql import functions as F

@@ -182,6 +182,16 @@ def test_failing_transform_keeps_the_event(spark):
     assert union.count() == 2 and union.columns == ERROR.fieldNames()
 
 
+def test_transform_results_that_do_not_fit_are_dead_letters(spark):
+    answers = [{"payload": "text"}, {"payload": 5}, None, {"event_id": 1}, {"event_ts": "now"}, {"attributes": {"a": 1}}]
+
+    both = apply_events(transports(spark, 6, partitions=1), lambda event: answers[int(event["attributes"]["n"])])
+    assert {r["event_id"]: r["error_class"] for r in both.failed.collect()} == dict.fromkeys("1234", "TypeError")
+    ok = {r["event_id"]: r for r in both.ok.collect()}
+    assert bytes(ok["0"]["payload"]) == b"text" and ok["0"]["event_ts"] is not None
+    assert ok["5"]["attributes"] == {"a": "1"} and bytes(ok["5"]["payload"]) == b"x" * 10
+
+
 def test_percentiles_match_numpy(spark):
     import numpy as np
 
