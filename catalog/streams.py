@@ -28,10 +28,10 @@ def event_stream(spark, sf_dir, event_time="ts") -> DataFrame:
 
 def staged(df: DataFrame, number: str = "event_id") -> tuple[str, int]:
     """Write rows as arriving files: twelve batches by number, every 17th row three batches late."""
-    size = df.agg(F.expr(f"(max({number}) + {BATCHES}) div {BATCHES}")).first()[0]
+    size, rows = df.agg(F.expr(f"(max({number}) + {BATCHES}) div {BATCHES}"), F.count("*")).first()
     arrival = F.expr(f"({number} + IF({number} % 17 = 0, 3 * {size}, 0)) div {size}")
-    files = max(1, -(-size // ROWS_PER_FILE))
-    return stage_arrivals(df, arrival, F.col(number), files), files
+    files = max(1, -(-rows // (BATCHES * ROWS_PER_FILE)))
+    return stage_arrivals(df, arrival, files), files
 
 
 def late_events(spark, sf_dir) -> DataFrame:

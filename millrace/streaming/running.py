@@ -82,16 +82,16 @@ def update_to_files(df: DataFrame, spark: SparkSession, label: str, mode: str =
     return path
 
 
-def stage_arrivals(df: DataFrame, batch: Column, spread: Column, files_per_batch: int = 1) -> str:
+def stage_arrivals(df: DataFrame, batch: Column, files_per_batch: int = 1) -> str:
     """Write a table as files that a file stream reads one arrival batch at a time.
 
-    Each batch becomes ``files_per_batch`` files (split by ``spread``, so a batch is never one
-    task's work once it is large), with modification times in batch order. Read it with
+    Each batch becomes ``files_per_batch`` files with modification times in batch order. Rows are
+    dealt to the files by position, not by value, so copies of one row spread too. Read it with
     ``maxFilesPerTrigger = files_per_batch``.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, "arrivals")
-    slot = F.pmod(F.xxhash64(spread), F.lit(files_per_batch)).cast("int")
+    slot = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_batch)).cast("int")
     staged = df.withColumn("arrival_batch", batch.cast("int")).withColumn("arrival_slot", slot)
     staged.repartition("arrival_batch", "arrival_slot").write.partitionBy(
         "arrival_batch", "arrival_slot"

@@ -1,5 +1,6 @@
 import os
 import sys
+import time
 
 import pytest
 
@@ -19,3 +20,10 @@ def spark():
 
 def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def wait_until(done, seconds: float = 90) -> None:
+    """Wait for a running query to get somewhere; a rate source starts empty."""
+    deadline = time.monotonic() + seconds
+    while not done() and time.monotonic() < deadline:
+        time.sleep(0.3)

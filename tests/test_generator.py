@@ -16,6 +16,7 @@ from millrace.sources.generator import (
     sample_corpus,
 )
 from millrace.sources.sequence import impulses_per_second, ramp, sequence, unbounded_sequence
+from tests.conftest import wait_until
 
 SMALL = GeneratorOptions(min_chars=5, max_chars=25, max_collection=4)
 
@@ -213,10 +214,7 @@ def test_unbounded_sequence_feeds_the_generator(spark):
     made = generate(stream, "value", "simple", SMALL)
     query = made.writeStream.format("memory").queryName("generated_stream").outputMode("append").start()
     try:
-        for _ in range(40):
-            query.processAllAvailable()
-            if spark.table("generated_stream").count() > 0:
-                break
+        wait_until(lambda: spark.table("generated_stream").count() > 0)
     finally:
         query.stop()
     assert spark.table("generated_stream").count() > 0

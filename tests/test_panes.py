@@ -31,7 +31,7 @@ def arrivals(spark):
 def staged(spark):
     df = spark.createDataFrame(arrivals(spark), "n bigint, user string, second bigint, batch int")
     df = df.withColumn("event_ts", F.timestamp_seconds("second"))
-    path = stage_arrivals(df, F.col("batch"), F.col("n"), files_per_batch=2)
+    path = stage_arrivals(df, F.col("batch"), files_per_batch=2)
     return path, df.schema
 
 

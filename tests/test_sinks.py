@@ -13,6 +13,7 @@ from millrace.sinks.cells import CellTable
 from millrace.sinks.files import WindowedFiles
 from millrace.sinks.tables import AppendTable, destination, spread_for_write
 from millrace.streaming.running import read_arrivals, stage_arrivals
+from tests.conftest import wait_until
 
 ROW = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType())])
 K = T.StructType([T.StructField("k", T.LongType())])
@@ -179,7 +180,7 @@ def test_aggregate_without_early_firings_and_its_errors(spark):
         F.when(F.col("id") % 10 == 0, F.lit("broken")).otherwise(F.concat(F.lit('{"k": '), F.col("id") % 3, F.lit("}"))).cast("binary").alias("payload"),
         F.timestamp_seconds(F.col("id") * 60).alias("event_ts"),
     )
-    path = stage_arrivals(bodies, F.expr("n div 50"), F.col("n"))
+    path = stage_arrivals(bodies, F.expr("n div 50"))
     stream = read_arrivals(spark, path, TRANSPORT)
     wanted = [Aggregation(("k",), 3_600_000, 0, EarlyFirings())]
     table = flows.aggregate(spark, stream, K, wanted, "p.i.t", fresh_dir(spark, "root"))
@@ -209,10 +210,7 @@ def test_generation_at_a_rate_fills_envelopes(spark):
     options = flows.GenerateOptions("simple", "THRIFT", GeneratorOptions(min_chars=5, max_chars=9), compressed=True, records_per_envelope=25)
     query = flows.start_generate(spark, options, 100, path, fresh_dir(spark, "checkpoint"), partitions=2)
     try:
-        for _ in range(60):
-            query.processAllAvailable()
-            if any(p["numInputRows"] for p in query.recentProgress):
-                break
+        wait_until(lambda: any(p["numInputRows"] for p in query.recentProgress))
     finally:
         query.stop()
     topic = spark.read.schema(TRANSPORT).parquet(path)
