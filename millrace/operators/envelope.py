@@ -120,6 +120,9 @@ def unpack_all(df: DataFrame) -> DataFrame:
         for incoming in batches:
             kind = pc.map_lookup(incoming.column("attributes"), COMPRESSION_KEY, "first")
             packed = pc.fill_null(pc.equal(kind, COMPRESSION_NAME), False)
+            if not pc.any(packed, min_count=0).as_py():
+                yield _with_error(incoming, None, None)
+                continue
             plain = incoming.filter(pc.invert(packed))
             if plain.num_rows:
                 yield _with_error(plain, None, None)

@@ -51,8 +51,17 @@ def start_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callab
     """Start ``handle(batch, batch_id)`` for every micro-batch and return the running query.
 
     ``trigger`` is that of ``DataStreamWriter.trigger``; the default drains the source and stops.
+
+    A stateful query runs without adaptive execution, since its state partitions are fixed. What
+    ``handle`` does with a finished batch is ordinary batch work, so there it is switched on:
+    small batches then write few files, whatever the number of state partitions.
     """
-    writer = df.writeStream.outputMode(mode).foreachBatch(handle)
+
+    def adaptively(batch: DataFrame, batch_id: int) -> None:
+        with scoped_conf(batch.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+            handle(batch, batch_id)
+
+    writer = df.writeStream.outputMode(mode).foreachBatch(adaptively)
     writer = writer.option("checkpointLocation", checkpoint or fresh_dir(spark, label + "-checkpoint"))
     with scoped_conf(spark, stateful_settings(spark)):
         return writer.trigger(**(trigger or {"availableNow": True})).start()
