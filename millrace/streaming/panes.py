@@ -49,10 +49,9 @@ class PaneProcessor(StatefulProcessor):
         end_ms = key[3] // 1000
         if watermark >= end_ms:
             return  # the window is closed: these events are too late
-        if self.state.exists():
-            total, emitted, since, on_time = self.state.get()
-        else:
-            total, emitted, since, on_time = 0, 0, now, False
+        known = self.state.get()
+        total, emitted, since, on_time = known or (0, 0, now, False)
+        if known is None:
             self.handle.registerTimer(end_ms - self.lateness_ms)
             self.handle.registerTimer(end_ms)
         if total == emitted:
@@ -68,9 +67,10 @@ class PaneProcessor(StatefulProcessor):
         self.state.update((total, emitted, since, on_time))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.state.exists():
+        known = self.state.get()
+        if known is None:
             return
-        total, emitted, since, on_time = self.state.get()
+        total, emitted, since, on_time = known
         end_ms = key[3] // 1000
         if expiredTimerInfo.getExpiryTimeInMs() >= end_ms:
             if self.closing == "always" or total != emitted:

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from millrace.operators.windows import count_windows
 from millrace.plans.config import Aggregation, EarlyFirings
 from millrace.streaming.panes import count_panes
-from millrace.streaming.running import append_to_files, read_arrivals, stage_arrivals, update_to_files
+from millrace.streaming.running import (
+    append_to_files,
+    finish,
+    read_arrivals,
+    stage_arrivals,
+    start_batches,
+    update_to_files,
+)
 
 LENGTH, LATENESS = 600, 300  # seconds
 
@@ -88,6 +95,21 @@ def test_pane_sequences(spark, staged, early, accumulating, closing):
     assert all(r["is_final"] == (r["pane"] == "final") for r in rows)
 
 
+def test_state_of_closed_windows_is_dropped(spark):
+    rows = [(n, f"k{n % 40}", n * 4, n // 100) for n in range(300)] + [(300, "last", 10**6, 3)]
+    df = spark.createDataFrame(rows, "n bigint, user string, second bigint, batch int")
+    df = df.withColumn("event_ts", F.timestamp_seconds("second"))
+    path = stage_arrivals(df, F.col("batch"))
+    aggregation = Aggregation(("user",), LENGTH * 1000, LATENESS * 1000, EarlyFirings(True, 3))
+    panes = count_panes(read_arrivals(spark, path, df.schema), [aggregation])
+    finals = []
+    query = start_batches(panes, spark, "state", lambda batch, _: finals.append(batch.filter("is_final").count()), "update")
+    finish(query)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert sum(finals) == 80  # forty keys in two windows; the last one is still open
+    assert max(kept) == 80 and kept[-1] == 1  # only the open window
+
+
 def test_hot_keys_collapse_before_the_shuffle(spark):
     from millrace.operators.windows import keyed_windows
     from millrace.streaming import panes
