@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, mixing, oracles, quality, sharding, simhash
+from millrace.llm import decontam, langid, mixing, oracles, quality, sharding, simhash, urls, warc
 from millrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(documents(spark, sf_dir)).drop("row_number")
+
+
+@query
+def op2_rank_order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+@query
+def op9_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(documents(spark, sf_dir, "pages")).drop("url", "payload_crc32")
+
+
+@query
+def op10_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(documents(spark, sf_dir, "pages"))
