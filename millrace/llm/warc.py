@@ -158,16 +158,16 @@ def write_monolithic(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE
                 if stream is None:
                     path = own_name(folder, ".warc.gz")
                     stream = create(path)
-                    archive = gzip.GzipFile(fileobj=stream, mode="wb", mtime=0, filename="", compresslevel=6)
-                archive.write(data)
+                    archive = zlib.compressobj(6, wbits=31)  # one gzip stream
+                stream.write(archive.compress(data))
                 held, count = held + len(data), count + 1
                 if held >= archive_bytes:
-                    archive.close()
+                    stream.write(archive.flush())
                     stream.close()
                     yield pa.RecordBatch.from_pydict({"path": [path], "records": pa.array([count], pa.int64())})
                     stream, held, count = None, 0, 0
         if stream is not None:
-            archive.close()
+            stream.write(archive.flush())
             stream.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "records": pa.array([count], pa.int64())})
 
