@@ -52,7 +52,7 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
 def create(uri: str):
     files, path = opened(uri)
     files.create_dir(os.path.dirname(path), recursive=True)
-    return files.open_output_stream(path)
+    return files.open_output_stream(path, compression=None)
 
 
 def own_name(folder: str, suffix: str) -> str:
