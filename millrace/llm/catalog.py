@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from public_tokenizers import path as tokenizer_path
 
-from millrace.llm import decontam, langid, mixing, oracles, quality, sharding, simhash, urls, warc
+from millrace.llm import decontam, langid, mixing, oracles, quality, repair, sharding, simhash, urls, warc
 from millrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +57,8 @@ def op9_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(documents(spark, sf_dir, "pages"))
+
+
+@query
+def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.encoded(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
