@@ -43,8 +43,11 @@ END_ID = 2
 MAGIC = b"MRRP"
 HEAD = struct.Struct("<IIIIII")  # ids, symbols, rules, first nonterminal, bytes a symbol, spare
 TAIL = struct.Struct("<QQ4s")  # documents, shards
-CACHED = 250_000
+CACHED = 800_000  # stretches an encoder keeps
+SLOT_BITS = 18
+LOOKUP = 2_000  # stretches looked up at once
 _DOUBLE_SPACE = re.compile(r"\s\s")
+_INNER_SPACE = re.compile(r".\s", re.DOTALL)
 _CUTS = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -52,7 +55,7 @@ _CUTS = re.compile(r"(?<=\S)(?= \S)")
 class Grammar:
     shard_ids: int = 1 << 20
     least_uses: int = 12  # of a pair, for a rule
-    most_rounds: int = 14
+    most_rounds: int = 6
     most_symbols: int = 1 << 16  # ids and nonterminals; two bytes a symbol
     file_ids: int = 1 << 26
 
@@ -69,6 +72,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
 
     def stretches(self, text: str) -> list[str]:
@@ -78,16 +82,32 @@ class Encoder:
         return [first, *[" " + word for word in rest]]
 
     def encode(self, values: list[str]) -> list[bytes]:
-        cut = [self.stretches(text) for text in values]
         if len(self.known) > CACHED:
             self.known.clear()
-        new = list({s for parts in cut for s in parts if s not in self.known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for stretch, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[stretch] = np.array(coded.ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[s] for s in parts]) for parts in cut]
+        cut = [self.stretches(text) for text in values]
+        found = [list(map(self.known.get, parts)) for parts in cut]
+        new = {s for parts, got in zip(cut, found, strict=True) if None in got for s, ids in zip(parts, got, strict=True) if ids is None}
+        plain = [s for s in new if s[:1] == " " and not _INNER_SPACE.search(s)]
+        for at in range(0, len(plain), LOOKUP):
+            self.learn(plain[at : at + LOOKUP])
+        other = [s for s in new if s not in self.known]
+        for stretch, coded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.known[stretch] = np.array(coded.ids, "<u4").tobytes()
+        return [b"".join(got if None not in got else map(self.known.__getitem__, parts)) for parts, got in zip(cut, found, strict=True)]
+
+    def learn(self, stretches: list[str]) -> None:
+        """Look up many stretches as one text with line breaks between, which the tokenizer keeps apart.
+
+        None of them holds a line break, so the break's own id marks where each ends.
+        """
+        coded = self.tokenizer.encode("\n".join(stretches), add_special_tokens=False)
+        ids = np.array(coded.ids, "<u4")
+        cuts = np.flatnonzero(ids == self.line_break)
+        if len(cuts) != len(stretches) - 1:
+            raise RuntimeError("this tokenizer does not keep line breaks apart")
+        data, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+        for stretch, start, end in zip(stretches, [0, *[e + 4 for e in ends[:-1]]], ends, strict=True):
+            self.known[stretch] = data[start:end]
 
 
 # -- Re-Pair
@@ -104,14 +124,19 @@ def frequent_pairs(symbols: np.ndarray, least: int, most: int) -> tuple[np.ndarr
     return codes, ordered[first[often]]
 
 
+def slot_of(codes: np.ndarray) -> np.ndarray:
+    return (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+
+
 def chosen_places(codes: np.ndarray, pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, rank of the pair at each): no two overlap and every pair is used ``least`` times."""
-    by_code = np.argsort(pairs)
-    table = pairs[by_code]
-    at = np.searchsorted(table, codes)
-    at[at == len(table)] = 0
     none = len(pairs)
-    rank = np.where(table[at] == codes, by_code[at], none)
+    # A table of hashed codes; of pairs that share a slot the most frequent keeps it in this round.
+    table = np.full(1 << SLOT_BITS, none, np.int64)
+    slots = slot_of(pairs)
+    table[slots[::-1]] = np.arange(none)[::-1]
+    rank = table[slot_of(codes)]
+    rank[np.append(pairs, -1)[rank] != codes] = none
     for _ in range(2):
         before, after = np.full_like(rank, none), np.full_like(rank, none)
         before[1:], after[:-1] = rank[:-1], rank[1:]
