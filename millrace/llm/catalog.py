@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as tokenizer_path
 
-from millrace.llm import decontam, langid, mixing, oracles, quality, repair, sharding, simhash, urls, warc
+from millrace.llm import decontam, fmindex, langid, mixing, oracles, quality, repair, sharding, simhash, urls, warc
 from millrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op10_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.encoded(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.deduplicated(documents(spark, sf_dir)).drop("kept_text")
