@@ -55,7 +55,7 @@ _CUTS = re.compile(r"(?<=\S)(?= \S)")
 class Grammar:
     shard_ids: int = 1 << 20
     least_uses: int = 12  # of a pair, for a rule
-    most_rounds: int = 6
+    most_rounds: int = 8
     most_symbols: int = 1 << 16  # ids and nonterminals; two bytes a symbol
     file_ids: int = 1 << 26
 
@@ -120,8 +120,9 @@ def frequent_pairs(symbols: np.ndarray, least: int, most: int) -> tuple[np.ndarr
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.concatenate((first, [len(ordered)])))
     often = np.flatnonzero(counts >= least)
-    often = often[np.argsort(-counts[often], kind="stable")[:most]]
-    return codes, ordered[first[often]]
+    # Equal counts in scattered order: else a cycle of pairs would leave one winner in each turn.
+    order = np.lexsort((slot_of(ordered[first[often]]), -counts[often]))[:most]
+    return codes, ordered[first[often[order]]]
 
 
 def slot_of(codes: np.ndarray) -> np.ndarray:
