@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog.registry import ntz, query, table, text_hex
 from millrace.functions.encoding import long_bytes
 from millrace.operators import cells as cell_ops
-from millrace.operators.windows import count_windows, typed_results
+from millrace.operators.outcome import with_event_time
+from millrace.operators.windows import all_typed_results, count_windows
 from millrace.plans.config import Aggregation, millis
 from millrace.session import fresh_dir
 from millrace.sinks.cells import CellTable
+from millrace.sinks.files import WindowedFiles
 
 
 def count_by(*fields: str, length: str = "15m") -> Aggregation:
@@ -27,10 +30,10 @@ def shown(results):
     )
 
 
-def count_sql(name: str, key: str, length: str) -> str:
+def count_sql(name: str, key: str, length: str, source: str = "events") -> str:
     return f"""SELECT '{name}' AS agg_name, {key} AS agg_key, w AS window_start,
       w + INTERVAL '{length}' AS window_end, count(*) AS result_long
-    FROM (SELECT *, time_bucket(INTERVAL '{length}', ts) AS w FROM events) GROUP BY w, {key}"""
+    FROM (SELECT *, time_bucket(INTERVAL '{length}', ts) AS w FROM {source}) GROUP BY w, {key}"""
 
 
 USER = "user_id::VARCHAR"
@@ -81,10 +84,7 @@ def agg_result_types(spark, sf_dir):
         "FLOAT": F.col("value"),
         "STRING": F.col("event_type"),
     }
-    made = None
-    for kind, value in values.items():
-        one = typed_results(events, "latest", ["event_id"], kind, value)
-        made = one if made is None else made.unionByName(one)
+    made = all_typed_results(events, "latest", ["event_id"], values)
     # Nullable integers as text: the same on every client.
     return made.select(
         "agg_key", "result_type", F.col("result_long").cast("string").alias("result_long"), "result_double", "result_string"
@@ -123,10 +123,8 @@ def cells_grouped(spark, sf_dir):
     """Three typed results of one key and hour become one mutation list."""
     counts = count_windows(timed_events(spark, sf_dir), [count_by("user_id", length="1h")])
     window = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))
-    made = None
-    for kind in ("INT", "LONG", "STRING"):
-        one = typed_results(counts, "events", ["agg_key"], kind, F.col("result_long"), window)
-        made = one if made is None else made.unionByName(one)
+    same = {kind: F.col("result_long") for kind in ("INT", "LONG", "STRING")}
+    made = all_typed_results(counts, "events", ["agg_key"], same, window)
     grouped = cell_ops.group_cells(cell_ops.to_cells(made, types=("INT", "LONG", "STRING")))
     return grouped.select(
         "row_key",
@@ -187,3 +185,40 @@ def cells_upsert(spark, sf_dir):
 def cells_max_versions(spark, sf_dir):
     cells = price_cells(spark, sf_dir).withColumn("qualifier", F.lit("price"))
     return shown_cells(cell_ops.keep_versions(cell_ops.latest_cells(cells, ["o_orderkey"])))
+
+
+@query(
+    "cells_two_lengths",
+    " UNION ALL ".join(
+        cells_sql(count_sql(name, USER, length))
+        for name, length in (("count_user_id_15m", "15 minutes"), ("count_user_id_1h", "1 hour"))
+    ),
+)
+def cells_two_lengths(spark, sf_dir):
+    """Two window lengths on one key: where both windows end together, each keeps its cell."""
+    counts = count_windows(timed_events(spark, sf_dir), [count_by("user_id"), count_by("user_id", length="1h")])
+    target = CellTable(spark, fresh_dir(spark, "cells"))
+    target.write(cell_ops.to_cells(counts), 0)
+    return shown_cells(target.read())
+
+
+@query(
+    "missing_event_time",
+    f"""SELECT agg_key AS id, result_long::BIGINT AS n, 'counted' AS outcome FROM ({count_sql("count_user_id", USER, "15 minutes", "(SELECT * FROM events WHERE event_id % 13 <> 0)")})
+    UNION ALL SELECT event_id::VARCHAR, 1, 'event_time' FROM events WHERE event_id % 13 = 0
+    UNION ALL SELECT event_id::VARCHAR, 1, CASE WHEN event_id % 13 = 0 THEN 'none' ELSE strftime(time_bucket(INTERVAL '6 hours', ts), '%H%M') END FROM events""",
+)
+def missing_event_time(spark, sf_dir):
+    """Every 13th event has no event time: it is not counted but reported, and files keep it in a folder of its own."""
+    events = timed_events(spark, sf_dir)
+    holed = events.withColumn("event_ts", F.when(F.col("event_id") % 13 != 0, F.col("event_ts")))
+    timed = with_event_time(holed)
+    counted = count_windows(timed.ok, [count_by("user_id")])
+    files = WindowedFiles(spark, fresh_dir(spark, "holes"), "parquet", "6 hours")
+    files.write(holed.select("event_id", "event_ts"), 0)
+    kept = files.read(T.StructType([T.StructField("event_id", T.LongType())]))
+    return (
+        counted.select(F.col("agg_key").alias("id"), F.col("result_long").alias("n"), F.lit("counted").alias("outcome"))
+        .unionByName(timed.failed.select(F.col("event_id").alias("id"), F.lit(1).cast("bigint").alias("n"), F.col("stage").alias("outcome")))
+        .unionByName(kept.select(F.col("event_id").cast("string").alias("id"), F.lit(1).cast("bigint").alias("n"), F.col("window").alias("outcome")))
+    )

@@ -209,7 +209,7 @@ aggregations:
 @query("flow_aggregate_bounded", cells_sql(COUNT_15M))
 def flow_aggregate_bounded(spark, sf_dir):
     """Decompress, decode, count per user and 15 minutes, shape as cells; bounded input."""
-    return shown_cells(flows.aggregate_bounded(record_transports(spark, sf_dir), EVENT, [count_by("user_id")]))
+    return shown_cells(flows.aggregate_bounded(record_transports(spark, sf_dir), EVENT, [count_by("user_id")]).ok)
 
 
 PANE_STAMP = "strftime(we - INTERVAL '1 millisecond', '%Y-%m-%dT%H:%M:%S.') || '999Z'"
@@ -259,3 +259,60 @@ def flow_generate(spark, sf_dir):
     topic = spark.read.schema(TRANSPORT).parquet(path)
     found = decode(maybe_decompress(topic).ok, "compound").ok
     return found.select("event_id", "uuid", F.col("externalId").alias("external_id"), ntz("event_ts", "event_ts"))
+
+
+@query(
+    "sink_two_runs",
+    f"""SELECT event_id::VARCHAR AS id, 'event' AS kind, 1::BIGINT AS n FROM events
+    UNION ALL SELECT 'conversations-' || conv_id || '-' || turn, 'error', 1 FROM conversations
+      WHERE NOT json_valid(text) OR json_type(text) <> 'OBJECT'
+    UNION ALL SELECT event_id::VARCHAR, 'file', 1 FROM events
+    UNION ALL SELECT row_key, 'cell', ('0x' || value_hex)::BIGINT FROM ({cells_sql(COUNT_15M)})
+      WHERE ts_micros < epoch_us((SELECT max(ts) FROM events) - INTERVAL '1 minute')""",
+)
+def sink_two_runs(spark, sf_dir):
+    """Each sink is fed by two queries without a common checkpoint, the second after the first has ended;
+    nothing that the first wrote is lost, also where a snapshot lies between the two."""
+    records = record_transports(spark, sf_dir)
+    noise = text_transports(spark, sf_dir, "conversations", TURN)
+    first = F.crc32(F.col("event_id").cast("binary")) % 2 == 0
+    options = TableOptions(fresh_dir(spark, "two-runs"), guarantee="exactly_once")
+    files_path, cells_path = fresh_dir(spark, "two-runs-files"), fresh_dir(spark, "two-runs-cells")
+    newest = records.agg(F.max("event_ts")).first()[0]
+    half = records.agg(F.expr("timestamp_micros(unix_micros(min(event_ts)) + (unix_micros(max(event_ts)) - unix_micros(min(event_ts))) div 2)").alias("t")).select(F.date_trunc("DAY", "t")).first()[0]
+    for part in (first, ~first):
+        table_ = flows.ingest(spark, as_stream(records.unionByName(noise).filter(part)), options, EVENT)
+        files = flows.write_window_files(spark, as_stream(records.filter(part)), files_path, "parquet", EVENT, length="6 hours")
+    # Windows close when time has passed them, so the runs of the counts are two spans of time; the end of
+    # all times closes the first span.
+    mark = records.filter(F.col("event_ts") == F.lit(newest)).limit(1)
+    early = records.filter(F.col("event_ts") < F.lit(half))
+    for part in (early.unionByName(mark), records.filter(F.col("event_ts") >= F.lit(half))):
+        cells = flows.aggregate(spark, as_stream(part), EVENT, [count_by("user_id")], "p.i.counts", cells_path)
+        cells.merge()
+    one = F.lit(1).cast("bigint").alias("n")
+    stored_rows = table_.read(STORED).select(F.col("event_id").alias("id"), F.lit("event").alias("kind"), one)
+    failed = table_.read_errors(ERROR).select(F.col("event_id").alias("id"), F.lit("error").alias("kind"), one)
+    kept = files.read(STORED).select(F.col("event_id").alias("id"), F.lit("file").alias("kind"), one)
+    counted = cells.read().select(F.col("row_key").alias("id"), F.lit("cell").alias("kind"), F.conv(F.hex("value"), 16, 10).cast("bigint").alias("n"))
+    return stored_rows.unionByName(failed).unionByName(kept).unionByName(counted)
+
+
+@query(
+    "flow_aggregate_errors",
+    """SELECT event_id::VARCHAR AS event_id, 'event_time' AS stage FROM events WHERE event_id % 13 = 0
+    UNION ALL SELECT 'documents-' || doc_id, 'decompress' FROM documents
+    UNION ALL SELECT 'conversations-' || conv_id || '-' || turn, 'decode' FROM conversations
+      WHERE NOT json_valid(text) OR json_type(text) <> 'OBJECT'""",
+)
+def flow_aggregate_errors(spark, sf_dir):
+    """The aggregation stores its own dead letters: bad envelopes, bad payloads, missing event times."""
+    events = record_transports(spark, sf_dir)
+    holed = events.withColumn("event_ts", F.when(F.expr("CAST(event_id AS BIGINT) % 13") != 0, F.col("event_ts")))
+    bad = text_transports(spark, sf_dir, "documents", "doc_id", compressed=True)
+    noise = text_transports(spark, sf_dir, "conversations", TURN)
+    options = TableOptions(fresh_dir(spark, "aggregate-errors"), guarantee="exactly_once")
+    flows.aggregate(
+        spark, as_stream(holed.unionByName(bad).unionByName(noise)), EVENT, [count_by("user_id")], "p.i.counts", fresh_dir(spark, "cells"), errors=options
+    )
+    return AppendTable(spark, options).read_errors(ERROR).select("event_id", "stage")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.counts import COUNT_15M, count_by, shown
+from catalog.counts import COUNT_15M, USER, count_by, count_sql, shown
 from catalog.registry import ntz, query, table
 from millrace.operators.windows import count_windows
 from millrace.plans.config import Aggregation, EarlyFirings, millis
@@ -178,3 +178,20 @@ def panes_final(spark, sf_dir):
 def panes_early_time(spark, sf_dir):
     """Processing-time firings with no delay: a pane in every micro-batch that brings elements."""
     return run_panes(spark, sf_dir, pane_config(count=None, time="0s"))
+
+
+@query(
+    "agg_multi_stream",
+    f"""SELECT * FROM ({count_sql("count_user_id_15m", USER, "15 minutes")}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'
+    UNION ALL SELECT * FROM ({count_sql("count_user_id_1h", USER, "1 hour")}) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'
+    UNION ALL SELECT * FROM ({count_sql("count_event_type", "event_type", "1 day")}) WHERE window_end <= (SELECT max(ts) FROM events)""",
+)
+def agg_multi_stream(spark, sf_dir):
+    """Three aggregations, two of them on one key, each with its own window and lateness, in one streamed read."""
+    wanted = [
+        Aggregation(("user_id",), millis("15m"), millis("1m")),
+        Aggregation(("user_id",), millis("1h"), millis("1h")),
+        Aggregation(("event_type",), millis("1d")),
+    ]
+    panes = count_panes(event_stream(spark, sf_dir), wanted).filter("is_final")
+    return shown(spark.read.schema(panes.schema).parquet(update_to_files(panes, spark, "multi")))

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.registry import ntz, query, table
-from millrace.operators.decode import decode, decode_or_fail, payload_text
+from millrace.operators.decode import decode, decode_or_fail, parse, payload_text
 from millrace.operators.envelope import COMPRESSION_KEY, COMPRESSION_NAME, maybe_decompress, pack
 from millrace.operators.outcome import union_errors
 from millrace.operators.stats import payload_percentiles, payload_stats
-from millrace.operators.transforms import apply_events, apply_frame, load_transform
+from millrace.operators.transforms import apply_events, apply_frame, load_transform, map_events
 from millrace.operators.transport import encode_json, schema_attributes, schema_text, wrap
 from millrace.sources.events import transport_from_table
 
@@ -146,6 +146,47 @@ def decode_dead_letter(spark, sf_dir):
     return failed.select("event_id", "stage", "error_class", F.md5("payload").alias("payload"))
 
 
+STRICT = T.StructType(
+    [
+        T.StructField("k", T.LongType(), False),
+        T.StructField("inner", T.StructType([T.StructField("need", T.LongType(), False), T.StructField("may", T.LongType())])),
+        T.StructField("list", T.ArrayType(T.StructType([T.StructField("need", T.LongType(), False)]))),
+    ]
+)
+
+
+@query(
+    "decode_strict",
+    """SELECT event_id::VARCHAR AS event_id, CASE
+        WHEN event_id % 10 IN (0, 6, 9) THEN 'ok'
+        WHEN event_id % 10 IN (1, 2) THEN 'payload holds more than one document'
+        WHEN event_id % 10 IN (3, 4) THEN 'payload does not match the schema'
+        ELSE 'payload lacks a required field' END AS outcome,
+      CASE WHEN event_id % 10 IN (0, 6, 9) THEN (props ->> '$.k')::BIGINT END AS k FROM events""",
+)
+def decode_strict(spark, sf_dir):
+    """Payloads doubled, followed by junk, cut, emptied, or without a required field at some level."""
+    events = event_transports(spark, sf_dir)
+    text, case = payload_text(), F.expr("CAST(event_id AS BIGINT) % 10")
+    body = F.regexp_replace(text, "[}]\\s*$", "")
+    changed = (
+        F.when(case == 1, F.concat(text, text))
+        .when(case == 2, F.concat(text, F.lit(" junk")))
+        .when(case == 3, body)
+        .when(case == 4, F.lit(""))
+        .when(case == 5, F.lit("{}"))
+        .when(case == 6, F.concat(body, F.lit(', "inner": null}')))
+        .when(case == 7, F.concat(body, F.lit(', "inner": {"may": 1}}')))
+        .when(case == 8, F.concat(body, F.lit(', "list": [{"need": 1}, {}]}')))
+        .when(case == 9, F.concat(body, F.lit(', "inner": {"need": 1}, "list": [{"need": 2}]}  ')))
+        .otherwise(text)
+    )
+    parsed = parse(events.withColumn("payload", changed.cast("binary")), STRICT)
+    return parsed.select(
+        "event_id", F.coalesce("error_message", F.lit("ok")).alias("outcome"), F.when(F.col("error_class").isNull(), F.col("record.k")).alias("k")
+    )
+
+
 @query("decode_failfast", "SELECT event_id::VARCHAR AS event_id, (props ->> '$.k')::BIGINT AS k FROM events")
 def decode_failfast(spark, sf_dir):
     return decode_or_fail(event_transports(spark, sf_dir), PROPS).select("event_id", "k")
@@ -174,10 +215,9 @@ def udf_transform(spark, sf_dir):
 )
 def udf_dead_letter(spark, sf_dir):
     """Events that the user's function refuses keep their payload and go to the error path."""
-    both = apply_events(event_transports(spark, sf_dir), load_transform("catalog.transforms:reject_large"))
-    ok = both.ok.select("event_id", F.lit("ok").alias("outcome"), payload_text().alias("payload"))
-    failed = both.failed.select("event_id", F.col("error_message").alias("outcome"), payload_text().alias("payload"))
-    return ok.unionByName(failed)
+    judged = map_events(event_transports(spark, sf_dir), load_transform("catalog.transforms:reject_large"))
+    outcome = F.coalesce("error_message", F.lit("ok"))  # one frame: the function runs once per event
+    return judged.select("event_id", outcome.alias("outcome"), payload_text().alias("payload"))
 
 
 @query(

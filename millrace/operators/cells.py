@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.encoding import double_bytes, float_bytes, iso_millis, long_bytes
+from millrace.operators.outcome import Outcome
 from millrace.schemas import CELL
 
 FAMILY = "aggregation_results"  # fixed value: default column family
@@ -58,6 +59,24 @@ def to_cells(results: DataFrame, family: str = FAMILY, types: Sequence[str] = ("
     )
 
 
+def cells_or_failed(results: DataFrame, types: Sequence[str] = RESULT_TYPES, family: str = FAMILY, epoch_millis: Column | None = None) -> Outcome:
+    """Cells, and as dead letters the results that have no cell: no encoder for their type, or no value."""
+    kinds = F.col("result_type").isin(list(types))
+    value = F.when(F.col("result_type").isin("INT", "LONG"), F.col("result_long").isNotNull()).when(
+        F.col("result_type").isin("DOUBLE", "FLOAT"), F.col("result_double").isNotNull()
+    ).otherwise(F.col("result_string").isNotNull())
+    good = F.coalesce(kinds & value, F.lit(False))
+    failed = results.filter(~good).select(
+        F.col("agg_key").alias("event_id"),
+        F.lit("cells").alias("stage"),
+        F.when(F.coalesce(kinds, F.lit(False)), "MissingValue").otherwise("UnknownResultType").alias("error_class"),
+        F.concat(F.lit("no cell for a result of type "), F.coalesce("result_type", F.lit("null"))).alias("error_message"),
+        F.create_map(F.lit("aggregation"), F.col("agg_name"), F.lit("window_end"), F.col("window_end").cast("string")).alias("attributes"),
+        F.to_json(F.struct(*results.columns)).cast("binary").alias("payload"),
+    )
+    return Outcome(to_cells(results.filter(good), family, types, epoch_millis), failed)
+
+
 def latest_cells(cells: DataFrame, order: Sequence[str]) -> DataFrame:
     """One value per (row key, family, qualifier, timestamp): the last write by ``order`` wins.
 
@@ -72,15 +91,17 @@ def latest_cells(cells: DataFrame, order: Sequence[str]) -> DataFrame:
 def group_cells(cells: DataFrame) -> DataFrame:
     """All cells of one row key, timestamp and window as one mutation list.
 
-    Repeated writes of a cell are collapsed first (equal values here, the greatest otherwise), so
-    a list holds at most one cell per qualifier: its size is bounded by the number of configured
-    aggregations, whatever the number of input rows.
+    Repeated writes of a cell are collapsed first, so a list holds at most one cell per qualifier: its size is
+    bounded by the number of configured aggregations, whatever the number of input rows. The greatest
+    ``write_order`` wins where the frame has that column; without it, writes of one cell are expected to be equal.
+    Rows are dealt by the list's own key, which both aggregations share.
     """
-    distinct = cells.groupBy(
-        "row_key", "ts_micros", "window_start", "window_end", "family", "qualifier"
-    ).agg(F.max("value").alias("value"))
+    outer = ["row_key", "ts_micros", "window_start", "window_end"]
+    last = F.max_by("value", "write_order") if "write_order" in cells.columns else F.max("value")
+    dealt = cells.repartition(*[F.col(c) for c in outer])
+    distinct = dealt.groupBy(*outer, "family", "qualifier").agg(last.alias("value"))
     cell = F.struct("family", "qualifier", "ts_micros", "value")
-    return distinct.groupBy("row_key", "ts_micros", "window_start", "window_end").agg(
+    return distinct.groupBy(*outer).agg(
         F.array_sort(F.collect_list(cell)).alias("cells")
     )
 

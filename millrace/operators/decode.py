@@ -18,9 +18,51 @@ def payload_text(payload: str = "payload") -> Column:
     return F.col(payload).cast("string")
 
 
-def parse(df: DataFrame, schema) -> DataFrame:
+def missing_required(value: Column, kind: T.DataType, nullable: bool) -> Column | None:
+    """True where a required field is absent, at any level; None if nothing below is required.
+
+    A parser fills absent fields with null whatever the schema says. Absent optional parents hide
+    what they would require.
+    """
+    inner: list[Column] = []
+    if isinstance(kind, T.StructType):
+        inner = [m for f in kind.fields if (m := missing_required(value.getField(f.name), f.dataType, f.nullable)) is not None]
+    elif isinstance(kind, T.ArrayType):
+        probe = missing_required(F.lit(None).cast(kind.elementType), kind.elementType, kind.containsNull)
+        if probe is not None:
+            inner = [F.exists(value, lambda x: missing_required(x, kind.elementType, kind.containsNull))]
+    elif isinstance(kind, T.MapType):
+        probe = missing_required(F.lit(None).cast(kind.valueType), kind.valueType, kind.valueContainsNull)
+        if probe is not None:
+            inner = [F.exists(F.map_values(value), lambda x: missing_required(x, kind.valueType, kind.valueContainsNull))]
+    found = None
+    for test in inner:
+        test = F.coalesce(test, F.lit(False))
+        found = test if found is None else found | test
+    if found is not None:
+        found = value.isNotNull() & found
+    if not nullable:
+        found = value.isNull() if found is None else value.isNull() | found
+    return found
+
+
+def several_documents(text: Column) -> Column:
+    """True where something follows the first JSON document, which the parser would ignore.
+
+    Read as the only element of an array, a second document makes the array longer and junk makes it
+    malformed; counting elements skips their content.
+    """
+    elements = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    return F.coalesce(elements, F.lit(0)) != 1
+
+
+def parse(df: DataFrame, schema, carried: tuple[str, ...] = ()) -> DataFrame:
     """Add ``record`` (typed) and the error columns.
 
+    ``carried`` columns pass unchanged; errors among them that are already set stay, with no record.
+
+    Bad are payloads that are null, blank or not JSON, hold more than one document, or lack a required field.
+
     The parsed value passes through ``explode`` of a one-element array. A filter on the error
     column therefore cannot be pushed below it, and each payload is parsed once, not once for the
     filter and again for the projection.
@@ -30,15 +72,22 @@ def parse(df: DataFrame, schema) -> DataFrame:
     parsed = F.from_json(
         payload_text(), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    once = df.select(*TRANSPORT.fieldNames(), F.explode(F.array(parsed)).alias("_parsed"))
-    bad = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull() | F.col("payload").isNull()
-    record = F.struct(*[F.col("_parsed").getField(f.name).alias(f.name) for f in target.fields])
-    return once.select(
-        *TRANSPORT.fieldNames(),
-        record.alias("record"),
-        F.when(bad, F.lit("MalformedPayload")).alias("error_class"),
-        F.when(bad, F.lit("payload does not match the schema")).alias("error_message"),
-    )
+    both = F.struct(parsed.alias("value"), several_documents(payload_text()).alias("several"))
+    names = [*TRANSPORT.fieldNames(), *[c for c in carried if c not in ("error_class", "error_message")]]
+    known = [F.col(c).alias(f"_{c}") if c in carried else F.lit(None).cast("string").alias(f"_{c}") for c in ("error_class", "error_message")]
+    once = df.select(*names, *known, F.explode(F.array(both)).alias("_once"))
+    value = F.col("_once.value")
+    bad = value.isNull() | value.getField(CORRUPT).isNotNull() | F.col("payload").isNull()
+    reason = F.when(bad, F.lit("payload does not match the schema"))
+    reason = reason.when(F.col("_once.several"), F.lit("payload holds more than one document"))
+    absent = missing_required(value, target, True)
+    if absent is not None:
+        reason = reason.when(absent, F.lit("payload lacks a required field"))
+    record = F.struct(*[value.getField(f.name).alias(f.name) for f in target.fields])
+    judged = once.select(*names, "_error_class", "_error_message", record.alias("record"), F.explode(F.array(reason)).alias("_reason"))
+    fresh = F.when(F.col("_reason").isNotNull(), F.lit("MalformedPayload"))
+    message = F.when(F.col("_error_class").isNull(), F.col("_reason")).otherwise(F.col("_error_message"))
+    return judged.select(*names, "record", F.coalesce("_error_class", fresh).alias("error_class"), message.alias("error_message"))
 
 
 def decode(df: DataFrame, schema) -> Outcome:
@@ -48,9 +97,11 @@ def decode(df: DataFrame, schema) -> Outcome:
 
 
 def decode_or_fail(df: DataFrame, schema) -> DataFrame:
-    """As :func:`decode` without a dead-letter side: a bad payload fails the job."""
-    parsed = F.from_json(payload_text(), schemas.resolve(schema), {"mode": "FAILFAST"})
-    return df.select("event_id", "attributes", "event_ts", parsed.alias("record")).select(
+    """As :func:`decode` without a dead-letter side: a bad payload, also a null or empty one, fails the job."""
+    parsed = parse(df, schema)
+    failure = F.concat(F.lit("event "), F.coalesce("event_id", F.lit("without id")), F.lit(": MalformedPayload, "), F.col("error_message"))
+    record = F.when(F.col("error_message").isNull(), F.col("record")).otherwise(F.raise_error(failure).cast(parsed.schema["record"].dataType))
+    return parsed.select("event_id", "attributes", "event_ts", record.alias("record")).select(
         "event_id", "attributes", "event_ts", "record.*"
     )
 

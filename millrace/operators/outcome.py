@@ -41,3 +41,22 @@ def union_errors(errors: Iterable[DataFrame]) -> DataFrame:
     """
     names = ERROR.fieldNames()
     return reduce(DataFrame.unionByName, [df.select(*names) for df in errors])
+
+
+def with_event_time(df: DataFrame, ts: str = "event_ts") -> Outcome:
+    """Rows that have an event time, and the others as dead letters: no window holds them.
+
+    Columns of the dead letter that ``df`` lacks are null.
+    """
+    def kept(name: str, kind: str):
+        return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
+
+    failed = df.filter(F.col(ts).isNull()).select(
+        kept("event_id", "string"),
+        F.lit("event_time").alias("stage"),
+        F.lit("MissingEventTime").alias("error_class"),
+        F.lit("the event has no event time").alias("error_message"),
+        kept("attributes", "map<string,string>"),
+        kept("payload", "binary"),
+    )
+    return Outcome(df.filter(F.col(ts).isNotNull()), failed)

@@ -34,31 +34,49 @@ def apply_frame(df: DataFrame, transform: Callable[[DataFrame], DataFrame] | Non
 
 
 def apply_events(df: DataFrame, transform: Callable[[dict], dict] | None) -> Outcome:
-    """The per-event form: event dict -> event dict; an exception makes that event a dead letter."""
+    """The per-event form: event dict -> event dict; an exception makes that event a dead letter.
+
+    Both sides read one frame. Where both are used, persist :func:`map_events` and split that, so that the
+    function is called once per event.
+    """
     if transform is None:
         return Outcome(df, empty_errors(df))
+    return split(map_events(df, transform), "transform", TRANSPORT.fieldNames())
+
+
+def map_events(df: DataFrame, transform: Callable[[dict], dict], carried: tuple[str, ...] = ()) -> DataFrame:
+    """Transports with the function applied, and the error columns of events on which it failed.
 
+    ``carried`` columns pass unchanged; of rows that already have an ``error_class`` the function is not called,
+    and where ``stage`` is carried, the rows that fail here get ``transform``.
+    """
     names = TRANSPORT.fieldNames()
+    out = T.StructType(UNPACKED.fields + [f for f in df.schema.fields if f.name in carried and f.name not in UNPACKED.fieldNames()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for incoming in batches:
             rows = []
             for event in incoming.to_pylist():
                 event["attributes"] = dict(event["attributes"] or [])
-                try:
-                    made = _checked(transform(dict(event)), event)
-                    made |= {"error_class": None, "error_message": None}
-                except Exception as problem:
-                    made = event | {"error_class": type(problem).__name__, "error_message": str(problem)}
+                known = {c: event.pop(c) for c in carried}
+                if known.get("error_class") is not None:
+                    made = event | known
+                else:
+                    made = event | known | {"error_class": None, "error_message": None}
+                    try:
+                        made |= _checked(transform(dict(event)), event)
+                    except Exception as problem:
+                        made |= {"error_class": type(problem).__name__, "error_message": str(problem)}
+                        if "stage" in known:
+                            made["stage"] = "transform"
                 made["attributes"] = list((made.get("attributes") or {}).items())
                 rows.append(made)
             text = incoming.schema.field("event_id").type
             fields = [incoming.schema.field(n) for n in names]
-            fields += [pa.field("error_class", text), pa.field("error_message", text)]
+            fields += [pa.field(f.name, text) for f in out.fields[len(names) :]]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
 
-    frame = df.select(*names).mapInArrow(run, UNPACKED)
-    return split(frame, "transform", names)
+    return df.select(*names, *carried).mapInArrow(run, out)
 
 
 def _checked(made: dict, event: dict) -> dict:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.encoding import key_text
-from millrace.plans.config import Aggregation, interval
+from millrace.plans.config import Aggregation, distinct_names, interval
 
 RESULT = [
     "agg_name",
@@ -56,8 +56,14 @@ def count_windows(df: DataFrame, aggregations: Sequence[Aggregation], ts: str =
     mode for running counts; aggregations with the same window and lateness share the input.
 
     The count is a partial aggregation followed by one shuffle, so a hot key travels as one row
-    per map task.
+    per map task. Rows without event time belong to no window; :func:`with_event_time` sets them aside.
+
+    A streaming query has one watermark, so streamed aggregations need one lateness here;
+    ``streaming.panes.count_panes`` gives each its own.
     """
+    aggregations = distinct_names(aggregations)
+    if df.isStreaming and len({a.lateness_ms for a in aggregations}) > 1:
+        raise ValueError("streamed aggregations of different lateness go through count_panes")
     if len(aggregations) > 1 and not df.isStreaming:
         return _count_together(df, aggregations, ts)
 
@@ -128,11 +134,21 @@ def typed_results(df: DataFrame, name: str, key_fields: Sequence[str], kind: str
     INT and LONG fill ``result_long``, DOUBLE and FLOAT ``result_double``, STRING
     ``result_string``. ``window`` is a struct of start and end, or absent for unwindowed results.
     """
+    return all_typed_results(df, name, key_fields, {kind: value}, window, is_final)
+
+
+def all_typed_results(df: DataFrame, name: str, key_fields: Sequence[str], values: dict[str, Column], window: Column | None = None, is_final: bool = True) -> DataFrame:
+    """As :func:`typed_results` for several types at once: each row of ``df`` is read once and fans out."""
+    width = F.array(*[_typed(name, key_fields, kind, value, window, is_final) for kind, value in values.items()])
+    return df.select(F.inline(width))
+
+
+def _typed(name: str, key_fields: Sequence[str], kind: str, value: Column, window: Column | None, is_final: bool) -> Column:
     casts = {"DOUBLE": "double", "FLOAT": "float", "INT": "int", "LONG": "bigint", "STRING": "string"}
     if kind not in casts:
         raise ValueError(f"unknown result type: {kind}")
     typed = value.cast(casts[kind])
-    return df.select(
+    return F.struct(
         F.lit(name).alias("agg_name"),
         key_text(key_fields).alias("agg_key"),
         (window["start"] if window is not None else F.lit(None).cast("timestamp")).alias("window_start"),

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import re
-from dataclasses import dataclass, field
+from collections import Counter
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 
 UNITS = {"ms": 1, "s": 1_000, "m": 60_000, "h": 3_600_000, "d": 86_400_000}
 
@@ -48,6 +50,7 @@ class Aggregation:
     kind: str = "COUNT"
     input_format: str = "JSON"
     input_type: str = ""
+    label: str = ""
 
     def __post_init__(self):
         if self.kind != "COUNT":
@@ -61,7 +64,28 @@ class Aggregation:
 
     @property
     def name(self) -> str:
-        return "_".join([self.kind.lower(), *self.key_fields])
+        """The label, or kind and key; see :func:`distinct_names` for several on one key."""
+        return self.label or "_".join([self.kind.lower(), *self.key_fields])
+
+
+def duration(ms: int) -> str:
+    """Milliseconds as the shortest text that ``millis`` reads."""
+    unit = max((u for u in UNITS if ms % UNITS[u] == 0), key=UNITS.get)
+    return f"{ms // UNITS[unit]}{unit}"
+
+
+def distinct_names(aggregations: Sequence[Aggregation]) -> list[Aggregation]:
+    """Aggregations whose names, and so whose cells, never collide.
+
+    Where several share a name, each gets its window length added; what is still equal counts the same
+    thing twice and is refused.
+    """
+    times = Counter(a.name for a in aggregations)
+    named = [a if times[a.name] == 1 else replace(a, label=f"{a.name}_{duration(a.length_ms)}") for a in aggregations]
+    twice = [name for name, n in Counter(a.name for a in named).items() if n > 1]
+    if twice:
+        raise ValueError(f"aggregations with the same key and window length: {sorted(twice)}")
+    return named
 
 
 def parse_aggregations(document: dict) -> list[Aggregation]:
@@ -91,7 +115,7 @@ def parse_aggregations(document: dict) -> list[Aggregation]:
                 input_type=source.get("thriftClassName", ""),
             )
         )
-    return parsed
+    return distinct_names(parsed)
 
 
 def load_aggregations(text: str) -> list[Aggregation]:
@@ -112,7 +136,7 @@ def cell_destination(text: str) -> tuple[str, str, str]:
     """``<project>.<instance>.<table>``; anything but three parts is refused."""
     parts = text.split(".")
     if len(parts) != 3 or not all(parts):
-        raise ValueError("the aggregation's destination format should be <project>.<instance>.<table>")
+        raise ValueError(f"a cell table is named by three parts with dots between, not {text!r}")
     return tuple(parts)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,12 +13,12 @@ from millrace import schemas
 from millrace.operators import cells as cell_ops
 from millrace.operators.decode import decode, decode_or_fail, parse, payload_text
 from millrace.operators.envelope import MAX_RECORDS, maybe_decompress, pack, unpack_all
-from millrace.operators.outcome import split, union_errors
-from millrace.operators.transforms import apply_events, apply_frame
+from millrace.operators.outcome import Outcome, union_errors, with_event_time
+from millrace.operators.transforms import apply_frame, map_events
 from millrace.operators.transport import compress_schema, encode, schema_attributes, wrap
 from millrace.operators.windows import count_windows
-from millrace.plans.config import Aggregation, TableOptions, cell_destination
-from millrace.schemas import TRANSPORT
+from millrace.plans.config import Aggregation, TableOptions, cell_destination, distinct_names
+from millrace.schemas import ERROR, TRANSPORT
 from millrace.session import fresh_dir
 from millrace.sinks.cells import CellTable
 from millrace.sinks.files import WindowedFiles
@@ -104,20 +104,34 @@ def write_topic_broker(transports: DataFrame, servers: str, topic: str, checkpoi
 def ingest_batch(batch: DataFrame, batch_id: int, table: AppendTable, schema, frame_transform: Callable | None = None, event_transform: Callable | None = None) -> None:
     """Decompress, transform, decode and append one micro-batch; dead letters go to the error table.
 
-    Both sides of each split are written, so the stages that run Python or parse are persisted
-    for the duration of the batch. A lost executor recomputes them from the batch's source.
+    Every step keeps its failures in the rows themselves, so one frame that carries all of them is persisted and
+    split when it is written: the user's function is called once per event, and each payload is
+    parsed once. A lost executor recomputes the frame from the batch's source.
     """
-    unpacked = unpack_all(batch).persist()
-    opened = split(unpacked, "decompress", TRANSPORT.fieldNames())
-    changed = apply_events(apply_frame(opened.ok, frame_transform), event_transform)
-    parsed = parse(changed.ok, schema).persist()
-    decoded = split(parsed, "decode", ["event_id", "attributes", "event_ts", "record"])
+    whole = in_one_frame(unpack_all(batch), schema, frame_transform, event_transform).persist()
     try:
-        table.write(decoded.ok.select("event_id", "event_ts", "record.*"), batch_id)
-        table.write_errors(union_errors([opened.failed, changed.failed, decoded.failed]), batch_id)
+        good = whole.filter(F.col("error_class").isNull())
+        table.write(good.select("event_id", "event_ts", "record.*"), batch_id)
+        table.write_errors(whole.filter(F.col("error_class").isNotNull()).select(*ERROR.fieldNames()), batch_id)
     finally:
-        parsed.unpersist()
-        unpacked.unpersist()
+        whole.unpersist()
+
+
+def in_one_frame(unpacked: DataFrame, schema, frame_transform: Callable | None, event_transform: Callable | None) -> DataFrame:
+    """Transports with ``record`` and, on rows that failed, ``stage`` and the error columns."""
+    names = TRANSPORT.fieldNames()
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("error_class", "error_message")]
+    frame = unpacked
+    if frame_transform is not None:
+        # A transform sees good rows only; the dead letters pass beside it.
+        frame = apply_frame(unpacked.filter(F.col("error_class").isNull()).select(*names), frame_transform).select(*names, *nothing)
+        frame = frame.unionByName(unpacked.filter(F.col("error_class").isNotNull()).select(*names, "error_class", "error_message"))
+    stage = F.when(F.col("error_class").isNotNull(), F.lit("decompress"))
+    frame = frame.select(*names, "error_class", "error_message", stage.alias("stage"))
+    if event_transform is not None:
+        frame = map_events(frame, event_transform, ("error_class", "error_message", "stage"))
+    parsed = parse(frame, schema, ("error_class", "error_message", "stage"))
+    return parsed.withColumn("stage", F.coalesce("stage", F.when(F.col("error_class").isNotNull(), F.lit("decode"))))
 
 
 def start_ingest(spark: SparkSession, transports: DataFrame, options: TableOptions, schema, frame_transform: Callable | None = None, event_transform: Callable | None = None, checkpoint: str | None = None, trigger: dict | None = None):
@@ -143,54 +157,90 @@ def ingest(spark: SparkSession, transports: DataFrame, options: TableOptions, sc
 # -- aggregate ---------------------------------------------------------------------------------
 
 
-def aggregate_bounded(transports: DataFrame, schema, aggregations: Sequence[Aggregation], ts: str = "event_ts") -> DataFrame:
-    """Bounded form: decompress, decode, count per window, shape as cells."""
-    decoded = decode(maybe_decompress(transports).ok, schema)
-    return cell_ops.to_cells(count_windows(decoded.ok, aggregations, ts))
+def aggregate_bounded(transports: DataFrame, schema, aggregations: Sequence[Aggregation], ts: str = "event_ts") -> Outcome:
+    """Bounded form: decompress, decode, count per window, shape as cells; the dead letters of all stages."""
+    inflated = maybe_decompress(transports)
+    decoded = decode(inflated.ok, schema)
+    timed = with_event_time(decoded.ok, ts)
+    cells = cell_ops.to_cells(count_windows(timed.ok, aggregations, ts))
+    return Outcome(cells, union_errors([inflated.failed, decoded.failed, timed.failed]))
 
 
-def start_aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always", trigger: dict | None = None):
-    """Start windowed counts into a cell table; returns (table, running query).
+@dataclass(frozen=True)
+class Running:
+    """The queries of one flow: the one that aggregates, and the one that stores its dead letters."""
+
+    main: object
+    errors: object | None = None
+
+    def finish(self) -> None:
+        """Wait for draining queries; a failure of either is raised when both have ended."""
+        try:
+            finish(self.main)
+        finally:
+            if self.errors is not None:
+                finish(self.errors)
+
+    def stop(self) -> None:
+        self.main.stop()
+        if self.errors is not None:
+            self.errors.stop()
+
+
+def start_aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always", trigger: dict | None = None, errors: TableOptions | None = None, merge_every: int | None = 50, state_partitions: int | None = None):
+    """Start windowed counts into a cell table; returns (table, running queries).
 
     ``destination`` names the cell table in three parts; it becomes a folder below ``root``.
     Configured early firings bring panes; otherwise each window is written once, when it closes.
+    With ``errors``, the dead letters of the same input are stored beside (a stateful query has one output,
+    and they must not wait for windows to close); its checkpoint is ``<checkpoint>-errors``.
     """
-    table = CellTable(spark, "/".join([root.rstrip("/"), *cell_destination(destination)]))
+    aggregations = distinct_names(aggregations)
+    table = CellTable(spark, "/".join([root.rstrip("/"), *cell_destination(destination)]), merge_every=merge_every)
     decoded = decode(maybe_decompress(transports).ok, schema).ok
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         table.write(cell_ops.to_cells(batch), batch_id)
 
-    if any(a.early.enabled for a in aggregations):
+    one_window = len({(a.length_ms, a.lateness_ms) for a in aggregations}) == 1
+    if any(a.early.enabled for a in aggregations) or not one_window:
+        # One operator, one read of the source. Aggregations without early panes write their final one only.
         results, mode = count_panes(decoded, aggregations, closing=closing), "update"
+        quiet = [a.name for a in aggregations if not a.early.enabled]
+        if quiet:
+            results = results.filter(F.col("is_final") | ~F.col("agg_name").isin(quiet))
     else:
         results, mode = count_windows(decoded, aggregations), "append"
-    return table, start_batches(results, spark, "aggregate", handle, mode, checkpoint, trigger)
+    side = None
+    if errors is not None:
+        side = start_errors(spark, transports, schema, errors, f"{checkpoint}-errors" if checkpoint else None, trigger)
+    return table, Running(start_batches(results, spark, "aggregate", handle, mode, checkpoint, trigger, state_partitions), side)
 
 
-def aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always") -> CellTable:
+def aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always", errors: TableOptions | None = None) -> CellTable:
     """Aggregate what the source holds now, then stop."""
-    table, query = start_aggregate(spark, transports, schema, aggregations, destination, root, checkpoint, closing)
-    finish(query)
+    table, running = start_aggregate(spark, transports, schema, aggregations, destination, root, checkpoint, closing, errors=errors)
+    running.finish()
     return table
 
 
-def aggregate_errors(spark: SparkSession, transports: DataFrame, schema, options: TableOptions, checkpoint: str | None = None) -> AppendTable:
-    """Dead letters of the aggregation's input, as a query of its own: a stateful query has one
-    output, and these rows must not wait for windows to close."""
+def start_errors(spark: SparkSession, transports: DataFrame, schema, options: TableOptions, checkpoint: str | None = None, trigger: dict | None = None):
+    """Store the dead letters of the aggregation's input, missing event times included."""
     table = AppendTable(spark, options)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        unpacked = unpack_all(batch).persist()
-        opened = split(unpacked, "decompress", TRANSPORT.fieldNames())
-        failed = [opened.failed, decode(opened.ok, schema).failed]
-        try:
-            table.write_errors(union_errors(failed), batch_id)
-        finally:
-            unpacked.unpersist()
+        whole = in_one_frame(unpack_all(batch), schema, None, None)
+        late = F.col("error_class").isNull() & F.col("event_ts").isNull()
+        failed = whole.filter(F.col("error_class").isNotNull()).select(*ERROR.fieldNames())
+        table.write_errors(failed.unionByName(with_event_time(whole.filter(late)).failed), batch_id)
 
-    run_batches(transports, spark, "aggregate-errors", handle, checkpoint=checkpoint)
-    return table
+    return start_batches(transports, spark, "aggregate-errors", handle, checkpoint=checkpoint, trigger=trigger)
+
+
+def aggregate_errors(spark: SparkSession, transports: DataFrame, schema, options: TableOptions, checkpoint: str | None = None) -> AppendTable:
+    """The dead letters alone, of what the source holds now."""
+    finish(start_errors(spark, transports, schema, options, checkpoint))
+    return AppendTable(spark, options)
 
 
 # -- files -------------------------------------------------------------------------------------
@@ -210,13 +260,3 @@ def write_window_files(spark: SparkSession, transports: DataFrame, path: str | N
 
     run_batches(transports, spark, f"files-{fmt}", handle, checkpoint=checkpoint)
     return files
-
-
-def as_transports(df: DataFrame, event_id: Column, record: Column, event_ts: Column, attributes: Column | None = None) -> DataFrame:
-    """Shape a typed table as JSON transports."""
-    return df.select(
-        event_id.cast("string").alias("event_id"),
-        (attributes if attributes is not None else F.create_map().cast("map<string,string>")).alias("attributes"),
-        F.to_json(record).cast("binary").alias("payload"),
-        event_ts.cast("timestamp").alias("event_ts"),
-    )

@@ -70,6 +70,14 @@ def cut_lineage(spark: SparkSession, df):
     return df.checkpoint(eager=True)
 
 
+def current_run(spark: SparkSession) -> str:
+    """Id of the streaming query whose batch is being handled, ``direct`` outside of one.
+
+    The id lives in the query's checkpoint: a restart goes on with its run, a new query is a new run.
+    """
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
     """Apply session settings for a block and put the old values back."""
@@ -103,5 +111,11 @@ class Folder:
     def names(self) -> list[str]:
         return [status.getPath().getName() for status in self.children()]
 
+    def make(self) -> None:
+        self.fs.mkdirs(self.path)
+
+    def remove(self) -> None:
+        self.fs.delete(self.path, True)
+
     def set_mtime(self, status, millis: int) -> None:
         self.fs.setTimes(status.getPath(), millis, -1)

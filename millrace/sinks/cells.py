@@ -6,55 +6,109 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.cells import keep_versions, latest_cells
+from millrace.operators.cells import MAX_VERSIONS, keep_versions, latest_cells
 from millrace.schemas import CELL
-from millrace.session import Folder
+from millrace.session import Folder, current_run
 
-STORED = T.StructType(CELL.fields + [T.StructField("batch_id", T.LongType())])
+STORED = T.StructType(CELL.fields + [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+INCLUDED = "run string, batch_id bigint"
 
 
 class CellTable:
     """Writing a batch touches only that batch's rows; nothing that exists is rewritten.
 
-    Layout: ``cells/batch_id=n`` per micro-batch, and ``merged/upto=n`` snapshots that replace all
-    batches up to n. A snapshot counts once its ``_SUCCESS`` file exists, so a job lost half-way
-    leaves the table as it was.
+    Layout: ``runs/<number>-<query id>`` numbers the queries that ever wrote here, in order of their first batch;
+    ``cells/run=<number>-<query id>/batch_id=n`` holds a micro-batch; ``merged/snapshot=k`` holds the cells of all
+    batches that its ``included`` table names (the last batch of each run). A snapshot counts once ``included`` is
+    complete, so a job lost half-way leaves the table as it was; then the folders it replaces are
+    removed. Later runs win over earlier ones, later batches over earlier ones of their run.
+
+    ``versions`` is the number of timestamps kept for each cell (None: all). With ``merge_every``, every so many
+    batches a snapshot is written, which bounds what a read has to merge.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, versions: int | None = MAX_VERSIONS, merge_every: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.versions, self.merge_every = versions, merge_every
 
     def write(self, cells: DataFrame, batch_id: int) -> None:
-        """Idempotent: replaying a batch overwrites its own folder."""
-        one_each = latest_cells(cells, ["value"])
-        one_each.write.mode("overwrite").parquet(f"{self.path}/cells/batch_id={batch_id}")
+        """Idempotent: replaying a batch overwrites its own folder.
+
+        Repeated writes of a cell in one batch: the greatest ``write_order`` wins where the frame has that
+        column, else the greatest value.
+        """
+        order = "write_order" if "write_order" in cells.columns else "value"
+        latest_cells(cells, [order]).write.mode("overwrite").parquet(f"{self.path}/cells/run={self._run()}/batch_id={batch_id}")
+        if self.merge_every and (batch_id + 1) % self.merge_every == 0:
+            self.merge()
+
+    def _run(self) -> str:
+        """This query's name among the runs; taken once, found again after a restart."""
+        query = current_run(self.spark)
+        known = Folder(self.spark, f"{self.path}/runs").names()
+        for name in known:
+            if name.partition("-")[2] == query:
+                return name
+        number = max((int(name.partition("-")[0]) for name in known), default=-1) + 1
+        name = f"{number:08d}-{query}"
+        Folder(self.spark, f"{self.path}/runs/{name}").make()
+        return name
 
     def snapshots(self) -> list[int]:
         complete = []
         for status in Folder(self.spark, f"{self.path}/merged").children():
-            if Folder(self.spark, status.getPath().toString() + "/_SUCCESS").exists():
+            if Folder(self.spark, status.getPath().toString() + "/included/_SUCCESS").exists():
                 complete.append(int(status.getPath().getName().partition("=")[2]))
         return sorted(complete)
 
+    def batches(self) -> list[tuple[str, int]]:
+        """(run, batch) of every folder that no snapshot replaces."""
+        included = self._included()
+        found = []
+        for run in Folder(self.spark, f"{self.path}/cells").names():
+            run = run.partition("=")[2]
+            for name in Folder(self.spark, f"{self.path}/cells/run={run}").names():
+                number = int(name.partition("=")[2])
+                if number > included.get(run, -1):
+                    found.append((run, number))
+        return sorted(found)
+
+    def _included(self) -> dict[str, int]:
+        snapshots = self.snapshots()
+        if not snapshots:
+            return {}
+        rows = self.spark.read.schema(INCLUDED).parquet(f"{self.path}/merged/snapshot={snapshots[-1]}/included")
+        return {row["run"]: row["batch_id"] for row in rows.collect()}  # one row per run
+
     def read(self) -> DataFrame:
-        """Latest value of every (row key, family, qualifier, timestamp)."""
-        upto = max(self.snapshots(), default=-1)
-        if not Folder(self.spark, f"{self.path}/cells").exists():
-            return self.spark.createDataFrame([], CELL)
-        parts = self.spark.read.schema(STORED).option("basePath", f"{self.path}/cells").parquet(f"{self.path}/cells")
-        parts = parts.filter(F.col("batch_id") > upto)
-        if upto >= 0:
-            merged = self.spark.read.schema(CELL).parquet(f"{self.path}/merged/upto={upto}")
-            parts = parts.unionByName(merged.withColumn("batch_id", F.lit(upto).cast("bigint")))
-        return latest_cells(parts, ["batch_id"])
-
-    def merge(self, versions: int | None = None) -> None:
-        """Write a snapshot of everything so far, with at most ``versions`` timestamps per cell."""
-        batches = [int(n.partition("=")[2]) for n in Folder(self.spark, f"{self.path}/cells").names() if n.startswith("batch_id=")]
-        if not batches or max(batches) in self.snapshots():
+        """Latest value of every (row key, family, qualifier, timestamp), newest ``versions`` timestamps."""
+        snapshots = self.snapshots()
+        parts = self.spark.createDataFrame([], STORED)
+        folders = [f"{self.path}/cells/run={run}/batch_id={number}" for run, number in self.batches()]
+        if folders:
+            parts = self.spark.read.schema(STORED).option("basePath", f"{self.path}/cells").parquet(*folders)
+        if snapshots:
+            merged = self.spark.read.schema(CELL).parquet(f"{self.path}/merged/snapshot={snapshots[-1]}/cells")
+            parts = parts.unionByName(merged.select("*", F.lit("").alias("run"), F.lit(-1).cast("bigint").alias("batch_id")))
+        current = latest_cells(parts, ["run", "batch_id"])
+        return current if self.versions is None else keep_versions(current, self.versions)
+
+    def merge(self) -> None:
+        """Write a snapshot of everything so far, then remove what it replaces."""
+        batches = self.batches()
+        if not batches:
             return
-        current = self.read()
-        if versions is not None:
-            current = keep_versions(current, versions)
-        current.write.mode("overwrite").parquet(f"{self.path}/merged/upto={max(batches)}")
+        older = self.snapshots()
+        number = max(older, default=-1) + 1
+        included = self._included()
+        for run, batch in batches:
+            included[run] = max(batch, included.get(run, -1))
+        target = f"{self.path}/merged/snapshot={number}"
+        self.read().write.mode("overwrite").parquet(f"{target}/cells")
+        names = self.spark.createDataFrame(sorted(included.items()), INCLUDED)
+        names.coalesce(1).write.mode("overwrite").parquet(f"{target}/included")
+        for run, batch in batches:
+            Folder(self.spark, f"{self.path}/cells/run={run}/batch_id={batch}").remove()
+        for old in older:
+            Folder(self.spark, f"{self.path}/merged/snapshot={old}").remove()

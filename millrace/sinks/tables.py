@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.draws import LANES, Draws, with_lanes
 from millrace.plans.config import TableOptions
-from millrace.session import Folder
+from millrace.session import Folder, current_run
 
 SKEW_DEGREE = 80  # fixed value: skew of fanned-out tables
 
@@ -41,8 +41,8 @@ def spread_for_write(df: DataFrame, by: tuple[str, ...], shards: int) -> DataFra
 class AppendTable:
     """A Parquet table written one micro-batch at a time.
 
-    ``exactly_once`` writes batch n to the folder ``batch_id=n`` and overwrites it on replay;
-    ``at_least_once`` and ``row_inserts`` append.
+    ``exactly_once`` writes batch n of a streaming query to ``query=<id>/batch_id=n`` and overwrites it on
+    replay; another query has its own folders. ``at_least_once`` and ``row_inserts`` append.
     """
 
     def __init__(self, spark: SparkSession, options: TableOptions):
@@ -93,7 +93,7 @@ class AppendTable:
         if partitions:
             writer = writer.partitionBy(*partitions)
         if self.options.guarantee == "exactly_once":
-            writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            writer.mode("overwrite").parquet(f"{path}/query={current_run(self.spark)}/batch_id={batch_id}")
         else:
             writer.mode("append").parquet(path)
 

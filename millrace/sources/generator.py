@@ -51,6 +51,8 @@ class GeneratorOptions:
             raise ValueError(f"unknown format: {name}")
         return GeneratorOptions(empty_arrays=name.upper() == "JSON", **kwargs)
 
+POSITIONS = 2**31 - 1  # positions in nested collections wrap here
+
 
 class FieldBuilder:
     """Turns a data type and a field path into Spark SQL expression text."""
@@ -154,7 +156,7 @@ class FieldBuilder:
     def array(self, kind: T.ArrayType, meta: dict, name: str, path: str, pos: str | None) -> str:
         i = self.variable()
         inner_meta = {k: v for k, v in meta.items() if k == "symbols"}
-        element = self.value(kind.elementType, inner_meta, name, path + "[]", deeper(pos, i), True)
+        element = self.value(kind.elementType, inner_meta, name, path + "[]", deeper(pos, i, self.opt.max_collection), True)
         positions = self.positions(path, pos, 0 if self.opt.empty_arrays else 1)
         made = f"transform({positions}, {i} -> {element})"
         return f"array_distinct({made})" if meta.get("unique") else made
@@ -163,20 +165,24 @@ class FieldBuilder:
         """First value wins when a key repeats. A one-element ``transform`` binds the key list
         once instead of once per use."""
         i, keys, j, k, n = (self.variable() for _ in range(5))
-        key = self.value(kind.keyType, {}, name, path + "{k}", deeper(pos, i), True)
+        key = self.value(kind.keyType, {}, name, path + "{k}", deeper(pos, i, self.opt.max_collection), True)
         drawn = f"transform({self.positions(path, pos, 1)}, {i} -> {key})"
         first = (
             f"filter(slice({self.numbers()}, 1, size({keys})), "
             f"{j} -> array_position({keys}, element_at({keys}, {j})) = {j})"
         )
-        item = self.value(kind.valueType, {}, name, path + "{v}", deeper(pos, n), True)
+        item = self.value(kind.valueType, {}, name, path + "{v}", deeper(pos, n, self.opt.max_collection), True)
         made = f"map_from_arrays(transform({first}, {k} -> element_at({keys}, {k})), transform({first}, {n} -> {item}))"
         return f"element_at(transform(array({drawn}), {keys} -> {made}), 1)"
 
 
-def deeper(pos: str | None, i: str) -> str:
-    """Position inside nested collections: unique for up to three levels of 1,000 elements."""
-    return f"CAST({i} AS BIGINT)" if pos is None else f"({pos} * 1000 + {i})"
+def deeper(pos: str | None, i: str, most: int) -> str:
+    """Position inside nested collections of fewer than ``most`` elements.
+
+    Positions stay below 2**31 as the draws need. They are unique while all levels together have fewer
+    elements than that (three levels of 1,000, two of 40,000); beyond, they wrap at a prime, so repeats stay rare.
+    """
+    return f"CAST({i} AS BIGINT)" if pos is None else f"(({pos} * {max(1000, most)} + {i}) % {POSITIONS})"
 
 
 def repeated_text(options: GeneratorOptions, name: str) -> str:

@@ -3,9 +3,10 @@
 Spark's built-in windowed aggregation emits either every change or only the closed window. This
 stateful operator adds count- or time-triggered early panes, the on-time pane, and a final marker.
 
-The watermark trails the largest event time by the allowed lateness L, so with window end E
-the on-time pane is a timer at E - L and the close of the window is a timer at E. Events that
-arrive when the watermark has reached E are dropped.
+A streaming query has one watermark, so all aggregations share one operator and one read of the
+source. The watermark trails the largest event time by M, the largest allowed lateness of any aggregation.
+With window end E and an aggregation's own lateness L, its on-time pane is a timer at E - M and the close of its
+window a timer at E + L - M; events that arrive when the watermark has reached that are dropped.
 
 A time-triggered early pane fires in the first micro-batch that brings events for its key once
 the delay has passed; set the trigger interval to the delay or below.
@@ -14,28 +15,46 @@ the delay has passed; set the trigger interval to the delay or below.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
-from itertools import groupby
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.operators.windows import as_results, count_windows, keyed_windows
-from millrace.plans.config import Aggregation
+from millrace.functions.encoding import key_text
+from millrace.operators.windows import as_results, count_windows
+from millrace.plans.config import Aggregation, distinct_names, interval
 
 PANES = "agg_name string, agg_key string, start_us bigint, end_us bigint, pane string, is_final boolean, total bigint, delta bigint"
 STATE = "total bigint, emitted bigint, since_ms bigint, on_time boolean"
 
 
+@dataclass(frozen=True)
+class Rule:
+    """When the panes of one aggregation fire, relative to the shared watermark."""
+
+    on_time_ms: int  # after the window's end, in watermark time: 0 or less
+    close_ms: int
+    early_count: int | None
+    early_ms: int | None
+
+    @classmethod
+    def of(cls, aggregation: Aggregation, most_late_ms: int) -> Rule:
+        early = aggregation.early
+        return cls(
+            -most_late_ms,
+            aggregation.lateness_ms - most_late_ms,
+            early.count if early.enabled else None,
+            early.time_ms if early.enabled else None,
+        )
+
+
 class PaneProcessor(StatefulProcessor):
     """State of one (aggregation, key, window): the count, what was emitted, which panes fired."""
 
-    def __init__(self, lateness_ms: int, early_count: int | None, early_ms: int | None, closing: str):
-        self.lateness_ms = lateness_ms
-        self.early_count = early_count
-        self.early_ms = early_ms
+    def __init__(self, rules: dict[str, Rule], closing: str):
+        self.rules = rules
         self.closing = closing
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -46,21 +65,22 @@ class PaneProcessor(StatefulProcessor):
         added = sum(row["n"] for row in rows)
         now = timerValues.getCurrentProcessingTimeInMs()
         watermark = timerValues.getCurrentWatermarkInMs()
-        end_ms = key[3] // 1000
-        if watermark >= end_ms:
+        rule = self.rules[key[0]]
+        on_time_at, close_at = key[3] // 1000 + rule.on_time_ms, key[3] // 1000 + rule.close_ms
+        if watermark >= close_at:
             return  # the window is closed: these events are too late
         known = self.state.get()
         total, emitted, since, on_time = known or (0, 0, now, False)
         if known is None:
-            self.handle.registerTimer(end_ms - self.lateness_ms)
-            self.handle.registerTimer(end_ms)
+            self.handle.registerTimer(on_time_at)
+            self.handle.registerTimer(close_at)
         if total == emitted:
             since = now  # first element of a new pane
         total += added
         fire = False
-        if not on_time and watermark < end_ms - self.lateness_ms:
-            fire = self.early_count is not None and total - emitted >= self.early_count
-            fire = fire or (self.early_ms is not None and now - since >= self.early_ms)
+        if not on_time and watermark < on_time_at:
+            fire = rule.early_count is not None and total - emitted >= rule.early_count
+            fire = fire or (rule.early_ms is not None and now - since >= rule.early_ms)
         if fire:
             yield self._pane(key, "early", False, total, total - emitted)
             emitted = total
@@ -71,12 +91,12 @@ class PaneProcessor(StatefulProcessor):
         if known is None:
             return
         total, emitted, since, on_time = known
-        end_ms = key[3] // 1000
-        if expiredTimerInfo.getExpiryTimeInMs() >= end_ms:
+        close_at = key[3] // 1000 + self.rules[key[0]].close_ms
+        if expiredTimerInfo.getExpiryTimeInMs() >= close_at:
             if self.closing == "always" or total != emitted:
                 yield self._pane(key, "final", True, total, total - emitted)
             self.state.clear()
-        elif timerValues.getCurrentWatermarkInMs() < end_ms:
+        elif timerValues.getCurrentWatermarkInMs() < close_at:
             # When time jumps past both timers, the final pane alone is emitted.
             yield self._pane(key, "on_time", False, total, total - emitted)
             self.state.update((total, total, since, True))
@@ -129,10 +149,26 @@ def partial_counts(keyed: DataFrame, held_groups: int = HELD_GROUPS) -> DataFram
         if held is not None:
             yield from grouped(held, ("n", "sum")).to_batches()
 
-    bounds = [F.unix_micros(f"window.{edge}").alias(f"{edge}_us") for edge in ("start", "end")]
-    return keyed.select("agg_name", "agg_key", *bounds).mapInArrow(
-        run, "agg_name string, agg_key string, start_us bigint, end_us bigint, n bigint"
-    )
+    return keyed.mapInArrow(run, "agg_name string, agg_key string, start_us bigint, end_us bigint, n bigint")
+
+
+def pane_keys(df: DataFrame, aggregations: Sequence[Aggregation], ts: str) -> DataFrame:
+    """One row per event and aggregation: agg_name, agg_key, start_us, end_us."""
+    most_late = max(a.lateness_ms for a in aggregations)
+    micros = F.unix_micros("_ts")
+
+    def row(a: Aggregation):
+        start = micros - F.pmod(micros, F.lit(a.length_ms * 1000))
+        return F.struct(
+            F.lit(a.name).alias("agg_name"),
+            key_text(a.key_fields).alias("agg_key"),
+            start.alias("start_us"),
+            (start + a.length_ms * 1000).alias("end_us"),
+        )
+
+    fields = list(dict.fromkeys(f for a in aggregations for f in a.key_fields))
+    timed = df.filter(F.col(ts).isNotNull()).withWatermark(ts, interval(most_late)).select(F.col(ts).alias("_ts"), *fields)
+    return timed.select(F.inline(F.array(*map(row, aggregations))))
 
 
 def count_panes(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "event_ts", closing: str = "always") -> DataFrame:
@@ -148,26 +184,14 @@ def count_panes(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "e
     if closing not in ("always", "if_changed"):
         raise ValueError(f"unknown closing behaviour: {closing}")
 
-    def spec(a: Aggregation):
-        return (a.length_ms, a.lateness_ms, a.early.enabled, a.early.count or 0, -1 if a.early.time_ms is None else a.early.time_ms, a.early.accumulating)
-
-    parts = []
-    for _, group in groupby(sorted(aggregations, key=spec), key=spec):
-        members = list(group)
-        first = members[0]
-        early = first.early
-        processor = PaneProcessor(
-            first.lateness_ms,
-            early.count if early.enabled else None,
-            early.time_ms if early.enabled else None,
-            closing,
-        )
-        counted = partial_counts(keyed_windows(df, members, ts))
-        panes = counted.groupBy("agg_name", "agg_key", "start_us", "end_us").transformWithState(
-            statefulProcessor=processor, outputStructType=PANES, outputMode="Update", timeMode="EventTime"
-        )
-        window = F.struct(F.timestamp_micros("start_us").alias("start"), F.timestamp_micros("end_us").alias("end"))
-        value = F.col("total") if early.accumulating else F.col("delta")
-        shaped = panes.withColumn("window", window)
-        parts.append(as_results(shaped, value, F.col("pane"), F.col("is_final")))
-    return reduce(DataFrame.unionByName, parts)
+    aggregations = distinct_names(aggregations)
+    most_late = max(a.lateness_ms for a in aggregations)
+    processor = PaneProcessor({a.name: Rule.of(a, most_late) for a in aggregations}, closing)
+    counted = partial_counts(pane_keys(df, aggregations, ts))
+    panes = counted.groupBy("agg_name", "agg_key", "start_us", "end_us").transformWithState(
+        statefulProcessor=processor, outputStructType=PANES, outputMode="Update", timeMode="EventTime"
+    )
+    window = F.struct(F.timestamp_micros("start_us").alias("start"), F.timestamp_micros("end_us").alias("end"))
+    discarding = [a.name for a in aggregations if not a.early.accumulating]
+    value = F.when(F.col("agg_name").isin(discarding), F.col("delta")).otherwise(F.col("total")) if discarding else F.col("total")
+    return as_results(panes.withColumn("window", window), value, F.col("pane"), F.col("is_final"))

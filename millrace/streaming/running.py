@@ -13,13 +13,13 @@ from millrace.session import ROCKSDB, Folder, fresh_dir, scoped_conf
 def stateful_settings(spark: SparkSession, partitions: int | None = None) -> dict[str, str]:
     """RocksDB state (spills to disk, uploads changelogs) in UTC.
 
-    The number of state partitions is fixed for the life of a checkpoint. By default it is the
-    cluster's parallelism, so state spreads over every core.
+    The number of state partitions is fixed for the life of a checkpoint, so it is the user's to choose:
+    ``partitions``, or else the session's ``spark.sql.shuffle.partitions``.
     """
     return {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+        "spark.sql.shuffle.partitions": str(partitions or spark.conf.get("spark.sql.shuffle.partitions")),
         "spark.sql.session.timeZone": "UTC",
     }
 
@@ -47,7 +47,7 @@ def append_to_files(df: DataFrame, spark: SparkSession, label: str, fmt: str = "
     return path
 
 
-def start_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None, trigger: dict | None = None):
+def start_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None, trigger: dict | None = None, state_partitions: int | None = None):
     """Start ``handle(batch, batch_id)`` for every micro-batch and return the running query.
 
     ``trigger`` is that of ``DataStreamWriter.trigger``; the default drains the source and stops.
@@ -63,7 +63,7 @@ def start_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callab
 
     writer = df.writeStream.outputMode(mode).foreachBatch(adaptively)
     writer = writer.option("checkpointLocation", checkpoint or fresh_dir(spark, label + "-checkpoint"))
-    with scoped_conf(spark, stateful_settings(spark)):
+    with scoped_conf(spark, stateful_settings(spark, state_partitions)):
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 

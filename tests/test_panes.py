@@ -111,14 +111,13 @@ def test_state_of_closed_windows_is_dropped(spark):
 
 
 def test_hot_keys_collapse_before_the_shuffle(spark):
-    from millrace.operators.windows import keyed_windows
     from millrace.streaming import panes
 
     hot = spark.range(0, 60_000, 1, 2).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("user"),
         F.lit("2024-01-01").cast("timestamp").alias("event_ts"),
     )
-    keyed = keyed_windows(hot, [Aggregation(("user",), LENGTH * 1000)], "event_ts")
+    keyed = panes.pane_keys(hot, [Aggregation(("user",), LENGTH * 1000)], "event_ts")
     counted = panes.partial_counts(keyed).groupBy("agg_key").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
     row = counted.filter("agg_key = 'hot'").first()
     assert row["n"] == 20_000 and row["rows"] == 2  # one row per task

@@ -44,7 +44,7 @@ def test_time_partitions(spark, unit, parts):
     path = fresh_dir(spark, "t")
     table = AppendTable(spark, TableOptions(path, time_column="ts", time_unit=unit, guarantee="exactly_once"))
     table.write(rows(spark), 0)
-    assert len([n for n in os.listdir(f"{path}/batch_id=0") if n.startswith("time_partition=")]) == parts
+    assert len([n for n in os.listdir(f"{path}/query=direct/batch_id=0") if n.startswith("time_partition=")]) == parts
     assert table.read(ROW).count() == 100
 
 
@@ -91,11 +91,11 @@ def test_cell_table_replay_and_snapshots(spark):
     assert values(table) == {"0": "b", "1": "b", "2": "a"}
     table.merge()
     table.merge()
-    assert table.snapshots() == [1] and values(table) == {"0": "b", "1": "b", "2": "a"}
+    assert table.snapshots() == [0] and values(table) == {"0": "b", "1": "b", "2": "a"}
     table.write(cells(spark, "c", 1), 2)
     assert values(table) == {"0": "c", "1": "b", "2": "a"}
-    os.makedirs(f"{table.path}/merged/upto=9")  # a snapshot that was never finished
-    assert table.snapshots() == [1] and values(table) == {"0": "c", "1": "b", "2": "a"}
+    os.makedirs(f"{table.path}/merged/snapshot=9")  # a snapshot that was never finished
+    assert table.snapshots() == [0] and values(table) == {"0": "c", "1": "b", "2": "a"}
 
 
 def test_snapshot_drops_old_versions(spark):
@@ -105,7 +105,7 @@ def test_snapshot_drops_old_versions(spark):
         F.col("id").alias("ts_micros"), F.lit("v").cast("binary").alias("value"),
     )
     table.write(many, 0)
-    table.merge(versions=5)
+    table.merge()
     assert sorted(r["ts_micros"] for r in table.read().collect()) == [15, 16, 17, 18, 19]
 
 
