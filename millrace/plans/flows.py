@@ -14,6 +14,7 @@ from millrace.operators import cells as cell_ops
 from millrace.operators.decode import decode, decode_or_fail, parse, payload_text
 from millrace.operators.envelope import MAX_RECORDS, maybe_decompress, pack, unpack_all
 from millrace.operators.outcome import Outcome, union_errors, with_event_time
+from millrace.operators.stats import observe_payloads
 from millrace.operators.transforms import apply_frame, map_events
 from millrace.operators.transport import compress_schema, encode, schema_attributes, wrap
 from millrace.operators.windows import count_windows
@@ -29,6 +30,9 @@ from millrace.streaming.panes import count_panes
 from millrace.streaming.running import finish, run_batches, start_batches
 
 
+GENERATED = "generated"  # name of the generator's metrics in streaming progress
+
+
 # -- generate ----------------------------------------------------------------------------------
 
 
@@ -62,13 +66,14 @@ def start_generate(spark: SparkSession, options: GenerateOptions, events_per_sec
     """Generate at a rate into a topic folder; returns the running query.
 
     With compression, a sequence element stands for one envelope, so the sequence runs at the
-    event rate divided by the envelope size.
+    event rate divided by the envelope size. Each micro-batch reports its time, and under ``generated`` the number
+    and size of the payloads made (compressed, where they are), in the query's progress.
     """
     per_impulse = options.records_per_envelope if options.compressed else 1
     numbers = unbounded_sequence(spark, impulses_per_second(events_per_second, per_impulse), ramp_up, partitions)
     if options.compressed:
         numbers = expand_impulses(numbers, "value", per_impulse, ("timestamp",))
-    events = generate_events(numbers, "value", options, "timestamp")
+    events, _ = observe_payloads(generate_events(numbers, "value", options, "timestamp"), GENERATED)
     return write_topic_files(events, path, checkpoint).start()
 
 

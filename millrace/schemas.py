@@ -272,8 +272,3 @@ def from_avro_schema(text: str) -> T.StructType:
     if not isinstance(root, T.StructType):
         raise ValueError("the root must be a record")
     return root
-
-
-def read_schema_text(spark, location: str) -> str:
-    """Schema document from any file system Spark can reach (one small file)."""
-    return spark.read.text(location, wholetext=True).first()[0]

@@ -60,16 +60,24 @@ def _read_topic(spark: SparkSession, options: SourceOptions) -> DataFrame:
     if options.group:
         reader = reader.option("kafka.group.id", options.group)
     raw = reader.options(**options.options).load()
-    headers = F.map_from_entries(
-        F.transform(
-            F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>")),
-            lambda h: F.struct(h["key"], h["value"].cast("string")),
-        )
-    )
+    return topic_transports(raw)
+
+
+def first_headers(headers: Column) -> Column:
+    """Record headers as a map. A topic may repeat a header's key; the first one counts."""
+    known = F.coalesce(headers, F.array().cast("array<struct<key:string,value:binary>>"))
+    names = F.transform(known, lambda h: h["key"])
+    firsts = F.filter(known, lambda h, at: F.array_position(names, h["key"]) == at + 1)
+    return F.map_from_entries(F.transform(firsts, lambda h: F.struct(h["key"], h["value"].cast("string"))))
+
+
+def topic_transports(raw: DataFrame) -> DataFrame:
+    """Records of a topic as transports; event time is the log's append time unless another is chosen."""
     return raw.select(
         F.coalesce(F.col("key").cast("string"), F.concat_ws("-", "topic", "partition", "offset")).alias("event_id"),
-        headers.alias("attributes"),
+        first_headers(F.col("headers")).alias("attributes"),
         F.col("value").alias("payload"),
+        F.col("timestamp").alias("event_ts"),
         F.col("timestamp"),
     )
 
