@@ -27,6 +27,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +44,11 @@ END_ID = 2
 MAGIC = b"MRRP"
 HEAD = struct.Struct("<IIIIII")  # ids, symbols, rules, first nonterminal, bytes a symbol, spare
 TAIL = struct.Struct("<QQ4s")  # documents, shards
-CACHED = 800_000  # stretches an encoder keeps
+CACHED = 500_000  # stretches in a generation
 SLOT_BITS = 18
 LOOKUP = 2_000  # stretches looked up at once
 _DOUBLE_SPACE = re.compile(r"\s\s")
-_INNER_SPACE = re.compile(r".\s", re.DOTALL)
+_SPACE = re.compile(r"\s")
 _CUTS = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -55,7 +56,7 @@ _CUTS = re.compile(r"(?<=\S)(?= \S)")
 class Grammar:
     shard_ids: int = 1 << 20
     least_uses: int = 12  # of a pair, for a rule
-    most_rounds: int = 8
+    most_rounds: int = 5
     most_symbols: int = 1 << 16  # ids and nonterminals; two bytes a symbol
     file_ids: int = 1 << 26
 
@@ -64,7 +65,11 @@ class Grammar:
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes; keeps the ids of known stretches."""
+    """Ids as little-endian unsigned 32-bit bytes; keeps the ids of known stretches.
+
+    ``known`` maps a stretch without its leading space to the ids of the stretch with it. When it is full it
+    becomes the older generation, from which stretches that occur again are taken over, so frequent ones stay.
+    """
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,42 +79,63 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def stretches(self, text: str) -> list[str]:
-        if _DOUBLE_SPACE.search(text):
-            return _CUTS.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]]
+    def whole(self, values: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(values, add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
     def encode(self, values: list[str]) -> list[bytes]:
         if len(self.known) > CACHED:
-            self.known.clear()
-        cut = [self.stretches(text) for text in values]
-        found = [list(map(self.known.get, parts)) for parts in cut]
-        new = {s for parts, got in zip(cut, found, strict=True) if None in got for s, ids in zip(parts, got, strict=True) if ids is None}
-        plain = [s for s in new if s[:1] == " " and not _INNER_SPACE.search(s)]
+            self.known, self.older = {}, self.known
+        cut = []
+        for text in values:
+            if _DOUBLE_SPACE.search(text):
+                first, *rest = _CUTS.split(text)
+                cut.append((first, [part[1:] for part in rest]))
+            else:
+                first, *rest = text.split(" ")
+                cut.append((first, rest))
+        found = [list(map(self.known.get, rest)) for _, rest in cut]
+        new = {s for (_, rest), got in zip(cut, found, strict=True) if None in got for s, ids in zip(rest, got, strict=True) if ids is None}
+        self.learn(new)
+        starts = self.whole([first for first, _ in cut])
+        return [
+            start + b"".join(got if None not in got else map(self.known.__getitem__, rest))
+            for start, (_, rest), got in zip(starts, cut, found, strict=True)
+        ]
+
+    def learn(self, stretches: set[str]) -> None:
+        older = self.older.keys() & stretches
+        for stretch in older:
+            self.known[stretch] = self.older[stretch]
+        new = stretches - older
+        plain = [s for s in new if s and not _SPACE.search(s)]
         for at in range(0, len(plain), LOOKUP):
-            self.learn(plain[at : at + LOOKUP])
+            self.look_up(plain[at : at + LOOKUP])
         other = [s for s in new if s not in self.known]
-        for stretch, coded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.known[stretch] = np.array(coded.ids, "<u4").tobytes()
-        return [b"".join(got if None not in got else map(self.known.__getitem__, parts)) for parts, got in zip(cut, found, strict=True)]
+        self.known.update(zip(other, self.whole([" " + s for s in other]), strict=True))
 
-    def learn(self, stretches: list[str]) -> None:
-        """Look up many stretches as one text with line breaks between, which the tokenizer keeps apart.
+    def look_up(self, stretches: list[str]) -> None:
+        """Many stretches as one text with line breaks between, which the tokenizer keeps apart.
 
         None of them holds a line break, so the break's own id marks where each ends.
         """
-        coded = self.tokenizer.encode("\n".join(stretches), add_special_tokens=False)
-        ids = np.array(coded.ids, "<u4")
-        cuts = np.flatnonzero(ids == self.line_break)
+        (data,) = self.whole([" " + "\n ".join(stretches)])
+        cuts = np.flatnonzero(np.frombuffer(data, "<u4") == self.line_break)
         if len(cuts) != len(stretches) - 1:
             raise RuntimeError("this tokenizer does not keep line breaks apart")
-        data, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+        ends = [*(4 * cuts).tolist(), len(data)]
         for stretch, start, end in zip(stretches, [0, *[e + 4 for e in ends[:-1]]], ends, strict=True):
             self.known[stretch] = data[start:end]
 
 
+@lru_cache(maxsize=1)
+def encoder(tokenizer_file: str) -> Encoder:
+    """One per Python worker: later tasks find the vocabulary and the known stretches loaded."""
+    return Encoder(tokenizer_file)
+
+
 # -- Re-Pair
 
 
@@ -346,7 +372,7 @@ def write_files(docs: DataFrame, tokenizer_file: str, folder: str, how: Grammar
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
-        encoder, writer = Encoder(tokenizer_file), None
+        coder, writer = encoder(tokenizer_file), None
 
         def closed():
             writer.close()
@@ -358,7 +384,7 @@ def write_files(docs: DataFrame, tokenizer_file: str, folder: str, how: Grammar
             doc_ids = batch.column("doc_id").to_pylist()
             values = texts(batch)
             for at in range(0, len(values), 256):
-                for doc_id, ids in zip(doc_ids[at : at + 256], encoder.encode(values[at : at + 256]), strict=True):
+                for doc_id, ids in zip(doc_ids[at : at + 256], coder.encode(values[at : at + 256]), strict=True):
                     writer = writer or Writer(own_name(folder, ".ids"), how)
                     writer.add(doc_id, ids + end)
                     if writer.total >= how.file_ids:
