@@ -343,3 +343,84 @@ def gen_sample_corpus(spark, sf_dir):
 def gen_refresh_timestamps(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     return refresh_timestamps(orders, F.lit("2025-06-01 12:00:00").cast("timestamp"))
+
+
+# -- the record shapes of the load suites: every value of a row, as text, in one digest
+
+TWO_53 = 1 << 53  # drawn fractions are whole numbers of this part
+
+
+def sql_leaves(fields, path: str = "", pos: str | None = None) -> list[str]:
+    """DuckDB text of every value below ``fields``, in schema order."""
+    out = []
+    for spec in fields:
+        where = f"{path}{spec.name}"
+        if isinstance(spec.dataType, T.StructType):
+            out += sql_leaves(spec.dataType.fields, where + ".", pos)
+        elif isinstance(spec.dataType, T.ArrayType):
+            inner = spec.dataType.elementType
+            parts = sql_leaves(inner.fields, where + "[].", "i") if isinstance(inner, T.StructType) else [sql_leaf(inner, spec.name, where + "[]", "i")]
+            out.append(f"array_to_string({duck_list(where, ' || chr(58) || '.join(f'({p})' for p in parts), SMALL)}, ',')")
+        else:
+            out.append(sql_leaf(spec.dataType, spec.name, where, pos))
+    return out
+
+
+def sql_leaf(kind: T.DataType, name: str, path: str, pos: str | None) -> str:
+    if isinstance(kind, T.StringType):
+        return duck.text(path, name, SMALL, pos)
+    if isinstance(kind, T.DoubleType):
+        return f"CAST(CAST({D.fraction(path, pos)} * {TWO_53} AS BIGINT) AS VARCHAR)"
+    if isinstance(kind, T.TimestampType):
+        return f"CAST({D.number(path, pos)} * 1000000 + {D.below(1_000_000, path + '+', pos)} AS VARCHAR)"
+    return f"CAST({D.boolean(path, pos) if isinstance(kind, T.BooleanType) else D.long(path, pos)} AS VARCHAR)"
+
+
+def spark_leaves(fields, column) -> list:
+    out = []
+    for spec in fields:
+        value = column(spec.name)
+        if isinstance(spec.dataType, T.StructType):
+            out += spark_leaves(spec.dataType.fields, value.getField)
+        elif isinstance(spec.dataType, T.ArrayType):
+            out.append(F.array_join(each_element(value, spec.dataType.elementType), ","))
+        else:
+            out.append(spark_leaf(spec.dataType, value))
+    return out
+
+
+def each_element(value, kind: T.DataType):
+    def text(element):
+        parts = spark_leaves(kind.fields, element.getField) if isinstance(kind, T.StructType) else [spark_leaf(kind, element)]
+        return F.concat_ws(":", *parts)
+
+    return F.transform(value, text)
+
+
+def spark_leaf(kind: T.DataType, value):
+    if isinstance(kind, T.DoubleType):
+        value = (value * F.lit(float(TWO_53))).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    return value.cast("string")
+
+
+def digest_sql(schema: T.StructType) -> str:
+    return f"SELECT event_id, md5(concat_ws('|', {', '.join(sql_leaves(schema.fields))})) AS digest FROM {EVENTS}"
+
+
+def digests(spark, sf_dir, schema: T.StructType):
+    made = generate(numbers(spark, sf_dir), "event_id", schema, SMALL, ("event_id",))
+    return made.select("event_id", F.md5(F.concat_ws("|", *spark_leaves(schema.fields, F.col))).alias("digest"))
+
+
+@query("gen_mid_event", digest_sql(schemas.mid_event()))
+def gen_mid_event(spark, sf_dir):
+    """50 fields with records inside records."""
+    return digests(spark, sf_dir, schemas.mid_event())
+
+
+@query("gen_wide_event", digest_sql(schemas.wide_event()))
+def gen_wide_event(spark, sf_dir):
+    """797 fields, 228 of them arrays."""
+    return digests(spark, sf_dir, schemas.wide_event())
