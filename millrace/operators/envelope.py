@@ -7,6 +7,7 @@ and at most one envelope's rows in memory beyond the incoming batch.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,7 @@ RECORDS_KEY = "records"
 RAW_BYTES_KEY = "raw_bytes"
 MAX_RECORDS = 4500  # fixed value: default records per envelope
 MAX_RAW_BYTES = 64 << 20
+INFLATE_LIMIT = 256 << 20  # bytes of an envelope's content; our own stay below 64 MiB
 OUTPUT_ROWS, OUTPUT_BYTES = 10_000, 64 << 20
 
 UNPACKED = T.StructType(
@@ -108,6 +110,18 @@ def _seal(held: list[pa.RecordBatch], prefix: str, number: int, level: int) -> p
     )
 
 
+def inflated(payload: bytes, limit: int = INFLATE_LIMIT) -> bytes:
+    """An envelope's content. A foreign one may inflate to any size: above ``limit`` it is an error, and
+    no more than that is ever held."""
+    unpacker = zlib.decompressobj()
+    body = unpacker.decompress(payload, limit + 1)
+    if len(body) > limit:
+        raise ValueError(f"the envelope inflates to more than {limit} bytes")
+    if not unpacker.eof:
+        raise ValueError("the envelope is cut off")
+    return body
+
+
 def unpack_all(df: DataFrame) -> DataFrame:
     """Plain transports pass through; envelopes are inflated into their rows.
 
@@ -115,8 +129,6 @@ def unpack_all(df: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
         for incoming in batches:
             kind = pc.map_lookup(incoming.column("attributes"), COMPRESSION_KEY, "first")
             packed = pc.fill_null(pc.equal(kind, COMPRESSION_NAME), False)
@@ -132,7 +144,7 @@ def unpack_all(df: DataFrame) -> DataFrame:
             for number in range(envelopes.num_rows):
                 one = envelopes.slice(number, 1)
                 try:
-                    body = zlib.decompress(one.column("payload")[0].as_py())
+                    body = inflated(one.column("payload")[0].as_py())
                     with pa.ipc.open_stream(body) as reader:
                         content = reader.read_all().select(incoming.schema.names).cast(incoming.schema)
                     made = [_with_error(b, None, None) for b in content.combine_chunks().to_batches()]

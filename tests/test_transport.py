@@ -206,3 +206,14 @@ def test_sizes_observed_while_writing(spark):
     df, seen = observe_payloads(transports(spark, 50, size=7), "sizes")
     df.write.format("noop").mode("overwrite").save()
     assert seen.get["n"] == 50 and seen.get["total"] == 350 and seen.get["largest"] == 7
+
+
+def test_inflating_is_bounded():
+    import zlib
+
+    from millrace.operators.envelope import inflated
+
+    assert inflated(zlib.compress(b"x" * 1000), 1000) == b"x" * 1000
+    for bad in (zlib.compress(b"x" * 1001), zlib.compress(b"x" * 500)[:-5], b"junk"):
+        with pytest.raises((ValueError, zlib.error)):
+            inflated(bad, 1000)
