@@ -5,9 +5,9 @@ padded by one mark on each side) in order of frequency. A document's own list is
 profile by the out-of-place distance: the sum over its n-grams of how far their ranks lie apart,
 ``profile_size`` where the profile lacks the n-gram. The nearest profile names the language.
 
-Learning covers every labelled training text. Each task counts *words* and turns its distinct words
-into weighted n-grams, so one partial row per language and n-gram and task is shuffled, and a map-side
-group limit leaves ``profile_size`` of them for each language. Profiles are small (languages x 400).
+Learning covers every labelled training text. Each task counts its n-grams by language, so one partial row
+per language, n-gram and task is shuffled, and a map-side group limit leaves ``profile_size`` of them
+for each language. Profiles are small (languages x 400).
 
 Defined results: null text, or text without a letter, is ``und`` with score 0, as is everything when
 nothing could be learned; ties go to the n-gram of smaller code and the language first by code point;
@@ -18,7 +18,6 @@ columns other than ``doc_id``, ``text`` and ``lang`` are ignored; an empty table
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +29,12 @@ from millrace.llm.common import map_rows, texts
 
 PROFILE_SIZE = 400
 DOCUMENT_GRAMS = 400
-LONGEST = 3
-CACHED_WORDS = 100_000
-LONGEST_WORD = 200  # longer runs of letters are cut into pieces of this length, so that nothing is lost
+FLUSH_GRAMS = 1_000_000  # distinct n-grams that a task holds before it sends its counts on
+WAITING_GRAMS = 1_000_000  # n-grams of one language that wait to be counted
+MARK = "\x01"
 HELD_OUT = 2
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_BETWEEN = re.compile(r"[\W\d_]+")
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -43,53 +42,44 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
-def words_of(text: str) -> Counter:
-    found: Counter = Counter()
-    for word, count in Counter(_LETTERS.findall(text.lower())).items():
-        for at in range(0, len(word), LONGEST_WORD):
-            found[word[at : at + LONGEST_WORD]] += count
-    return found
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
-def has_letter(words: Counter) -> bool:
-    return any(any(map(str.isalpha, word)) for word in words)
+def gram_codes(text: str) -> np.ndarray:
+    """Codes of all n-grams, 21 bits a character, so that codes order by text.
 
+    Everything between words becomes one mark, which pads the word before and the word after it; n-grams
+    with a mark inside would join two words and are left out.
+    """
+    marked = MARK + _BETWEEN.sub(MARK, text.lower()).strip(MARK) + MARK
+    chars = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    inner = chars != ord(MARK)
+    pairs = chars[:-1] << 21 | chars[1:]
+    triples = (pairs[:-1] << 21 | chars[2:])[inner[1:-1]]
+    return np.concatenate((chars[inner], pairs, triples)) if inner.any() else np.zeros(0, np.int64)
 
-def grams_of(word: str) -> np.ndarray:
-    """Codes of the n-grams of a padded word: 21 bits a character, so codes order by text."""
-    chars = np.zeros(len(word) + 2, np.int64)
-    chars[1:-1] = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
-    chars[0] = chars[-1] = 1  # the padding mark
-    out, code = [chars[1:-1]], chars
-    for size in range(2, LONGEST + 1):
-        code = code[:-1] << 21 | chars[size - 1 :]
-        out.append(code)
-    return np.concatenate(out)
 
-
-class GramCache(dict):
-    """Word to n-gram codes; emptied when full, so its memory is bounded."""
-
-    def __missing__(self, word: str) -> np.ndarray:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        codes = self[word] = grams_of(word)
-        return codes
-
-
-def gram_counts(words: Counter, cache: GramCache) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, ascending; occurrences)."""
-    parts = [cache[word] for word in words]
-    codes = np.concatenate(parts)
-    weights = np.repeat(np.fromiter(words.values(), np.int64, len(parts)), [len(p) for p in parts])
-    order = np.argsort(codes, kind="stable")
-    codes, weights = codes[order], weights[order]
+def counted(codes: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct codes, ascending; their occurrences)."""
+    if weights is None:
+        codes = np.sort(codes)
+    else:
+        order = np.argsort(codes, kind="stable")
+        codes, weights = codes[order], weights[order]
+    if not len(codes):
+        return codes, np.zeros(0, np.int64)
     first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+    if weights is None:
+        return codes[first], np.diff(np.concatenate((first, [len(codes)])))
     return codes[first], np.add.reduceat(weights, first)
 
 
 def top_grams(codes: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
     """The most frequent codes in order; ``codes`` ascend, so a stable sort breaks ties by code."""
+    if len(codes) > most:
+        enough = counts >= np.partition(counts, -most)[-most]
+        codes, counts = codes[enough], counts[enough]
     return codes[np.argsort(-counts, kind="stable")[:most]]
 
 
@@ -97,27 +87,36 @@ def learn(docs: DataFrame, most: int = PROFILE_SIZE) -> dict[str, list[int]]:
     """Profiles of every language among the rows given, from all their texts."""
 
     def run(batches):
-        held: dict[str, Counter] = {}
-        size = 0
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def rows():
-            cache = GramCache()
-            for lang, words in held.items():
-                codes, counts = gram_counts(words, cache)
+            for lang, (codes, counts) in held.items():
                 yield pa.RecordBatch.from_pydict({"lang": [lang] * len(codes), "gram": codes, "n": counts})
             held.clear()
 
+        def add(lang, parts):
+            codes, counts = counted(np.concatenate(parts))
+            if lang in held:
+                codes, counts = counted(np.concatenate((held[lang][0], codes)), np.concatenate((held[lang][1], counts)))
+            held[lang] = codes, counts
+
         for batch in batches:
+            fresh: dict[str, list[np.ndarray]] = {}
+            waiting: dict[str, int] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), texts(batch), strict=True):
-                held.setdefault(lang, Counter()).update(words_of(text))
-            size = sum(map(len, held.values()))
-            if size > 300_000:
+                fresh.setdefault(lang, []).append(gram_codes(text))
+                waiting[lang] = waiting.get(lang, 0) + len(fresh[lang][-1])
+                if waiting[lang] > WAITING_GRAMS:
+                    add(lang, fresh.pop(lang))
+                    waiting[lang] = 0
+            for lang, parts in fresh.items():
+                add(lang, parts)
+            if sum(len(codes) for codes, _ in held.values()) > FLUSH_GRAMS:
                 yield from rows()
-        held = {lang: words for lang, words in held.items() if words}
         yield from rows()
 
-    counted = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
-    total = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    partial = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+    total = partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
     best = total.withColumn("rank", rank).filter(F.col("rank") <= most)
     profiles: dict[str, list[int]] = {}
@@ -135,13 +134,11 @@ class Judge:
         self.ranks = np.full((len(self.codes) + 1, max(1, len(self.langs))), -1, np.int64)
         for number, profile in enumerate(profiles.values()):
             self.ranks[np.searchsorted(self.codes, np.array(profile, np.int64)), number] = np.arange(len(profile))
-        self.cache = GramCache()
 
     def judge(self, text: str) -> tuple[str, float]:
-        words = words_of(text)
-        if not self.langs or not has_letter(words):
+        if not self.langs or not has_letter(text):
             return UNKNOWN, 0.0
-        own = top_grams(*gram_counts(words, self.cache), DOCUMENT_GRAMS)
+        own = top_grams(*counted(gram_codes(text)), DOCUMENT_GRAMS)
         at = np.searchsorted(self.codes, own)
         at[at == len(self.codes)] = 0
         at = np.where(self.codes[at] == own, at, len(self.codes)) if len(self.codes) else np.zeros(len(own), np.int64)
