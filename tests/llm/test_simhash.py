@@ -97,6 +97,9 @@ def test_awkward_documents(spark):
     assert rows_of(rows, "doc_id", "fingerprint") == sorted(((k, f"{by_hand(t):016x}") for k, t in texts), key=repr)
     ids = {r.doc_id: r.component_id for r in rows.collect()}
     assert ids[0] == ids[1] == 0 and ids[3] == ids[4] == ids[5] == 3
+    by_print = {(r.doc_id, r.fingerprint): r.component_id for r in rows.collect()}
+    lonely = next(t for k, t in texts if k is None and t)
+    assert by_print[None, f"{by_hand(lonely):016x}"] is None and by_print[None, "0" * 16] == 3
     assert simhash.near_duplicates(nothing(spark)).count() == 0
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
