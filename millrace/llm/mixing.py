@@ -96,7 +96,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
     plan = stored(plan, "mix-cells")
     place = F.row_number().over(W.partitionBy("source", "size", "slice").orderBy("doc_id"))
     ranked = sized.withColumn("_place", place)
-    joined = ranked.alias("d").join(plan.alias("c"), cell & (F.col("d.slice") == F.col("c.slice")))
+    # Cells compress far below their size in memory, so their files' size must not suggest a broadcast.
+    joined = ranked.alias("d").join(plan.alias("c").hint("merge"), cell & (F.col("d.slice") == F.col("c.slice")))
     copies = F.col("c.base") + F.when(F.col("_place") <= F.col("c.extra"), 1).otherwise(0)
     return joined.select(
         "d.doc_id", "d.size", "c.source_size", "c.target", (copies * F.col("d.size")).cast("long").alias("taken"),
@@ -134,5 +135,5 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     Rows of one id share a number of copies: the greatest that any of them was given.
     """
     chosen = mix(docs, weights, most).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    many = docs.join(chosen.filter("_copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    many = docs.join(chosen.filter("_copies > 0").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
     return many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
