@@ -25,6 +25,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -46,7 +47,12 @@ HEAD = struct.Struct("<IIIIII")  # ids, symbols, rules, first nonterminal, bytes
 TAIL = struct.Struct("<QQ4s")  # documents, shards
 CACHED = 500_000  # stretches in a generation
 SLOT_BITS = 18
+TAILS = ",.;:!?"
 LOOKUP = 2_000  # stretches looked up at once
+#: Byte-level tokenizers write bytes as printable characters: printable Latin-1 stays, the others follow from U+0100 on.
+_KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {byte: 256 + at for at, byte in enumerate(b for b in range(256) if b not in _KEPT)}
+SPACE_CHAR = chr(BYTE_CHARS[32])
 _DOUBLE_SPACE = re.compile(r"\s\s")
 _SPACE = re.compile(r"\s")
 _CUTS = re.compile(r"(?<=\S)(?= \S)")
@@ -56,7 +62,7 @@ _CUTS = re.compile(r"(?<=\S)(?= \S)")
 class Grammar:
     shard_ids: int = 1 << 20
     least_uses: int = 12  # of a pair, for a rule
-    most_rounds: int = 5
+    most_rounds: int = 6
     most_symbols: int = 1 << 16  # ids and nonterminals; two bytes a symbol
     file_ids: int = 1 << 26
 
@@ -77,6 +83,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.tails: dict[str, bytes] = {"": b""}
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -110,12 +118,36 @@ class Encoder:
         for stretch in older:
             self.known[stretch] = self.older[stretch]
         new = stretches - older
-        plain = [s for s in new if s and not _SPACE.search(s)]
+        other = []
+        for stretch in new:
+            word = stretch.rstrip(TAILS)
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+                ids = self.known.get(word) or self.word(word)
+                self.known[stretch] = ids if len(word) == len(stretch) else ids + self.tail(stretch[len(word) :])
+            else:
+                other.append(stretch)
+        plain = [s for s in other if s and not _SPACE.search(s)]
         for at in range(0, len(plain), LOOKUP):
             self.look_up(plain[at : at + LOOKUP])
-        other = [s for s in new if s not in self.known]
+        other = [s for s in other if s not in self.known]
         self.known.update(zip(other, self.whole([" " + s for s in other]), strict=True))
 
+    def word(self, word: str) -> bytes:
+        """A space and Latin letters are one piece of the tokenizer's pattern, so its model alone is asked."""
+        if word.isascii():
+            piece = SPACE_CHAR + word
+        else:
+            piece = SPACE_CHAR + word.encode().decode("latin-1").translate(BYTE_CHARS)
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def tail(self, marks: str) -> bytes:
+        """Punctuation after a word is the next piece."""
+        if marks not in self.tails:
+            if len(self.tails) > LOOKUP:
+                self.tails = {"": b""}
+            (self.tails[marks],) = self.whole([marks])
+        return self.tails[marks]
+
     def look_up(self, stretches: list[str]) -> None:
         """Many stretches as one text with line breaks between, which the tokenizer keeps apart.
 

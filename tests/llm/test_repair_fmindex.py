@@ -173,3 +173,9 @@ def test_backward_search_finds_every_occurrence(symbols, data):
     if kept:
         assert high[0] - low[0] == len(places)
         assert index.least_owner(low, high)[0] == min(places, default=np.iinfo(np.int32).max)
+
+
+def test_every_latin_letter_inside_a_word(library):
+    letters = [chr(c) for c in range(128, 0x250) if chr(c).isalpha()]
+    text = "start " + " ".join(f"b{c}d{c},. {c}" for c in letters)
+    assert np.frombuffer(ENCODER.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
