@@ -22,6 +22,10 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [value or "" for value in batch.column(name).to_pylist()]
 
 
+def typed(column, kind: pa.DataType) -> pa.Array:
+    return column.cast(kind) if isinstance(column, pa.Array) else pa.array(column, type=kind)
+
+
 def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[list]], schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` for functions that turn a batch into lists, one per output column."""
     spec = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -31,7 +35,7 @@ def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[list]]
         for batch in batches:
             for columns in function(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, type=field.type) for column, field in zip(columns, arrow, strict=True)], schema=arrow
+                    [typed(column, field.type) for column, field in zip(columns, arrow, strict=True)], schema=arrow
                 )
 
     return df.mapInArrow(run, spec)

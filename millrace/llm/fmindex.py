@@ -37,6 +37,7 @@ from millrace.llm.common import map_rows, stored, texts
 
 WINDOW = 50
 GRAM = 10  # words of an anchor
+RUN = 64  # windows of a context at most
 PRIME = 0x9E3779B97F4A7C15  # odd multiplier of all polynomial hashes, modulo 2**64
 INVERSE = pow(PRIME, -1, 1 << 64)
 KNOWN_WORDS = 300_000
@@ -90,42 +91,56 @@ class Ranges:
         return scrambled(value ^ (ends - starts).astype(np.uint64) * np.uint64(INVERSE))
 
 
-def anchors(grams: np.ndarray, window: int) -> np.ndarray:
-    """Place of the least gram of each window: a function of the window's words alone."""
-    width, out = window - GRAM + 1, []
-    for at in range(0, len(grams) - width + 1, 1 << 15):
-        part = grams[at : at + (1 << 15) + width - 1]
-        out.append(np.lib.stride_tricks.sliding_window_view(part, width).argmin(axis=1) + np.arange(at, at + len(part) - width + 1))
-    return np.concatenate(out)
+def least_of_windows(values: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every ``width`` consecutive values, by doubling."""
+    least, reach = values, 1
+    while 2 * reach <= width:
+        least = np.minimum(least[:-reach], least[reach:])
+        reach *= 2
+    return np.minimum(least[: len(values) - width + 1], least[width - reach :])
 
 
 def sites_of(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """(anchor, context hash, start, windows): runs of windows that share their anchor."""
+    """(anchor, context hash, start, windows): runs of windows that share their anchor, at most ``RUN`` each."""
     n = len(hashes)
     ranges = Ranges(hashes)
     starts = np.arange(n - GRAM + 1)
-    grams = ranges.of(starts, starts + GRAM)
-    place = anchors(grams, window)
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    count = np.diff(np.concatenate((first, [len(place)])))
-    context = ranges.of(first, first + count - 1 + window)
-    return grams[place[first]], context, first, count
+    anchor = least_of_windows(ranges.of(starts, starts + GRAM), window - GRAM + 1)
+    first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+    count = np.diff(np.concatenate((first, [len(anchor)])))
+    if count.max() > RUN:  # repetitive text
+        pieces = -(-count // RUN)
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first, count = np.repeat(first, pieces) + number * RUN, np.minimum(RUN, np.repeat(count, pieces) - number * RUN)
+    return anchor[first], ranges.of(first, first + count - 1 + window), first, count
 
 
 def sites(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, text_key, anchor, context, windows, starts): one row per document and context, with every place."""
     known = WordHashes()
 
     def run(batch: pa.RecordBatch):
-        rows = []
+        rows, places = [], []
         for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), texts(batch), strict=True):
             words = text.encode().split()
             if len(words) >= window:
                 anchor, context, first, count = sites_of(known.of(words), window)
-                rows.append((np.full(len(first), doc_id), np.full(len(first), key), first, count, anchor.view(np.int64), context.view(np.int64)))
+                order = np.argsort(context, kind="stable")
+                context = context[order]
+                one = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+                pick = order[one]
+                rows.append((np.full(len(one), doc_id), np.full(len(one), key), anchor[pick].view(np.int64), context[one].view(np.int64), count[pick]))
+                places.append((np.diff(np.concatenate((one, [len(order)]))), first[order]))
         if rows:
-            yield [np.concatenate(column) for column in zip(*rows, strict=True)]
-
-    return map_rows(docs.filter("doc_id IS NOT NULL"), run, "doc_id long, text_key int, start int, windows int, anchor long, context long")
+            sizes = np.concatenate([p[0] for p in places])
+            starts = pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate([p[1] for p in places]), pa.int32())
+            )
+            yield [*[np.concatenate(column) for column in zip(*rows, strict=True)], starts]
+
+    return map_rows(
+        docs.filter("doc_id IS NOT NULL"), run, "doc_id long, text_key int, anchor long, context long, windows int, starts array<int>"
+    )
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -135,6 +150,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 # -- the index
 
 
+LOW_BITS = np.array([(1 << k) - 1 for k in range(64)], np.uint64)
+
+
 class BitRank:
     """Packed bits with counts every 64: rank in constant time at 1.5 bits a bit."""
 
@@ -147,8 +165,7 @@ class BitRank:
 
     def ones(self, at: np.ndarray) -> np.ndarray:
         word = at >> 6
-        low = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & low)
+        return self.before[word] + np.bitwise_count(self.words[word] & LOW_BITS[at & 63])
 
 
 class FmIndex:
@@ -172,12 +189,14 @@ class FmIndex:
         self.block = np.zeros(self.sigma + 1, np.int64)
         present, first = np.unique(rest, return_index=True)
         self.block[present] = first
-        self.least = [owner[suffixes].astype(np.int32)]
-        width = 1
-        while 2 * width <= self.n:
-            last = self.least[-1]
-            self.least.append(np.minimum(last[:-width], last[width:]))
-            width *= 2
+        # Row k: least document of the 2**k suffixes from each place on (a sparse table).
+        self.least = np.empty((max(1, self.n.bit_length()), self.n), np.int32)
+        self.least[0] = owner[suffixes]
+        for level in range(1, len(self.least)):
+            half, before = 1 << (level - 1), self.least[level - 1]
+            self.least[level] = before
+            np.minimum(before[:-half], before[half:], out=self.least[level, :-half])
+        self.least = self.least.ravel()
 
     def step(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of symbol + pattern, from those of the pattern."""
@@ -190,17 +209,14 @@ class FmIndex:
         return both[: len(low)], both[len(low) :]
 
     def least_owner(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Smallest document rank in each interval; the number of positions where it is empty."""
-        out = np.full(len(low), np.iinfo(np.int32).max, np.int64)
+        """Smallest document rank in each interval; beyond all ranks where it is empty."""
         size = high - low
-        level = np.zeros(len(low), np.int64)
-        some = size > 0
-        level[some] = np.frexp(size[some].astype(np.float64))[1] - 1
-        for number in np.unique(level[some]):
-            at = np.flatnonzero(some & (level == number))
-            table = self.least[number]
-            out[at] = np.minimum(table[low[at]], table[high[at] - (1 << number)])
-        return out
+        level = np.frexp(np.maximum(size, 1).astype(np.float64))[1].astype(np.int64) - 1
+        row = level * self.n
+        first = np.minimum(low, self.n - 1)  # of empty intervals any place will do
+        last = np.maximum(high - (np.int64(1) << level), 0)
+        found = np.minimum(self.least[row + first], self.least[row + last])
+        return np.where(size > 0, found, np.iinfo(np.int32).max)
 
 
 def sorted_suffixes(text: np.ndarray, order: int) -> np.ndarray:
@@ -208,10 +224,10 @@ def sorted_suffixes(text: np.ndarray, order: int) -> np.ndarray:
     n = len(text)
     _, rank = np.unique(text, return_inverse=True)
     rank, width = rank.astype(np.int64), 1
-    where = np.argsort(rank, kind="stable")
+    where = np.argsort(rank)
     while width < order:
         key = rank * n + np.roll(rank, -width)
-        where = np.argsort(key, kind="stable")
+        where = np.argsort(key)  # equal keys may stand in any order
         ordered = key[where]
         rank = np.empty(n, np.int64)
         rank[where] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
@@ -339,7 +355,7 @@ def spans(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     window = plan.window
     found = stored(sites(docs, window), "fm-sites")
     contexts = found.groupBy("anchor", "context").agg(
-        F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("one"), F.max("doc_id").alias("last")
+        F.min(F.struct("doc_id", "text_key", F.get("starts", F.lit(0)).alias("start"), "windows")).alias("one"), F.max("doc_id").alias("last")
     )
     contexts = contexts.select("anchor", "context", "one.*", "last")
     shared = (
@@ -367,7 +383,8 @@ def spans(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     rows = found.join(verdicts, ["anchor", "context"])
     whole = F.array(F.struct(F.lit(0).alias("from"), (F.col("windows") - 1 + window).alias("to")))
     parts = F.when(F.col("first") < F.col("doc_id"), whole).otherwise(F.col("parts"))
-    return rows.select("doc_id", "text_key", "start", F.inline(parts)).select(
+    places = rows.filter(F.size(parts) > 0).select("doc_id", "text_key", parts.alias("parts"), F.explode("starts").alias("start"))
+    return places.select("doc_id", "text_key", "start", F.inline("parts")).select(
         "doc_id", "text_key", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to")
     )
 
