@@ -1,14 +1,17 @@
 """URL filter: rules first, then a path-template tree judged by labelled purity.
 
 Per host the path segments form a tree. Variable segments become wildcards in two ways: by shape
-(numbers, hex ids, UUIDs, dates, each with its extension), and by statistics: where a node has many
-literal children, those whose labels and whose next segments look like the node's average are merged
-into ``<*>``; a child that differs keeps its name. What remains are templates such as ``/en/<n>.html``.
+(numbers, hex ids, UUIDs, dates, each with its extension), and by statistics, alike at any number of
+siblings: labelled children whose labels and next segments look like those of the other labelled ones merge
+into ``<+>``, where both sides have ``evidence`` labels; unlabelled children followed like the other unlabelled
+ones merge into ``<*>``. A child that differs keeps its name. What remains are templates such as ``/en/<n>.html``.
 
 Pages that a rule decides are the labelled ones. A template's purity is its share of allowed labels
-with one pseudo-label of either kind added; templates below ``least_purity`` are rejected, so a template
-without labels is allowed. Pages shrink to one row per host and token path before any other shuffle;
-everything is counted there, level by level from the root, with a stored table after each level.
+with one pseudo-label of either kind added. One without labels takes that of the nearest node above with at
+least two labelled branches, each counting once: one branch alone says nothing about others. Where there is
+none, purity is 0.5. Templates below ``least_purity`` are rejected. Pages shrink to one row per host and token
+path before any other shuffle; everything is counted there, level by level from the root, with a stored
+table after each level.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by
 the template of the empty path; segments beyond ``most_levels`` count as one; equal urls get equal verdicts
@@ -38,8 +41,8 @@ SHAPES = (
 
 @dataclass(frozen=True)
 class Tree:
-    fan_out: int = 24  # literal children from which a node's segment counts as variable
-    z: float = 2.0  # standard errors of the label share within which a child looks like the others
+    evidence: int = 5  # labels that a child and the others need to be compared
+    z: float = 2.0  # standard errors of the difference of label shares within which a child looks like the others
     shape_gap: float = 0.5  # greatest difference in the shares of what follows
     least_purity: float = 0.5
     pseudo: float = 1.0
@@ -105,7 +108,7 @@ def templates(read: DataFrame, tree: Tree = Tree()) -> DataFrame:
 
 
 def merge_level(base: DataFrame, level: int, tree: Tree) -> DataFrame:
-    """Replace the segment at ``level`` by ``<*>`` where it is one of many alike."""
+    """Replace the segment at ``level`` by ``<+>`` (labelled) or ``<*>`` where it looks like its siblings of the same kind."""
     here, after = F.get("template", F.lit(level)), F.get("template", F.lit(level + 1))
     named = base.withColumn("_up", F.slice("template", 1, level)).withColumn("_seg", here).withColumn(
         "_next", F.when(after.isNull(), "end").when(after.startswith("<"), "wild").otherwise("name")
@@ -114,28 +117,49 @@ def merge_level(base: DataFrame, level: int, tree: Tree) -> DataFrame:
     follows = [F.sum(F.when(F.col("_next") == kind, F.col("n")).otherwise(0)).alias(kind) for kind in ("end", "wild")]
     literal = named.filter(F.col("_seg").isNotNull() & ~F.col("_seg").startswith("<"))
     children = literal.groupBy("host", "_up", "_seg").agg(*sums, *follows)
-    parents = children.groupBy("host", "_up").agg(
+    children = children.withColumn("_known", F.col("good") + F.col("bad") > 0)
+    whole = children.groupBy("host", "_up", "_known").agg(
         F.count("*").alias("_children"), *[F.sum(c).alias(f"_{c}") for c in ("n", "good", "bad", "end", "wild")]
-    ).filter(F.col("_children") >= tree.fan_out)
-    joined = children.join(parents, ["host", "_up"])
-    labels, all_labels = F.col("good") + F.col("bad"), F.col("_good") + F.col("_bad")
-    share = (F.col("_good") + tree.pseudo) / (all_labels + 2 * tree.pseudo)
+    ).filter("_children > 1")
+    joined = children.join(whole, ["host", "_up", "_known"])
+    others = {c: F.col(f"_{c}") - F.col(c) for c in ("n", "good", "bad", "end", "wild")}
+    labels, rest = F.col("good") + F.col("bad"), others["good"] + others["bad"]
     own = (F.col("good") + tree.pseudo) / (labels + 2 * tree.pseudo)
-    error = F.sqrt(share * (1 - share) / (labels + 2 * tree.pseudo))
-    alike = (labels == 0) | (F.abs(own - share) <= tree.z * error)
+    share = (others["good"] + tree.pseudo) / (rest + 2 * tree.pseudo)
+    error = F.sqrt(own * (1 - own) / (labels + 2 * tree.pseudo) + share * (1 - share) / (rest + 2 * tree.pseudo))
+    enough = (labels >= tree.evidence) & (rest >= tree.evidence)
+    alike = ~F.col("_known") | (enough & (F.abs(own - share) <= tree.z * error))
     for kind in ("end", "wild"):
-        alike &= F.abs(F.col(kind) / F.col("n") - F.col(f"_{kind}") / F.col("_n")) <= tree.shape_gap
-    merged = joined.filter(alike).select("host", "_up", "_seg", F.lit(True).alias("_merged"))
+        alike &= F.abs(F.col(kind) / F.col("n") - others[kind] / others["n"]) <= tree.shape_gap
+    mark = F.when(F.col("_known"), "<+>").otherwise("<*>")
+    merged = joined.filter(alike).select("host", "_up", "_seg", mark.alias("_merged"))
     out = named.join(merged, ["host", "_up", "_seg"], "left")
-    renamed = F.transform("template", lambda part, at: F.when(at == level, "<*>").otherwise(part))
-    return out.withColumn("template", F.when(F.col("_merged"), renamed).otherwise(F.col("template"))).select(*base.columns)
+    renamed = F.transform("template", lambda part, at: F.when(at == level, F.col("_merged")).otherwise(part))
+    return out.withColumn("template", F.when(F.col("_merged").isNotNull(), renamed).otherwise(F.col("template"))).select(*base.columns)
+
+
+def branch_purity(paths: DataFrame, tree: Tree = Tree()) -> DataFrame:
+    """(host, node, value): mean purity of the labelled branches of nodes that have two or more, merged ones by their own names."""
+    branch = F.concat("tokens", F.array(F.lit("<end>")))  # pages that end at a node are a branch of it
+    steps = F.transform(branch, lambda name, at: F.struct(F.slice("template", 1, at).alias("node"), name.alias("branch")))
+    nodes = paths.filter(F.col("good") + F.col("bad") > 0).select("host", "good", "bad", F.inline(steps))
+    own = (F.sum("good") + tree.pseudo) / (F.sum("good") + F.sum("bad") + 2 * tree.pseudo)
+    branches = nodes.groupBy("host", "node", "branch").agg(own.alias("_own"))
+    value = (F.sum("_own") + tree.pseudo) / (F.count("*") + 2 * tree.pseudo)
+    return branches.groupBy("host", "node").agg(value.alias("value"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
 
 
 def judged_templates(paths: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """(host, template, n, good, bad, purity, rejected) per template."""
     total = paths.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
-    purity = (F.col("good") + tree.pseudo) / (F.col("good") + F.col("bad") + 2 * tree.pseudo)
-    return total.withColumn("purity", purity).withColumn("rejected", purity < tree.least_purity)
+    labels = F.col("good") + F.col("bad")
+    above = F.transform(F.sequence(F.lit(0), F.size("template")), lambda k: F.slice("template", 1, k))
+    bare = total.filter(labels == 0).select("host", "template", F.explode(above).alias("node"))
+    nearest = bare.join(branch_purity(paths, tree), ["host", "node"]).groupBy("host", "template").agg(F.max_by("value", F.size("node")).alias("_value"))
+    own = (F.col("good") + tree.pseudo) / (labels + 2 * tree.pseudo)
+    purity = F.when(labels > 0, own).otherwise(F.coalesce("_value", F.lit(0.5)))
+    out = total.join(nearest, ["host", "template"], "left").withColumn("purity", purity).drop("_value")
+    return out.withColumn("rejected", F.col("purity") < tree.least_purity)
 
 
 def filter_urls(pages: DataFrame, rules=RULES, tree: Tree = Tree()) -> DataFrame:

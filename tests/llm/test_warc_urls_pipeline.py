@@ -127,6 +127,20 @@ def test_templates_merge_lookalikes_and_follow_labels(spark):
     assert by_url["http://shop.x/odd/item"].template == "/odd/item"
 
 
+def test_verdicts_do_not_turn_on_the_number_of_siblings(spark):
+    names = [f"n{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    rules = (("few.x/de/", "block"), ("many.x/de/", "block"), *((f"bad.x/{k}/", "block") for k in "abc"), *((f"mix.x/{k}/", "allow") for k in "abc"), ("mix.x/odd/", "block"))
+    made = [f"http://{host}/{name}/p" for host, count in (("few.x", 3), ("many.x", 40)) for name in ["de"] * 20 + names[:count]]
+    made += [f"http://{host}/{k}/p" for host in ("bad.x", "mix.x") for k in ["a", "b", "c"] * 10 + ["new"]] + ["http://mix.x/odd/p"] * 10
+    rows = urls.filter_urls(pages(spark, [(i, u, None) for i, u in enumerate(made)]), rules).collect()
+    got = {made[r.page_id]: r for r in rows}
+    for host, count in (("few.x", 3), ("many.x", 40)):  # one labelled branch says nothing about the others
+        assert {got[f"http://{host}/{name}/p"].verdict for name in names[:count]} == {"allow"}
+        assert got[f"http://{host}/de/p"].template == "/de/p"
+    assert got["http://bad.x/a/p"].template == "/<+>/p" and got["http://mix.x/odd/p"].template == "/odd/p"
+    assert got["http://bad.x/new/p"].verdict == "block" and got["http://mix.x/new/p"].verdict == "allow"
+
+
 def test_tokens(spark):
     cases = {"123": "<n>", "123.html": "<n>.html", "2024-01-31": "<date>", "deadbeef01": "<hex>", "deadbeef": "deadbeef", "cafe": "cafe",
              "a-b-1234": "<slug>", "": "", "page2": "page2", "123e4567-e89b-12d3-a456-426614174000": "<uuid>"}
