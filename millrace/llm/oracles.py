@@ -46,3 +46,37 @@ FROM (SELECT *, row_number() OVER (PARTITION BY source, size ORDER BY slice, doc
 JOIN settled s ON d.source IS NOT DISTINCT FROM s.source AND d.size = s.size
 """
 
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS ws, count(*)::HUGEINT AS f
+  FROM starts, (SELECT unnest([1, 2, 3, 4]) AS k)
+  WHERE i + k - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM grams WHERE f >= 30),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, h.f AS l, t.f AS r, cut, 2000000 * c.f // (h.f + t.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k > 1) c
+  JOIN often h ON h.lang = c.lang AND h.k = c.cut AND h.ws = c.ws[1:c.cut]
+  JOIN often t ON t.lang = c.lang AND t.k = c.k - c.cut AND t.ws = c.ws[c.cut + 1:c.k]),
+scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, k, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, k - width AS k, ws[s:s + k - width - 1] AS ws, max(f) AS f
+  FROM (SELECT *, unnest(range(1, width + 2)) AS s FROM (SELECT *, unnest(range(1, k - 1)) AS width FROM often WHERE k > 2))
+  GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM scored s JOIN often o ON o.lang = s.lang AND o.k = s.k AND o.phrase = s.phrase
+  LEFT JOIN inside i ON i.lang = o.lang AND i.k = o.k AND i.ws = o.ws
+  WHERE 100 * coalesce(i.f, 0) < 80 * s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
