@@ -38,7 +38,7 @@ from millrace.session import scoped_conf
 
 LEAST = 30
 MOST_WORDS = 4
-SHARD_WORDS = 3_000_000
+SHARD_WORDS = 1_500_000
 LOT = 1 << 19  # occurrences whose extensions are listed at a time
 EDGE = b"\xff"  # in no UTF-8 text
 FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + EDGE * 10 + b" ")
@@ -266,8 +266,8 @@ def longer_phrases(index: TwoWay, sigma: int, first: np.ndarray, second: np.ndar
 # -- Spark
 
 
-def indexes(shards: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
-    """(shard, ids, forward, backward): transforms over the shard's frequent words; ``ids`` names symbol 1, 2, ..."""
+def indexes(shards: DataFrame, known: DataFrame, depth: int) -> DataFrame:
+    """(shard, ids, forward, backward): transforms over the shard's ``known`` (shard, number, id) words; ``ids`` names symbol 1, 2, ..."""
 
     def build(texts: pa.Table, words: pa.Table) -> pa.Table:
         number, ids = words.column("number").to_numpy(), words.column("id").to_numpy()
@@ -286,7 +286,7 @@ def indexes(shards: DataFrame, frequent: DataFrame, depth: int) -> DataFrame:
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["shard", "ids", "forward", "backward"])
 
     texts = shards.filter("text IS NOT NULL").select("shard", "text")
-    words = shards.filter("number > 0").join(frequent, ["lang", "word"]).select(F.col("shard").alias("of"), "number", "id")
+    words = known.select(F.col("shard").alias("of"), "number", "id")
     return stored(texts.groupBy("shard").cogroup(words.groupBy("of")).applyInArrow(build, INDEX), "collocations-index")
 
 
@@ -330,24 +330,32 @@ def longer_of(index: DataFrame, pairs: DataFrame, most_words: int) -> DataFrame:
     return index.groupBy("shard").cogroup(pairs.withColumnRenamed("shard", "of").groupBy("of")).applyInArrow(extend, "ids array<long>, n long")
 
 
+def used_often(rows: DataFrame, key: list[str], count: str, least: int) -> DataFrame:
+    """The rows whose key is counted ``least`` times in all shards together, with ``f``, that count, and ``id``.
+
+    A task of the join holds whole keys, so the numbers that it gives them stand in its own output only.
+    """
+    often = rows.groupBy(*key).agg(F.sum(count).alias("f")).filter(F.col("f") >= least)
+    return rows.join(often.withColumn("id", F.monotonically_increasing_id()).hint("shuffle_hash"), key)
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(phrases, words, totals): (ids, f) of every phrase of up to ``most_words`` words used ``least`` times in its
     language, words themselves included; (id, lang, word) of those words; (lang, n) of all word occurrences."""
     if most_words < 2 or least < 1:
         raise ValueError("phrases have two words at least and are used once at least")
     shards = word_shards(docs, shard_words)
-    uses = shards.filter("number > 0").select("lang", "word", "uses")
+    uses = shards.filter("number > 0").drop("text")
     totals = uses.groupBy("lang").agg(F.sum("uses").alias("n"))
-    counted = uses.groupBy("lang", "word").agg(F.sum("uses").alias("f")).filter(F.col("f") >= least)
-    words = stored(counted.withColumn("id", F.monotonically_increasing_id() + 1), "collocations-words")
-    index = indexes(shards, words.select("lang", "word", "id"), most_words)
-    pairs = pairs_of(index)
-    often = stored(pairs.groupBy("w1", "w2").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "collocations-often")
+    known = stored(used_often(uses, ["lang", "word"], "uses", least), "collocations-known")
+    words = known.groupBy("id", "lang", "word").agg(F.max("f").alias("f"))
+    index = indexes(shards, known, most_words)
+    pairs = stored(used_often(pairs_of(index), ["w1", "w2"], "n", least).drop("n", "id"), "collocations-often")
+    often = pairs.groupBy("w1", "w2").agg(F.max("f").alias("f"))
     phrases = words.select(F.array("id").alias("ids"), "f").unionByName(often.select(F.array("w1", "w2").alias("ids"), "f"))
     if most_words > 2:
-        back = pairs.select("shard", "w1", "w2").join(often.select("w1", "w2"), ["w1", "w2"])
-        longer = longer_of(index, back, most_words).groupBy("ids").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-        phrases = phrases.unionByName(longer.select("ids", "f"))
+        longer = longer_of(index, pairs, most_words).groupBy("ids").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+        phrases = phrases.unionByName(longer)
     return stored(phrases, "collocations-phrases"), words.select("id", "lang", "word"), totals
 
 
