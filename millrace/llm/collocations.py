@@ -24,12 +24,13 @@ in which no phrase is used ``least`` times, gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
@@ -327,16 +328,23 @@ def longer_of(index: DataFrame, pairs: DataFrame, most_words: int) -> DataFrame:
                 out.append(pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, flat), pa.array(n)], schema=kind))
         return pa.Table.from_batches(out, schema=kind)
 
-    return index.groupBy("shard").cogroup(pairs.withColumnRenamed("shard", "of").groupBy("of")).applyInArrow(extend, "ids array<long>, n long")
+    back = pairs.select(F.col("shard").alias("of"), "w1", "w2")
+    return index.groupBy("shard").cogroup(back.groupBy("of")).applyInArrow(extend, "ids array<long>, n long")
 
 
-def used_often(rows: DataFrame, key: list[str], count: str, least: int) -> DataFrame:
+def used_often(rows: DataFrame, key: list[str], place: list[str], count: str, least: int) -> DataFrame:
     """The rows whose key is counted ``least`` times in all shards together, with ``f``, that count, and ``id``.
 
-    A task of the join holds whole keys, so the numbers that it gives them stand in its own output only.
+    A key has one row a shard at most, so summing before the shuffle saves nothing. Both sides of the join name the same
+    columns, so one shuffle serves both (``last_`` is there for that). A task holds whole keys: the numbers that it gives
+    them stand in its own output only.
     """
-    often = rows.groupBy(*key).agg(F.sum(count).alias("f")).filter(F.col("f") >= least)
-    return rows.join(often.withColumn("id", F.monotonically_increasing_id()).hint("shuffle_hash"), key)
+    real = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+    dealt = rows.select(*key, *place, count).filter(real).repartition(*[F.col(k) for k in key])
+    sums = dealt.groupBy(*key).agg(F.sum(count).alias("f"), *[F.max(c).alias(f"last_{c}") for c in place])
+    seen = reduce(Column.__and__, [F.col(f"last_{c}").isNotNull() for c in place])
+    often = sums.filter((F.col("f") >= least) & seen).select(*key, "f", F.monotonically_increasing_id().alias("id"))
+    return dealt.join(often.hint("shuffle_hash"), key)
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -345,12 +353,12 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WO
     if most_words < 2 or least < 1:
         raise ValueError("phrases have two words at least and are used once at least")
     shards = word_shards(docs, shard_words)
-    uses = shards.filter("number > 0").drop("text")
+    uses = shards.filter("number > 0")
     totals = uses.groupBy("lang").agg(F.sum("uses").alias("n"))
-    known = stored(used_often(uses, ["lang", "word"], "uses", least), "collocations-known")
+    known = stored(used_often(uses, ["lang", "word"], ["shard", "number"], "uses", least), "collocations-known")
     words = known.groupBy("id", "lang", "word").agg(F.max("f").alias("f"))
     index = indexes(shards, known, most_words)
-    pairs = stored(used_often(pairs_of(index), ["w1", "w2"], "n", least).drop("n", "id"), "collocations-often")
+    pairs = stored(used_often(pairs_of(index), ["w1", "w2"], ["shard"], "n", least).drop("n", "id"), "collocations-often")
     often = pairs.groupBy("w1", "w2").agg(F.max("f").alias("f"))
     phrases = words.select(F.array("id").alias("ids"), "f").unionByName(often.select(F.array("w1", "w2").alias("ids"), "f"))
     if most_words > 2:
