@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as tokenizer_path
 
-from millrace.llm import collocations, decontam, fmindex, langid, mixing, oracles, quality, repair, sharding, simhash, urls, warc
+from millrace.llm import blockjoin, collocations, decontam, fmindex, langid, mixing, oracles, quality, repair, sharding, simhash, urls, warc
 from millrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_entropy_mix": oracles.MIX, "op11_bwt_collocations": oracles.COLLOCATIONS}
+ORACLES: dict[str, str] = {"op6_entropy_mix": oracles.MIX, "op11_bwt_collocations": oracles.COLLOCATIONS, "op12_block_matrix_join": oracles.NEAREST}
 
 
 def query(function):
@@ -72,3 +72,8 @@ def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_bwt_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir)).drop("lefts", "rights")
+
+
+@query
+def op12_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockjoin.nearest(documents(spark, sf_dir, "embeddings"))

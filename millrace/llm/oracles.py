@@ -80,3 +80,16 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN totals USING (lang)
 QUALIFY rank <= 2000
 """
+
+NEAREST = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, min(list_distance(q.v, c.v)) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 10
+"""
