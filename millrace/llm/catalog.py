@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from public_tokenizers import path as tokenizer_path
 
-from millrace.llm import blockjoin, collocations, decontam, fmindex, langid, mixing, oracles, quality, repair, sharding, simhash, urls, warc
+from millrace.llm import blockjoin, collocations, decontam, fmindex, langid, mixing, oracles, quality, repair, sharding, simhash, urls, warc, whitening
 from millrace.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op11_bwt_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blockjoin.nearest(documents(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_rank_one_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(documents(spark, sf_dir, "embeddings"))

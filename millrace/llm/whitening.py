@@ -60,30 +60,37 @@ def secular_roots(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray,
     high = np.where(origin == np.arange(k), np.where(last & (value < 0), gap, gap / 2), 0)
     one = np.where(last, max(k - 2, 0), np.arange(k))  # the two poles of the interpolation
     two = np.minimum(one + 1, k - 1)
-    below = np.arange(k)[:, None] <= one
-    root = (low + high) / 2
-    columns = np.arange(k)
+    root, ones = (low + high) / 2, np.ones(k)
+    open_, part = np.arange(k), delta  # columns whose root is still sought
+    below = (np.arange(k)[:, None] <= one).astype(np.float64)
     for _ in range(80):
-        apart = delta - root
+        t, lo, hi = root[open_], low[open_], high[open_]
+        apart = part - t
         terms = square[:, None] / apart
-        f = 1 + terms.sum(axis=0)
-        done = np.abs(f) <= 8 * EPS * k * (1 + np.abs(terms).sum(axis=0))
-        low, high = np.where(f < 0, root, low), np.where(f > 0, root, high)
-        done |= high - low <= 2 * EPS * np.maximum(np.abs(low), np.abs(high))
-        if done.all():
-            break
         slopes = terms / apart
-        psi, phi = np.where(below, slopes, 0).sum(axis=0), np.where(below, 0, slopes).sum(axis=0)
-        near, far = apart[one, columns], apart[two, columns]
+        left, f = ones @ (terms * below), 1 + ones @ terms
+        size = 1 + np.abs(left) + np.abs(f - 1 - left)
+        lo, hi = np.where(f < 0, t, lo), np.where(f > 0, t, hi)
+        low[open_], high[open_] = lo, hi
+        more = (np.abs(f) > 8 * EPS * k * size) & (hi - lo > 2 * EPS * np.maximum(np.abs(lo), np.abs(hi)))
+        if not more.any():
+            break
+        psi = ones @ (slopes * below)
+        phi = ones @ slopes - psi
+        columns = np.arange(len(open_))
+        near, far = apart[one[open_], columns], apart[two[open_], columns]
         with np.errstate(all="ignore"):
             c = f - near * psi - far * phi
             a = (near + far) * f - near * far * (psi + phi)
             b = near * far * f
-            part = np.sqrt(np.maximum(a * a - 4 * b * c, 0))
-            step = np.where(a <= 0, (a - part) / (2 * c), 2 * b / (a + part))
-        new = root + step
-        bad = ~(np.isfinite(new) & (new > low) & (new < high))
-        root = np.where(done, root, np.where(bad, (low + high) / 2, new))
+            wide = np.sqrt(np.maximum(a * a - 4 * b * c, 0))
+            wide = np.where(last[open_], -wide, wide)  # the last root has both poles on its left
+            direct = np.where(last[open_], a >= 0, a <= 0)
+            new = t + np.where(direct, (a - wide) / (2 * c), 2 * b / (a + wide))
+            inside = (new > lo) & (new < hi)
+        root[open_] = np.where(more, np.where(inside, new, (lo + hi) / 2), t)
+        if 2 * more.sum() < len(open_):
+            open_, part, below = open_[more], part[:, more], below[:, more]
     return d[origin] + root, delta - root
 
 
@@ -115,16 +122,10 @@ def rank_one(values: np.ndarray, basis: np.ndarray, rho: float, vector: np.ndarr
         roots, turned = d + weight * w * w, basis[:, live]
     else:
         roots, apart = secular_roots(d, w, weight)
-        # The weights for which these roots are exact.
         k = len(d)
-        steps = d[:, None] - d
-        ratio = np.empty((k, k))
-        ratio[:, :-1] = np.where(np.arange(k - 1) < np.arange(k)[:, None], 1, 0)
-        lower, upper = np.tri(k, k, -1, bool)[:, :-1], ~np.tri(k, k, -1, bool)[:, :-1]
-        ratio[:, :-1][lower] = (apart[:, :-1] / np.where(steps[:, :-1] == 0, 1, steps[:, :-1]))[lower]
-        ratio[:, :-1][upper] = (apart[:, :-1] / np.where(steps[:, 1:] == 0, 1, steps[:, 1:]))[upper]
-        ratio[:, -1] = -apart[:, -1] / weight
-        exact = np.sqrt(np.abs(ratio.prod(axis=1))) * np.sign(w)
+        others = (d[:, None] - d)[~np.eye(k, dtype=bool)].reshape(k, k - 1)
+        exact = (apart[:, :-1] / others).prod(axis=1) * -apart[:, -1] / weight  # squared weights for which these roots are exact
+        exact = np.sqrt(np.abs(exact)) * np.sign(w)
         turn = exact[:, None] / apart
         turn /= np.sqrt((turn * turn).sum(axis=0))
         turned = basis[:, live] @ turn
