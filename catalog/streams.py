@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.counts import COUNT_15M, USER, count_by, count_sql, shown
 from catalog.registry import ntz, query, table
-from millrace.operators.windows import count_windows
+from millrace.operators.windows import count_closed, count_windows
 from millrace.plans.config import Aggregation, EarlyFirings, millis
 from millrace.sinks.files import with_window_folders
 from millrace.sources.events import SourceOptions, read_events
@@ -193,5 +193,34 @@ def agg_multi_stream(spark, sf_dir):
         Aggregation(("user_id",), millis("1h"), millis("1h")),
         Aggregation(("event_type",), millis("1d")),
     ]
-    panes = count_panes(event_stream(spark, sf_dir), wanted).filter("is_final")
-    return shown(spark.read.schema(panes.schema).parquet(update_to_files(panes, spark, "multi")))
+    closed = count_closed(event_stream(spark, sf_dir), wanted)
+    return shown(spark.read.schema(closed.schema).parquet(append_to_files(closed, spark, "multi")))
+
+
+LATENESSES = [("count_user_id_15m", USER, "15 minutes", "10 minutes"), ("count_user_id_1h", USER, "1 hour", "0 minutes"),
+              ("count_event_type", "event_type", "7 minutes", "2 hours")]
+
+
+@query(
+    "agg_latenesses",
+    f"""WITH {ARRIVALS}, f AS (SELECT e.*, w.seen FROM e JOIN w USING (b)), t AS (SELECT max(ts) AS latest FROM events)
+    """
+    + " UNION ALL ".join(
+        f"""SELECT '{name}' AS agg_name, agg_key, window_start, window_end, total FROM (
+        SELECT {key} AS agg_key, time_bucket(INTERVAL '{length}', ts, TIMESTAMP '1970-01-01') AS window_start,
+          time_bucket(INTERVAL '{length}', ts, TIMESTAMP '1970-01-01') + INTERVAL '{length}' AS window_end, count(*) AS total
+        FROM f WHERE seen IS NULL OR time_bucket(INTERVAL '{length}', ts, TIMESTAMP '1970-01-01') + INTERVAL '{length}' + INTERVAL '{late}' > seen GROUP BY ALL
+        ), t WHERE window_end + INTERVAL '{late}' <= latest"""
+        for name, key, length, late in LATENESSES
+    ),
+)
+def agg_latenesses(spark, sf_dir):
+    """Late arrivals in twelve batches: each aggregation drops by its own lateness what the others still count."""
+    wanted = [
+        Aggregation(("user_id",), millis("15m"), millis("10m")),
+        Aggregation(("user_id",), millis("1h"), 0),
+        Aggregation(("event_type",), millis("7m"), millis("2h")),
+    ]
+    closed = count_closed(late_events(spark, sf_dir), wanted)
+    rows = spark.read.schema(closed.schema).parquet(append_to_files(closed, spark, "latenesses"))
+    return rows.select("agg_name", "agg_key", ntz("window_start", "window_start"), ntz("window_end", "window_end"), F.col("result_long").alias("total"))

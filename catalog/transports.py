@@ -187,6 +187,27 @@ def decode_strict(spark, sf_dir):
     )
 
 
+@query(
+    "decode_tails",
+    """SELECT event_id::VARCHAR AS event_id, CASE event_id % 8
+        WHEN 0 THEN 'ok' WHEN 7 THEN 'payload does not match the schema'
+        ELSE 'payload holds more than one document' END AS outcome,
+      CASE WHEN event_id % 8 = 0 THEN (props ->> '$.k')::BIGINT END AS k FROM events""",
+)
+def decode_tails(spark, sf_dir):
+    """Payloads whose tail closes or reopens what a reader might wrap around them."""
+    events = event_transports(spark, sf_dir)
+    text, case = payload_text(), F.expr("CAST(event_id AS BIGINT) % 8")
+    tails = ["] junk", "],[{}", "}", "]}", ",{}", ']},{"a":[{}']
+    changed = F.when(case == 7, F.concat(text, F.lit(","), text, F.lit("]")).substr(2, 1_000_000))
+    for number, tail in enumerate(tails, 1):
+        changed = changed.when(case == number, F.concat(text, F.lit(tail)))
+    parsed = parse(events.withColumn("payload", changed.otherwise(text).cast("binary")), PROPS)
+    return parsed.select(
+        "event_id", F.coalesce("error_message", F.lit("ok")).alias("outcome"), F.when(F.col("error_class").isNull(), F.col("record.k")).alias("k")
+    )
+
+
 @query("decode_failfast", "SELECT event_id::VARCHAR AS event_id, (props ->> '$.k')::BIGINT AS k FROM events")
 def decode_failfast(spark, sf_dir):
     return decode_or_fail(event_transports(spark, sf_dir), PROPS).select("event_id", "k")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from millrace.operators.outcome import Outcome, split
 from millrace.schemas import TRANSPORT
 
 CORRUPT = "_corrupt"
+MARK = f"_{secrets.token_hex(8)}"
 
 
 def payload_text(payload: str = "payload") -> Column:
@@ -46,14 +49,14 @@ def missing_required(value: Column, kind: T.DataType, nullable: bool) -> Column
     return found
 
 
-def several_documents(text: Column) -> Column:
-    """True where something follows the first JSON document, which the parser would ignore.
+def framed(text: Column) -> Column:
+    """The payload as first element of an array that ends in a mark, the array as a field of an object.
 
-    Read as the only element of an array, a second document makes the array longer and junk makes it
-    malformed; counting elements skips their content.
+    A parser stops after the first value and ignores what follows. In the frame nothing can follow unnoticed: what comes after the
+    payload's document makes the frame malformed, adds elements, or closes the array before the mark, whose
+    name no payload can know.
     """
-    elements = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    return F.coalesce(elements, F.lit(0)) != 1
+    return F.concat(F.lit(f'{{"{MARK}":['), text, F.lit(f',{{"{MARK}":1}}]}}'))
 
 
 def parse(df: DataFrame, schema, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -68,18 +71,23 @@ def parse(df: DataFrame, schema, carried: tuple[str, ...] = ()) -> DataFrame:
     filter and again for the projection.
     """
     target = schemas.resolve(schema)
-    with_corrupt = T.StructType(target.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(
-        payload_text(), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
-    both = F.struct(parsed.alias("value"), several_documents(payload_text()).alias("several"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    corrupt = T.StructField(CORRUPT, T.StringType())
+    element = T.StructType([*target.fields, T.StructField(MARK, T.IntegerType())])
+    parsed = F.from_json(framed(payload_text()), T.StructType([T.StructField(MARK, T.ArrayType(element)), corrupt]), options)
     names = [*TRANSPORT.fieldNames(), *[c for c in carried if c not in ("error_class", "error_message")]]
     known = [F.col(c).alias(f"_{c}") if c in carried else F.lit(None).cast("string").alias(f"_{c}") for c in ("error_class", "error_message")]
-    once = df.select(*names, *known, F.explode(F.array(both)).alias("_once"))
-    value = F.col("_once.value")
-    bad = value.isNull() | value.getField(CORRUPT).isNotNull() | F.col("payload").isNull()
-    reason = F.when(bad, F.lit("payload does not match the schema"))
-    reason = reason.when(F.col("_once.several"), F.lit("payload holds more than one document"))
+    once = df.select(*names, *known, F.explode(F.array(parsed)).alias("_once"))
+    values = F.col("_once").getField(MARK)
+    value = F.get(values, F.lit(0))
+    sound = F.col("_once").getField(CORRUPT).isNull() & value.isNotNull() & F.col("payload").isNotNull()
+    marked = (F.size(values) == 2) & (F.get(values, F.lit(1)).getField(MARK) == 1) & value.getField(MARK).isNull()
+    marked = F.coalesce(marked, F.lit(False))
+    bad = ~F.coalesce(sound & marked, F.lit(False))
+    # Only rows that failed are looked at again, to say why: an object that ends well, and something else behind it.
+    first = F.ltrim(payload_text()).startswith("{") & F.get_json_object(payload_text(), "$").isNotNull()
+    why = F.when(~marked & F.coalesce(first, F.lit(False)), F.lit("payload holds more than one document"))
+    reason = F.when(bad, why.otherwise(F.lit("payload does not match the schema")))
     absent = missing_required(value, target, True)
     if absent is not None:
         reason = reason.when(absent, F.lit("payload lacks a required field"))

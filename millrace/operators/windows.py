@@ -59,11 +59,11 @@ def count_windows(df: DataFrame, aggregations: Sequence[Aggregation], ts: str =
     per map task. Rows without event time belong to no window; :func:`with_event_time` sets them aside.
 
     A streaming query has one watermark, so streamed aggregations need one lateness here;
-    ``streaming.panes.count_panes`` gives each its own.
+    :func:`count_closed` gives each its own.
     """
     aggregations = distinct_names(aggregations)
     if df.isStreaming and len({a.lateness_ms for a in aggregations}) > 1:
-        raise ValueError("streamed aggregations of different lateness go through count_panes")
+        raise ValueError("streamed aggregations of different lateness go through count_closed")
     if len(aggregations) > 1 and not df.isStreaming:
         return _count_together(df, aggregations, ts)
 
@@ -81,6 +81,39 @@ def count_windows(df: DataFrame, aggregations: Sequence[Aggregation], ts: str =
     return reduce(DataFrame.unionByName, parts)
 
 
+def count_closed(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "event_ts") -> DataFrame:
+    """Streamed counts for append mode: one row per key and window, when the aggregation's own lateness has passed.
+
+    Any number of aggregations, each with its window length and lateness, share one read, one watermark and one native
+    stateful aggregation. The watermark trails by the greatest lateness M. An aggregation of lateness L counts in time
+    moved back by M - L: a window then ends M - L early, so the watermark passes its end exactly when L is over.
+    Partial counts are combined before the shuffle, so a hot key travels as one row per task.
+    """
+    aggregations = distinct_names(aggregations)
+    most = max(a.lateness_ms for a in aggregations)
+    early = [most - a.lateness_ms for a in aggregations]
+    shapes = [(a.length_ms, -back % a.length_ms) for a, back in zip(aggregations, early, strict=True)]
+
+    def row(slot: int, a: Aggregation):
+        moved = F.timestamp_micros(F.unix_micros("_ts") - early[slot] * 1000)
+        return F.struct(F.lit(slot).alias("_slot"), key_text(a.key_fields).alias("agg_key"), moved.alias("_t"))
+
+    fields = list(dict.fromkeys(f for a in aggregations for f in a.key_fields))
+    timed = df.filter(F.col(ts).isNotNull()).select(F.col(ts).alias("_ts"), *fields)
+    fanned = timed.select(F.inline(F.array(*[row(slot, a) for slot, a in enumerate(aggregations)])))
+    fanned = fanned.withWatermark("_t", interval(most))
+    columns = {shape: f"_window{number}" for number, shape in enumerate(dict.fromkeys(shapes))}
+    for (length, offset), column in columns.items():  # one window expression per select
+        fanned = fanned.withColumn(column, F.window("_t", interval(length), interval(length), interval(offset)))
+    # A field keeps the watermark of its column, which a conditional expression would lose.
+    windows = F.array(*[F.struct(F.lit(slot).alias("_at"), F.col(columns[shape]).alias("window")) for slot, shape in enumerate(shapes)])
+    own = fanned.select("_slot", "agg_key", F.inline(F.filter(windows, lambda w: w["_at"] == F.col("_slot"))))
+    counted = own.groupBy("window", "_slot", "agg_key").count()
+    names, back = F.array(*[F.lit(a.name) for a in aggregations]), F.array(*[F.lit(ms * 1000) for ms in early])
+    bounds = [F.timestamp_micros(F.unix_micros(F.col("window")[side]) + back[F.col("_slot")]).alias(side) for side in ("start", "end")]
+    return as_results(counted.select(names[F.col("_slot")].alias("agg_name"), "agg_key", F.struct(*bounds).alias("window"), "count"), F.col("count"))
+
+
 def _count_together(df: DataFrame, aggregations: Sequence[Aggregation], ts: str) -> DataFrame:
     """Bounded input, several aggregations: each event fans out to one row per aggregation."""
     fields = list(dict.fromkeys(f for a in aggregations for f in a.key_fields))

@@ -17,7 +17,7 @@ from millrace.operators.outcome import Outcome, union_errors, with_event_time
 from millrace.operators.stats import observe_payloads
 from millrace.operators.transforms import apply_frame, map_events
 from millrace.operators.transport import compress_schema, encode, schema_attributes, wrap
-from millrace.operators.windows import count_windows
+from millrace.operators.windows import count_closed, count_windows
 from millrace.plans.config import Aggregation, TableOptions, cell_destination, distinct_names
 from millrace.schemas import ERROR, TRANSPORT
 from millrace.session import fresh_dir
@@ -171,81 +171,99 @@ def aggregate_bounded(transports: DataFrame, schema, aggregations: Sequence[Aggr
     return Outcome(cells, union_errors([inflated.failed, decoded.failed, timed.failed]))
 
 
-@dataclass(frozen=True)
-class Running:
-    """The queries of one flow: the one that aggregates, and the one that stores its dead letters."""
+def closed_or_panes(decoded: DataFrame, aggregations: Sequence[Aggregation], closing: str) -> DataFrame:
+    """Panes where early firings are configured, otherwise one row per closed window, counted on the JVM."""
+    if not any(a.early.enabled for a in aggregations):
+        return count_closed(decoded, aggregations)
+    results = count_panes(decoded, aggregations, closing=closing)
+    quiet = [a.name for a in aggregations if not a.early.enabled]  # these write their final pane only
+    return results.filter(F.col("is_final") | ~F.col("agg_name").isin(quiet)) if quiet else results
 
-    main: object
-    errors: object | None = None
 
-    def finish(self) -> None:
-        """Wait for draining queries; a failure of either is raised when both have ended."""
-        try:
-            finish(self.main)
-        finally:
-            if self.errors is not None:
-                finish(self.errors)
+def results_and_errors(transports: DataFrame, schema, aggregations: Sequence[Aggregation], closing: str) -> DataFrame:
+    """``result`` of the aggregations, or ``error`` (with its ``event_ts``): dead letters of the same read.
 
-    def stop(self) -> None:
-        self.main.stop()
-        if self.errors is not None:
-            self.errors.stop()
+    Rows are inflated and parsed once, then dealt once in turn, good ones with their time and the key fields only. The
+    counts and the dead letters are two readers of that one shuffle, and a dead letter leaves in the micro-batch that
+    brought it, whatever the windows do.
+    """
+    whole = in_one_frame(unpack_all(transports), schema, None, None)
+    fields = list(dict.fromkeys(f for a in aggregations for f in a.key_fields))
+    untimed = F.col("error_class").isNull() & F.col("event_ts").isNull()
+    error = F.struct(
+        "event_id",
+        F.when(untimed, F.lit("event_time")).otherwise(F.col("stage")).alias("stage"),
+        F.when(untimed, F.lit("MissingEventTime")).otherwise(F.col("error_class")).alias("error_class"),
+        F.when(untimed, F.lit("the event has no event time")).otherwise(F.col("error_message")).alias("error_message"),
+        "attributes",
+        "payload",
+    )
+    failed = F.when(F.col("error_class").isNotNull() | F.col("event_ts").isNull(), error).alias("error")
+    tagged = whole.select("event_ts", *[F.col("record").getField(f).alias(f) for f in fields], failed)
+    dealt = tagged.repartition(int(transports.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # The rows pass a generator, so that neither side's filter sinks below the shuffle and makes two of it.
+    rows = dealt.select(F.inline(F.array(F.struct(*tagged.columns))))
+    results = closed_or_panes(rows.filter(F.col("error").isNull()), aggregations, closing)
+    kinds = [F.struct(*results.columns), F.lit(None).cast("timestamp"), F.lit(None).cast(tagged.schema["error"].dataType)]
+    left = results.select(*[kind.alias(name) for kind, name in zip(kinds, ("result", "event_ts", "error"), strict=True)])
+    nothing = F.lit(None).cast(left.schema["result"].dataType).alias("result")
+    return left.unionByName(rows.filter(F.col("error").isNotNull()).select(nothing, "event_ts", "error"))
 
 
 def start_aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always", trigger: dict | None = None, errors: TableOptions | None = None, merge_every: int | None = 50, state_partitions: int | None = None):
-    """Start windowed counts into a cell table; returns (table, running queries).
+    """Start windowed counts into a cell table; returns (table, running query).
 
     ``destination`` names the cell table in three parts; it becomes a folder below ``root``.
     Configured early firings bring panes; otherwise each window is written once, when it closes.
-    With ``errors``, the dead letters of the same input are stored beside (a stateful query has one output,
-    and they must not wait for windows to close); its checkpoint is ``<checkpoint>-errors``.
+    With ``errors``, the dead letters of the same read are stored in that table's error table, batch by batch.
     """
     aggregations = distinct_names(aggregations)
     table = CellTable(spark, "/".join([root.rstrip("/"), *cell_destination(destination)]), merge_every=merge_every)
-    decoded = decode(maybe_decompress(transports).ok, schema).ok
+    mode = "update" if any(a.early.enabled for a in aggregations) else "append"
+    if errors is None:
+        decoded = decode(maybe_decompress(transports).ok, schema).ok
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        table.write(cell_ops.to_cells(batch), batch_id)
-
-    one_window = len({(a.length_ms, a.lateness_ms) for a in aggregations}) == 1
-    if any(a.early.enabled for a in aggregations) or not one_window:
-        # One operator, one read of the source. Aggregations without early panes write their final one only.
-        results, mode = count_panes(decoded, aggregations, closing=closing), "update"
-        quiet = [a.name for a in aggregations if not a.early.enabled]
-        if quiet:
-            results = results.filter(F.col("is_final") | ~F.col("agg_name").isin(quiet))
-    else:
-        results, mode = count_windows(decoded, aggregations), "append"
-    side = None
-    if errors is not None:
-        side = start_errors(spark, transports, schema, errors, f"{checkpoint}-errors" if checkpoint else None, trigger)
-    return table, Running(start_batches(results, spark, "aggregate", handle, mode, checkpoint, trigger, state_partitions), side)
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            table.write(cell_ops.to_cells(batch), batch_id)
+
+        return table, start_batches(closed_or_panes(decoded, aggregations, closing), spark, "aggregate", handle, mode, checkpoint, trigger, state_partitions)
+
+    beside = AppendTable(spark, errors)
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # closed windows and dead letters, written one after the other
+        try:
+            table.write(cell_ops.to_cells(batch.filter(F.col("result").isNotNull()).select("result.*")), batch_id)
+            beside.write_errors(batch.filter(F.col("error").isNotNull()).select("error.*"), batch_id)
+        finally:
+            batch.unpersist()
+
+    frame = results_and_errors(transports, schema, aggregations, closing)
+    return table, start_batches(frame, spark, "aggregate", split, mode, checkpoint, trigger, state_partitions)
 
 
 def aggregate(spark: SparkSession, transports: DataFrame, schema, aggregations: Sequence[Aggregation], destination: str, root: str, checkpoint: str | None = None, closing: str = "always", errors: TableOptions | None = None) -> CellTable:
     """Aggregate what the source holds now, then stop."""
-    table, running = start_aggregate(spark, transports, schema, aggregations, destination, root, checkpoint, closing, errors=errors)
-    running.finish()
+    table, query = start_aggregate(spark, transports, schema, aggregations, destination, root, checkpoint, closing, errors=errors)
+    finish(query)
     return table
 
 
-def start_errors(spark: SparkSession, transports: DataFrame, schema, options: TableOptions, checkpoint: str | None = None, trigger: dict | None = None):
-    """Store the dead letters of the aggregation's input, missing event times included."""
+def aggregate_errors(spark: SparkSession, transports: DataFrame, schema, options: TableOptions, checkpoint: str | None = None) -> AppendTable:
+    """The dead letters alone, missing event times included, of what the source holds now."""
     table = AppendTable(spark, options)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        whole = in_one_frame(unpack_all(batch), schema, None, None)
-        late = F.col("error_class").isNull() & F.col("event_ts").isNull()
-        failed = whole.filter(F.col("error_class").isNotNull()).select(*ERROR.fieldNames())
-        table.write_errors(failed.unionByName(with_event_time(whole.filter(late)).failed), batch_id)
-
-    return start_batches(transports, spark, "aggregate-errors", handle, checkpoint=checkpoint, trigger=trigger)
-
+        whole = in_one_frame(unpack_all(batch), schema, None, None).persist()
+        try:
+            late = F.col("error_class").isNull() & F.col("event_ts").isNull()
+            failed = whole.filter(F.col("error_class").isNotNull()).select(*ERROR.fieldNames())
+            table.write_errors(failed.unionByName(with_event_time(whole.filter(late)).failed), batch_id)
+        finally:
+            whole.unpersist()
 
-def aggregate_errors(spark: SparkSession, transports: DataFrame, schema, options: TableOptions, checkpoint: str | None = None) -> AppendTable:
-    """The dead letters alone, of what the source holds now."""
-    finish(start_errors(spark, transports, schema, options, checkpoint))
-    return AppendTable(spark, options)
+    run_batches(transports, spark, "aggregate-errors", handle, checkpoint=checkpoint)
+    return table
 
 
 # -- files -------------------------------------------------------------------------------------

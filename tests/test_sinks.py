@@ -191,6 +191,36 @@ def test_aggregate_without_early_firings_and_its_errors(spark):
     assert errors.read_errors(ERROR).count() == 20
 
 
+def test_results_and_dead_letters_come_from_one_pass(spark):
+    """Every payload is inflated once, good or bad, and bad ones do not wait for a window to close."""
+    from millrace.operators.envelope import pack
+    from millrace.streaming.running import finish
+
+    plain = spark.range(0, 240, 1, 4).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.create_map().cast("map<string,string>").alias("attributes"),
+        F.when(F.col("id") % 8 == 0, F.lit('{"k": 1} x')).otherwise(F.concat(F.lit('{"k": '), F.col("id") % 3, F.lit("}"))).cast("binary").alias("payload"),
+        F.when(F.col("id") % 9 != 1, F.timestamp_seconds(F.col("id"))).alias("event_ts"),
+    )
+    path = fresh_dir(spark, "one-pass")
+    pack(plain, 30, 1).write.parquet(path)
+    stream = spark.readStream.schema(TRANSPORT).parquet(path)
+    for early in (EarlyFirings(), EarlyFirings(True, count=3)):
+        wanted = [Aggregation(("k",), 60_000, 0, early), Aggregation(("k",), 120_000, 30_000)]
+        options = TableOptions(fresh_dir(spark, "t"), guarantee="exactly_once")
+        table, query = flows.start_aggregate(spark, stream, K, wanted, "p.i.t", fresh_dir(spark, "root"), errors=options)
+        finish(query)
+        plan = query._jsq.explainInternal(False)
+        assert plan.count("ReusedExchange") == 1 and plan.count("explode(array(from_json") == 1, plan
+        failed = AppendTable(spark, options).read_errors(ERROR)
+        bad, untimed = {str(i) for i in range(0, 240, 8)}, {str(i) for i in range(240) if i % 9 == 1 and i % 8}
+        assert {(r["event_id"], r["stage"]) for r in failed.collect()} == {(i, "decode") for i in bad} | {(i, "event_time") for i in untimed}
+        assert failed.count() == len(bad | untimed)
+        final = [r for r in table.read().collect() if "_final:" in r["qualifier"] and "_1m_" in r["qualifier"]]
+        good = [i for i in range(180) if i % 8 and i % 9 != 1]  # the minute that starts at 180 is still open
+        assert sum(int.from_bytes(r["value"], "big") for r in final) == len(good)
+
+
 def test_generated_transports_carry_their_schema(spark):
     from millrace.operators.transport import expand_schema, schema_text
 

@@ -217,3 +217,24 @@ def test_inflating_is_bounded():
     for bad in (zlib.compress(b"x" * 1001), zlib.compress(b"x" * 500)[:-5], b"junk"):
         with pytest.raises((ValueError, zlib.error)):
             inflated(bad, 1000)
+
+
+def test_no_tail_passes_for_one_document(spark):
+    """What follows a document is never ignored, whatever it closes or reopens; the fail-fast form raises."""
+    from millrace.operators import decode as d
+
+    kind = T.StructType([T.StructField("k", T.LongType())])
+    good = ['{"k": 1}', ' {"k": 1} \n', '{"k": 1, "x": [{"y": "]}"}]}', "{}"]
+    bad = [
+        '{"k":1}] junk', '{"k":1}],[{"k":2}', '{"k":1}} x', '{"k":1}]}', '{"k":1},{"k":2}', '{"k":1} {"k":2}', '{"k":1},', ',{"k":1}', '{"k":1}],"x":[{"k":2}',
+        f'{{"k":1}}],"_corrupt":[', "[]", "[{\"k\":1}]", "1", '"{}"', "null", "", "  ", "]", "}", '{"k":"text"}', '{"k":1}/*', '{"k":1}],"_":[{"k":1}', "\x00", '{"k":1}\x00',
+    ]
+    rows = [(str(i), {}, bytearray(text.encode()), None) for i, text in enumerate(good + bad)]
+    outcome = d.decode(spark.createDataFrame(rows, TRANSPORT), kind)
+    assert sorted(int(r["event_id"]) for r in outcome.ok.collect()) == list(range(len(good)))
+    why = {int(r["event_id"]) - len(good): r["error_message"] for r in outcome.failed.collect()}
+    assert len(why) == len(bad)
+    assert {bad[i] for i, text in why.items() if "more than one" in text} >= set(bad[:6]) and "schema" in why[bad.index('{"k":"text"}')]
+    for i in range(len(good), len(rows)):
+        with pytest.raises(Exception, match="MalformedPayload"):
+            d.decode_or_fail(spark.createDataFrame([rows[i]], TRANSPORT), kind).collect()
