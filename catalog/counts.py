@@ -175,6 +175,34 @@ def cells_upsert(spark, sf_dir):
     return shown_cells(target.read())
 
 
+@query(
+    "cells_merge_while_writing",
+    f"""WITH c AS (SELECT *, o_orderkey % 4 AS b FROM ({PRICE_CELLS}))
+    SELECT 'all' AS reader, row_key, family, 0::BIGINT AS ts_micros, arg_max(value_hex, (b, o_orderkey)) AS value_hex FROM c GROUP BY row_key, family
+    UNION ALL SELECT 'pinned', row_key, family, 0, arg_max(value_hex, (b, o_orderkey)) FROM c WHERE b < 2 GROUP BY row_key, family""",
+)
+def cells_merge_while_writing(spark, sf_dir):
+    """Two merges run while batches are being written; a reader from before keeps its rows, and no batch is lost."""
+    cells = price_cells(spark, sf_dir).withColumn("qualifier", F.lit("price")).withColumn("ts_micros", F.lit(0).cast("bigint"))
+    target = CellTable(spark, fresh_dir(spark, "cells"))
+
+    def part(number):
+        return cell_ops.latest_cells(cells.filter(F.col("o_orderkey") % 4 == number), ["o_orderkey"])
+
+    target.write(part(1), 1)
+    target.write(part(0), 0)
+    pinned = target.read()
+    third = target.stage(part(2), 2)
+    target.merge()
+    target.write(part(3), 3)
+    target.merge()
+    target.commit(third, 2)
+    target.write(part(1), 1)
+    target.merge()
+    every = [df.withColumn("reader", F.lit(name)) for name, df in (("all", target.read()), ("pinned", pinned))]
+    return every[0].unionByName(every[1]).select("reader", "row_key", "family", "ts_micros", text_hex("value", "value_hex"))
+
+
 @query(
     "cells_max_versions",
     f"""SELECT row_key, family, qualifier, ts_micros, value_hex FROM (

@@ -106,12 +106,12 @@ def group_cells(cells: DataFrame) -> DataFrame:
     )
 
 
-def keep_versions(cells: DataFrame, versions: int = MAX_VERSIONS) -> DataFrame:
-    """The newest ``versions`` timestamps of each cell.
+def keep_versions(cells: DataFrame, versions: int = MAX_VERSIONS, columns: Sequence[str] = ()) -> DataFrame:
+    """The newest ``versions`` timestamps of each cell, with the cell's columns or those named.
 
     Spark limits each group on the map side first (window group limit), so a hot cell ships at
     most ``versions`` rows per map task.
     """
     newest = Window.partitionBy("row_key", "family", "qualifier").orderBy(F.col("ts_micros").desc())
     ranked = cells.withColumn("_rank", F.row_number().over(newest))
-    return ranked.filter(F.col("_rank") <= versions).select(*CELL.fieldNames())
+    return ranked.filter(F.col("_rank") <= versions).select(*(columns or CELL.fieldNames()))

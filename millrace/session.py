@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -98,7 +99,7 @@ class Folder:
     """Thin view of a path through the Hadoop file system, local or remote."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self._jvm = spark.sparkContext._jvm
+        self._jvm, self._gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
         self.path = self._jvm.org.apache.hadoop.fs.Path(path)
         self.fs = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -117,5 +118,42 @@ class Folder:
     def remove(self) -> None:
         self.fs.delete(self.path, True)
 
+    def text(self) -> str:
+        """Content of a small file."""
+        stream = self.fs.open(self.path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def put_text(self, text: str) -> None:
+        stream = self.fs.create(self.path, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def rename_to(self, target: str) -> bool:
+        """Rename, never over something that exists; False if the target is taken."""
+        jvm, path = self._jvm, self._jvm.org.apache.hadoop.fs.Path(target)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf())
+        if context.util().exists(path):
+            return False
+        options = self._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(self.fs.makeQualified(self.path), self.fs.makeQualified(path), options)
+        except Py4JJavaError as taken:
+            if context.util().exists(path):
+                return False
+            raise taken
+        return True
+
+    def modified_millis(self) -> int:
+        """Time of the last change of the folder, or of what lies in it; 0 if it does not exist."""
+        if not self.exists():
+            return 0
+        own = self.fs.getFileStatus(self.path).getModificationTime()
+        return max([own, *(status.getModificationTime() for status in self.children())])
+
     def set_mtime(self, status, millis: int) -> None:
         self.fs.setTimes(status.getPath(), millis, -1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,106 +11,119 @@ from pyspark.sql import types as T
 from millrace.operators.cells import MAX_VERSIONS, keep_versions, latest_cells
 from millrace.schemas import CELL
 from millrace.session import Folder, current_run
+from millrace.sinks.commits import CommitLog, Entry, State
 
 STORED = T.StructType(CELL.fields + [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
-INCLUDED = "run string, batch_id bigint"
+KEEP_SECONDS = 3600.0
 
 
 class CellTable:
     """Writing a batch touches only that batch's rows; nothing that exists is rewritten.
 
-    Layout: ``runs/<number>-<query id>`` numbers the queries that ever wrote here, in order of their first batch;
-    ``cells/run=<number>-<query id>/batch_id=n`` holds a micro-batch; ``merged/snapshot=k`` holds the cells of all
-    batches that its ``included`` table names (the last batch of each run). A snapshot counts once ``included`` is
-    complete, so a job lost half-way leaves the table as it was; then the folders it replaces are
-    removed. Later runs win over earlier ones, later batches over earlier ones of their run.
+    A log of commits (:class:`CommitLog`) says which folders are the table: ``cells/<run>-<batch>-<id>`` holds a micro-batch,
+    ``merged/<id>`` the cells of several of them. Every cell keeps the run and batch that wrote it, also in merged folders:
+    later runs win over earlier ones, later batches over earlier ones of their run, whenever they are committed. A
+    batch is committed when it is complete, a replayed batch takes the place of its first writing, and a merge takes
+    away the folders it has read and no others: a batch that is being written meanwhile is none of them. Of two merges
+    of the same folders the second is given up.
 
-    ``versions`` is the number of timestamps kept for each cell (None: all). With ``merge_every``, every so many
-    batches a snapshot is written, which bounds what a read has to merge.
+    ``versions`` is the number of timestamps kept for each cell (None: all). With ``merge_every``, a merge follows when so many
+    batches have not been merged, which bounds what a read has to combine. A reader has the folders of one version;
+    those that a merge replaces are deleted ``keep_seconds`` later.
     """
 
-    def __init__(self, spark: SparkSession, path: str, versions: int | None = MAX_VERSIONS, merge_every: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, versions: int | None = MAX_VERSIONS, merge_every: int | None = None, keep_seconds: float = KEEP_SECONDS):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.versions, self.merge_every = versions, merge_every
+        self.versions, self.merge_every, self.keep_seconds = versions, merge_every, keep_seconds
+        self.log = CommitLog(spark, self.path)
 
     def write(self, cells: DataFrame, batch_id: int) -> None:
-        """Idempotent: replaying a batch overwrites its own folder.
+        """Idempotent: a replayed batch replaces what its first try committed.
 
         Repeated writes of a cell in one batch: the greatest ``write_order`` wins where the frame has that
         column, else the greatest value.
         """
-        order = "write_order" if "write_order" in cells.columns else "value"
-        latest_cells(cells, [order]).write.mode("overwrite").parquet(f"{self.path}/cells/run={self._run()}/batch_id={batch_id}")
-        if self.merge_every and (batch_id + 1) % self.merge_every == 0:
+        self.commit(self.stage(cells, batch_id), batch_id)
+        if self.merge_every and len(self.batches()) >= self.merge_every:
             self.merge()
 
+    def stage(self, cells: DataFrame, batch_id: int) -> str:
+        """Write a batch's rows to a folder that nobody reads yet."""
+        order = "write_order" if "write_order" in cells.columns else "value"
+        folder = f"cells/{self._run()}-{batch_id:020d}-{uuid.uuid4().hex}"
+        latest_cells(cells, [order]).write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def commit(self, folder: str, batch_id: int) -> int:
+        """Make a staged batch part of the table; returns the version that has it."""
+        run = self._run()
+
+        def change(now: State) -> dict:
+            again = [f for f, about in now.live.items() if (about.get("run"), about.get("batch")) == (run, batch_id)]
+            return {"add": [Entry(folder, {"run": run, "batch": batch_id})], "remove": again}
+
+        return self.log.commit(change).version
+
     def _run(self) -> str:
-        """This query's name among the runs; taken once, found again after a restart."""
+        """This query's name among the runs, in order of their first batch; taken once, found again after a restart."""
         query = current_run(self.spark)
-        known = Folder(self.spark, f"{self.path}/runs").names()
-        for name in known:
-            if name.partition("-")[2] == query:
-                return name
-        number = max((int(name.partition("-")[0]) for name in known), default=-1) + 1
-        name = f"{number:08d}-{query}"
-        Folder(self.spark, f"{self.path}/runs/{name}").make()
-        return name
-
-    def snapshots(self) -> list[int]:
-        complete = []
-        for status in Folder(self.spark, f"{self.path}/merged").children():
-            if Folder(self.spark, status.getPath().toString() + "/included/_SUCCESS").exists():
-                complete.append(int(status.getPath().getName().partition("=")[2]))
-        return sorted(complete)
-
-    def batches(self) -> list[tuple[str, int]]:
-        """(run, batch) of every folder that no snapshot replaces."""
-        included = self._included()
-        found = []
-        for run in Folder(self.spark, f"{self.path}/cells").names():
-            run = run.partition("=")[2]
-            for name in Folder(self.spark, f"{self.path}/cells/run={run}").names():
-                number = int(name.partition("=")[2])
-                if number > included.get(run, -1):
-                    found.append((run, number))
-        return sorted(found)
-
-    def _included(self) -> dict[str, int]:
-        snapshots = self.snapshots()
-        if not snapshots:
-            return {}
-        rows = self.spark.read.schema(INCLUDED).parquet(f"{self.path}/merged/snapshot={snapshots[-1]}/included")
-        return {row["run"]: row["batch_id"] for row in rows.collect()}  # one row per run
-
-    def read(self) -> DataFrame:
-        """Latest value of every (row key, family, qualifier, timestamp), newest ``versions`` timestamps."""
-        snapshots = self.snapshots()
+
+        def change(now: State) -> dict | None:
+            return None if query in now.names else {"names": [query]}
+
+        return f"{self.log.commit(change).names.index(query):08d}"
+
+    def version(self) -> int:
+        """Number of the last commit, -1 for a new table."""
+        return self.log.state().version
+
+    def batches(self, version: int | None = None) -> list[tuple[str, int]]:
+        """(run, batch) of every folder that is not merged."""
+        return sorted((about["run"], about["batch"]) for about in self.log.state(version).live.values() if "run" in about)
+
+    def snapshots(self, version: int | None = None) -> list[int]:
+        """Numbers of the merged folders that are part of the table: one at most."""
+        return sorted(about["snapshot"] for about in self.log.state(version).live.values() if "snapshot" in about)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """Latest value of every (row key, family, qualifier, timestamp), newest ``versions`` timestamps; what later commits
+        do, merges included, does not change the frame. ``version`` reads an earlier state that is still kept."""
+        return self._current(self.log.state(version)).select(*CELL.fieldNames())
+
+    def _current(self, state: State) -> DataFrame:
         parts = self.spark.createDataFrame([], STORED)
-        folders = [f"{self.path}/cells/run={run}/batch_id={number}" for run, number in self.batches()]
-        if folders:
-            parts = self.spark.read.schema(STORED).option("basePath", f"{self.path}/cells").parquet(*folders)
-        if snapshots:
-            merged = self.spark.read.schema(CELL).parquet(f"{self.path}/merged/snapshot={snapshots[-1]}/cells")
-            parts = parts.unionByName(merged.select("*", F.lit("").alias("run"), F.lit(-1).cast("bigint").alias("batch_id")))
-        current = latest_cells(parts, ["run", "batch_id"])
-        return current if self.versions is None else keep_versions(current, self.versions)
+        merged = [f"{self.path}/{folder}" for folder, about in state.live.items() if "snapshot" in about]
+        batches = [f"{self.path}/{folder}" for folder, about in state.live.items() if "snapshot" not in about]
+        if batches:
+            # One read of all batches; a batch's order comes from its folder's name.
+            name = F.split(F.element_at(F.split(F.input_file_name(), "/"), -2), "-")
+            order = [name[0].alias("run"), name[1].cast("bigint").alias("batch_id")]
+            parts = parts.unionByName(self.spark.read.schema(CELL).parquet(*batches).select("*", *order))
+        if merged:
+            parts = parts.unionByName(self.spark.read.schema(STORED).parquet(*merged))
+        order = F.struct("run", "batch_id")
+        last = F.max_by(F.struct("value", "run", "batch_id"), order)
+        current = parts.groupBy("row_key", "family", "qualifier", "ts_micros").agg(last.alias("_last"))
+        current = current.select("row_key", "family", "qualifier", "ts_micros", "_last.*")
+        return current if self.versions is None else keep_versions(current, self.versions, STORED.fieldNames())
 
     def merge(self) -> None:
-        """Write a snapshot of everything so far, then remove what it replaces."""
-        batches = self.batches()
-        if not batches:
-            return
-        older = self.snapshots()
-        number = max(older, default=-1) + 1
-        included = self._included()
-        for run, batch in batches:
-            included[run] = max(batch, included.get(run, -1))
-        target = f"{self.path}/merged/snapshot={number}"
-        self.read().write.mode("overwrite").parquet(f"{target}/cells")
-        names = self.spark.createDataFrame(sorted(included.items()), INCLUDED)
-        names.coalesce(1).write.mode("overwrite").parquet(f"{target}/included")
-        for run, batch in batches:
-            Folder(self.spark, f"{self.path}/cells/run={run}/batch_id={batch}").remove()
-        for old in older:
-            Folder(self.spark, f"{self.path}/merged/snapshot={old}").remove()
+        """Put everything committed so far into one folder, and delete what was replaced ``keep_seconds`` ago or more."""
+        before = self.log.state()
+        if len(before.live) > 1:
+            folder = f"merged/{uuid.uuid4().hex}"
+            self._current(before).write.parquet(f"{self.path}/{folder}")
+
+            def change(now: State) -> dict | None:
+                taken = set(before.live)
+                number = 1 + max((about["snapshot"] for about in now.live.values() if "snapshot" in about), default=-1)
+                return {"add": [Entry(folder, {"snapshot": number})], "remove": taken} if taken <= set(now.live) else None
+
+            self.log.commit(change)
+        self.vacuum()
+
+    def vacuum(self, keep_seconds: float | None = None) -> list[str]:
+        """Delete folders that no reader of the last ``keep_seconds`` can have, batches that were never committed included."""
+        there = [f"{kind}/{name}" for kind in ("cells", "merged") for name in Folder(self.spark, f"{self.path}/{kind}").names()]
+        return self.log.vacuum(there, self.keep_seconds if keep_seconds is None else keep_seconds)

@@ -95,7 +95,7 @@ def test_later_runs_win_and_snapshots_hold_all_runs(spark):
 
 
 def test_cell_table_stays_small_and_capped(spark):
-    table = CellTable(spark, fresh_dir(spark, "cells"), versions=2, merge_every=4)
+    table = CellTable(spark, fresh_dir(spark, "cells"), versions=2, merge_every=4, keep_seconds=0)
     for number in range(9):
         table.write(cell(spark, "a", f"v{number}", number), number)
         assert len(table.batches()) < 4 and len(table.snapshots()) <= 1
