@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,11 @@ from catalog.counts import COUNT_15M, USER, count_by, count_sql, shown
 from catalog.registry import ntz, query, table
 from millrace.operators.windows import count_closed, count_windows
 from millrace.plans.config import Aggregation, EarlyFirings, millis
+from millrace.session import Folder, fresh_dir
 from millrace.sinks.files import with_window_folders
 from millrace.sources.events import SourceOptions, read_events
 from millrace.streaming.panes import count_panes
-from millrace.streaming.running import append_to_files, read_arrivals, stage_arrivals, update_to_files
+from millrace.streaming.running import append_to_files, read_arrivals, stage_arrivals, start_batches, update_to_files
 
 BATCHES = 12
 ROWS_PER_FILE = 1_000_000
@@ -224,3 +227,37 @@ def agg_latenesses(spark, sf_dir):
     closed = count_closed(late_events(spark, sf_dir), wanted)
     rows = spark.read.schema(closed.schema).parquet(append_to_files(closed, spark, "latenesses"))
     return rows.select("agg_name", "agg_key", ntz("window_start", "window_start"), ntz("window_end", "window_end"), F.col("result_long").alias("total"))
+
+
+@query(
+    "panes_early_delay",
+    f"""SELECT agg_key, window_start, window_end, pane, total FROM (
+      SELECT agg_key, window_start, window_end, 'early' AS pane, result_long AS total, max(window_end) OVER () AS last
+      FROM ({count_sql("count_user_id", USER, "1 day")}))
+    WHERE window_end > (SELECT max(ts) FROM events)""",
+)
+def panes_early_delay(spark, sf_dir):
+    """All events arrive at once and nothing after them: the windows still open show their early pane when the delay is over."""
+    wanted = [Aggregation(("user_id",), millis("1d"), 0, EarlyFirings(True, time_ms=1500))]
+    stream = event_stream(spark, sf_dir)
+    newest = F.date_trunc("day", F.max(F.col("ts").cast("timestamp")))
+    last = table(spark, sf_dir, "events").agg(newest).first()[0]
+    open_keys = table(spark, sf_dir, "events").filter(F.col("ts").cast("timestamp") >= F.lit(last)).select("user_id").distinct().count()
+    path = fresh_dir(spark, "early-delay")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.filter("pane = 'early'").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    panes = count_panes(stream, wanted, waiting=True)
+    running = start_batches(panes, spark, "early-delay", handle, "update", trigger={"processingTime": "300 milliseconds"})
+    schema = panes.schema
+    try:
+        deadline = time.monotonic() + 120
+        while running.isActive and time.monotonic() < deadline:
+            time.sleep(1)
+            if Folder(spark, path).exists() and spark.read.schema(schema).parquet(path).count() >= open_keys:
+                break
+    finally:
+        running.stop()
+    found = spark.read.schema(schema).parquet(path)
+    return found.select("agg_key", ntz("window_start", "window_start"), ntz("window_end", "window_end"), "pane", F.col("result_long").alias("total"))

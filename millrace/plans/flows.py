@@ -171,16 +171,16 @@ def aggregate_bounded(transports: DataFrame, schema, aggregations: Sequence[Aggr
     return Outcome(cells, union_errors([inflated.failed, decoded.failed, timed.failed]))
 
 
-def closed_or_panes(decoded: DataFrame, aggregations: Sequence[Aggregation], closing: str) -> DataFrame:
+def closed_or_panes(decoded: DataFrame, aggregations: Sequence[Aggregation], closing: str, waiting: bool) -> DataFrame:
     """Panes where early firings are configured, otherwise one row per closed window, counted on the JVM."""
     if not any(a.early.enabled for a in aggregations):
         return count_closed(decoded, aggregations)
-    results = count_panes(decoded, aggregations, closing=closing)
+    results = count_panes(decoded, aggregations, closing=closing, waiting=waiting)
     quiet = [a.name for a in aggregations if not a.early.enabled]  # these write their final pane only
     return results.filter(F.col("is_final") | ~F.col("agg_name").isin(quiet)) if quiet else results
 
 
-def results_and_errors(transports: DataFrame, schema, aggregations: Sequence[Aggregation], closing: str) -> DataFrame:
+def results_and_errors(transports: DataFrame, schema, aggregations: Sequence[Aggregation], closing: str, waiting: bool) -> DataFrame:
     """``result`` of the aggregations, or ``error`` (with its ``event_ts``): dead letters of the same read.
 
     Rows are inflated and parsed once, then dealt once in turn, good ones with their time and the key fields only. The
@@ -203,7 +203,7 @@ def results_and_errors(transports: DataFrame, schema, aggregations: Sequence[Agg
     dealt = tagged.repartition(int(transports.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # The rows pass a generator, so that neither side's filter sinks below the shuffle and makes two of it.
     rows = dealt.select(F.inline(F.array(F.struct(*tagged.columns))))
-    results = closed_or_panes(rows.filter(F.col("error").isNull()), aggregations, closing)
+    results = closed_or_panes(rows.filter(F.col("error").isNull()), aggregations, closing, waiting)
     kinds = [F.struct(*results.columns), F.lit(None).cast("timestamp"), F.lit(None).cast(tagged.schema["error"].dataType)]
     left = results.select(*[kind.alias(name) for kind, name in zip(kinds, ("result", "event_ts", "error"), strict=True)])
     nothing = F.lit(None).cast(left.schema["result"].dataType).alias("result")
@@ -220,13 +220,14 @@ def start_aggregate(spark: SparkSession, transports: DataFrame, schema, aggregat
     aggregations = distinct_names(aggregations)
     table = CellTable(spark, "/".join([root.rstrip("/"), *cell_destination(destination)]), merge_every=merge_every)
     mode = "update" if any(a.early.enabled for a in aggregations) else "append"
+    waiting = trigger is not None and "processingTime" in trigger  # the query keeps running
     if errors is None:
         decoded = decode(maybe_decompress(transports).ok, schema).ok
 
         def handle(batch: DataFrame, batch_id: int) -> None:
             table.write(cell_ops.to_cells(batch), batch_id)
 
-        return table, start_batches(closed_or_panes(decoded, aggregations, closing), spark, "aggregate", handle, mode, checkpoint, trigger, state_partitions)
+        return table, start_batches(closed_or_panes(decoded, aggregations, closing, waiting), spark, "aggregate", handle, mode, checkpoint, trigger, state_partitions)
 
     beside = AppendTable(spark, errors)
 
@@ -238,7 +239,7 @@ def start_aggregate(spark: SparkSession, transports: DataFrame, schema, aggregat
         finally:
             batch.unpersist()
 
-    frame = results_and_errors(transports, schema, aggregations, closing)
+    frame = results_and_errors(transports, schema, aggregations, closing, waiting)
     return table, start_batches(frame, spark, "aggregate", split, mode, checkpoint, trigger, state_partitions)
 
 

@@ -8,8 +8,10 @@ source. The watermark trails the largest event time by M, the largest allowed la
 With window end E and an aggregation's own lateness L, its on-time pane is a timer at E - M and the close of its
 window a timer at E + L - M; events that arrive when the watermark has reached that are dropped.
 
-A time-triggered early pane fires in the first micro-batch that brings events for its key once
-the delay has passed; set the trigger interval to the delay or below.
+One stateful operator has one clock, event time here. Alone it fires a time-triggered early pane in the first micro-batch that
+brings events for its key once the delay has passed. In a query that keeps running (``waiting``) a second operator stands behind
+it, on processing time: fed with the running counts, it holds a timer for every pane that waits, so a key that goes quiet shows
+its early pane when the delay is over, whether or not anything else arrives.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ from millrace.plans.config import Aggregation, distinct_names, interval
 
 PANES = "agg_name string, agg_key string, start_us bigint, end_us bigint, pane string, is_final boolean, total bigint, delta bigint"
 STATE = "total bigint, emitted bigint, since_ms bigint, on_time boolean"
+WAITING = "total bigint, emitted bigint, due_ms bigint"
+CHANGED = "changed"
+ORDER = (CHANGED, "early", "on_time", "final")
 
 
 @dataclass(frozen=True)
@@ -53,9 +58,10 @@ class Rule:
 class PaneProcessor(StatefulProcessor):
     """State of one (aggregation, key, window): the count, what was emitted, which panes fired."""
 
-    def __init__(self, rules: dict[str, Rule], closing: str):
+    def __init__(self, rules: dict[str, Rule], closing: str, waiting: bool = False):
         self.rules = rules
         self.closing = closing
+        self.waiting = waiting  # a WaitingProcessor decides on the panes of rules with a delay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -78,7 +84,10 @@ class PaneProcessor(StatefulProcessor):
             since = now  # first element of a new pane
         total += added
         fire = False
-        if not on_time and watermark < on_time_at:
+        if self.waiting and rule.early_ms is not None:
+            if not on_time and watermark < on_time_at:
+                yield self._pane(key, CHANGED, False, total, added)
+        elif not on_time and watermark < on_time_at:
             fire = rule.early_count is not None and total - emitted >= rule.early_count
             fire = fire or (rule.early_ms is not None and now - since >= rule.early_ms)
         if fire:
@@ -93,7 +102,8 @@ class PaneProcessor(StatefulProcessor):
         total, emitted, since, on_time = known
         close_at = key[3] // 1000 + self.rules[key[0]].close_ms
         if expiredTimerInfo.getExpiryTimeInMs() >= close_at:
-            if self.closing == "always" or total != emitted:
+            delayed = self.waiting and self.rules[key[0]].early_ms is not None
+            if delayed or self.closing == "always" or total != emitted:
                 yield self._pane(key, "final", True, total, total - emitted)
             self.state.clear()
         elif timerValues.getCurrentWatermarkInMs() < close_at:
@@ -118,6 +128,58 @@ class PaneProcessor(StatefulProcessor):
         )
 
 
+class WaitingProcessor(StatefulProcessor):
+    """Panes of rules with a delay, in processing time: the first element of a pane starts a timer.
+
+    Gets every change of a count, and on-time and final counts. State: the count, what was emitted, when the waiting pane
+    is due (0: none waits).
+    """
+
+    def __init__(self, rules: dict[str, Rule], closing: str):
+        self.rules = rules
+        self.closing = closing
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("waiting", WAITING)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        rule, arrived = self.rules[key[0]], sorted(rows, key=lambda r: (ORDER.index(r["pane"]), r["total"]))
+        if rule.early_ms is None:
+            for row in arrived:
+                yield PaneProcessor._pane(key, row["pane"], row["is_final"], row["total"], row["delta"])
+            return
+        total, emitted, due = self.state.get() or (0, 0, 0)
+        for row in arrived:
+            total = row["total"]
+            if row["pane"] == CHANGED:
+                if not due:
+                    due = timerValues.getCurrentProcessingTimeInMs() + rule.early_ms
+                    self.handle.registerTimer(due)
+                fire = "early" if rule.early_count is not None and total - emitted >= rule.early_count else None
+            else:
+                fire = row["pane"] if row["pane"] != "final" or self.closing == "always" or total != emitted else None
+            if due and row["pane"] != CHANGED or fire and due:
+                self.handle.deleteTimer(due)
+                due = 0
+            if fire:
+                yield PaneProcessor._pane(key, fire, row["is_final"], total, total - emitted)
+                emitted = total
+        if arrived[-1]["is_final"]:
+            self.state.clear()
+        else:
+            self.state.update((total, emitted, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.state.get()
+        if known is not None and known[2]:
+            yield PaneProcessor._pane(key, "early", False, known[0], known[0] - known[1])
+            self.state.update((known[0], known[0], 0))
+
+    def close(self) -> None:
+        pass
+
+
 HELD_GROUPS = 50_000
 
 
@@ -171,13 +233,14 @@ def pane_keys(df: DataFrame, aggregations: Sequence[Aggregation], ts: str) -> Da
     return timed.select(F.inline(F.array(*map(row, aggregations))))
 
 
-def count_panes(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "event_ts", closing: str = "always") -> DataFrame:
+def count_panes(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "event_ts", closing: str = "always", waiting: bool = False) -> DataFrame:
     """Panes of every aggregation, in result shape; ``result_long`` is the running count when
     panes accumulate and the increment when they discard.
 
     ``closing`` is ``always`` (each key and window gets exactly one final pane) or ``if_changed``
     (no final pane when nothing arrived since the pane before). Bounded input has no early panes:
-    every window simply closes.
+    every window simply closes. ``waiting`` adds the operator that fires after real delays; it is for queries that keep
+    running, as one that drains its source waits for nobody.
     """
     if not df.isStreaming:
         return count_windows(df, aggregations, ts)
@@ -186,11 +249,16 @@ def count_panes(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "e
 
     aggregations = distinct_names(aggregations)
     most_late = max(a.lateness_ms for a in aggregations)
-    processor = PaneProcessor({a.name: Rule.of(a, most_late) for a in aggregations}, closing)
-    counted = partial_counts(pane_keys(df, aggregations, ts))
-    panes = counted.groupBy("agg_name", "agg_key", "start_us", "end_us").transformWithState(
-        statefulProcessor=processor, outputStructType=PANES, outputMode="Update", timeMode="EventTime"
+    rules = {a.name: Rule.of(a, most_late) for a in aggregations}
+    waiting = waiting and any(rule.early_ms for rule in rules.values())
+    group = ["agg_name", "agg_key", "start_us", "end_us"]
+    panes = partial_counts(pane_keys(df, aggregations, ts)).groupBy(*group).transformWithState(
+        statefulProcessor=PaneProcessor(rules, closing, waiting), outputStructType=PANES, outputMode="Update", timeMode="EventTime"
     )
+    if waiting:
+        panes = panes.groupBy(*group).transformWithState(
+            statefulProcessor=WaitingProcessor(rules, closing), outputStructType=PANES, outputMode="Update", timeMode="ProcessingTime"
+        )
     window = F.struct(F.timestamp_micros("start_us").alias("start"), F.timestamp_micros("end_us").alias("end"))
     discarding = [a.name for a in aggregations if not a.early.accumulating]
     value = F.when(F.col("agg_name").isin(discarding), F.col("delta")).otherwise(F.col("total")) if discarding else F.col("total")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.windows import count_windows
 from millrace.plans.config import Aggregation, EarlyFirings
+from millrace.session import fresh_dir
 from millrace.streaming.panes import count_panes
 from millrace.streaming.running import (
     append_to_files,
@@ -158,3 +159,48 @@ def test_append_mode_drops_late_rows(spark, staged):
     rows = spark.read.schema(counts.schema).parquet(out).collect()
     assert len({(r["agg_key"], r["window_start"]) for r in rows}) == len(rows)
     assert sum(r["result_long"] for r in rows) < 700
+
+
+def test_a_quiet_key_shows_its_early_pane_after_a_real_delay(spark):
+    """Nothing arrives after the first batch but time; later events of the key start another wait, the close cancels one."""
+    import time
+
+    from millrace.streaming.running import start_batches
+    from tests.conftest import wait_until
+
+    source = fresh_dir(spark, "quiet")
+
+    def arrive(rows):
+        frame = spark.createDataFrame([(k, datetime.fromtimestamp(t)) for k, t in rows], "k string, event_ts timestamp")
+        frame.coalesce(1).write.mode("append").parquet(source)
+
+    arrive([("a", 10), ("a", 20), ("b", 30)])
+    stream = spark.readStream.schema("k string, event_ts timestamp").parquet(source)
+    both = [
+        Aggregation(("k",), 60_000, 0, EarlyFirings(True, time_ms=2_000, accumulating=False)),
+        Aggregation(("k",), 3_600_000, 0, EarlyFirings(True, count=3, time_ms=2_000)),
+    ]
+    seen, began = [], time.monotonic()
+
+    def handle(batch, number):
+        seen.extend((round(time.monotonic() - began, 1), r["agg_name"], r["agg_key"], r["pane"], r["result_long"]) for r in batch.collect())
+
+    query = start_batches(count_panes(stream, both, waiting=True), spark, "quiet", handle, "update", trigger={"processingTime": "200 milliseconds"})
+
+    def panes(pane):
+        return sorted((name[-2:], key, n) for _, name, key, kind, n in seen if kind == pane)
+
+    try:
+        first = [("1h", "a", 2), ("1h", "b", 1), ("1m", "a", 2), ("1m", "b", 1)]
+        wait_until(lambda: len(panes("early")) >= 4)
+        assert panes("early") == first and all(at >= 2 for at, *_ in seen) and not panes("final")
+        arrive([("a", 40)])  # the third element of the hour fires by number; the minute's waits again
+        wait_until(lambda: len(panes("early")) >= 6)
+        assert panes("early") == sorted([*first, ("1h", "a", 3), ("1m", "a", 1)])
+        arrive([("b", 50), ("c", 130)])
+        wait_until(lambda: len(panes("final")) >= 2)
+        assert panes("final") == [("1m", "a", 0), ("1m", "b", 1)]
+        wait_until(lambda: len(panes("early")) >= 9)
+        assert panes("early") == sorted([*first, ("1h", "a", 3), ("1m", "a", 1), ("1h", "b", 2), ("1h", "c", 1), ("1m", "c", 1)])
+    finally:
+        query.stop()
