@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from millrace.session import cut_lineage, fresh_dir
+from millrace.session import Folder, cut_lineage, fresh_dir
 
 #: A word is a run of anything but these six characters; ``bytes.split()`` cuts at exactly them.
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -41,9 +42,34 @@ def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[list]]
     return df.mapInArrow(run, spec)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: no recomputation, no lineage."""
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that :func:`stored` writes inside are removed at the end, but those written with ``keep``.
+
+    For steps whose result is itself stored: nothing that is returned may still read the others.
+    """
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.remove(made)
+        for path in made:
+            Folder(spark, path).remove()
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: no recomputation, no lineage.
+
+    ``keep``: the table outlives the innermost :func:`scratch`, up to the next one around it.
+    """
     path = fresh_dir(df.sparkSession, label)
+    open_ = _scratch[:-1] if keep else _scratch
+    if open_:
+        open_[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,21 +7,26 @@ amount of work, not the result. No pair at the threshold is missed, and every li
 
 Equal sets collapse first. In each bucket (documents with a prefix shingle in common; buckets with the same
 members count once) all are compared with one leader. Members that this links need not be compared
-with one another; the remaining ones are compared with every member of another component.
+with one another; the remaining ones meet the members of other components. There the join itself compares sizes and
+parity bitmaps: two sets whose bitmaps differ in d bits differ in d shingles or more, and sets of similarity 4/5 in at most
+a ninth of both sizes. Pairs that share a common passage and little else therefore leave no row.
 
-Defined results: texts without words equal one another; fewer words than a shingle form one shingle;
-repeated rows keep one result row each; documents without id take part but never name a component.
+Defined results: null texts and texts without words equal one another; fewer words than a shingle form one shingle; very long
+texts are read whole; repeated rows keep one result row each; documents without id take part but never name a component;
+other columns pass unchanged, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, stored, texts
+from millrace.llm.common import map_rows, scratch, stored, texts
 from millrace.llm.simhash import components
 from millrace.session import cut_lineage, scoped_conf
 
@@ -32,6 +37,7 @@ COMMON_USES, MOST_COMMON = 8, 200_000
 SALT = 200  # pairs of one document that meet in one task
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # each step is stored, so its shuffle files can go
 MIX = np.uint64(0x9E3779B97F4A7C15)
+BITS = 1024  # of a parity bitmap; results do not depend on it
 
 
 class WordHashes(dict):
@@ -68,10 +74,18 @@ def prefix(values: np.ndarray, common: np.ndarray) -> np.ndarray:
     n = len(values)
     if not n:
         return values
-    late = np.isin(values, common, kind="sort") if len(common) else np.zeros(n, bool)
+    late = np.zeros(n, bool)
+    if len(common):  # both are sorted
+        late = common[np.minimum(np.searchsorted(common, values), len(common) - 1)] == values
     return np.concatenate([values[~late], values[late]])[: n + (-PARTS * n) // OF + 1]
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """For each bit, whether an odd number of shingles falls on it, as longs."""
+    odd = np.bincount(values.view(np.uint64) * MIX >> np.uint64(64 - BITS.bit_length() + 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def common_shingles(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
     def run(batch: pa.RecordBatch):
         yield [[shingles(text, width) for text in texts(batch)]]
@@ -83,15 +97,18 @@ def common_shingles(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def distinct_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(key, rep, size, prefix), one row per distinct shingle set; rep is its smallest id."""
+    """(key, rep, size, prefix, bits), one row per distinct shingle set; rep is its smallest id."""
     common = common_shingles(docs, width)
 
     def run(batch: pa.RecordBatch):
         found = [shingles(text, width) for text in texts(batch)]
-        yield [batch.column("doc_id"), [key_of(s) for s in found], [len(s) for s in found], [prefix(s, common) for s in found]]
+        yield [
+            batch.column("doc_id"), [key_of(s) for s in found], [len(s) for s in found], [prefix(s, common) for s in found], [parities(s) for s in found]
+        ]
 
-    marked = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, key long, size int, prefix array<long>")
-    return stored(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "jaccard-sets")
+    marked = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, key long, size int, prefix array<long>, bits array<long>")
+    firsts = [F.first(c).alias(c) for c in ("size", "prefix", "bits")]
+    return stored(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), *firsts), "jaccard-sets", keep=True)
 
 
 def buckets(sets: DataFrame) -> DataFrame:
@@ -165,6 +182,11 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int = WI
     and up to there all common shingles are in both prefixes: fewer of them than is missing from
     the overlap that the threshold asks for, 4/9 of both sizes, rule a pair out.
     """
+    with scratch(docs.sparkSession):
+        return _verified(docs, sets, pairs, width)
+
+
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     pairs = stored(pairs.select("a", "b", "_n", "_m").distinct(), "jaccard-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     heads = stored(sets.select("key", F.col("prefix").alias("shingles")).join(ends, "key", "left_semi"), "jaccard-heads")
@@ -173,7 +195,13 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int = WI
     likely = stored(likely.drop("_shared"), "jaccard-likely")
     whole = whole_sets(docs, sets, likely.select(F.explode(F.array("a", "b")).alias("key")).distinct(), width)
     alike = F.col("_shared") * OF >= (F.col("_n") + F.col("_m") - F.col("_shared")) * PARTS
-    return stored(compared(likely, whole).filter(alike).select("a", "b"), "jaccard-links")
+    return stored(compared(likely, whole).filter(alike).select("a", "b"), "jaccard-links", keep=True)
+
+
+def differ_little(a: str, b: str):
+    """The bitmaps of ``a`` and ``b`` differ in no more bits than sets of similarity 4/5 may differ in shingles."""
+    bits = [F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(BITS // 64)]
+    return reduce(Column.__add__, bits) * (PARTS + OF) <= (F.col(f"{a}.size") + F.col(f"{b}.size")) * (OF - PARTS)
 
 
 def links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -187,14 +215,15 @@ def links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFrame:
     members = members.withColumn("_low", F.col("low.key")).join(leaders, "_low", "left").withColumn("_main", F.coalesce("_main", "_low"))
     members = stored(members.select("token", "key", "size", "_root", "_main", "_low"), "jaccard-members")
     apart = F.col("_root") != F.col("_main")
-    strays = members.filter(apart)
-    open_buckets = strays.select("token").distinct()
-    x, y = strays.alias("x"), members.join(open_buckets, "token", "left_semi").alias("y")
+    open_buckets = members.filter(apart).select("token").distinct()
+    near = members.join(open_buckets, "token", "left_semi").join(sets.select("key", "bits"), "key")
+    near = stored(near, "jaccard-near")
+    x, y = near.filter(apart).alias("x"), near.alias("y")
     once = (F.col("y._root") == F.col("y._main")) | (F.col("x.key") < F.col("y.key"))
     rest = x.join(
         y,
         (F.col("x.token") == F.col("y.token")) & (F.col("x._root") != F.col("y._root")) & (F.col("y.key") != F.col("y._low"))
-        & once & near_in_size(F.col("x.size"), F.col("y.size")),
+        & once & near_in_size(F.col("x.size"), F.col("y.size")) & differ_little("x", "y"),
     ).select(
         F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"),
         F.when(F.col("x.key") < F.col("y.key"), F.col("x.size")).otherwise(F.col("y.size")).alias("_n"),
@@ -208,11 +237,13 @@ def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     Repeated rows of a kept id and documents without id stay.
     """
-    columns = docs.columns
-    with scoped_conf(docs.sparkSession, {CLEAN: "true"}):
+    spark = docs.sparkSession
+    with scoped_conf(spark, {CLEAN: "true"}), scratch(spark):
         sets = distinct_sets(docs, width)
-        roots = stored(components(links(docs, sets, width)), "jaccard-roots")
+        roots = stored(components(links(docs, sets, width)), "jaccard-roots", keep=True)
     grouped = sets.select("key", "rep").join(roots, sets["key"] == roots["id"], "left").groupBy(F.coalesce("root", "key").alias("root"))
-    firsts = grouped.agg(F.min("rep").alias("_first")).select("_first").distinct()
-    kept = docs.join(firsts, F.col("doc_id") == F.col("_first"), "left_semi")
-    return kept.unionByName(docs.filter("doc_id IS NULL")).select(*columns)
+    firsts = grouped.agg(F.min("rep").alias("rep")).select("rep").distinct()
+    # The document as one column, so that none of its columns can clash.
+    held = docs.select(F.col("doc_id").alias("rep"), F.struct("*").alias("document"))
+    kept = held.filter("rep IS NOT NULL").join(firsts, "rep", "left_semi").unionByName(held.filter("rep IS NULL"))
+    return kept.select("document.*")
