@@ -178,7 +178,7 @@ def compared(pairs: DataFrame, values: DataFrame) -> DataFrame:
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The pairs (a, b) of similarity 4/5 or more.
 
-    Prefixes go first. Beyond the earlier end of the two prefixes one set has ``ceil(4n/5) - 1`` shingles at most,
+    Bitmaps go first, then prefixes. Beyond the earlier end of the two prefixes one set has ``ceil(4n/5) - 1`` shingles at most,
     and up to there all common shingles are in both prefixes: fewer of them than is missing from
     the overlap that the threshold asks for, 4/9 of both sizes, rule a pair out.
     """
@@ -187,8 +187,11 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int = WI
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    pairs = stored(pairs.select("a", "b", "_n", "_m").distinct(), "jaccard-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    met = stored(pairs.select("a", "b", "_n", "_m").distinct(), "jaccard-pairs")
+    marks = stored(sets.select("key", F.col("bits").alias("shingles")).join(ends_of(met), "key", "left_semi"), "jaccard-bits")
+    close = with_set(with_set(met, marks, "b", "a"), marks, "a", "b").filter(few_bits("_a", "_b", F.col("_n") + F.col("_m")))
+    pairs = stored(close.select("a", "b", "_n", "_m"), "jaccard-close")
+    ends = ends_of(pairs)
     heads = stored(sets.select("key", F.col("prefix").alias("shingles")).join(ends, "key", "left_semi"), "jaccard-heads")
     most = F.col("_shared") - 1 + F.ceil(F.greatest("_n", "_m") * PARTS / OF)
     likely = compared(pairs, heads).filter(most * (PARTS + OF) >= (F.col("_n") + F.col("_m")) * PARTS)
@@ -198,10 +201,18 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int) ->
     return stored(compared(likely, whole).filter(alike).select("a", "b"), "jaccard-links", keep=True)
 
 
-def differ_little(a: str, b: str):
-    """The bitmaps of ``a`` and ``b`` differ in no more bits than sets of similarity 4/5 may differ in shingles."""
-    bits = [F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(BITS // 64)]
-    return reduce(Column.__add__, bits) * (PARTS + OF) <= (F.col(f"{a}.size") + F.col(f"{b}.size")) * (OF - PARTS)
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+
+
+def few_bits(a: str, b: str, sizes: Column) -> Column:
+    """The bitmaps ``a`` and ``b`` differ in no more bits than sets of similarity 4/5 may differ in shingles."""
+    bits = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)]
+    return reduce(Column.__add__, bits) * (PARTS + OF) <= sizes * (OF - PARTS)
+
+
+def differ_little(a: str, b: str) -> Column:
+    return few_bits(f"{a}.bits", f"{b}.bits", F.col(f"{a}.size") + F.col(f"{b}.size"))
 
 
 def links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFrame:
