@@ -118,6 +118,10 @@ class Folder:
     def remove(self) -> None:
         self.fs.delete(self.path, True)
 
+    def qualified(self) -> str:
+        """The path with the file system that Spark finds it on, for readers that do not know Spark's default."""
+        return self.fs.makeQualified(self.path).toString()
+
     def text(self) -> str:
         """Content of a small file."""
         stream = self.fs.open(self.path)
