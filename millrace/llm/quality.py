@@ -4,10 +4,11 @@ A text that compresses far better than prose of its length repeats itself; one t
 compresses is noise. Both the whole text and fixed chunks of it are compressed with zstandard, and
 each ratio (compressed bytes / bytes) must lie in the band of its length. Short texts compress
 worse, so the limits depend on length. Long documents can hide a bad stretch behind a good average
-(or the reverse), hence the chunks: a document goes if more than half of them are out of band.
+(or the reverse), hence the chunks, the last one whatever its length, each judged by the limits of its own length. A document of two
+chunks or more goes if more than half of its bytes, or ``bad_run`` whole chunks in a row, are out of band.
 
 Defined results: null or empty text counts as no words and fails the base rule; ties and repeated
-rows are judged one by one, each the same; columns besides ``doc_id`` and ``text`` are ignored, so
+rows are judged one by one, each the same; very long texts are judged whole; columns besides ``doc_id`` and ``text`` are ignored, so
 their names cannot clash; an empty table gives an empty result.
 """
 
@@ -38,6 +39,7 @@ class Bands:
     chunk_low: float = 0.43
     chunk_high: float = 0.66
     bad_share: float = 0.5
+    bad_run: int = 4
     whole: tuple[tuple[float, float, float], ...] = (
         (128, 0.30, 2.00),
         (256, 0.45, 1.10),
@@ -54,6 +56,10 @@ class Bands:
     def limits(self, size: int) -> tuple[float, float]:
         return next((low, high) for below, low, high in self.whole if size < below)
 
+    def chunk_limits(self, size: int) -> tuple[float, float]:
+        """Those of a whole chunk, or of a text as short as the last one."""
+        return (self.chunk_low, self.chunk_high) if size == self.chunk_bytes else self.limits(size)
+
 
 def repeated_words(words: list[bytes]) -> int:
     """Words covered by three-word windows that occur at least twice, first occurrences included."""
@@ -83,18 +89,22 @@ def compression(data: bytes, bands: Bands, packer: zstandard.ZstdCompressor) ->
         return None, 0, 0, "empty"
     ratio = len(packer.compress(data)) / len(data)
     low, high = bands.limits(len(data))
-    step, chunks, bad = bands.chunk_bytes, 0, 0
-    # A last piece below half a chunk has the ratio of a short text and is left to the whole.
-    for start in range(0, len(data) - step // 2, step):
+    step, chunks, bad, bad_bytes, run, longest = bands.chunk_bytes, 0, 0, 0, 0, 0
+    for start in range(0, len(data), step):
         piece = data[start : start + step]
         share = len(packer.compress(piece)) / len(piece)
+        least, most = bands.chunk_limits(len(piece))
+        out = not least <= share <= most
         chunks += 1
-        bad += not bands.chunk_low <= share <= bands.chunk_high
+        bad += out
+        bad_bytes += out * len(piece)
+        run = run + 1 if out and len(piece) == step else 0
+        longest = max(longest, run)
     if ratio < low:
         return ratio, chunks, bad, "repetitive"
     if ratio > high:
         return ratio, chunks, bad, "incompressible"
-    if len(data) > 2 * step and bad > bands.bad_share * chunks:
+    if chunks > 1 and (bad_bytes > bands.bad_share * len(data) or longest >= bands.bad_run):
         return ratio, chunks, bad, "chunks"
     return ratio, chunks, bad, "kept"
 
@@ -122,7 +132,10 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """The documents that pass, with all their columns; rejected rows are dropped in place."""
+    """The documents that pass, with all their columns; rejected rows are dropped in place.
+
+    Null and empty texts are rejected, repeated rows stay or go together, columns of any name pass unchanged.
+    """
 
     def run(batches):
         for batch in batches:

@@ -61,6 +61,43 @@ def test_bands_reject_repetition_noise_and_bad_chunks():
     assert quality.compression(good, lenient, packer)[3] == "chunks"
 
 
+def kept_by_hand(text, bands):
+    """The base rule, then every band, written out anew."""
+    words = (text or "").encode().split()
+    if len(words) < 50 or 100 * counts_by_hand(text)[4] > 50 * len(words):
+        return False
+    data, pack = text.encode(), zstandard.ZstdCompressor(level=bands.level).compress
+    band = lambda n: next((a, b) for below, a, b in bands.whole if n < below)
+    inside = lambda piece, limits: limits[0] <= len(pack(piece)) / len(piece) <= limits[1]
+    pieces = [data[k : k + 2048] for k in range(0, len(data), 2048)]
+    good = [inside(p, (bands.chunk_low, bands.chunk_high) if len(p) == 2048 else band(len(p))) for p in pieces]
+    if not inside(data, band(len(data))):
+        return False
+    if len(pieces) == 1:
+        return True
+    bad = sum(len(p) for p, g in zip(pieces, good, strict=True) if not g)
+    runs = "".join("x" if not g and len(p) == 2048 else "." for p, g in zip(pieces, good, strict=True))
+    return 2 * bad <= len(data) and "xxxx" not in runs
+
+
+def test_kept_matches_a_plain_computation_on_the_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    kept = {r.doc_id: r.kept for r in entry.queries()["op1_compression_bands"](spark, SF).collect()}
+    assert kept == {k: kept_by_hand(t, quality.Bands()) for k, t in texts.items()}
+
+
+def test_bad_stretches_of_long_documents_and_tails():
+    bands, packer = quality.Bands(), zstandard.ZstdCompressor(level=3)
+    good, again = prose(5, 12_000).encode(), b"again and again, " * 600
+    easy = quality.Bands(chunk_low=0.3, whole=((float("inf"), 0.1, 2.0),))
+    assert quality.compression(good, easy, packer)[3] == "kept"
+    at = 2048 * 6
+    assert quality.compression(good[:at] + again[: 2048 * 4] + good[at:], easy, packer)[3] == "chunks"
+    assert quality.compression(good[:at] + again[: 2048 * 3] + good[at:], easy, packer)[3] == "kept"
+    for size in (2049, 2300, 4000, 4096, 4097):
+        assert quality.compression(good[:size], bands, packer)[1] == -(-size // 2048)
+
+
 def test_kept_documents_keep_their_columns(spark):
     docs = awkward(spark)
     kept = quality.kept_documents(docs)
