@@ -7,12 +7,17 @@ bit-parallel distance (semi-global: the item against any part of the window). Do
 streamed once against the stated items; nothing is shuffled but the findings.
 
 Text is compared case-folded with everything but letters and digits collapsed to one space, so
-punctuation and line breaks do not count as edits. Items are read in blocks of bounded size
-(``block_chars``), one pass over the documents for each block, so no automaton outgrows its worker.
+punctuation and line breaks do not count as edits. Normalised items are dealt to blocks of about
+``block_chars`` characters in a table of the shared folder; each task opens its block there, one pass over the
+documents for each block, so no automaton outgrows its worker and no item passes the driver.
 
-Defined results: null or empty texts and items match nothing; items shorter than ``least_chars`` after
+Short items (under ``least_chars`` normalised characters) have budget 0 and count only where they stand whole, between word
+bounds. Scripts written without spaces have a bound at every character.
+
+Defined results: null or empty texts and items match nothing; items under ``least_piece`` characters after
 normalising are ignored (a common word would condemn the corpus); equal items are reported each;
-repeated rows are reported each; other columns are ignored; empty tables give an empty result.
+repeated rows are reported each; very long texts are searched whole; of equally good places the first counts; other columns
+are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -20,15 +25,21 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
+from pyarrow import dataset
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, texts
+from millrace.llm.common import map_rows, stored, texts
+from millrace.llm.warc import opened
+from millrace.session import Folder, fresh_dir
 
+MOST_WRITERS = 200  # tasks that write item blocks
 SCHEMA = "doc_id long, item_id long, distance int, budget int, start long"
+UNSPACED = "\u2e80"  # from here on characters of scripts without spaces
 _GAPS = re.compile(r"[\W_]+")
 
 
@@ -45,6 +56,8 @@ def normal(text: str) -> str:
 
 
 def budget_of(item: str, how: Matching) -> int:
+    if len(item) < how.least_chars:
+        return 0
     return max(0, min(int(len(item) * how.edit_share), len(item) // how.least_piece - 1))
 
 
@@ -90,6 +103,7 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]], how: Matching):
         self.items = [(item_id, text, budget_of(text, how)) for item_id, text in items]
+        self.short = [len(text) < how.least_chars for _, text, _ in self.items]
         self.masks = [masks_of(text) for _, text, _ in self.items]
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, budget) in enumerate(self.items):
@@ -105,7 +119,8 @@ class Matcher:
         starts: dict[int, list[int]] = {}
         for end, (length, where) in self.automaton.iter(text):
             for number, offset in where:
-                starts.setdefault(number, []).append(end + 1 - length - offset)
+                if not self.short[number] or stands_alone(text, end + 1 - length, end + 1):
+                    starts.setdefault(number, []).append(end + 1 - length - offset)
         for number, guesses in starts.items():
             item_id, item, budget = self.items[number]
             best = None
@@ -120,6 +135,15 @@ class Matcher:
                 yield item_id, best[0], budget, best[1]
 
 
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether a passage begins and ends at word bounds."""
+    return not (joined(text[start - 1 : start], text[start]) or joined(text[end - 1], text[end : end + 1]))
+
+
+def joined(left: str, right: str) -> bool:
+    return left.isalnum() and right.isalnum() and max(left, right) < UNSPACED
+
+
 def windows(guesses: list[int], budget: int) -> Iterator[tuple[int, int]]:
     """Starts that lie within the error budget of each other share one verification."""
     low = high = guesses[0]
@@ -131,20 +155,36 @@ def windows(guesses: list[int], budget: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def item_blocks(benchmark: DataFrame, how: Matching) -> Iterator[list[tuple[int, str]]]:
-    """The stated items, normalised, in blocks of at most ``block_chars`` (one item at least)."""
-    block, held = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
-        item = normal(row["text"])
-        if len(item) < how.least_chars:
-            continue
-        if block and held + len(item) > how.block_chars:
-            yield block
-            block, held = [], 0
-        block.append((row["item_id"], item))
-        held += len(item)
-    if block:
-        yield block
+def item_blocks(benchmark: DataFrame, how: Matching) -> list[str]:
+    """Folders of normalised items, about ``block_chars`` characters each; the driver sees their names only."""
+    spark = benchmark.sparkSession
+
+    def run(batch: pa.RecordBatch):
+        yield [batch.column("item_id"), [normal(text) for text in texts(batch)]]
+
+    items = map_rows(benchmark.select(F.col("item_id").cast("long"), "text"), run, "item_id long, item string")
+    items = stored(items.filter(F.length("item") >= how.least_piece).withColumn("at", F.monotonically_increasing_id()), "items")
+    chars = items.agg(F.coalesce(F.sum(F.length("item")), F.lit(0))).first()[0]
+    blocks = -(-chars // how.block_chars)
+    if not blocks:
+        return []
+    folder = fresh_dir(spark, "item-blocks")
+    block = F.pmod(F.xxhash64("at"), F.lit(blocks)).cast("int")  # by position: copies of one item spread
+    items.withColumn("block", block).repartition(min(blocks, MOST_WRITERS), "block").write.partitionBy("block").parquet(folder)
+    names = [name for name in Folder(spark, folder).names() if name.startswith("block=")]
+    return [Folder(spark, f"{folder}/{name}").qualified() for name in sorted(names)]
+
+
+def read_block(folder: str) -> list[tuple[int, str]]:
+    files, path = opened(folder)
+    table = dataset.dataset(path, format="parquet", filesystem=files).to_table(columns=["item_id", "item"])
+    return sorted(zip(table.column("item_id").to_pylist(), table.column("item").to_pylist(), strict=True), key=repr)
+
+
+@lru_cache(maxsize=1)
+def matcher(folder: str, how: Matching) -> Matcher:
+    """The block's automaton; a Python worker keeps that of its last task."""
+    return Matcher(read_block(folder), how)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, how: Matching = Matching()) -> DataFrame:
@@ -156,16 +196,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Matching = Matching
     return found
 
 
-def searcher(block: list[tuple[int, str]], how: Matching):
-    held: list[Matcher] = []
-
+def searcher(block: str, how: Matching):
     def run(batch: pa.RecordBatch):
-        if not held:
-            held.append(Matcher(block, how))
         rows = [
             (doc_id, *hit)
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)
-            for hit in held[0].search(normal(text))
+            for hit in matcher(block, how).search(normal(text))
         ]
         if rows:
             yield list(map(list, zip(*rows, strict=True)))
@@ -174,18 +210,19 @@ def searcher(block: list[tuple[int, str]], how: Matching):
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, how: Matching = Matching()) -> DataFrame:
-    """The documents that contain no test item, with all their columns; filtered in place, no shuffle."""
+    """The documents that contain no test item, with all their columns; filtered in place, no shuffle.
+
+    Documents without text are clean; an empty benchmark keeps all; columns of any name pass unchanged.
+    """
     for block in item_blocks(benchmark, how):
         docs = docs.mapInArrow(cleaner(block, how), docs.schema)
     return docs
 
 
-def cleaner(block: list[tuple[int, str]], how: Matching):
+def cleaner(block: str, how: Matching):
     def run(batches):
-        matcher = None
         for batch in batches:
-            matcher = matcher or Matcher(block, how)
-            clean = [next(matcher.search(normal(text)), None) is None for text in texts(batch)]
+            clean = [next(matcher(block, how).search(normal(text)), None) is None for text in texts(batch)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return run
