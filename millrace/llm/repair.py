@@ -13,7 +13,8 @@ to the attempt; the rows that a task returns name those that count.
 
 Encoding asks the tokenizer library for each distinct stretch between single spaces once per cache: a
 cut before a space between two other characters is always a cut of the tokenizer's own pattern, so the
-ids are those of the whole text.
+ids are those of the whole text. Texts that hold the literal of one of the tokenizer's added tokens, such as ``<|endoftext|>``, go to
+the library as they are, which gives that token's id.
 
 Defined results: null text is empty and gets the end id alone; null doc ids come first; repeated rows
 are documents of their own; other columns are ignored; an empty table gives no files and no rows.
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import map_rows, stored, texts
 from millrace.llm.warc import create, opened, own_name
-from millrace.session import fresh_dir
+from millrace.session import Folder, fresh_dir
 
 END_ID = 2
 MAGIC = b"MRRP"
@@ -62,7 +63,6 @@ _CUTS = re.compile(r"(?<=\S)(?= \S)")
 class Grammar:
     shard_ids: int = 1 << 20
     least_uses: int = 12  # of a pair, for a rule
-    most_rounds: int = 6
     most_symbols: int = 1 << 16  # ids and nonterminals; two bytes a symbol
     file_ids: int = 1 << 26
 
@@ -82,7 +82,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        added = sorted(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.model = self.tokenizer.model
         self.tails: dict[str, bytes] = {"": b""}
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -94,6 +95,16 @@ class Encoder:
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
 
     def encode(self, values: list[str]) -> list[bytes]:
+        special = [at for at, text in enumerate(values) if self.added.search(text)]
+        if not special:
+            return self.stretched(values)
+        out = self.stretched(["" if self.added.search(text) else text for text in values])
+        for at, ids in zip(special, self.whole([values[at] for at in special]), strict=True):
+            out[at] = ids
+        return out
+
+    def stretched(self, values: list[str]) -> list[bytes]:
+        """Ids of texts without added tokens, stretch by stretch."""
         if len(self.known) > CACHED:
             self.known, self.older = {}, self.known
         cut = []
@@ -208,13 +219,21 @@ def chosen_places(codes: np.ndarray, pairs: np.ndarray, least: int) -> tuple[np.
 
 
 def separated(rank: np.ndarray, none: int) -> np.ndarray:
-    """Places no two of which are adjacent, the best ranks first: turns of taking local minima."""
+    """Places no two of which are adjacent, the best ranks first: turns of taking local minima.
+
+    In a run of one rank (one symbol repeated) every other place is taken at once.
+    """
     taken = np.zeros(len(rank), bool)
     left = rank.copy()
     for _ in range(4):
         best = left < none
-        best[1:] &= left[1:] < left[:-1]
+        best[1:] &= left[1:] <= left[:-1]
         best[:-1] &= left[:-1] <= left[1:]
+        again = np.flatnonzero(best[1:] & best[:-1]) + 1  # neighbours of one rank
+        if len(again):
+            starts = np.concatenate(([True], np.diff(again) > 1))
+            first = again[starts][np.cumsum(starts) - 1] - 1
+            best[again[(again - first) % 2 == 1]] = False
         taken |= best
         left[best] = none
         left[1:][best[:-1]] = none
@@ -230,7 +249,7 @@ def compress(ids: np.ndarray, how: Grammar = Grammar()) -> tuple[np.ndarray, np.
     base = int(symbols.max(initial=0)) + 1
     rules: list[np.ndarray] = []
     count = 0
-    for _ in range(how.most_rounds):
+    while True:  # each round with a rule shortens the sequence, so the rounds end
         free = how.most_symbols - base - count
         if len(symbols) < 2 or free <= 0:
             break
@@ -401,6 +420,7 @@ class Reader:
 
 def write_files(docs: DataFrame, tokenizer_file: str, folder: str, how: Grammar = Grammar()) -> DataFrame:
     """Manifest (part, number, path, documents, ids) of the files, in document order."""
+    folder = Folder(docs.sparkSession, folder).qualified()
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0

@@ -19,9 +19,7 @@ TOKENIZER = tokenizer_path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(TOKENIZER)
 
 
 @settings(max_examples=150, deadline=None)
@@ -54,6 +52,20 @@ def test_grammar_round_trip_and_random_access(ids, least, data):
     assert shard.ids(start, stop).tolist() == ids[start:stop]
 
 
+def test_special_tokens_are_the_librarys(library):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y<|endoftext|>", "", "plain <|endoftext"]
+    assert 50256 in library.encode(texts[0], add_special_tokens=False).ids
+    for text, ids in zip(texts, ENCODER.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_rounds_go_on_while_pairs_repeat():
+    ids = np.tile(np.arange(4), 1 << 14)
+    symbols, rules, lengths, base = repair.compress(ids)
+    assert lengths.max() > 64 and len(symbols) < 50
+    assert repair.Shard(symbols, rules, lengths, base).ids(0, len(ids)).tolist() == ids.tolist()
+
+
 def test_grammar_shrinks_repetition():
     ids = np.tile(np.arange(64), 500)
     symbols, rules, lengths, base = repair.compress(ids)
