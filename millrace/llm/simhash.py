@@ -14,7 +14,8 @@ alternating large-star / small-star rounds over checkpointed edges.
 
 Defined results: null and empty texts and texts of blanks have fingerprint zero, linked like any
 other; fewer words than a shingle form one shingle; repeated rows keep one result row each; documents
-without id take part but never name a component (null where no other is linked); an empty table gives an empty result.
+without id take part but never name a component (null where no other is linked); a bit set in exactly half of the shingles (a tie) is 0;
+very long texts are read whole; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ SEED = 42
 SAMPLE = 2000  # fingerprints from which work is estimated; results do not depend on it
 HOT_BUCKET = 1500
 NO_ID = 1 << 62  # ids are below
+LOT = 1 << 19  # probes of one batch
 PAIR_COST, PROBE_COST = 1.0, 6.0  # measured: about 0.5 and 2.5 microseconds
 
 
@@ -177,12 +179,28 @@ def plan(prints: DataFrame, rows: int, distance: int) -> list[tuple[list[int], i
 # -- probe and verify
 
 
-def flips(bits, radius: int) -> list[int]:
-    return [mask_of(combo) for k in range(radius + 1) for combo in combinations(bits, k)]
+def flips(bits, radius: int) -> np.ndarray:
+    return np.array([mask_of(combo) for k in range(radius + 1) for combo in combinations(bits, k)], np.uint64)
 
 
-def longs(values: list[int]):
-    return F.expr("array(" + ",".join(f"{signed(v)}L" if signed(v) != -(1 << 63) else "(-9223372036854775807L - 1L)" for v in values) + ")")
+def flipped(prints: DataFrame, parts: list[tuple[int, np.ndarray]]) -> DataFrame:
+    """(fp, rep, part, value): each fingerprint under all of a part's flips, on the bits of the part's mask.
+
+    The masks travel with the function, so plans stay small whatever their number.
+    """
+
+    def run(batch: pa.RecordBatch):
+        fps = batch.column("fp").to_numpy(zero_copy_only=False)
+        reps = batch.column("rep").to_numpy(zero_copy_only=False)
+        for number, (mask, turns) in enumerate(parts):
+            step = max(1, LOT // len(turns))
+            for at in range(0, len(fps), step):
+                some = fps[at : at + step]
+                values = (some.view(np.uint64)[:, None] ^ turns) & np.uint64(mask)
+                repeated = [np.repeat(c, len(turns)) for c in (some, reps[at : at + step])]
+                yield [*repeated, np.full(values.size, number, np.int32), values.ravel().view(np.int64)]
+
+    return map_rows(prints.select("fp", "rep"), run, "fp long, rep long, part int, value long")
 
 
 def links(prints: DataFrame, distance: int, hot_bucket: int = HOT_BUCKET) -> DataFrame:
@@ -192,15 +210,8 @@ def links(prints: DataFrame, distance: int, hot_bucket: int = HOT_BUCKET) -> Dat
     around midpoints that connect the same fingerprints.
     """
     scheme = [(bits, t) for bits, t in plan(prints, prints.count(), distance) if t >= 0]
-    fp = F.col("fp")
-
-    def key(number: int, bits: list[int], flipped):
-        return F.struct(F.lit(number).alias("part"), flipped.bitwiseAND(F.lit(signed(mask_of(bits)))).alias("value"))
-
-    keys = [key(number, bits, fp) for number, (bits, _) in enumerate(scheme)]
-    probes = [_each(flips(bits, t), fp, key, number, bits) for number, (bits, t) in enumerate(scheme)]
-    index = prints.select("fp", "rep", F.inline(F.array(*keys)))
-    probe = prints.select("fp", "rep", F.inline(F.flatten(F.array(*probes))))
+    index = flipped(prints, [(mask_of(bits), flips(bits, 0)) for bits, _ in scheme])
+    probe = flipped(prints, [(mask_of(bits), flips(bits, t)) for bits, t in scheme])
     hot = cut_lineage(prints.sparkSession, index.groupBy("part", "value").count().filter(F.col("count") > hot_bucket).select("part", "value"))
     stars = None
     if hot.take(1):
@@ -221,19 +232,15 @@ def links(prints: DataFrame, distance: int, hot_bucket: int = HOT_BUCKET) -> Dat
         left.join(right, (F.col("q.part") == F.col("x.part")) & (F.col("q.value") == F.col("x.value")) & (F.col("q.fp") < F.col("x.fp")) & near)
         .select(F.col("q.rep").alias("a"), F.col("x.rep").alias("b"))
     )
-    return (pairs if stars is None else pairs.unionByName(stars)).filter("a <> b").distinct()
-
-
-def _each(masks: list[int], fp, key, number: int, bits: list[int]):
-    return F.transform(longs(masks), lambda mask: key(number, bits, fp.bitwiseXOR(mask)))
+    return stored((pairs if stars is None else pairs.unionByName(stars)).filter("a <> b").distinct(), "simhash-links")
 
 
 def midpoint_stars(dense: DataFrame, distance: int) -> DataFrame:
     """Edges (smallest rep at a midpoint, rep): a fixed number of rows per fingerprint, no pairs."""
     spark = dense.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    near = longs(flips(range(BITS), distance // 2))
-    marks = dense.repartition(tasks, "fp").select("rep", F.explode(F.transform(near, lambda m: F.col("fp").bitwiseXOR(m))).alias("mid"))
+    whole = [(mask_of(range(BITS)), flips(range(BITS), distance // 2))]
+    marks = flipped(dense.repartition(tasks, "fp"), whole).select("rep", F.col("value").alias("mid"))
     least = marks.groupBy("mid").agg(F.min("rep").alias("low"), F.count("*").alias("n")).filter("n > 1")
     return marks.join(least, "mid").select(F.col("low").alias("a"), F.col("rep").alias("b")).filter("a <> b").distinct()
 
@@ -272,7 +279,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, width: int = 4, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """(doc_id, fingerprint, component_id, fp) per document."""
+    """(doc_id, fingerprint, component_id) per document."""
     if distance < 2 or distance % 2:
         raise ValueError("the distance must be even: midpoints of hot buckets lie half-way")
     marked = stored(fingerprints(docs, width), "simhash")
@@ -296,7 +303,8 @@ def one_of_each(docs: DataFrame, distance: int = 4, width: int = 4) -> DataFrame
 
     Repeated rows of a kept id and documents without id stay.
     """
-    columns = docs.columns
     firsts = near_duplicates(docs, distance, width).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts.withColumnRenamed("doc_id", "_first"), F.col("doc_id") == F.col("_first"), "left_semi")
-    return kept.unionByName(docs.filter("doc_id IS NULL")).select(*columns)
+    # The document as one column, so that none of its columns can clash.
+    held = docs.select("doc_id", F.struct("*").alias("document"))
+    kept = held.join(firsts, "doc_id", "left_semi").unionByName(held.filter("doc_id IS NULL"))
+    return kept.select("document.*")

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from millrace.llm import simhash
@@ -69,6 +70,18 @@ def test_links_connect_what_pairs_connect(spark, hot_bucket, distance):
     assert len(set(expected.values())) < len(prints)
 
 
+def test_columns_of_any_name_and_small_plans(spark):
+    docs = awkward(spark).select("*", *(F.lit(7).alias(c) for c in ("_first", "document", "rep", "root", "id")))
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and {(r._first, r.document) for r in kept.collect()} == {(7, 7)}
+    prints = spark.createDataFrame([(n * 977, n) for n in range(50)], "fp long, rep long")
+    flipped = simhash.flipped(prints, [(2**64 - 1, simhash.flips(range(64), 2))])
+    assert len(flipped._jdf.queryExecution().toString()) < 10_000
+    assert flipped.count() == 50 * 2081
+    values = {r.value for r in flipped.filter("rep = 3").collect()}
+    assert len(values) == 2081 and all((v ^ 3 * 977).bit_count() <= 2 or v < 0 for v in values)
+
+
 def test_thresholds_meet_the_pigeonhole_bound():
     draw = np.random.default_rng(1)
     sample = draw.integers(0, 2**63, 500, dtype=np.uint64)
