@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_rows, stored
-from millrace.session import fresh_dir
+from millrace.session import Folder, fresh_dir
 
 LEAST_BYTES = 100
 ARCHIVE_BYTES = 64 << 20  # of records, before compression, after which a new archive begins
@@ -42,6 +42,7 @@ RESULT = "page_id long, payload_bytes long, payload_digest string, record_type s
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a name. Names without scheme are local; stages qualify theirs on the driver first."""
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
     if uri.startswith("file:"):
@@ -93,17 +94,20 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 def inflate(pieces: Iterator[bytes]) -> Iterator[bytes]:
     """The content of a gzip file of any number of members, in pieces of bounded size."""
-    unpacker = zlib.decompressobj(wbits=31)
+    unpacker, within = zlib.decompressobj(wbits=31), False
     for piece in pieces:
         while True:
+            within = within or bool(piece)
             out = unpacker.decompress(piece, PIECE)
             if out:
                 yield out
             piece = unpacker.unconsumed_tail
             if unpacker.eof:
-                piece, unpacker = unpacker.unused_data, zlib.decompressobj(wbits=31)
+                piece, unpacker, within = unpacker.unused_data, zlib.decompressobj(wbits=31), False
             if not piece and len(out) < PIECE:  # a full piece may leave more inside
                 break
+    if within:
+        raise ValueError("the archive ends within a gzip member")
 
 
 def records(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -146,6 +150,7 @@ def classified(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 def write_monolithic(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Archives of one gzip stream each; (path, records) per archive."""
+    folder = Folder(pages.sparkSession, folder).qualified()
 
     def run(batches):
         stream = archive = None
@@ -188,8 +193,11 @@ def pieces_of(uri: str, start: int = 0, length: int | None = None) -> Iterator[b
             yield data
 
 
-def normalise_file(source: str, folder: str) -> tuple[str, str, int]:
-    """Rewrite one archive as (archive, index, records); the index has a JSON line per member."""
+def normalise_file(source: str, folder: str, expected: int | None = None) -> tuple[str, str, int]:
+    """Rewrite one archive as (archive, index, records); the index has a JSON line per member.
+
+    An archive that is cut, or that does not hold the ``expected`` number of records, is an error.
+    """
     target = own_name(folder, ".warc.gz")
     sidecar = target + ".idx"
     offset = count = 0
@@ -199,6 +207,8 @@ def normalise_file(source: str, folder: str) -> tuple[str, str, int]:
             out.write(member)
             index.write((json.dumps({"offset": offset, "length": len(member), "id": parse_id(data)}) + "\n").encode())
             offset, count = offset + len(member), count + 1
+    if expected is not None and count != expected:
+        raise ValueError(f"{source} holds {count} records, not {expected}")
     return target, sidecar, count
 
 
@@ -213,14 +223,16 @@ def spread_files(archives: DataFrame) -> DataFrame:
 
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
-    """(archive, sidecar, records) per monolithic archive."""
+    """(archive, sidecar, records) per monolithic archive (path, and the records it should hold where that is known)."""
+    folder = Folder(archives.sparkSession, folder).qualified()
+    records = F.col("records") if "records" in archives.columns else F.lit(None).cast("long").alias("records")
 
     def run(batch: pa.RecordBatch):
-        for path in batch.column("path").to_pylist():
-            archive, sidecar, count = normalise_file(path, folder)
+        for path, expected in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
+            archive, sidecar, count = normalise_file(path, folder, expected)
             yield [[archive], [sidecar], [count]]
 
-    return map_rows(spread_files(archives).select("path"), run, "archive string, sidecar string, records long")
+    return map_rows(spread_files(archives).select("path", records), run, "archive string, sidecar string, records long")
 
 
 def read_back(normalised: DataFrame) -> DataFrame:

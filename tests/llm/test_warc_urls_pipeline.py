@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import json
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -76,6 +77,28 @@ def test_records_are_cut_whatever_the_pieces(payloads, step):
             list(warc.records(iter([data[:-1]])))
 
 
+def test_cut_archives_are_errors(spark):
+    folder = fresh_dir(spark, "warc-cut")
+    wanted = [warc.record(i, "u", "response", bytes([i]) * 5000, "d", None) for i in range(20)]
+    packer = zlib.compressobj(6, wbits=31)
+    at_edge = packer.compress(b"".join(wanted[:7])) + packer.flush(zlib.Z_SYNC_FLUSH)  # cut at a record's edge
+    whole = gzip.compress(b"".join(wanted))
+    for name, data, message in (("edge", at_edge, "gzip member"), ("short", whole[:-4], "gzip member"), ("fewer", gzip.compress(b"".join(wanted[:19])), "19 records")):
+        with warc.create(f"{folder}/{name}.warc.gz") as out:
+            out.write(data)
+        with pytest.raises(ValueError, match=message):
+            warc.normalise_file(f"{folder}/{name}.warc.gz", folder, 20)
+    archives = spark.createDataFrame([(f"{folder}/fewer.warc.gz", 20)], "path string, records long")
+    with pytest.raises(Exception, match="19 records"):
+        warc.normalise(archives, folder).collect()
+
+
+def test_folders_are_qualified_on_the_driver(spark):
+    rows = [(n, "u", "x" * n) for n in range(30)]
+    archives = warc.write_monolithic(warc.classified(pages(spark, rows)), fresh_dir(spark, "warc-names"))
+    assert all(r.path.startswith("file:/") for r in archives.collect())
+
+
 def split_by_hand(url):
     if url is None or "://" not in url:
         return "", ""
