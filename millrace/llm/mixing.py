@@ -18,8 +18,8 @@ never one group: sizes split it, and ids split a size into slices.
 
 Defined results: null and empty texts have size 0; they follow their source's rate and take nothing.
 A null source is a source of its own, the last. Targets of empty sources are 0. Repeated rows are
-documents of their own; ties are broken by id, then slice order; an empty table gives an empty
-result; other columns are ignored.
+documents of their own; ties are broken by id, then slice order; very long texts are counted whole; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -132,8 +132,11 @@ def round_cells(cells: DataFrame, solved: DataFrame, most: int) -> DataFrame:
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The documents in the mix, each as often as it is taken; columns unchanged.
 
-    Rows of one id share a number of copies: the greatest that any of them was given.
+    Rows of one id share a number of copies: the greatest that any of them was given. Null and empty texts follow their source's
+    rate, very long ones count whole, other columns may have any name, and an empty table gives an empty result.
     """
     chosen = mix(docs, weights, most).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    many = docs.join(chosen.filter("_copies > 0").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    # The document as one column, so that none of its columns can clash.
+    held = docs.select(F.col("doc_id").alias("_key"), F.struct("*").alias("document"))
+    many = held.join(chosen.filter("_copies > 0").hint("merge"), F.col("_key").eqNullSafe(F.col("_id")))
+    return many.select("document", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("document.*")

@@ -15,7 +15,7 @@ table after each level.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged by
 the template of the empty path; segments beyond ``most_levels`` count as one; equal urls get equal verdicts
-and one row each; null ids are carried; other columns are ignored; an empty table gives an empty result.
+and one row each; ties of purity with the limit are allowed; very long urls are read whole; null ids are carried; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -61,6 +61,34 @@ def test_decontamination_matches_brute_force(spark):
     assert found == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "hit"),
+    [("So: why is it BLUE? Because", True), ("why is it bluest", False), ("thewhy is it blue", False), ("why is it blu", False), ("why is it blue", True)],
+)
+def test_short_items_match_whole_at_word_bounds(text, hit):
+    item = decontam.normal("Why is it blue?")
+    found = list(decontam.Matcher([(1, item)], decontam.Matching()).search(decontam.normal(text)))
+    assert [f[:3] for f in found] == [(1, 0, 0)] * hit
+
+
+def test_short_items_of_scripts_without_spaces(spark):
+    items = spark.createDataFrame([(1, "水の沸点は何度ですか"), (2, "the cat")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "問題水の沸点は何度ですか答え"), (2, "水の沸点は何度"), (3, "the cat")], "doc_id long, text string")
+    assert rows_of(decontam.contaminated(docs, items), "doc_id", "item_id", "distance") == [(1, 1, 0)]
+    assert rows_of(decontam.clean_documents(docs, items), "doc_id") == [(2,), (3,)]
+
+
+def test_item_blocks_are_read_by_the_tasks(spark):
+    rows = [(n, prose(n, 12)) for n in range(300)] + [(7, prose(7, 12))] * 100
+    how = decontam.Matching(block_chars=3000)
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    blocks = decontam.item_blocks(items, how)
+    held = [decontam.read_block(block) for block in blocks]
+    assert sorted(x for block in held for x in block) == sorted((n, decontam.normal(t)) for n, t in rows)
+    assert len(blocks) > 5 and max(sum(len(t) for _, t in block) for block in held) < 3 * how.block_chars
+    assert decontam.item_blocks(items.limit(0), how) == []
+
+
 def test_decontamination_blocks_and_awkward_rows(spark):
     docs = awkward(spark)
     items = spark.createDataFrame([(1, prose(1, 300)[:200], "x"), (1, prose(1, 300)[:200], "x"), (2, None, "x"), (3, "", "x"), (4, "word", "x"), (5, prose(12, 120)[50:300], "x")], "item_id long, text string, budget string")
@@ -179,3 +207,15 @@ def test_shards_of_awkward_rows(spark):
     sizes = Counter(r.shard for r in rows)
     assert max(sizes.values()) - min(sizes.values()) <= 1 and math.isclose(sum(sizes.values()), docs.count())
     assert sharding.sharded(nothing(spark)).count() == 0
+
+
+def test_mixed_documents_keep_columns_of_any_name(spark):
+    docs = awkward(spark).select("*", *(F.lit(7).alias(c) for c in ("_copy", "_copies", "_id", "_key", "document", "_first", "rep", "taken")))
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    counts = {r.doc_id: r.copies for r in mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("copies")).collect()}
+    rows = mixed.collect()
+    assert {(r._copy, r._copies, r._id, r._key, r.document) for r in rows} == {(7, 7, 7, 7, 7)}
+    given = {r.doc_id: r["count"] for r in docs.groupBy("doc_id").count().collect()}
+    assert len(rows) == sum(given[k] * counts[k] for k in given)
+    assert mixing.mixed_documents(nothing(spark)).count() == 0
