@@ -14,8 +14,9 @@ from millrace.plans.config import Aggregation, EarlyFirings, millis
 from millrace.session import Folder, fresh_dir
 from millrace.sinks.files import with_window_folders
 from millrace.sources.events import SourceOptions, read_events
+from millrace.sources.topic import read_topic_log, topic_records, write_topic_log
 from millrace.streaming.panes import count_panes
-from millrace.streaming.running import append_to_files, read_arrivals, stage_arrivals, start_batches, update_to_files
+from millrace.streaming.running import append_to_files, read_arrivals, run_to_end, stage_arrivals, start_batches, update_to_files
 
 BATCHES = 12
 ROWS_PER_FILE = 1_000_000
@@ -261,3 +262,39 @@ def panes_early_delay(spark, sf_dir):
         running.stop()
     found = spark.read.schema(schema).parquet(path)
     return found.select("agg_key", ntz("window_start", "window_start"), ntz("window_end", "window_end"), "pane", F.col("result_long").alias("total"))
+
+
+def events_topic(spark, sf_dir) -> str:
+    """All events, in twelve batches, as a topic of four partitions by number."""
+    path = fresh_dir(spark, "topic") + "/events"
+    events = late_events(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("event_id"), F.create_map(F.lit("type"), "event_type").alias("attributes"),
+        F.col("props").cast("binary").alias("payload"), "event_ts",
+    )
+    records = topic_records(events, 4, F.pmod(F.col("event_id").cast("long"), F.lit(4)))
+    run_to_end(write_topic_log(records, path, fresh_dir(spark, "topic-writer")), spark)
+    return path
+
+
+@query("topic_roundtrip", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props, ts AS event_ts FROM events")
+def topic_roundtrip(spark, sf_dir):
+    """Written to a topic by one query, read from it as transports by another."""
+    stream = read_events(spark, SourceOptions("topic", events_topic(spark, sf_dir)))
+    path = append_to_files(stream, spark, "topic-read")
+    read = spark.read.schema(stream.schema).parquet(path)
+    return read.select("event_id", F.col("attributes")["type"].alias("event_type"), F.col("payload").cast("string").alias("props"), ntz("event_ts", "event_ts"))
+
+
+@query(
+    "topic_offsets",
+    """SELECT CAST(event_id % 4 AS INTEGER) AS "partition", CAST(0 AS BIGINT) AS first_offset, count(*) - 1 AS last_offset, count(*) AS records,
+      count(DISTINCT event_id) AS keys, CAST(0 AS BIGINT) AS backward FROM events GROUP BY 1""",
+)
+def topic_offsets(spark, sf_dir):
+    """Offsets are gapless in each partition, and append times never go back along them."""
+    topic = read_topic_log(spark, events_topic(spark, sf_dir), timestampType="LOG_APPEND_TIME")
+    commits = topic.groupBy("partition", "timestamp").agg(F.min("offset").alias("low"), F.max("offset").alias("high"), F.count("*").alias("n"), F.countDistinct("offset").alias("o"), F.countDistinct("key").alias("k"))
+    later = commits.alias("a").join(commits.alias("b"), (F.col("a.partition") == F.col("b.partition")) & (F.col("a.timestamp") < F.col("b.timestamp")))
+    backward = later.filter("a.high >= b.low").groupBy(F.col("a.partition").alias("partition")).agg(F.count("*").alias("backward"))
+    ends = commits.groupBy("partition").agg(F.min("low").alias("first_offset"), F.max("high").alias("last_offset"), F.sum("o").alias("records"), F.sum("k").alias("keys"))
+    return ends.join(backward, "partition", "left").select("partition", "first_offset", "last_offset", "records", "keys", F.coalesce("backward", F.lit(0)).alias("backward"))

@@ -26,6 +26,7 @@ from millrace.sinks.files import WindowedFiles
 from millrace.sinks.tables import AppendTable
 from millrace.sources.generator import GeneratorOptions, generate_records
 from millrace.sources.sequence import expand_impulses, impulses_per_second, unbounded_sequence
+from millrace.sources.topic import topic_records, write_topic_log
 from millrace.streaming.panes import count_panes
 from millrace.streaming.running import finish, run_batches, start_batches
 
@@ -87,6 +88,11 @@ def write_topic_files(transports: DataFrame, path: str, checkpoint: str):
     )
 
 
+def write_topic(transports: DataFrame, path: str, checkpoint: str, partitions: int = 8):
+    """Streaming writer of transports to a topic folder with partitions, offsets and append times."""
+    return write_topic_log(topic_records(transports, partitions), path, checkpoint)
+
+
 def write_topic_broker(transports: DataFrame, servers: str, topic: str, checkpoint: str):
     """Streaming writer of transports to a Kafka topic, where the connector is installed."""
     headers = F.transform(

@@ -1,4 +1,4 @@
-"""One entry point for event input: files everywhere, the Kafka connector where installed."""
+"""One entry point for event input: files and topic folders everywhere, the Kafka connector where installed."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.topic import read_topic_log, stream_topic_log
+
 
 @dataclass(frozen=True)
 class SourceOptions:
-    """``kind`` is a file format (parquet, orc, json), ``kafka`` or ``rate``."""
+    """``kind`` is a file format (parquet, orc, json), ``topic`` (a topic folder), ``kafka`` or ``rate``."""
 
     kind: str = "parquet"
     path: str = ""
@@ -32,6 +34,9 @@ def read_events(spark: SparkSession, options: SourceOptions) -> DataFrame:
     a time inside the event, or the log's append time (``timestamp`` of a topic record)."""
     if options.kind == "rate":
         df = spark.readStream.format("rate").option("rowsPerSecond", options.per_second).load()
+    elif options.kind == "topic":
+        read = stream_topic_log if options.streaming else read_topic_log
+        df = topic_transports(read(spark, options.path, **options.options))
     elif options.kind == "kafka":
         df = _read_topic(spark, options)
     else:
