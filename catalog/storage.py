@@ -10,7 +10,7 @@ from catalog import duck
 from catalog.counts import COUNT_15M, cells_sql, count_by, shown_cells, timed_events
 from catalog.registry import ntz, query, table, text_hex
 from catalog.streams import LATENESS, LENGTH, event_stream, panes_sql, staged
-from catalog.transports import EVENT, PROPS, TURN, event_transports, record_transports, text_transports
+from catalog.transports import EVENT, PROPS, TURN, avro_transports, event_transports, record_transports, text_transports
 from millrace.operators.decode import decode, payload_text
 from millrace.operators.envelope import maybe_decompress, pack
 from millrace.operators.transforms import load_transform
@@ -18,6 +18,7 @@ from millrace.plans import flows
 from millrace.plans.config import TableOptions, load_aggregations
 from millrace.schemas import ERROR, TRANSPORT
 from millrace.session import fresh_dir
+from millrace.sources import avro_files
 from millrace.sinks.tables import SKEW_DEGREE, AppendTable, destination
 from millrace.sources.generator import GeneratorOptions
 from millrace.sources.sequence import spread
@@ -128,6 +129,27 @@ def sink_files_orc(spark, sf_dir):
     return windowed(spark, sf_dir, "orc")
 
 
+@query("sink_files_avro", WINDOWED)
+def sink_files_avro(spark, sf_dir):
+    """Container files by window, from Avro payloads."""
+    transports = as_stream(avro_transports(spark, sf_dir))
+    files = flows.write_window_files(spark, transports, fmt="avro", schema=EVENT, length="6 hours", payloads="AVRO")
+    rows = files.read(STORED)
+    return rows.select(*stored(rows).columns[:-1], ntz("event_ts", "event_ts"), "date", "hour", "window")
+
+
+@query("avro_splits", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, 0::BIGINT AS broken FROM orders")
+def avro_splits(spark, sf_dir):
+    """Container files read back in ranges that cut their blocks anywhere."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+    orders, path = table(spark, sf_dir, "orders").select(*columns), fresh_dir(spark, "avro")
+    orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    avro_files.write_avro(orders, path)
+    out = avro_files.read_avro_or_errors(spark, path, orders.schema, splitBytes=100_003)
+    broken = out.failed.agg(F.count("*").alias("broken"))
+    return out.ok.withColumn("o_orderdate", ntz("o_orderdate", "o_orderdate")).crossJoin(F.broadcast(broken))
+
+
 @query(
     "sink_files_json",
     """SELECT props AS payload, strftime(w, '%Y-%m-%d') AS date, strftime(w, '%H') AS hour, strftime(w, '%H%M') AS "window"

@@ -11,7 +11,7 @@ from millrace.operators.envelope import COMPRESSION_KEY, COMPRESSION_NAME, maybe
 from millrace.operators.outcome import union_errors
 from millrace.operators.stats import payload_percentiles, payload_stats
 from millrace.operators.transforms import apply_events, apply_frame, load_transform, map_events
-from millrace.operators.transport import encode_json, schema_attributes, schema_text, wrap
+from millrace.operators.transport import encode, encode_json, schema_attributes, schema_text, wrap
 from millrace.sources.events import transport_from_table
 
 PROPS = T.StructType([T.StructField("k", T.LongType())])
@@ -278,3 +278,62 @@ def payload_stats_query(spark, sf_dir):
 )
 def payload_percentiles_query(spark, sf_dir):
     return payload_percentiles(sized(spark, sf_dir), by=("lang",))
+
+
+AVRO_SQL = "SELECT event_id::VARCHAR AS event_id, user_id, event_type, value, props, ts AS event_ts FROM events"
+CUT = "length(props) % 2 = 1"
+
+
+def avro_transports(spark, sf_dir):
+    """Whole events encoded as Avro payloads."""
+    events = table(spark, sf_dir, "events")
+    record = encode(F.struct(*EVENT.fieldNames()), "AVRO", EVENT)
+    return transport_from_table(events.withColumn("record", record), "event_id", "record", "ts")
+
+
+def zigzag_hex(number: str) -> str:
+    """Avro's number as hex digits, in SQL: zigzag, then seven bits a byte, low ones first. For numbers of up to five bytes."""
+    folded = f"(CASE WHEN {number} < 0 THEN -2 * ({number}) - 1 ELSE 2 * ({number}) END)"
+    byte = [f"CASE WHEN {folded} >= {1 << 7 * k} OR {k} = 0 THEN printf('%02X', ({folded} // {1 << 7 * k}) % 128 + CASE WHEN {folded} >= {1 << 7 * (k + 1)} THEN 128 ELSE 0 END) ELSE '' END" for k in range(5)]
+    return " || ".join(f"({b})" for b in byte)
+
+
+def text_bytes_hex(column: str) -> str:
+    return f"{zigzag_hex(f'octet_length(encode({column}))')} || hex(encode({column}))"
+
+
+@query(
+    "encode_avro",
+    f"""SELECT event_id::VARCHAR AS event_id, hex(encode(event_type)) AS type_hex, {zigzag_hex('user_id')} AS user_hex,
+      '02' || ({zigzag_hex('user_id')}) || '02' || ({text_bytes_hex('event_type')}) || '02' || ({text_bytes_hex('props')}) AS payload_hex FROM events""",
+)
+def encode_avro_query(spark, sf_dir):
+    """The bytes themselves: optional number, optional text, optional text."""
+    kept = T.StructType([EVENT[n] for n in ("user_id", "event_type", "props")])
+    payload = encode(F.struct(*kept.fieldNames()), "AVRO", kept)
+    user = encode(F.struct("user_id"), "AVRO", T.StructType([T.StructField("user_id", T.LongType(), False)]))
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string"), F.hex("event_type").alias("type_hex"), F.hex(user).alias("user_hex"), F.hex(payload).alias("payload_hex")
+    )
+
+
+@query("decode_avro", AVRO_SQL)
+def decode_avro(spark, sf_dir):
+    """Avro payloads back to typed rows; the fail-fast form."""
+    rows = decode_or_fail(avro_transports(spark, sf_dir), EVENT, "AVRO")
+    return rows.select("event_id", *EVENT.fieldNames(), ntz("event_ts", "event_ts"))
+
+
+@query(
+    "decode_avro_dead_letters",
+    f"""SELECT event_id::VARCHAR AS event_id, CASE WHEN {CUT} THEN NULL ELSE value END AS value,
+      CASE WHEN {CUT} THEN 'MalformedPayload' END AS error_class FROM events""",
+)
+def decode_avro_dead_letters(spark, sf_dir):
+    """Payloads that lost their last byte are dead letters, the others typed rows."""
+    events = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("event_id"), F.expr(CUT).alias("_cut"))
+    sent = avro_transports(spark, sf_dir).join(events, "event_id")
+    payload = F.when(F.col("_cut"), F.expr("substring(payload, 1, length(payload) - 1)")).otherwise(F.col("payload"))
+    out = decode(sent.withColumn("payload", payload), EVENT, "AVRO")
+    good = out.ok.select("event_id", "value", F.lit(None).cast("string").alias("error_class"))
+    return good.unionByName(out.failed.select("event_id", F.lit(None).cast("double").alias("value"), "error_class"))

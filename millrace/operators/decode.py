@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import secrets
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
+from millrace.functions import avro
 from millrace.operators.outcome import Outcome, split
 from millrace.schemas import TRANSPORT
 
@@ -98,27 +101,44 @@ def parse(df: DataFrame, schema, carried: tuple[str, ...] = ()) -> DataFrame:
     return judged.select(*names, "record", F.coalesce("_error_class", fresh).alias("error_class"), message.alias("error_message"))
 
 
-def decode(df: DataFrame, schema) -> Outcome:
+def parse_avro(df: DataFrame, schema) -> DataFrame:
+    """As :func:`parse` for Avro binary. Bad are payloads that are null, broken, or have bytes behind the record."""
+    target = schemas.resolve(schema)
+    node = avro.parse(schemas.avro_schema(target))
+    shape = T.StructType([T.StructField("record", schemas.optional(target)), T.StructField("bad", T.BooleanType())])
+
+    @F.arrow_udf(shape)
+    def decoded(payloads: pa.Array) -> pa.Array:
+        records, bad = avro.decode_payloads(node, payloads)
+        records = records.take(pa.array(np.arange(len(bad)), mask=bad))
+        return pa.StructArray.from_arrays([records, pa.array(bad)], names=["record", "bad"])
+
+    names = TRANSPORT.fieldNames()
+    once = df.select(*names, F.explode(F.array(decoded("payload"))).alias("_once"))
+    bad = F.col("_once").getField("bad")
+    return once.select(
+        *names, F.col("_once").getField("record").alias("record"), F.when(bad, F.lit("MalformedPayload")).alias("error_class"),
+        F.when(bad, F.lit("payload does not match the schema")).alias("error_message"),
+    )
+
+
+def parse_as(df: DataFrame, schema, fmt: str) -> DataFrame:
+    if fmt.upper() not in ("JSON", "THRIFT", "AVRO"):
+        raise ValueError(f"unknown format: {fmt}")
+    return parse_avro(df, schema) if fmt.upper() == "AVRO" else parse(df, schema)
+
+
+def decode(df: DataFrame, schema, fmt: str = "JSON") -> Outcome:
     """Typed rows (id, attributes, event time and the record's fields), malformed ones aside."""
-    whole = split(parse(df, schema), "decode", ["event_id", "attributes", "event_ts", "record"])
+    whole = split(parse_as(df, schema, fmt), "decode", ["event_id", "attributes", "event_ts", "record"])
     return Outcome(whole.ok.select("event_id", "attributes", "event_ts", "record.*"), whole.failed)
 
 
-def decode_or_fail(df: DataFrame, schema) -> DataFrame:
+def decode_or_fail(df: DataFrame, schema, fmt: str = "JSON") -> DataFrame:
     """As :func:`decode` without a dead-letter side: a bad payload, also a null or empty one, fails the job."""
-    parsed = parse(df, schema)
+    parsed = parse_as(df, schema, fmt)
     failure = F.concat(F.lit("event "), F.coalesce("event_id", F.lit("without id")), F.lit(": MalformedPayload, "), F.col("error_message"))
     record = F.when(F.col("error_message").isNull(), F.col("record")).otherwise(F.raise_error(failure).cast(parsed.schema["record"].dataType))
     return parsed.select("event_id", "attributes", "event_ts", record.alias("record")).select(
         "event_id", "attributes", "event_ts", "record.*"
     )
-
-
-def decode_avro(df: DataFrame, avro_schema: str) -> DataFrame:
-    """Avro binary payloads, where the Avro module is on the class path."""
-    from pyspark.sql.avro.functions import from_avro
-
-    record = from_avro(F.col("payload"), avro_schema, {"mode": "PERMISSIVE"})
-    return df.select("event_id", "attributes", "event_ts", record.alias("record")).select(
-        "event_id", "attributes", "event_ts", "record.*"
-    )

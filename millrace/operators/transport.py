@@ -5,9 +5,14 @@ from __future__ import annotations
 import base64
 import zlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace import schemas
+from millrace.functions import avro
 from millrace.functions.encoding import key_text
 
 SCHEMA_KEY = "schema_"
@@ -36,18 +41,31 @@ def encode_json(record: Column) -> Column:
     return F.to_json(record, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"}).cast("binary")
 
 
-def encode_avro(record: Column) -> Column:
-    """Record to Avro binary, where the Avro module is on the class path."""
-    from pyspark.sql.avro.functions import to_avro
+def encode_avro(record: Column, schema) -> Column:
+    """Record to Avro binary, a column of records at a time; null records stay null. The bytes name no fields, so the reader needs the schema."""
+    node = avro.parse(schemas.avro_schema(schema))
 
-    return to_avro(record)
+    @F.arrow_udf("binary")
+    def encoded(records: pa.Array) -> pa.Array:
+        there = records.is_valid()
+        data, lengths = avro.encode(node, records.drop_null())
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        values = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        place = np.cumsum(there.to_numpy(zero_copy_only=False)) - 1
+        return values.cast(pa.binary()).take(pa.array(place, mask=pc.invert(there).to_numpy(zero_copy_only=False)))
 
+    return encoded(record)
 
-def encode(record: Column, fmt: str) -> Column:
-    encoders = {"JSON": encode_json, "THRIFT": encode_json, "AVRO": encode_avro}
-    if fmt.upper() not in encoders:
+
+def encode(record: Column, fmt: str, schema=None) -> Column:
+    """``schema`` (a registered name or a record type) is needed for Avro alone."""
+    if fmt.upper() == "AVRO":
+        if schema is None:
+            raise ValueError("Avro needs the schema of the record")
+        return encode_avro(record, schema)
+    if fmt.upper() not in ("JSON", "THRIFT"):
         raise ValueError(f"unknown format: {fmt}")
-    return encoders[fmt.upper()](record)
+    return encode_json(record)
 
 
 def schema_attributes(text: Column, size: int = SCHEMA_CHUNK) -> Column:

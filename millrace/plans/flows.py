@@ -55,11 +55,13 @@ def generate_events(sequence: DataFrame, number: str, options: GenerateOptions,
     """
     keep = (number,) + ((event_ts,) if event_ts else ())
     records = generate_records(sequence, number, options.schema, options.record, keep)
+    if options.fmt.upper() == "AVRO":  # a wide record as an argument of a Python function is not planned, a column is
+        records = records.select(*keep, F.explode(F.array("record")).alias("record"))
     attributes = None
     if not options.compressed and options.fmt.upper() != "THRIFT":
         text = compress_schema(schemas.resolve(options.schema).json())
         attributes = schema_attributes(F.lit(text))
-    plain = wrap(records, encode(F.col("record"), options.fmt), (number,), attributes, event_ts)
+    plain = wrap(records, encode(F.col("record"), options.fmt, options.schema), (number,), attributes, event_ts)
     return pack(plain, options.records_per_envelope, options.level) if options.compressed else plain
 
 
@@ -276,8 +278,8 @@ def aggregate_errors(spark: SparkSession, transports: DataFrame, schema, options
 # -- files -------------------------------------------------------------------------------------
 
 
-def write_window_files(spark: SparkSession, transports: DataFrame, path: str | None = None, fmt: str = "parquet", schema=None, length: str = "5 minutes", lateness_seconds: int = 0, shards: int | None = None, checkpoint: str | None = None) -> WindowedFiles:
-    """Streaming window files. Typed formats decode and fail on a bad payload; ``json`` writes
+def write_window_files(spark: SparkSession, transports: DataFrame, path: str | None = None, fmt: str = "parquet", schema=None, length: str = "5 minutes", lateness_seconds: int = 0, shards: int | None = None, checkpoint: str | None = None, payloads: str = "JSON") -> WindowedFiles:
+    """Streaming window files. Typed formats decode (``payloads`` is JSON or AVRO) and fail on a bad payload; ``json`` writes
     payload text verbatim. Envelopes are not unpacked here."""
     files = WindowedFiles(spark, path or fresh_dir(spark, f"files-{fmt}"), fmt, length, lateness_seconds, shards)
 
@@ -285,7 +287,7 @@ def write_window_files(spark: SparkSession, transports: DataFrame, path: str | N
         if fmt == "json":
             shaped = batch.select("event_ts", payload_text().alias("value"))
         else:
-            shaped = decode_or_fail(batch, schema).drop("attributes")
+            shaped = decode_or_fail(batch, schema, payloads).drop("attributes")
         files.write(shaped, batch_id)
 
     run_batches(transports, spark, f"files-{fmt}", handle, checkpoint=checkpoint)

@@ -8,6 +8,7 @@ Schemas are always explicit; nothing is inferred from data.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import types as T
 
@@ -161,6 +162,15 @@ def resolve(name_or_schema: str | T.StructType) -> T.StructType:
     raise ValueError(f"unknown event type: {name_or_schema}")
 
 
+def optional(kind: T.DataType) -> T.DataType:
+    """The bare type with null allowed at every level and no notes on fields, as readers of files give it."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, optional(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(optional(kind.elementType))
+    return T.MapType(kind.keyType, optional(kind.valueType)) if isinstance(kind, T.MapType) else kind
+
+
 def from_json_schema(text: str) -> T.StructType:
     """Read the supported subset of JSON schema into a ``StructType``."""
     document = json.loads(text)
@@ -250,6 +260,8 @@ def from_avro_schema(text: str) -> T.StructType:
             return inner, "null" in node, meta
         if str(node.get("logicalType", "")).startswith("timestamp-"):
             return T.TimestampType(), False, {}
+        if node.get("logicalType") == "date":
+            return T.DateType(), False, {}
         name = node["type"]
         if name == "record":
             fields = []
@@ -272,3 +284,40 @@ def from_avro_schema(text: str) -> T.StructType:
     if not isinstance(root, T.StructType):
         raise ValueError("the root must be a record")
     return root
+
+
+AVRO_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+
+
+def avro_schema(schema: str | T.StructType, name: str = "record") -> str:
+    """Avro schema text of a record type: optional fields are unions with null, the null first."""
+    plain = {
+        T.BooleanType(): "boolean",
+        T.IntegerType(): "int",
+        T.LongType(): "long",
+        T.FloatType(): "float",
+        T.DoubleType(): "double",
+        T.StringType(): "string",
+        T.BinaryType(): "bytes",
+        T.TimestampType(): {"type": "long", "logicalType": "timestamp-micros"},
+        T.DateType(): {"type": "int", "logicalType": "date"},
+    }
+
+    def node(kind: T.DataType, nullable: bool, path: str):
+        if isinstance(kind, T.StructType):
+            wrong = [f.name for f in kind.fields if not AVRO_NAME.fullmatch(f.name)]
+            if wrong:
+                raise ValueError(f"not Avro names: {wrong}")
+            fields = [{"name": f.name, "type": node(f.dataType, f.nullable, f"{path}_{f.name}")} for f in kind.fields]
+            spec = {"type": "record", "name": path, "fields": fields}
+        elif isinstance(kind, T.ArrayType):
+            spec = {"type": "array", "items": node(kind.elementType, kind.containsNull, f"{path}_item")}
+        elif isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+            spec = {"type": "map", "values": node(kind.valueType, kind.valueContainsNull, f"{path}_value")}
+        elif kind in plain:
+            spec = plain[kind]
+        else:
+            raise ValueError(f"no Avro type for {kind.simpleString()}")
+        return ["null", spec] if nullable else spec
+
+    return json.dumps(node(resolve(schema), False, name))

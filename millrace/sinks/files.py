@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.session import Folder, current_run
 from millrace.sinks.tables import spread_for_write
+from millrace.sources.avro_files import read_avro, write_avro
 
 LAYOUT = ("date", "hour", "window")
 FORMATS = ("parquet", "orc", "avro", "json")
@@ -61,9 +62,12 @@ class WindowedFiles:
         if self.fmt == "json":
             laid_out = laid_out.select("value", *LAYOUT)
         laid_out = self._spread(laid_out)
-        writer = laid_out.write.format("text" if self.fmt == "json" else self.fmt).partitionBy(*LAYOUT)
         run = current_run(self.spark)
-        writer.mode("overwrite").save(f"{self.path}/data/query={run}/batch_id={batch_id}")
+        target = f"{self.path}/data/query={run}/batch_id={batch_id}"
+        if self.fmt == "avro":
+            write_avro(laid_out, target, "overwrite", LAYOUT)
+        else:
+            laid_out.write.format("text" if self.fmt == "json" else self.fmt).partitionBy(*LAYOUT).mode("overwrite").save(target)
         self._mark(seen.get["latest"], seen.get["hours"] or [], run, batch_id)
 
     def _spread(self, laid_out: DataFrame) -> DataFrame:
@@ -128,5 +132,7 @@ class WindowedFiles:
             schema = T.StructType([T.StructField("value", T.StringType())])
         if schema is None:
             raise ValueError("reading typed files needs their schema")
+        if self.fmt == "avro":
+            return read_avro(self.spark, f"{self.path}/data", T.StructType(schema.fields + folders))
         reader = self.spark.read.format("text" if self.fmt == "json" else self.fmt)
         return reader.schema(T.StructType(schema.fields + folders)).load(f"{self.path}/data")
