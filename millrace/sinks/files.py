@@ -68,7 +68,9 @@ class WindowedFiles:
             write_avro(laid_out, target, "overwrite", LAYOUT)
         else:
             laid_out.write.format("text" if self.fmt == "json" else self.fmt).partitionBy(*LAYOUT).mode("overwrite").save(target)
-        self._mark(seen.get["latest"], seen.get["hours"] or [], run, batch_id)
+        # Adaptive execution drops an empty plan and the observation with it.
+        found = {} if batch.isEmpty() else seen.get
+        self._mark(found.get("latest"), found.get("hours") or [], run, batch_id)
 
     def _spread(self, laid_out: DataFrame) -> DataFrame:
         """``shards`` tasks per window where asked for; otherwise adaptive execution sizes the tasks, so that

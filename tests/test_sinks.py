@@ -266,3 +266,18 @@ def test_streaming_autoshard_and_streaming_sizes(spark):
     assert table.read(T.StructType([T.StructField("event_id", T.StringType())])).count() == 50
     seen = [p["observedMetrics"]["sizes"]["total"] for p in query.recentProgress if "sizes" in p["observedMetrics"]]
     assert sum(v or 0 for v in seen) == 150
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet", "orc"])
+def test_an_empty_batch_marks_nothing_and_keeps_the_state(spark, fmt):
+    hours = spark.range(10).select(F.timestamp_seconds(F.col("id") * 3600).alias("event_ts"), F.col("id").cast("string").alias("value"))
+    path = fresh_dir(spark, "empty")
+    hours.limit(0).write.parquet(path)
+    with scoped_conf(spark, {"spark.sql.adaptive.enabled": "true"}):
+        files = WindowedFiles(spark, fresh_dir(spark, "w"), fmt, "1 day", 3600, 2)
+        files.write(spark.read.schema(hours.schema).parquet(path), 0)
+        files.write(hours.filter("value < 5"), 1)
+        files.write(spark.read.schema(hours.schema).parquet(path), 2)
+        assert files.markers().count() == 3
+        files.write(hours.filter("value >= 5"), 3)
+    assert files.markers().count() == 8 and files.read(hours.schema).count() == 10
