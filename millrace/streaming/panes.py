@@ -29,7 +29,9 @@ from millrace.operators.windows import as_results, count_windows
 from millrace.plans.config import Aggregation, distinct_names, interval
 
 PANES = "agg_name string, agg_key string, start_us bigint, end_us bigint, pane string, is_final boolean, total bigint, delta bigint"
-STATE = "total bigint, emitted bigint, since_ms bigint, on_time boolean"
+STATE = "panes binary"
+HELD = pa.schema([("agg_key", pa.string()), ("total", pa.int64()), ("emitted", pa.int64()), ("since_ms", pa.int64()), ("on_time", pa.bool_())])
+BUCKETS = 4096  # of the keys of a window; fixed for the life of a checkpoint
 WAITING = "total bigint, emitted bigint, due_ms bigint"
 CHANGED = "changed"
 ORDER = (CHANGED, "early", "on_time", "final")
@@ -55,8 +57,26 @@ class Rule:
         )
 
 
+def packed(panes: dict) -> bytes:
+    columns = zip(*((key, *values) for key, values in panes.items()), strict=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, HELD, strict=True)], schema=HELD)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, HELD) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> dict:
+    columns = [c.to_pylist() for c in pa.ipc.open_stream(data).read_all().columns]
+    return dict(zip(columns[0], zip(*columns[1:], strict=True), strict=True))
+
+
 class PaneProcessor(StatefulProcessor):
-    """State of one (aggregation, key, window): the count, what was emitted, which panes fired."""
+    """State of the keys of one (aggregation, window, bucket): of each the count, what was emitted, which panes fired.
+
+    Reading, writing and timers cost a call to the JVM each, so they are paid once a bucket and not once a key. All keys of a
+    window share its two times.
+    """
 
     def __init__(self, rules: dict[str, Rule], closing: str, waiting: bool = False):
         self.rules = rules
@@ -65,67 +85,81 @@ class PaneProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("pane", STATE)
+        self.state = handle.getValueState("panes", STATE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        added = sum(row["n"] for row in rows)
+        added: dict[str, int] = {}
+        for row in rows:
+            added[row["agg_key"]] = added.get(row["agg_key"], 0) + row["n"]
         now = timerValues.getCurrentProcessingTimeInMs()
         watermark = timerValues.getCurrentWatermarkInMs()
         rule = self.rules[key[0]]
-        on_time_at, close_at = key[3] // 1000 + rule.on_time_ms, key[3] // 1000 + rule.close_ms
+        on_time_at, close_at = key[2] // 1000 + rule.on_time_ms, key[2] // 1000 + rule.close_ms
         if watermark >= close_at:
             return  # the window is closed: these events are too late
-        known = self.state.get()
-        total, emitted, since, on_time = known or (0, 0, now, False)
-        if known is None:
-            self.handle.registerTimer(on_time_at)
+        stored = self.state.get()
+        panes = unpacked(stored[0]) if stored else {}
+        if not stored:
             self.handle.registerTimer(close_at)
-        if total == emitted:
-            since = now  # first element of a new pane
-        total += added
-        fire = False
-        if self.waiting and rule.early_ms is not None:
-            if not on_time and watermark < on_time_at:
-                yield self._pane(key, CHANGED, False, total, added)
-        elif not on_time and watermark < on_time_at:
-            fire = rule.early_count is not None and total - emitted >= rule.early_count
-            fire = fire or (rule.early_ms is not None and now - since >= rule.early_ms)
-        if fire:
-            yield self._pane(key, "early", False, total, total - emitted)
-            emitted = total
-        self.state.update((total, emitted, since, on_time))
+        if not stored or watermark >= on_time_at and not added.keys() <= panes.keys():
+            self.handle.registerTimer(on_time_at)  # a key may come after the on-time pane of the others
+        for agg_key, n in added.items():
+            total, emitted, since, on_time = panes.get(agg_key) or (0, 0, now, False)
+            if total == emitted:
+                since = now  # first element of a new pane
+            total += n
+            fire = False
+            if self.waiting and rule.early_ms is not None:
+                if not on_time and watermark < on_time_at:
+                    yield self._pane(key, agg_key, CHANGED, False, total, n)
+            elif not on_time and watermark < on_time_at:
+                fire = rule.early_count is not None and total - emitted >= rule.early_count
+                fire = fire or (rule.early_ms is not None and now - since >= rule.early_ms)
+            if fire:
+                yield self._pane(key, agg_key, "early", False, total, total - emitted)
+                emitted = total
+            panes[agg_key] = (total, emitted, since, on_time)
+        self.state.update((packed(panes),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        known = self.state.get()
-        if known is None:
+        stored = self.state.get()
+        if not stored:
             return
-        total, emitted, since, on_time = known
-        close_at = key[3] // 1000 + self.rules[key[0]].close_ms
+        panes = unpacked(stored[0])
+        close_at = key[2] // 1000 + self.rules[key[0]].close_ms
         if expiredTimerInfo.getExpiryTimeInMs() >= close_at:
             delayed = self.waiting and self.rules[key[0]].early_ms is not None
-            if delayed or self.closing == "always" or total != emitted:
-                yield self._pane(key, "final", True, total, total - emitted)
+            for agg_key, (total, emitted, _, _) in panes.items():
+                if delayed or self.closing == "always" or total != emitted:
+                    yield self._pane(key, agg_key, "final", True, total, total - emitted)
             self.state.clear()
         elif timerValues.getCurrentWatermarkInMs() < close_at:
             # When time jumps past both timers, the final pane alone is emitted.
-            yield self._pane(key, "on_time", False, total, total - emitted)
-            self.state.update((total, total, since, True))
+            for agg_key, (total, emitted, since, on_time) in panes.items():
+                if not on_time:
+                    yield self._pane(key, agg_key, "on_time", False, total, total - emitted)
+                    panes[agg_key] = (total, total, since, True)
+            self.state.update((packed(panes),))
 
     def close(self) -> None:
         pass
 
     @staticmethod
-    def _pane(key, pane: str, is_final: bool, total: int, delta: int) -> Row:
-        return Row(
-            agg_name=key[0],
-            agg_key=key[1],
-            start_us=key[2],
-            end_us=key[3],
-            pane=pane,
-            is_final=is_final,
-            total=total,
-            delta=delta,
-        )
+    def _pane(key, agg_key: str, pane: str, is_final: bool, total: int, delta: int) -> Row:
+        return pane_row(key[0], agg_key, key[1], key[2], pane, is_final, total, delta)
+
+
+def pane_row(agg_name: str, agg_key: str, start_us: int, end_us: int, pane: str, is_final: bool, total: int, delta: int) -> Row:
+    return Row(
+        agg_name=agg_name,
+        agg_key=agg_key,
+        start_us=start_us,
+        end_us=end_us,
+        pane=pane,
+        is_final=is_final,
+        total=total,
+        delta=delta,
+    )
 
 
 class WaitingProcessor(StatefulProcessor):
@@ -147,7 +181,7 @@ class WaitingProcessor(StatefulProcessor):
         rule, arrived = self.rules[key[0]], sorted(rows, key=lambda r: (ORDER.index(r["pane"]), r["total"]))
         if rule.early_ms is None:
             for row in arrived:
-                yield PaneProcessor._pane(key, row["pane"], row["is_final"], row["total"], row["delta"])
+                yield pane_row(*key, row["pane"], row["is_final"], row["total"], row["delta"])
             return
         total, emitted, due = self.state.get() or (0, 0, 0)
         for row in arrived:
@@ -163,7 +197,7 @@ class WaitingProcessor(StatefulProcessor):
                 self.handle.deleteTimer(due)
                 due = 0
             if fire:
-                yield PaneProcessor._pane(key, fire, row["is_final"], total, total - emitted)
+                yield pane_row(*key, fire, row["is_final"], total, total - emitted)
                 emitted = total
         if arrived[-1]["is_final"]:
             self.state.clear()
@@ -173,7 +207,7 @@ class WaitingProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         known = self.state.get()
         if known is not None and known[2]:
-            yield PaneProcessor._pane(key, "early", False, known[0], known[0] - known[1])
+            yield pane_row(*key, "early", False, known[0], known[0] - known[1])
             self.state.update((known[0], known[0], 0))
 
     def close(self) -> None:
@@ -252,7 +286,8 @@ def count_panes(df: DataFrame, aggregations: Sequence[Aggregation], ts: str = "e
     rules = {a.name: Rule.of(a, most_late) for a in aggregations}
     waiting = waiting and any(rule.early_ms for rule in rules.values())
     group = ["agg_name", "agg_key", "start_us", "end_us"]
-    panes = partial_counts(pane_keys(df, aggregations, ts)).groupBy(*group).transformWithState(
+    bucketed = partial_counts(pane_keys(df, aggregations, ts)).withColumn("bucket", F.pmod(F.xxhash64("agg_key"), F.lit(BUCKETS)))
+    panes = bucketed.groupBy("agg_name", "start_us", "end_us", "bucket").transformWithState(
         statefulProcessor=PaneProcessor(rules, closing, waiting), outputStructType=PANES, outputMode="Update", timeMode="EventTime"
     )
     if waiting:

@@ -204,3 +204,21 @@ def test_a_quiet_key_shows_its_early_pane_after_a_real_delay(spark):
         assert panes("early") == sorted([*first, ("1h", "a", 3), ("1m", "a", 1), ("1h", "b", 2), ("1h", "c", 1), ("1m", "c", 1)])
     finally:
         query.stop()
+
+
+def test_keys_share_their_state_by_window_and_bucket(spark):
+    """5000 keys leave far fewer rows of state; a key that comes after the on-time panes of the others has its own."""
+    day = 86_400
+    rows = spark.range(5000).select(F.col("id").alias("user_id"), (F.col("id") * 0 + 10).alias("s"), F.lit(0).alias("b"))
+    rows = rows.union(spark.createDataFrame([(0, day + 10, 1), (0, 20, 2), (9999, 30, 2), (1, 4 * day, 3)], "user_id long, s long, b int"))
+    events = rows.select("user_id", F.timestamp_seconds("s").alias("event_ts"), "b")
+    stream = read_arrivals(spark, stage_arrivals(events, F.col("b")), events.drop("b").schema)
+    panes = count_panes(stream, [Aggregation(("user_id",), day * 1000, day * 1000, EarlyFirings(True, 1, None, True))])
+    path, states = fresh_dir(spark, "shared-state"), []
+    query = start_batches(panes, spark, "shared-state", lambda batch, n: batch.write.parquet(f"{path}/batch_id={n}"), "update")
+    finish(query)
+    states = [p.stateOperators[0].numRowsTotal for p in query.recentProgress]
+    assert 0 < max(states) < 5000
+    found = spark.read.parquet(path).filter("agg_key IN ('0', '7', '9999') AND window_start = timestamp '1970-01-01'")
+    got = sorted((r.agg_key, r.pane, r.result_long) for r in found.collect())
+    assert got == [("0", "early", 1), ("0", "final", 2), ("0", "on_time", 1), ("7", "early", 1), ("7", "final", 1), ("7", "on_time", 1), ("9999", "final", 1), ("9999", "on_time", 1)]
