@@ -5,7 +5,9 @@ size), whatever the order, as long as it is one order for all. Shingles are orde
 a sample finds common last, so that repeated lines seldom make candidates; the sample decides the
 amount of work, not the result. No pair at the threshold is missed, and every link is verified on whole sets.
 
-Equal sets collapse first. In each bucket (documents with a prefix shingle in common; buckets with the same
+Equal sets collapse first. SimHash fingerprints of the same shingles are linked first, by the generalised pigeonhole search of
+``simhash.py``, and verified on whole sets; sets that this connects need no other comparison. What fingerprints
+miss, the prefixes find: in each bucket (documents with a prefix shingle in common; buckets with the same
 members count once) all are compared with one leader. Members that this links need not be compared
 with one another; the remaining ones meet the members of other components. There the join itself compares sizes and
 parity bitmaps: two sets whose bitmaps differ in d bits differ in d shingles or more, and sets of similarity 4/5 in at most
@@ -27,7 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_rows, scratch, stored, texts
-from millrace.llm.simhash import components
+from millrace.llm.simhash import components, fingerprint
+from millrace.llm.simhash import links as fingerprint_links
 from millrace.session import cut_lineage, scoped_conf
 
 WIDTH = 5
@@ -36,6 +39,7 @@ SAMPLE = 16  # one document in so many is searched for common shingles; results
 COMMON_USES, MOST_COMMON = 8, 200_000
 SALT = 200  # pairs of one document that meet in one task
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # each step is stored, so its shuffle files can go
+DISTANCE = 4  # bits between fingerprints that are compared first; results do not depend on it
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BITS = 1024  # of a parity bitmap; results do not depend on it
 
@@ -97,17 +101,21 @@ def common_shingles(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
 
 
 def distinct_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(key, rep, size, prefix, bits), one row per distinct shingle set; rep is its smallest id."""
+    """(key, rep, size, prefix, bits, fp), one row per distinct shingle set; rep is its smallest id, fp its SimHash fingerprint."""
     common = common_shingles(docs, width)
 
     def run(batch: pa.RecordBatch):
-        found = [shingles(text, width) for text in texts(batch)]
+        whole = texts(batch)
+        found = [shingles(text, width) for text in whole]
+        prints = np.array([fingerprint(text, width) for text in whole], dtype=np.uint64)
         yield [
-            batch.column("doc_id"), [key_of(s) for s in found], [len(s) for s in found], [prefix(s, common) for s in found], [parities(s) for s in found]
+            batch.column("doc_id"), [key_of(s) for s in found], [len(s) for s in found], [prefix(s, common) for s in found], [parities(s) for s in found],
+            prints.view(np.int64),
         ]
 
-    marked = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, key long, size int, prefix array<long>, bits array<long>")
-    firsts = [F.first(c).alias(c) for c in ("size", "prefix", "bits")]
+    marked = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, key long, size int, prefix array<long>, bits array<long>, fp long")
+    # Equal sets of unequal texts may differ in repeats, which fingerprints count: the smallest is as good as any.
+    firsts = [*[F.first(c).alias(c) for c in ("size", "prefix", "bits")], F.min("fp").alias("fp")]
     return stored(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), *firsts), "jaccard-sets", keep=True)
 
 
@@ -215,11 +223,28 @@ def differ_little(a: str, b: str) -> Column:
     return few_bits(f"{a}.bits", f"{b}.bits", F.col(f"{a}.size") + F.col(f"{b}.size"))
 
 
+def print_links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Pairs (a, b) of keys of similar sets that SimHash finds: equal fingerprints by the smallest key, others within ``DISTANCE`` bits."""
+    prints = stored(sets.groupBy("fp").agg(F.min("key").alias("rep")), "jaccard-prints")
+    same = sets.select("key", "fp").join(prints, "fp").filter("key <> rep").select(F.col("rep").alias("a"), F.col("key").alias("b"))
+    found = same.unionByName(fingerprint_links(prints, DISTANCE)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    sizes = sets.select("key", "size")
+    sized = found.join(sizes.withColumnsRenamed({"key": "a", "size": "_n"}), "a").join(sizes.withColumnsRenamed({"key": "b", "size": "_m"}), "b")
+    return verified(docs, sets, sized.filter(near_in_size(F.col("_n"), F.col("_m"))), width)
+
+
 def links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFrame:
     """Pairs (a, b) of keys of similar sets; their components are those of all similar pairs."""
+    near_prints = print_links(docs, sets, width)
+    known = cut_lineage(sets.sparkSession, components(near_prints))
     members = buckets(sets)
-    starred = members.filter((F.col("key") != F.col("low.key")) & near_in_size(F.col("size"), F.col("low.size")))
+    joined = members.join(known.withColumnsRenamed({"id": "key", "root": "_known"}), "key", "left")
+    lows = known.select(F.col("id").alias("_low"), F.col("root").alias("_known_low"))
+    joined = joined.withColumn("_low", F.col("low.key")).join(lows, "_low", "left")
+    apart = F.coalesce("_known", "key") != F.coalesce("_known_low", "_low")
+    starred = joined.filter(apart & near_in_size(F.col("size"), F.col("low.size")))
     stars = verified(docs, sets, starred.select(F.col("low.key").alias("a"), F.col("key").alias("b"), F.col("low.size").alias("_n"), F.col("size").alias("_m")), width)
+    stars = stars.unionByName(near_prints)
     roots = cut_lineage(sets.sparkSession, components(stars))
     members = members.join(roots.withColumnsRenamed({"id": "key", "root": "_root"}), "key", "left").withColumn("_root", F.coalesce("_root", "key"))
     leaders = roots.select(F.col("id").alias("_low"), F.col("root").alias("_main"))

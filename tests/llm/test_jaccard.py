@@ -105,3 +105,13 @@ def test_common_passage_makes_no_pairs_and_columns_may_clash(spark):
     x, y = sets.alias("x"), sets.alias("y")
     met = x.join(y, (jaccard.F.col("x.key") < jaccard.F.col("y.key")) & jaccard.differ_little("x", "y")).count()
     assert met < 20 * len(texts)
+
+
+def test_simhash_links_verified_pairs_first(spark):
+    base = prose(5, 400)
+    near = base + " one"
+    docs = frame(spark, {1: base, 2: near, 3: prose(6, 400)})
+    sets = jaccard.distinct_sets(docs)
+    by_rep = {r.rep: r.key for r in sets.collect()}
+    found = {frozenset((r.a, r.b)) for r in jaccard.print_links(docs, sets).collect()}
+    assert found == {frozenset((by_rep[1], by_rep[2]))}
