@@ -15,6 +15,7 @@ from millrace.session import Folder, cut_lineage, fresh_dir
 
 #: A word is a run of anything but these six characters; ``bytes.split()`` cuts at exactly them.
 BLANKS = b" \t\n\r\x0b\x0c"
+TEXTS = 512  # texts that a task takes apart at once
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -27,17 +28,22 @@ def typed(column, kind: pa.DataType) -> pa.Array:
     return column.cast(kind) if isinstance(column, pa.Array) else pa.array(column, type=kind)
 
 
-def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[list]], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` for functions that turn a batch into lists, one per output column."""
+def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[list]], schema: T.StructType | str, most_rows: int | None = None) -> DataFrame:
+    """``mapInArrow`` for functions that turn a batch into lists, one per output column.
+
+    ``most_rows``: the function gets a batch in pieces, for functions that hold much more than the batch itself.
+    """
     spec = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(spec)
 
     def run(batches):
         for batch in batches:
-            for columns in function(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [typed(column, field.type) for column, field in zip(columns, arrow, strict=True)], schema=arrow
-                )
+            step = most_rows or max(1, batch.num_rows)
+            for at in range(0, max(1, batch.num_rows), step):
+                for columns in function(batch.slice(at, step)):
+                    yield pa.RecordBatch.from_arrays(
+                        [typed(column, field.type) for column, field in zip(columns, arrow, strict=True)], schema=arrow
+                    )
 
     return df.mapInArrow(run, spec)
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, scratch, stored, texts
+from millrace.llm.common import TEXTS, map_rows, scratch, stored, texts
 from millrace.llm.simhash import components, fingerprint
 from millrace.llm.simhash import links as fingerprint_links
 from millrace.session import cut_lineage, scoped_conf
@@ -95,7 +95,7 @@ def common_shingles(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
         yield [[shingles(text, width) for text in texts(batch)]]
 
     some = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
-    uses = map_rows(some, run, "shingles array<long>").select(F.explode("shingles").alias("s")).groupBy("s").count()
+    uses = map_rows(some, run, "shingles array<long>", TEXTS).select(F.explode("shingles").alias("s")).groupBy("s").count()
     rows = uses.filter(F.col("count") >= COMMON_USES).orderBy(F.desc("count"), "s").limit(MOST_COMMON).select("s").collect()
     return np.sort(np.array([r["s"] for r in rows], np.int64))
 
@@ -113,7 +113,7 @@ def distinct_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             prints.view(np.int64),
         ]
 
-    marked = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, key long, size int, prefix array<long>, bits array<long>, fp long")
+    marked = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, key long, size int, prefix array<long>, bits array<long>, fp long", TEXTS)
     # Equal sets of unequal texts may differ in repeats, which fingerprints count: the smallest is as good as any.
     firsts = [*[F.first(c).alias(c) for c in ("size", "prefix", "bits")], F.min("fp").alias("fp")]
     return stored(marked.groupBy("key").agg(F.min("doc_id").alias("rep"), *firsts), "jaccard-sets", keep=True)
@@ -163,7 +163,7 @@ def whole_sets(docs: DataFrame, sets: DataFrame, keys: DataFrame, width: int = W
         yield [[key_of(s) for s in values], values]
 
     marked = docs.select(F.when(F.col("doc_id").isNotNull(), slot(F.col("doc_id").cast("long"), len(found))).alias("slot"), "text")
-    rows = map_rows(marked, run, "key long, shingles array<long>")
+    rows = map_rows(marked, run, "key long, shingles array<long>", TEXTS)
     return stored(rows.groupBy("key").agg(F.first("shingles").alias("shingles")), "jaccard-whole")
 
 

@@ -7,7 +7,9 @@ least estimated work; each fingerprint is then indexed under its partition value
 within ``t_i``, and the join itself verifies the distance.
 
 Copies collapse first (one row per fingerprint). Buckets with more than ``hot_bucket`` members never
-form pairs: their members and probers meet at midpoints instead (two fingerprints within ``t`` bits
+form pairs. Their members and probers are dealt into blocks, every two blocks meet in one task, and only the edges of a
+spanning forest leave it: a row for each member at most, however many lie near one another. Beyond ``MOST_BLOCKS``
+blocks they meet at midpoints instead (two fingerprints within ``t`` bits
 share one within ``ceil(t / 2)`` of both, and two that share one are within ``t``, or linked by it for even
 ``t``), a fixed number of rows each, reduced to the smallest id per midpoint. Components come from
 alternating large-star / small-star rounds over checkpointed edges.
@@ -29,13 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_rows, stored, texts
+from millrace.llm.common import TEXTS, map_rows, stored, texts
 from millrace.session import cut_lineage
 
 BITS = 64
 SEED = 42
 SAMPLE = 2000  # fingerprints from which work is estimated; results do not depend on it
 HOT_BUCKET = 1500
+BLOCK, MOST_BLOCKS = 1 << 13, 8  # members of a hot bucket that meet in one task by two blocks; results do not depend on it
 NO_ID = 1 << 62  # ids are below
 LOT = 1 << 19  # probes of one batch
 PAIR_COST, PROBE_COST = 1.0, 6.0  # measured: about 0.5 and 2.5 microseconds
@@ -70,7 +73,7 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
         prints = np.array([fingerprint(text, width) for text in texts(batch)], dtype=np.uint64)
         yield [batch.column("doc_id"), prints.view(np.int64)]
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, fp long")
+    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, fp long", TEXTS)
 
 
 # -- partitions and thresholds
@@ -203,36 +206,74 @@ def flipped(prints: DataFrame, parts: list[tuple[int, np.ndarray]]) -> DataFrame
     return map_rows(prints.select("fp", "rep"), run, "fp long, rep long, part int, value long")
 
 
-def links(prints: DataFrame, distance: int, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+def links(prints: DataFrame, distance: int, hot_bucket: int = HOT_BUCKET, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) between representatives whose fingerprints differ in at most ``distance`` bits.
 
-    ``prints`` holds (fp, rep), one row per fingerprint. Pairs of hot buckets are replaced by stars
-    around midpoints that connect the same fingerprints.
+    ``prints`` holds (fp, rep), one row per fingerprint. Pairs of hot buckets are replaced by forests, or by stars
+    around midpoints, that connect the same fingerprints.
     """
     scheme = [(bits, t) for bits, t in plan(prints, prints.count(), distance) if t >= 0]
     index = flipped(prints, [(mask_of(bits), flips(bits, 0)) for bits, _ in scheme])
     probe = flipped(prints, [(mask_of(bits), flips(bits, t)) for bits, t in scheme])
     hot = cut_lineage(prints.sparkSession, index.groupBy("part", "value").count().filter(F.col("count") > hot_bucket).select("part", "value"))
-    stars = None
+    crowd = None
     if hot.take(1):
-        dense = (
-            index.select("fp", "rep", "part", "value")
-            .unionByName(probe)
-            .join(hot, ["part", "value"], "left_semi")
-            .groupBy("fp", "rep")
-            .agg(F.lit(1).alias("one"))
-            .drop("one")
-        )
+        # What probes a bucket includes its members, with no bit flipped.
+        crowd = crowded(stored(probe.join(hot, ["part", "value"], "left_semi"), "simhash-hot"), distance, block)
         index = index.join(hot, ["part", "value"], "left_anti")
         probe = probe.join(hot, ["part", "value"], "left_anti")
-        stars = midpoint_stars(stored(dense, "simhash-dense"), distance)
     left, right = probe.alias("q"), index.alias("x")
     near = F.bit_count(F.col("q.fp").bitwiseXOR(F.col("x.fp"))) <= distance
     pairs = (
         left.join(right, (F.col("q.part") == F.col("x.part")) & (F.col("q.value") == F.col("x.value")) & (F.col("q.fp") < F.col("x.fp")) & near)
         .select(F.col("q.rep").alias("a"), F.col("x.rep").alias("b"))
     )
-    return stored((pairs if stars is None else pairs.unionByName(stars)).filter("a <> b").distinct(), "simhash-links")
+    return stored((pairs if crowd is None else pairs.unionByName(crowd)).filter("a <> b").distinct(), "simhash-links")
+
+
+def crowded(members: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect what lies near in the hot buckets; ``members`` holds (fp, rep, part, value)."""
+    spark = members.sparkSession
+    blocks = F.ceil(F.count("*") / block).cast("int").alias("blocks")
+    placed = members.join(cut_lineage(spark, members.groupBy("part", "value").agg(blocks)), ["part", "value"])
+    forest = forests(placed.filter(F.col("blocks") <= MOST_BLOCKS), distance)
+    vast = placed.filter(F.col("blocks") > MOST_BLOCKS)
+    if not vast.take(1):
+        return forest
+    return forest.unionByName(midpoint_stars(stored(vast.select("fp", "rep").distinct(), "simhash-dense"), distance))
+
+
+def forests(placed: DataFrame, distance: int) -> DataFrame:
+    """Edges (a, b) of a spanning forest of every two blocks of a bucket (of its only one)."""
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda n: (F.col("blocks") == 1) | (n != own))
+    met = placed.withColumn("_other", F.explode(others))
+    keys = ["part", "value", F.least(own, "_other").alias("_i"), F.greatest(own, "_other").alias("_j")]
+
+    def run(group: pa.Table) -> pa.Table:
+        fps = group.column("fp").to_numpy().view(np.uint64)
+        reps = group.column("rep").to_numpy()
+        ends = spanning(fps, distance)
+        return pa.table({"a": reps[ends[0]], "b": reps[ends[1]]})
+
+    return met.select(*keys, "fp", "rep").groupBy("part", "value", "_i", "_j").applyInArrow(run, "a long, b long")
+
+
+def spanning(fps: np.ndarray, distance: int) -> np.ndarray:
+    """Two rows of positions: edges of at most ``distance`` bits that connect all that such edges connect."""
+    open_, values = np.arange(len(fps)), fps
+    ends: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
+    while len(open_):
+        waiting, open_, values = [open_[0]], open_[1:], values[1:]
+        while waiting and len(open_):
+            at = waiting.pop()
+            near = np.bitwise_count(values ^ fps[at]) <= distance
+            if near.any():
+                found = open_[near]
+                ends.append(np.stack([np.full(len(found), at), found]))
+                waiting.extend(found.tolist())
+                open_, values = open_[~near], values[~near]
+    return np.concatenate(ends, axis=1)
 
 
 def midpoint_stars(dense: DataFrame, distance: int) -> DataFrame:

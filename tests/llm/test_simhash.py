@@ -70,6 +70,31 @@ def test_links_connect_what_pairs_connect(spark, hot_bucket, distance):
     assert len(set(expected.values())) < len(prints)
 
 
+@pytest.mark.parametrize("block", [simhash.BLOCK, 20])
+def test_hot_buckets_leave_a_row_a_member(spark, monkeypatch, block):
+    """Members of a hot bucket are compared by blocks; midpoints are for buckets of too many blocks."""
+    def refuse(*_):
+        raise AssertionError("2081 rows a member")
+
+    monkeypatch.setattr(simhash, "midpoint_stars", refuse)
+    prints = {rep: fp for fp, rep in planted(11, 6, 20, 4).items()}
+    frame = spark.createDataFrame([(simhash.signed(fp), rep) for rep, fp in prints.items()], "fp long, rep long")
+    members = frame.withColumn("part", F.lit(0)).withColumn("value", F.lit(5).cast("long"))
+    edges = simhash.crowded(members, 4, block)
+    pairs = 1 if block > len(prints) else -(-len(prints) // block) * (-(-len(prints) // block) - 1) // 2
+    assert edges.count() < pairs * min(len(prints), 3 * block)
+    for graph in (edges, simhash.links(frame, 4, 3)):
+        roots = {r.id: r.root for r in simhash.components(graph).collect()}
+        assert {k: roots.get(k, k) for k in prints} == classes(prints, 4)
+
+
+def test_buckets_of_too_many_blocks_meet_at_midpoints(spark):
+    prints = {rep: fp for fp, rep in planted(12, 6, 20, 4).items()}
+    frame = spark.createDataFrame([(simhash.signed(fp), rep) for rep, fp in prints.items()], "fp long, rep long")
+    roots = {r.id: r.root for r in simhash.components(simhash.links(frame, 4, 3, block=1)).collect()}
+    assert {k: roots.get(k, k) for k in prints} == classes(prints, 4)
+
+
 def test_columns_of_any_name_and_small_plans(spark):
     docs = awkward(spark).select("*", *(F.lit(7).alias(c) for c in ("_first", "document", "rep", "root", "id")))
     kept = simhash.one_of_each(docs)
