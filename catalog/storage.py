@@ -145,7 +145,7 @@ def avro_splits(spark, sf_dir):
     orders, path = table(spark, sf_dir, "orders").select(*columns), fresh_dir(spark, "avro")
     orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     avro_files.write_avro(orders, path)
-    out = avro_files.read_avro_or_errors(spark, path, orders.schema, splitBytes=100_003)
+    out = avro_files.read_avro_or_errors(spark, path, orders.schema, splitBytes=100_003, tasks=2 * spark.sparkContext.defaultParallelism)
     broken = out.failed.agg(F.count("*").alias("broken"))
     return out.ok.withColumn("o_orderdate", ntz("o_orderdate", "o_orderdate")).crossJoin(F.broadcast(broken))
 

@@ -1,7 +1,7 @@
 """Avro container files as a Spark source and sink, without a module on the class path.
 
 Reading splits large files: a task owns the blocks whose preceding sync marker begins inside its range, so every block has one owner
-wherever the range is cut. Small files share a task. Blocks are inflated in groups of bounded size and a group is decoded as columns.
+wherever the range is cut. Small files share a task; with the option ``tasks`` so do small ranges, up to a fair share of the bytes. Blocks are inflated in groups of bounded size and a group is decoded as columns.
 A broken block (a size that does not fit, no marker behind it, bad compression, records that do not fill it) fails
 the job, or with ``mode="PERMISSIVE"`` becomes one row whose ``_corrupt_block`` says where it lies; reading goes on
 at the next marker. Folders ``name=value`` above the files are columns where the schema asks for them, and equality
@@ -18,6 +18,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 from urllib.parse import quote, unquote
 
 import numpy as np
@@ -41,6 +42,7 @@ MAGIC, SYNC = b"Obj\x01", 16  # fixed values of the format
 BLOCK_BYTES = 64_000
 SPLIT_BYTES = 64 << 20
 GROUP_BYTES = 16 << 20
+READ_BYTES = 1 << 16
 MOST_INFLATED = 1 << 30  # of one block
 CORRUPT = "_corrupt_block"
 CORRUPT_FIELD = T.StructField(CORRUPT, T.StructType([
@@ -105,7 +107,7 @@ def find_marker(source, sync: bytes, at: int) -> int | None:
     """Where the next sync marker begins, from ``at`` on."""
     source.seek(at)
     rest = b""
-    while chunk := source.read(1 << 20):
+    while chunk := source.read(READ_BYTES):
         window = rest + chunk
         found = window.find(sync)
         if found >= 0:
@@ -193,16 +195,23 @@ class AvroReader(DataSourceReader):
         self.path, self.schema = options["path"], schema
         self.permissive = options.get("mode", "FAILFAST").upper() == "PERMISSIVE"
         self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))
+        self.tasks = int(options.get("tasks", 0))
         self.wanted: dict[str, str] = {}
 
     def partitions(self):
+        found = [
+            (file, size, folders)
+            for file, size, folders in data_files(self.path)
+            if not any(folders.get(k) != v for k, v in self.wanted.items() if k in folders and self.textual(k))
+        ]
+        # Ranges smaller than a task's fair share of the bytes go together: a task has a cost of its own.
+        share = -(-sum(size for _, size, _ in found) // self.tasks) if self.tasks else 0
+        most = max(self.split_bytes, min(share, SPLIT_BYTES))
         tasks, full = [[]], 0
-        for file, size, folders in data_files(self.path):
-            if any(folders.get(k) != v for k, v in self.wanted.items() if k in folders and self.textual(k)):
-                continue
+        for file, size, folders in found:
             for start in range(0, size, self.split_bytes):
                 stop = min(start + self.split_bytes, size)
-                if full and full + stop - start > self.split_bytes:
+                if full and full + stop - start > most:
                     tasks.append([])
                     full = 0
                 tasks[-1].append(Piece(file, start, stop, size, folders))
@@ -214,17 +223,20 @@ class AvroReader(DataSourceReader):
 
     def read(self, partition: Pieces) -> Iterator[pa.RecordBatch]:
         files, _ = opened(self.path)
-        for piece in partition.pieces:
-            with io.BufferedReader(files.open_input_file(piece.file), 1 << 20) as source:
+        for file, pieces in groupby(partition.pieces, key=lambda piece: piece.file):
+            pieces = list(pieces)
+            with io.BufferedReader(files.open_input_file(file), READ_BYTES) as source:
                 try:
                     header = read_header(source)
                 except Broken as why:
                     if not self.permissive:
-                        raise Broken(f"{piece.file}: {why}") from why
-                    if piece.start == 0:
-                        yield self.batch(piece, None, [(0, 0, str(why))])
+                        raise Broken(f"{file}: {why}") from why
+                    if pieces[0].start == 0:
+                        yield self.batch(pieces[0], None, [(0, 0, str(why))])
                     continue
-                yield from self.groups(piece, header, blocks(source, header, piece.start, piece.stop, piece.size))
+                # Blocks are decoded side by side, so those of all the task's ranges of a file make groups together.
+                found = (block for piece in pieces for block in blocks(source, header, piece.start, piece.stop, piece.size))
+                yield from self.groups(pieces[0], header, found)
 
     def groups(self, piece: Piece, header: Header, found) -> Iterator[pa.RecordBatch]:
         node = avro.parse(header.schema)

@@ -319,3 +319,22 @@ def test_a_file_by_the_rules_of_the_format(spark):
         out.write(file(b"snappy"))
     with pytest.raises(Exception, match="unsupported codec"):
         avro_files.read_avro(spark, folder).collect()
+
+
+def test_small_ranges_share_a_task(spark, tmp_path):
+    """Ranges cut anywhere, but not a task for each."""
+    path = str(tmp_path / "many")
+    df = spark.range(3000).selectExpr("id", "concat('n', id) AS name")
+    avro_files.write_avro(df.repartition(3), path)
+    reader = avro_files.AvroReader({"path": path, "splitBytes": "200", "tasks": "4"}, df.schema)
+    tasks = reader.partitions()
+    ranges = [p for task in tasks for p in task.pieces]
+    assert len(tasks) <= 8 < 20 < len(ranges)
+    assert all(p.stop - p.start <= 200 for p in ranges)
+    read = [list(reader.read(task)) for task in tasks]
+    assert sum(map(len, read)) <= 2 * len(tasks)  # ranges are decoded together, not one by one
+    names = [n for batches in read for batch in batches for n in batch.column("name").to_pylist()]
+    assert sorted(names) == sorted(f"n{n}" for n in range(3000))
+    back = avro_files.read_avro(spark, path, df.schema, splitBytes=200, tasks=4)
+    assert back.rdd.getNumPartitions() == len(tasks)
+    assert back.count() == 3000 and back.agg({"id": "sum"}).first()[0] == 3000 * 2999 // 2
