@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import BLANKS, map_rows, texts
+from millrace.llm.common import BLANKS, TEXTS, map_rows, texts
 
 SYMBOLS = b"#*$%&|<>"
 SCHEMA = (
@@ -128,7 +128,7 @@ def quality_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         if rows:
             yield [batch.column("doc_id").to_pylist(), *map(list, zip(*rows, strict=True))]
 
-    return map_rows(docs.select("doc_id", "text"), run, SCHEMA)
+    return map_rows(docs.select("doc_id", "text"), run, SCHEMA, TEXTS)
 
 
 def kept_documents(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
@@ -139,6 +139,8 @@ def kept_documents(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array([row[6] for row in judge(texts(batch), bands)], pa.bool_()))
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS)
+                yield some.filter(pa.array([row[6] for row in judge(texts(some), bands)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

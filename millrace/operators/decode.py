@@ -78,6 +78,8 @@ def parse(df: DataFrame, schema, carried: tuple[str, ...] = ()) -> DataFrame:
     corrupt = T.StructField(CORRUPT, T.StringType())
     element = T.StructType([*target.fields, T.StructField(MARK, T.IntegerType())])
     parsed = F.from_json(framed(payload_text()), T.StructType([T.StructField(MARK, T.ArrayType(element)), corrupt]), options)
+    if "error_class" in carried:  # what has failed before is not parsed
+        parsed = F.when(F.col("error_class").isNull(), parsed)
     names = [*TRANSPORT.fieldNames(), *[c for c in carried if c not in ("error_class", "error_message")]]
     known = [F.col(c).alias(f"_{c}") if c in carried else F.lit(None).cast("string").alias(f"_{c}") for c in ("error_class", "error_message")]
     once = df.select(*names, *known, F.explode(F.array(parsed)).alias("_once"))
@@ -90,7 +92,7 @@ def parse(df: DataFrame, schema, carried: tuple[str, ...] = ()) -> DataFrame:
     # Only rows that failed are looked at again, to say why: an object that ends well, and something else behind it.
     first = F.ltrim(payload_text()).startswith("{") & F.get_json_object(payload_text(), "$").isNotNull()
     why = F.when(~marked & F.coalesce(first, F.lit(False)), F.lit("payload holds more than one document"))
-    reason = F.when(bad, why.otherwise(F.lit("payload does not match the schema")))
+    reason = F.when(F.col("_error_class").isNotNull(), F.lit(None).cast("string")).when(bad, why.otherwise(F.lit("payload does not match the schema")))
     absent = missing_required(value, target, True)
     if absent is not None:
         reason = reason.when(absent, F.lit("payload lacks a required field"))

@@ -8,8 +8,9 @@ and at most one envelope's rows in memory beyond the incoming batch.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ RAW_BYTES_KEY = "raw_bytes"
 MAX_RECORDS = 4500  # fixed value: default records per envelope
 MAX_RAW_BYTES = 64 << 20
 INFLATE_LIMIT = 256 << 20  # bytes of an envelope's content; our own stay below 64 MiB
-OUTPUT_ROWS, OUTPUT_BYTES = 10_000, 64 << 20
+OUTPUT_ROWS, OUTPUT_BYTES = 10_000, 8 << 20  # held beside the incoming batch before they leave
 
 UNPACKED = T.StructType(
     TRANSPORT.fields
@@ -139,32 +140,43 @@ def unpack_all(df: DataFrame) -> DataFrame:
             if plain.num_rows:
                 yield _with_error(plain, None, None)
             held: list[pa.RecordBatch] = []
+            failed: list[tuple[int, str, str]] = []
             rows, size = 0, 0
-            envelopes = incoming.filter(packed)
-            for number in range(envelopes.num_rows):
-                one = envelopes.slice(number, 1)
+
+            def joined() -> Iterator[pa.RecordBatch]:
+                nonlocal held, failed, rows, size
+                if held:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                if failed:
+                    places, names, messages = zip(*failed)
+                    yield _with_error(incoming.take(pa.array(places)), names, messages)
+                held, failed, rows, size = [], [], 0, 0
+
+            for number in np.flatnonzero(packed.to_numpy(zero_copy_only=False)).tolist():
+                payload = incoming.column("payload")[number].as_py()
                 try:
-                    body = inflated(one.column("payload")[0].as_py())
+                    body = inflated(payload)
                     with pa.ipc.open_stream(body) as reader:
                         content = reader.read_all().select(incoming.schema.names).cast(incoming.schema)
                     made = [_with_error(b, None, None) for b in content.combine_chunks().to_batches()]
                 except Exception as problem:  # any bad envelope is a dead letter, never a failed task
-                    made = [_with_error(one, type(problem).__name__, str(problem))]
-                held += made
-                rows += sum(b.num_rows for b in made)
-                size += sum(b.nbytes for b in made)
+                    failed.append((number, type(problem).__name__, str(problem)))
+                    rows, size = rows + 1, size + len(payload or b"")
+                else:
+                    held += made
+                    rows += sum(b.num_rows for b in made)
+                    size += sum(b.nbytes for b in made)
                 if rows >= OUTPUT_ROWS or size >= OUTPUT_BYTES:
-                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                    held, rows, size = [], 0, 0
-            if rows:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    yield from joined()
+            yield from joined()
 
     return df.select(*TRANSPORT.fieldNames()).mapInArrow(run, UNPACKED)
 
 
-def _with_error(batch: pa.RecordBatch, name: str | None, message: str | None) -> pa.RecordBatch:
+def _with_error(batch: pa.RecordBatch, names: Sequence[str] | None, messages: Sequence[str] | None) -> pa.RecordBatch:
+    """The batch with its rows' errors, or with none."""
     text = batch.schema.field("event_id").type
-    extra = [pa.repeat(pa.scalar(value, text), batch.num_rows) for value in (name, message)]
+    extra = [pa.nulls(batch.num_rows, text) if values is None else pa.array(values, text) for values in (names, messages)]
     fields = list(batch.schema) + [pa.field("error_class", text), pa.field("error_message", text)]
     return pa.RecordBatch.from_arrays(batch.columns + extra, schema=pa.schema(fields))
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -54,21 +55,26 @@ def map_events(df: DataFrame, transform: Callable[[dict], dict], carried: tuple[
     out = T.StructType(UNPACKED.fields + [f for f in df.schema.fields if f.name in carried and f.name not in UNPACKED.fieldNames()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for incoming in batches:
+        for whole in batches:
+            incoming = whole
+            if "error_class" in carried:  # what has failed before passes as it is, whatever its size
+                lost = whole.column("error_class").is_valid()
+                incoming = whole.filter(pc.invert(lost))
+                if incoming.num_rows < whole.num_rows:
+                    yield whole.filter(lost).select(out.fieldNames())
+                if not incoming.num_rows:
+                    continue
             rows = []
             for event in incoming.to_pylist():
                 event["attributes"] = dict(event["attributes"] or [])
                 known = {c: event.pop(c) for c in carried}
-                if known.get("error_class") is not None:
-                    made = event | known
-                else:
-                    made = event | known | {"error_class": None, "error_message": None}
-                    try:
-                        made |= _checked(transform(dict(event)), event)
-                    except Exception as problem:
-                        made |= {"error_class": type(problem).__name__, "error_message": str(problem)}
-                        if "stage" in known:
-                            made["stage"] = "transform"
+                made = event | known | {"error_class": None, "error_message": None}
+                try:
+                    made |= _checked(transform(dict(event)), event)
+                except Exception as problem:
+                    made |= {"error_class": type(problem).__name__, "error_message": str(problem)}
+                    if "stage" in known:
+                        made["stage"] = "transform"
                 made["attributes"] = list((made.get("attributes") or {}).items())
                 rows.append(made)
             text = incoming.schema.field("event_id").type

@@ -1,5 +1,6 @@
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -238,3 +239,62 @@ def test_no_tail_passes_for_one_document(spark):
     for i in range(len(good), len(rows)):
         with pytest.raises(Exception, match="MalformedPayload"):
             d.decode_or_fail(spark.createDataFrame([rows[i]], TRANSPORT), kind).collect()
+
+
+class Steps:
+    """Stands for a frame and gives the function that its tasks would run."""
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.run, self.schema = run, schema
+        return self
+
+
+def arrow_transports(payloads, attributes):
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ids = [f"e{n}" for n in range(len(payloads))]
+    columns = [ids, attributes, payloads, [None] * len(ids)]
+    schema = to_arrow_schema(TRANSPORT)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def test_failed_envelopes_leave_in_small_batches():
+    from millrace.operators import envelope
+
+    marked = [(envelope.COMPRESSION_KEY, envelope.COMPRESSION_NAME)]
+    payloads = [bytes([n]) * (1 << 20) for n in range(40)] + [b"plain", None]
+    batch = arrow_transports(payloads, [marked] * 40 + [None, marked])
+    made = list(envelope.unpack_all(Steps()).run(iter([batch])))
+    assert max(b.nbytes for b in made) < 12 << 20
+    rows = {r["event_id"]: r for b in made for r in b.to_pylist()}
+    assert sum(b.num_rows for b in made) == len(rows) == 42
+    assert all(rows[f"e{n}"]["payload"] == p for n, p in enumerate(payloads))
+    assert rows["e40"]["error_class"] is None and rows["e41"]["error_class"] == "TypeError"
+    assert {rows[f"e{n}"]["error_class"] for n in range(40)} == {"error"}
+
+
+def test_failed_rows_pass_user_functions_as_they_are():
+    from millrace.operators import transforms
+
+    batch = arrow_transports([b"x", b"y", b"z"], [None, None, [("a", "b")]])
+    for name, values in (("error_class", ["error", None, None]), ("error_message", ["bad", None, None]), ("stage", ["decompress", None, None])):
+        batch = batch.append_column(name, pa.array(values, pa.string()))
+    steps = Steps()
+    steps.schema = T.StructType([*TRANSPORT.fields, *[T.StructField(n, T.StringType()) for n in ("error_class", "error_message", "stage")]])
+    seen = []
+
+    def transform(event):
+        seen.append(event["event_id"])
+        if event["event_id"] == "e2":
+            raise ValueError("no")
+        return event | {"payload": b"done"}
+
+    run = transforms.map_events(steps, transform, ("error_class", "error_message", "stage")).run
+    rows = {r["event_id"]: r for b in run(iter([batch])) for r in b.to_pylist()}
+    assert seen == ["e1", "e2"] and len(rows) == 3
+    assert rows["e0"] == batch.to_pylist()[0]
+    assert rows["e1"]["payload"] == b"done" and rows["e1"]["error_class"] is None
+    assert (rows["e2"]["stage"], rows["e2"]["error_class"], rows["e2"]["payload"]) == ("transform", "ValueError", b"z")
