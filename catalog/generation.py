@@ -390,6 +390,9 @@ def spark_leaves(fields, column) -> list:
 
 
 def each_element(value, kind: T.DataType):
+    if isinstance(kind, T.StringType):  # as it is: a lambda would be interpreted
+        return value
+
     def text(element):
         parts = spark_leaves(kind.fields, element.getField) if isinstance(kind, T.StructType) else [spark_leaf(kind, element)]
         return F.concat_ws(":", *parts)

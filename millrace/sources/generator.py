@@ -1,7 +1,8 @@
 """Schema-driven synthetic records as column expressions over a sequence.
 
-A schema becomes one ``select`` with a prebuilt column list, so an 800-field record costs one
-projection. Nothing is shipped to workers and nothing is cached in them: the generator is a plan.
+A schema becomes one ``select`` with a prebuilt column list, and nothing is cached in workers: the generator
+is a plan. Records of several hundred fields are beyond Spark's compiler; ``vectors.py`` makes them, the same
+values, in one pass over Arrow batches.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from millrace import schemas
 from millrace.functions.draws import LANES, Draws, fixed_letters, fixed_number, letters_from, with_lanes
 from millrace.session import cut_lineage
+from millrace.sources import vectors
 
 # Fixed value: share of string draws, in ten-thousandths, that are fresh (P(gaussian < 0.001)).
 FRESH_PER_TEN_THOUSAND = 5004
@@ -194,17 +196,23 @@ def repeated_text(options: GeneratorOptions, name: str) -> str:
 
 def generate(df: DataFrame, row_id: str, schema, options: GeneratorOptions | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One record per row of ``df``; ``row_id`` is the sequence number. Batch or streaming."""
-    options = options or GeneratorOptions()
+    options, schema = options or GeneratorOptions(), schemas.resolve(schema)
     laned = _prepared(df, row_id, options)
-    columns = FieldBuilder(options).record(schemas.resolve(schema))
+    if vectors.suits(schema, options):
+        return vectors.with_fields(laned, schema, options, keep).toDF(*keep, *schema.fieldNames())
+    columns = FieldBuilder(options).record(schema)
     return laned.select(*[F.col(c) for c in keep], *columns)
 
 
 def generate_records(df: DataFrame, row_id: str, schema, options: GeneratorOptions | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """As :func:`generate`, with the record in one struct column ``record``."""
-    options = options or GeneratorOptions()
+    options, schema = options or GeneratorOptions(), schemas.resolve(schema)
     laned = _prepared(df, row_id, options)
-    record = F.expr(FieldBuilder(options).struct(schemas.resolve(schema)))
+    if vectors.suits(schema, options):
+        made = vectors.with_fields(laned, schema, options, keep)
+        whole = F.struct(*[F.col(f"_f{n}").alias(name) for n, name in enumerate(schema.fieldNames())])
+        return made.select(*[F.col(f"_k{n}").alias(c) for n, c in enumerate(keep)], whole.alias("record"))
+    record = F.expr(FieldBuilder(options).struct(schema))
     return laned.select(*[F.col(c) for c in keep], record.alias("record"))
 
 
