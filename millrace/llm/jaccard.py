@@ -39,6 +39,7 @@ SAMPLE = 16  # one document in so many is searched for common shingles; results
 COMMON_USES, MOST_COMMON = 8, 200_000
 SALT = 200  # pairs of one document that meet in one task
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # each step is stored, so its shuffle files can go
+TURNS = 2  # rounds of few pairs before all that are still apart; results do not depend on it
 DISTANCE = 4  # bits between fingerprints that are compared first; results do not depend on it
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BITS = 1024  # of a parity bitmap; results do not depend on it
@@ -194,6 +195,29 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int = WI
         return _verified(docs, sets, pairs, width)
 
 
+def linked(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Pairs (a, b) of similarity 4/5 or more, with the components of all such pairs among ``pairs``.
+
+    In a group of near copies all meet all. Each set meets one set of each component it has not met yet first; in the end
+    all pairs are verified that are still apart, so no link between components is lost.
+    """
+    left = stored(pairs.select("a", "b", "_n", "_m").distinct(), "jaccard-met").withColumn("_root", F.lit(0).cast("long"))
+    found = None
+    for _ in range(TURNS):
+        some = left.groupBy("b", "_root").agg(F.min(F.struct("a", "_n", "_m")).alias("pair")).select("pair.a", "b", "pair._n", "pair._m")
+        some = stored(some, "jaccard-turn")
+        alike = verified(docs, sets, some, width)
+        found = alike if found is None else found.unionByName(alike)
+        roots = cut_lineage(sets.sparkSession, components(found))
+        ends = left.drop("_root").join(roots.withColumnsRenamed({"id": "a", "root": "_root"}), "a", "left")
+        ends = ends.join(roots.withColumnsRenamed({"id": "b", "root": "_other"}), "b", "left").withColumn("_root", F.coalesce("_root", "a"))
+        apart = ends.filter(F.col("_root") != F.coalesce("_other", "b")).drop("_other")
+        left = stored(apart.join(some, ["a", "b"], "left_anti"), "jaccard-apart")
+        if left.isEmpty():
+            return found
+    return found.unionByName(verified(docs, sets, left, width))
+
+
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     met = stored(pairs.select("a", "b", "_n", "_m").distinct(), "jaccard-pairs")
     marks = stored(sets.select("key", F.col("bits").alias("shingles")).join(ends_of(met), "key", "left_semi"), "jaccard-bits")
@@ -230,7 +254,7 @@ def print_links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFra
     found = same.unionByName(fingerprint_links(prints, DISTANCE)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     sizes = sets.select("key", "size")
     sized = found.join(sizes.withColumnsRenamed({"key": "a", "size": "_n"}), "a").join(sizes.withColumnsRenamed({"key": "b", "size": "_m"}), "b")
-    return verified(docs, sets, sized.filter(near_in_size(F.col("_n"), F.col("_m"))), width)
+    return linked(docs, sets, sized.filter(near_in_size(F.col("_n"), F.col("_m"))), width)
 
 
 def links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -265,7 +289,7 @@ def links(docs: DataFrame, sets: DataFrame, width: int = WIDTH) -> DataFrame:
         F.when(F.col("x.key") < F.col("y.key"), F.col("x.size")).otherwise(F.col("y.size")).alias("_n"),
         F.when(F.col("x.key") < F.col("y.key"), F.col("y.size")).otherwise(F.col("x.size")).alias("_m"),
     )
-    return stars.unionByName(verified(docs, sets, rest, width))
+    return stars.unionByName(linked(docs, sets, rest, width))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -115,3 +115,25 @@ def test_simhash_links_verified_pairs_first(spark):
     by_rep = {r.rep: r.key for r in sets.collect()}
     found = {frozenset((r.a, r.b)) for r in jaccard.print_links(docs, sets).collect()}
     assert found == {frozenset((by_rep[1], by_rep[2]))}
+
+
+def test_groups_of_near_copies_verify_few_pairs(spark, monkeypatch):
+    """All pairs of one group are candidates; linked sets meet once, and no component is lost."""
+    base = prose(11, 300).split()
+    texts = {k: " ".join([*base, f"x{k}"]) for k in range(60)} | {k + 100: t for k, t in edited(12, 6, 8, 3).items()}
+    docs = frame(spark, texts)
+    sets = jaccard.distinct_sets(docs)
+    x, y = sets.alias("x"), sets.alias("y")
+    pairs = x.join(y, jaccard.F.col("x.key") < jaccard.F.col("y.key")).selectExpr("x.key AS a", "y.key AS b", "x.size AS _n", "y.size AS _m").filter(
+        jaccard.near_in_size(jaccard.F.col("_n"), jaccard.F.col("_m"))
+    )
+    whole = {(r.id, r.root) for r in jaccard.components(jaccard.verified(docs, sets, pairs)).collect()}
+    met, verified = [], jaccard.verified
+
+    def counted(docs, sets, some, width=5):
+        met.append(some.count())
+        return verified(docs, sets, some, width)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    assert {(r.id, r.root) for r in jaccard.components(jaccard.linked(docs, sets, pairs)).collect()} == whole
+    assert met[0] < len(texts) and sum(met) < pairs.count() - 1500
