@@ -7,14 +7,16 @@
    many symbols as a phrase has words. It is written once; a wavelet matrix of packed bits is built over each when it is read.
 3. A phrase is a pair of intervals, one in each transform, kept in step: listing the symbols of the first interval gives
    all its extensions to the left with their counts, listing those of the second all to the right. Pairs come from extending words.
-   After their counts are summed over the shards, each shard gets back those of its pairs that are used often enough everywhere,
-   and extends them, right and left in turn, by words that make another such pair. Counts are summed again.
+   A shard sends its phrases of one length with their counts, dealt into parts by their words, each part as one packed block; a
+   task adds up a part. Each shard gets back one bit for each phrase that it sent, set if all shards together use it often enough; it lists its
+   phrases anew, extends those, right and left in turn, by words that make another such pair, and sends the next length.
 
 Everything is kept apart by language: a shard's word numbers are those of (language, word). What a phrase's longest
 neighbours say (``drop``) needs the one-word extensions only: a longer phrase that holds it holds such an extension,
 which is used at least as often.
 
-Memory of a task: one shard, or one document where that is longer.
+Memory of a task: one shard, or one document where that is longer; where counts are added, one part, which has about
+``PART_ROWS`` phrases at most, since the number of parts grows with the words.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated rows count each time; ids
 and other columns are not read; very long texts are read whole; ties are ordered as the query says; an empty table, or one
@@ -23,17 +25,18 @@ in which no phrase is used ``least`` times, gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import scratch, stored
 from millrace.llm.fmindex import BitRank
 from millrace.session import scoped_conf
 
@@ -41,12 +44,15 @@ LEAST = 30
 MOST_WORDS = 4
 SHARD_WORDS = 1_500_000
 LOT = 1 << 19  # occurrences whose extensions are listed at a time
+PART_ROWS = 500_000  # phrases whose counts a task adds up at once
 EDGE = b"\xff"  # in no UTF-8 text
 FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + EDGE * 10 + b" ")
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # each step is stored, so its shuffle files can go
 
 SHARD = "shard long, number int, lang string, word binary, uses long, text binary"
 INDEX = "shard long, ids binary, forward binary, backward binary"
+BLOCK = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
+SUMMED = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("size", pa.int32()), ("bits", pa.binary()), ("ids", pa.list_(pa.int64())), ("f", pa.int64())])
 
 
 # -- shards
@@ -152,31 +158,39 @@ class Wavelet:
     """A wavelet matrix over a Burrows-Wheeler transform."""
 
     def __init__(self, bwt: np.ndarray, sigma: int):
+        self.bwt, self.sigma = bwt, sigma
         self.below = np.concatenate(([0], np.cumsum(np.bincount(bwt, minlength=sigma))))
-        self.levels, rest = [], bwt
-        for bit in range(max(1, (sigma - 1).bit_length()) - 1, -1, -1):
+
+    @cached_property
+    def built(self) -> tuple[list[tuple[int, BitRank, int]], np.ndarray]:
+        """The levels, and the shift from the last level to the sorted order; made when intervals are first asked for."""
+        levels, rest = [], self.bwt
+        for bit in range(max(1, (self.sigma - 1).bit_length()) - 1, -1, -1):
             bits = (rest >> bit & 1).astype(np.uint8)
             ones = bits.astype(bool)
-            self.levels.append((bit, BitRank(bits), int(len(bits) - bits.sum())))
+            levels.append((bit, BitRank(bits), int(len(bits) - bits.sum())))
             rest = np.concatenate((rest[~ones], rest[ones]))
         first = np.flatnonzero(np.concatenate(([True], rest[1:] != rest[:-1])))
-        self.shift = np.zeros(sigma, np.int64)  # from the last level to the sorted order
-        self.shift[rest[first]] = self.below[rest[first]] - first
+        shift = np.zeros(self.sigma, np.int64)
+        shift[rest[first]] = self.below[rest[first]] - first
+        return levels, shift
 
     def narrow(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray):
         """Intervals of symbol + phrase, and the number of smaller symbols in those of the phrase."""
         smaller = np.zeros(len(symbol), np.int64)
-        for bit, rank, zeros in self.levels:
+        levels, shift = self.built
+        for bit, rank, zeros in levels:
             low_ones, high_ones = rank.ones(low), rank.ones(high)
             one = (symbol >> bit & 1).astype(bool)
             smaller += np.where(one, high - low - (high_ones - low_ones), 0)
             low, high = np.where(one, zeros + low_ones, low - low_ones), np.where(one, zeros + high_ones, high - high_ones)
-        return low + self.shift[symbol], high + self.shift[symbol], smaller
+        return low + shift[symbol], high + shift[symbol], smaller
 
     def spread(self, low: np.ndarray, high: np.ndarray):
         """(place of the interval, symbol, its interval, number of smaller symbols) for each symbol in each interval."""
         place, symbol, smaller = np.arange(len(low)), np.zeros(len(low), np.int64), np.zeros(len(low), np.int64)
-        for bit, rank, zeros in self.levels:
+        levels, shift = self.built
+        for bit, rank, zeros in levels:
             low_ones, high_ones = rank.ones(low), rank.ones(high)
             ones = high_ones - low_ones
             left, right = np.flatnonzero(high - low > ones), np.flatnonzero(ones)
@@ -187,7 +201,7 @@ class Wavelet:
             )
             place = np.concatenate((place[left], place[right]))
             symbol = np.concatenate((symbol[left], symbol[right] | 1 << bit))
-        return place, symbol, low + self.shift[symbol], high + self.shift[symbol], smaller
+        return place, symbol, low + shift[symbol], high + shift[symbol], smaller
 
 
 class TwoWay:
@@ -233,16 +247,21 @@ def lots(size: np.ndarray) -> Iterator[slice]:
 
 
 def word_pairs(index: TwoWay, sigma: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(word, next word, count) of every pair."""
-    symbol = np.arange(1, sigma)
-    for lot in lots(index.words(symbol)[2]):
-        place, after, (_, _, size) = index.rights(*index.words(symbol[lot]))
-        real = after > 0
-        yield symbol[lot][place[real]], after[real], size[real]
+    """(word, next word, count) of every pair: all extensions of all words to the left, read off the transform at once."""
+    word = np.repeat(np.arange(sigma), np.diff(index.forward.below[: sigma + 1]))
+    codes, n = np.unique(word * sigma + index.forward.bwt, return_counts=True)
+    word, before = np.divmod(codes, sigma)
+    real = (word > 0) & (before > 0)
+    yield before[real], word[real], n[real]
+
 
+def longer_phrases(
+    index: TwoWay, sigma: int, first: np.ndarray, second: np.ndarray, most_words: int, wanted: Callable[[np.ndarray], np.ndarray] | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, count) of the phrases of 3 words and more all of whose pairs are among the given ones.
 
-def longer_phrases(index: TwoWay, sigma: int, first: np.ndarray, second: np.ndarray, most_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(words, count) of the phrases of 3 words and more all of whose pairs are among the given ones."""
+    ``wanted`` says which of the phrases that are not of the full length are extended.
+    """
     known = np.sort(first * sigma + second)
 
     def often(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -262,6 +281,9 @@ def longer_phrases(index: TwoWay, sigma: int, first: np.ndarray, second: np.ndar
                 words = np.column_stack((symbol[keep], words[place[keep]]))
             where = tuple(side[keep] for side in where)
             yield words, where[2]
+            if wanted and length < most_words:
+                keep = np.flatnonzero(wanted(words))
+                words, where = words[keep], tuple(side[keep] for side in where)
 
 
 # -- Spark
@@ -288,7 +310,7 @@ def indexes(shards: DataFrame, known: DataFrame, depth: int) -> DataFrame:
 
     texts = shards.filter("text IS NOT NULL").select("shard", "text")
     words = known.select(F.col("shard").alias("of"), "number", "id")
-    return stored(texts.groupBy("shard").cogroup(words.groupBy("of")).applyInArrow(build, INDEX), "collocations-index")
+    return stored(texts.groupBy("shard").cogroup(words.groupBy("of")).applyInArrow(build, INDEX), "collocations-index", keep=True)
 
 
 def opened(ids: bytes, forward: bytes, backward: bytes) -> tuple[np.ndarray, TwoWay, int]:
@@ -297,45 +319,122 @@ def opened(ids: bytes, forward: bytes, backward: bytes) -> tuple[np.ndarray, Two
     return names, TwoWay(unpacked(forward), unpacked(backward), sigma), sigma
 
 
-def pairs_of(index: DataFrame) -> DataFrame:
-    """(shard, w1, w2, n) of every pair of frequent words."""
+def block(words: np.ndarray, n: np.ndarray) -> bytes:
+    """Ids of phrases and their counts, packed: a byte of all numbers, then the next."""
+    numbers = np.concatenate((words.T, n[None]), dtype=np.int64, casting="unsafe")
+    return packed(numbers.reshape(-1, 1).view(np.uint8).T)
+
+
+def unblocked(data: bytes, columns: int) -> np.ndarray:
+    """A row for each place of the phrases, and one of counts."""
+    return np.ascontiguousarray(unpacked(data, np.uint8).reshape(8, -1).T).view(np.int64).reshape(columns, -1)
+
+
+def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
+    code = np.zeros(len(ids), np.uint64)
+    for column in ids.T:
+        code = (code ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        code ^= code >> np.uint64(29)
+    return (code % np.uint64(parts)).astype(np.int64)
+
+
+def blocks(shard: int, ids: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One row per part that has phrases; within a part they keep their order."""
+    part = part_of(ids, parts)
+    order = np.argsort(part, kind="stable")
+    part, ids, n = part[order], ids[order], n[order]
+    starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
+    data = [block(ids[a:b], n[a:b]) for a, b in zip(starts, [*starts[1:], len(part)], strict=True)] if len(part) else []
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), shard)), pa.array(part[starts].astype(np.int32)), pa.array(data, pa.binary())], schema=BLOCK)
+
+
+class Passed:
+    """What came back for a shard's phrases of one length, asked in the order in which they were sent."""
+
+    def __init__(self, bits: pa.Table, names: np.ndarray, parts: int):
+        self.names, self.parts, self.used = names, parts, np.zeros(parts, np.int64)
+        each = {p: np.unpackbits(np.frombuffer(b, np.uint8), count=n) for p, n, b in zip(*(bits.column(c).to_pylist() for c in ("part", "size", "bits")), strict=True)}
+        self.flat = np.concatenate([np.zeros(0, np.uint8), *each.values()]).astype(bool)
+        self.starts = np.zeros(parts, np.int64)
+        self.starts[list(each)] = np.cumsum([0, *map(len, each.values())])[:-1]
+
+    def __call__(self, words: np.ndarray) -> np.ndarray:
+        part = part_of(self.names[words - 1], self.parts)
+        order = np.argsort(part, kind="stable")
+        place = np.empty(len(part), np.int64)
+        place[order] = np.arange(len(part)) - np.searchsorted(part[order], part[order])
+        out = self.flat[self.starts[part] + self.used[part] + place]
+        self.used += np.bincount(part, minlength=self.parts)
+        return out
+
+
+def pairs_of(index: DataFrame, parts: int) -> DataFrame:
+    """Blocks of every pair of frequent words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 names, two_way, sigma = opened(row["ids"], row["forward"], row["backward"])
                 for a, b, n in word_pairs(two_way, sigma):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(n), row["shard"])), pa.array(names[a - 1]), pa.array(names[b - 1]), pa.array(n)],
-                        names=["shard", "w1", "w2", "n"],
-                    )
+                    yield blocks(row["shard"], names[np.column_stack((a, b)) - 1], n, parts)
 
-    return stored(index.mapInArrow(run, "shard long, w1 long, w2 long, n long"), "collocations-pairs")
+    return index.mapInArrow(run, "shard long, part int, data binary")
 
 
-def longer_of(index: DataFrame, pairs: DataFrame, most_words: int) -> DataFrame:
-    """(ids, n) of the shards' longer phrases; ``pairs`` holds (shard, w1, w2), those used often over all shards."""
-    kind = pa.schema([("ids", pa.list_(pa.int64())), ("n", pa.int64())])
+def longer_of(index: DataFrame, passed: DataFrame, length: int, parts: int) -> DataFrame:
+    """Blocks of the shards' phrases of ``length`` words; ``passed`` holds the bits (shard, length, part, size, bits) of shorter ones."""
 
-    def extend(shard: pa.Table, often: pa.Table) -> pa.Table:
+    def extend(shard: pa.Table, bits: pa.Table) -> pa.Table:
         out = []
-        if shard.num_rows and often.num_rows:
+        if shard.num_rows and bits.num_rows:
             names, two_way, sigma = opened(*(shard.column(c)[0].as_py() for c in ("ids", "forward", "backward")))
-            first, second = (np.searchsorted(names, often.column(c).to_numpy()) + 1 for c in ("w1", "w2"))
-            for words, n in longer_phrases(two_way, sigma, first, second, most_words):
-                flat = pa.array(names[words.ravel() - 1])
-                ends = pa.array(np.arange(len(n) + 1, dtype=np.int32) * words.shape[1])
-                out.append(pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, flat), pa.array(n)], schema=kind))
-        return pa.Table.from_batches(out, schema=kind)
+            often = {k: Passed(bits.filter(pc.equal(bits.column("length"), k)), names, parts) for k in range(2, length)}
+            pairs = np.concatenate([np.column_stack((a, b)) for a, b, _ in word_pairs(two_way, sigma)])
+            first, second = pairs[often[2](pairs)].T
+            if len(first):
+                found = [(w, n) for w, n in longer_phrases(two_way, sigma, first, second, length, lambda w: often[w.shape[1]](w)) if w.shape[1] == length]
+                words, n = (np.concatenate(side) for side in zip(*found, strict=True))
+                out.append(blocks(shard.column("shard")[0].as_py(), names[words - 1], n, parts))
+        return pa.Table.from_batches(out, schema=BLOCK)
+
+    back = passed.withColumnRenamed("shard", "of")
+    return index.groupBy("shard").cogroup(back.groupBy("of")).applyInArrow(extend, "shard long, part int, data binary")
+
+
+def summed(sent: DataFrame, length: int, least: int) -> DataFrame:
+    """For each block its bits, (shard, part, size, bits); and (ids, f) of every phrase used ``least`` times in all shards together."""
+
+    def add(part: pa.Table) -> pa.Table:
+        each = [unblocked(data, length + 1) for data in part.column("data").to_pylist()]
+        rows = np.concatenate(each, axis=1)
+        order = np.lexsort(rows[:-1])
+        rows = rows[:, order]
+        new = np.concatenate(([True], (rows[:-1, 1:] != rows[:-1, :-1]).any(axis=0)))
+        starts = np.flatnonzero(new)
+        f = np.add.reduceat(rows[-1], starts)
+        often = f >= least
+        bit = np.empty(len(order), bool)
+        bit[order] = often[np.cumsum(new) - 1]
+        cuts = np.cumsum([0, *(e.shape[1] for e in each)])
+        bits = [np.packbits(bit[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        ids, none = rows[:-1, starts[often]].T, int(often.sum())
+        back = pa.Table.from_arrays(
+            [part.column("shard"), part.column("part"), pa.array(np.diff(cuts).astype(np.int32)), pa.array(bits, pa.binary()), pa.nulls(len(each), SUMMED.field("ids").type), pa.nulls(len(each), pa.int64())],
+            schema=SUMMED,
+        )
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(none + 1, dtype=np.int32) * length), pa.array(np.ascontiguousarray(ids).ravel()))
+        empty = [pa.nulls(none, SUMMED.field(c).type) for c in ("shard", "part", "size", "bits")]
+        return pa.concat_tables([back, pa.Table.from_arrays([*empty, lists, pa.array(f[often])], schema=SUMMED)])
 
-    back = pairs.select(F.col("shard").alias("of"), "w1", "w2")
-    return index.groupBy("shard").cogroup(back.groupBy("of")).applyInArrow(extend, "ids array<long>, n long")
+    done = sent.groupBy("part").applyInArrow(add, "shard long, part int, size int, bits binary, ids array<long>, f long")
+    return stored(done, f"collocations-{length}")
 
 
 def used_often(rows: DataFrame, key: list[str], place: list[str], count: str, least: int) -> DataFrame:
     """The rows whose key is counted ``least`` times in all shards together, with ``f``, that count, and ``id``.
 
-    A key has one row a shard at most, so summing before the shuffle saves nothing. Both sides of the join name the same
+    A word has one row a shard at most, so summing before the shuffle saves nothing. Both sides of the join name the same
     columns, so one shuffle serves both (``last_`` is there for that). A task holds whole keys: the numbers that it gives
     them stand in its own output only.
     """
@@ -352,19 +451,29 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WO
     language, words themselves included; (id, lang, word) of those words; (lang, n) of all word occurrences."""
     if most_words < 2 or least < 1:
         raise ValueError("phrases have two words at least and are used once at least")
-    shards = word_shards(docs, shard_words)
-    uses = shards.filter("number > 0")
-    totals = uses.groupBy("lang").agg(F.sum("uses").alias("n"))
-    known = stored(used_often(uses, ["lang", "word"], ["shard", "number"], "uses", least), "collocations-known")
-    words = known.groupBy("id", "lang", "word").agg(F.max("f").alias("f"))
-    index = indexes(shards, known, most_words)
-    pairs = stored(used_often(pairs_of(index), ["w1", "w2"], ["shard"], "n", least).drop("n", "id"), "collocations-often")
-    often = pairs.groupBy("w1", "w2").agg(F.max("f").alias("f"))
-    phrases = words.select(F.array("id").alias("ids"), "f").unionByName(often.select(F.array("w1", "w2").alias("ids"), "f"))
-    if most_words > 2:
-        longer = longer_of(index, pairs, most_words).groupBy("ids").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-        phrases = phrases.unionByName(longer)
-    return stored(phrases, "collocations-phrases"), words.select("id", "lang", "word"), totals
+    spark = docs.sparkSession
+    with scratch(spark):
+        with scratch(spark):  # the shards themselves are not needed beyond their indexes
+            shards = word_shards(docs, shard_words)
+            uses = shards.filter("number > 0")
+            totals = stored(uses.groupBy("lang").agg(F.sum("uses").alias("n")), "collocations-totals", keep=True)
+            known = stored(used_often(uses, ["lang", "word"], ["shard", "number"], "uses", least), "collocations-known")
+            words = stored(known.groupBy("id", "lang", "word").agg(F.max("f").alias("f")), "collocations-words", keep=True)
+            index = indexes(shards, known, most_words)
+        size = words.agg(F.sum("f")).first()[0] or 0
+        parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_ROWS))
+        phrases, passed, sent = words.select(F.array("id").alias("ids"), "f"), None, pairs_of(index, parts)
+        for length in range(2, most_words + 1):
+            if passed is not None:
+                sent = longer_of(index, passed, length, parts)
+            done = summed(sent, length, least)
+            phrases = phrases.unionByName(done.filter("ids IS NOT NULL").select("ids", "f"))
+            bits = done.filter("shard IS NOT NULL").select("shard", F.lit(length).alias("length"), "part", "size", "bits")
+            passed = bits if passed is None else passed.unionByName(bits)
+        phrases = stored(phrases, "collocations-phrases", keep=True)
+        words = stored(words.select("id", "lang", "word"), "collocations-names", keep=True)
+        totals = stored(totals, "collocations-sums", keep=True)
+    return phrases, words, totals
 
 
 def extensions(phrases: DataFrame) -> DataFrame:
@@ -403,7 +512,7 @@ def collocations(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WOR
     A phrase goes if a longer one that holds it is used ``inside`` percent as often or more. ``lefts`` and ``rights`` are the
     numbers of frequent one-word extensions. Order: score and a descending, phrase ascending by bytes.
     """
-    with scoped_conf(docs.sparkSession, {CLEAN: "true"}):
+    with scoped_conf(docs.sparkSession, {CLEAN: "true"}), scratch(docs.sparkSession):
         phrases, words, totals = phrase_counts(docs, least, most_words, shard_words)
         judged = scored(phrases).join(extensions(phrases), "ids", "left")
         most = F.coalesce(F.greatest("left", "right"), F.lit(0)).cast("decimal(38,0)")
@@ -418,4 +527,4 @@ def collocations(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WOR
         place = F.row_number().over(Window.partitionBy("lang").orderBy(*order, F.col("phrase").asc())).cast("long")
         ranked = near.join(texts, "ids").join(totals, "lang").withColumn("rank", place).filter(F.col("rank") <= first)
         count = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("lefts", "rights")]
-        return stored(ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", *count), "collocations")
+        return stored(ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", *count), "collocations", keep=True)

@@ -102,3 +102,20 @@ def test_awkward_documents(spark):
     assert got(result) == by_hand(rows, 2) != set()
     assert c.collocations(nothing(spark)).count() == 0
     assert c.collocations(docs.filter("text = ''")).count() == 0
+
+
+def test_a_shard_gets_bits_back_and_only_the_result_stays(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("millrace.llm.common.fresh_dir", lambda _, label: f"{tmp_path}/{label}")
+    draw = random.Random(6)
+    rows = [("en", " ".join(f"w{draw.randrange(300)}" for _ in range(4000))) for _ in range(30)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    index = c.indexes(shards := c.word_shards(docs, 20_000), c.stored(c.used_often(shards.filter("number > 0"), ["lang", "word"], ["shard", "number"], "uses", 30), "k"), 4)
+    sent = c.pairs_of(index, 16)
+    pairs = sum(c.unblocked(bytes(r.data), 3).shape[1] for r in sent.collect())
+    assert pairs > 50_000 and sum(len(r.data) for r in sent.collect()) < 8 * pairs
+    back = c.summed(sent, 2, 2).filter("shard IS NOT NULL").collect()
+    assert sum(r["size"] for r in back) == pairs and all(len(r.bits) == -(-r["size"] // 8) for r in back)
+    own = tmp_path / "own"
+    monkeypatch.setattr("millrace.llm.common.fresh_dir", lambda _, label: f"{own}/{label}")
+    assert got(c.collocations(docs, least=12, shard_words=20_000)) == by_hand(rows, 12)
+    assert [p.name for p in own.iterdir()] == ["collocations"]
