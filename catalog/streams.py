@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from millrace.sinks.files import with_window_folders
 from millrace.sources.events import SourceOptions, read_events
 from millrace.sources.topic import read_topic_log, topic_records, write_topic_log
 from millrace.streaming.panes import count_panes
-from millrace.streaming.running import append_to_files, read_arrivals, run_to_end, stage_arrivals, start_batches, update_to_files
+from millrace.streaming.running import append_to_files, read_arrivals, run_to_end, stage_arrivals, start_batches, stop_when, update_to_files
 
 BATCHES = 12
 ROWS_PER_FILE = 1_000_000
@@ -230,6 +228,9 @@ def agg_latenesses(spark, sf_dir):
     return rows.select("agg_name", "agg_key", ntz("window_start", "window_start"), ntz("window_end", "window_end"), F.col("result_long").alias("total"))
 
 
+EARLY_BATCHES = 50  # far more than the triggers that fit in the delay: the first one after it fires all panes that wait
+
+
 @query(
     "panes_early_delay",
     f"""SELECT agg_key, window_start, window_end, pane, total FROM (
@@ -252,14 +253,11 @@ def panes_early_delay(spark, sf_dir):
     panes = count_panes(stream, wanted, waiting=True)
     running = start_batches(panes, spark, "early-delay", handle, "update", trigger={"processingTime": "300 milliseconds"})
     schema = panes.schema
-    try:
-        deadline = time.monotonic() + 120
-        while running.isActive and time.monotonic() < deadline:
-            time.sleep(1)
-            if Folder(spark, path).exists() and spark.read.schema(schema).parquet(path).count() >= open_keys:
-                break
-    finally:
-        running.stop()
+
+    def shown_all() -> bool:
+        return Folder(spark, path).exists() and spark.read.schema(schema).parquet(path).count() >= open_keys
+
+    stop_when(running, shown_all, most_batches=EARLY_BATCHES)
     found = spark.read.schema(schema).parquet(path)
     return found.select("agg_key", ntz("window_start", "window_start"), ntz("window_end", "window_end"), "pane", F.col("result_long").alias("total"))
 

@@ -75,6 +75,32 @@ def finish(query) -> None:
         query.stop()
 
 
+IDLE_SECONDS = 60
+
+
+def stop_when(query, done: Callable[[], bool], most_batches: int) -> None:
+    """Stop a query that would run on as soon as ``done()``.
+
+    Whatever else ends the wait is raised: the query's failure, its end, ``most_batches`` batches, a minute without any. A batch
+    may take as long as it needs.
+    """
+    idle = 0
+    try:
+        while not done():
+            if query.awaitTermination(1):
+                raise RuntimeError("the query ended before it was done")
+            idle = 0 if query.status["isTriggerActive"] else idle + 1
+            last = query.lastProgress
+            over = last is not None and last["batchId"] >= most_batches
+            if (over or idle >= IDLE_SECONDS) and not done():
+                raise TimeoutError(f"the query is not done after {last['batchId'] + 1 if last else 0} batches")
+        failure = query.exception()
+        if failure is not None:
+            raise failure
+    finally:
+        query.stop()
+
+
 def run_batches(df: DataFrame, spark: SparkSession, label: str, handle: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None) -> None:
     """Drain the source through ``handle``."""
     finish(start_batches(df, spark, label, handle, mode, checkpoint))

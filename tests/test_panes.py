@@ -223,3 +223,34 @@ def test_keys_share_their_state_by_window_and_bucket(spark):
     got = sorted((r.agg_key, r.pane, r.result_long) for r in found.collect())
     # The first window's on-time point is the watermark that a query begins with, so it has no early panes.
     assert got == [("0", "final", 2), ("0", "on_time", 1), ("7", "final", 1), ("7", "on_time", 1), ("9999", "final", 1), ("9999", "on_time", 1)]
+
+
+@pytest.mark.parametrize("fault", [None, "fails", "shows nothing"])
+def test_delayed_panes_are_whole_or_an_error(spark, monkeypatch, tmp_path, fault):
+    """Neither a query that failed nor one that never shows its panes ends as a shorter result."""
+    import pyarrow as pa
+    from pyarrow import parquet
+    from pyspark.errors import StreamingQueryException
+
+    from catalog import streams
+
+    rows = {"event_id": range(24), "ts": [datetime(2024, 1, 1 + n % 3, 5) for n in range(24)], "user_id": [n % 4 or None for n in range(24)]}
+    parquet.write_table(pa.table({name: list(values) for name, values in rows.items()}), f"{tmp_path}/events.parquet")
+    begin = streams.start_batches
+
+    def faulty(panes, spark, label, handle, *args, **kwargs):
+        def broken(batch, number):
+            if fault == "fails" and number == 1:
+                raise ValueError("no disk")
+            handle(batch.filter("agg_key = 'nobody'") if fault == "shows nothing" else batch, number)
+
+        return begin(panes, spark, label, broken, *args, **kwargs)
+
+    monkeypatch.setattr(streams, "start_batches", faulty)
+    monkeypatch.setattr(streams, "EARLY_BATCHES", 12 if fault else 50, raising=False)
+    if fault:
+        with pytest.raises(StreamingQueryException if fault == "fails" else TimeoutError):
+            streams.panes_early_delay(spark, str(tmp_path))
+    else:
+        found = streams.panes_early_delay(spark, str(tmp_path)).collect()
+        assert sorted((r["agg_key"], r["window_start"], r["total"]) for r in found) == [(k, datetime(2024, 1, 3), 2) for k in ("1", "2", "3", "\\N")]
