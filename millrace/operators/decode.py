@@ -77,9 +77,10 @@ def parse(df: DataFrame, schema, carried: tuple[str, ...] = ()) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     corrupt = T.StructField(CORRUPT, T.StringType())
     element = T.StructType([*target.fields, T.StructField(MARK, T.IntegerType())])
-    parsed = F.from_json(framed(payload_text()), T.StructType([T.StructField(MARK, T.ArrayType(element)), corrupt]), options)
+    text = framed(payload_text())
     if "error_class" in carried:  # what has failed before is not parsed
-        parsed = F.when(F.col("error_class").isNull(), parsed)
+        text = F.when(F.col("error_class").isNull(), text)
+    parsed = F.from_json(text, T.StructType([T.StructField(MARK, T.ArrayType(element)), corrupt]), options)
     names = [*TRANSPORT.fieldNames(), *[c for c in carried if c not in ("error_class", "error_message")]]
     known = [F.col(c).alias(f"_{c}") if c in carried else F.lit(None).cast("string").alias(f"_{c}") for c in ("error_class", "error_message")]
     once = df.select(*names, *known, F.explode(F.array(parsed)).alias("_once"))
