@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog import duck
 from catalog.registry import query, table, text_hex
 from millrace import schemas
+from millrace.functions import texts
 from millrace.functions.draws import with_lanes
-from millrace.sources.generator import GeneratorOptions, generate, generate_records, refresh_timestamps, sample_corpus
+from millrace.functions.texts import TWO_53
+from millrace.sources.generator import GeneratorOptions, generate, generate_records, generate_then, refresh_timestamps, sample_corpus
 from millrace.sources.sequence import impulses_per_second, pace, ramp, spread
 
 D = duck.DRAWS
@@ -347,9 +350,6 @@ def gen_refresh_timestamps(spark, sf_dir):
 
 # -- the record shapes of the load suites: every value of a row, as text, in one digest
 
-TWO_53 = 1 << 53  # drawn fractions are whole numbers of this part
-
-
 def sql_leaves(fields, path: str = "", pos: str | None = None) -> list[str]:
     """DuckDB text of every value below ``fields``, in schema order."""
     out = []
@@ -417,6 +417,17 @@ def digests(spark, sf_dir, schema: T.StructType):
     return made.select("event_id", F.md5(F.concat_ws("|", *spark_leaves(schema.fields, F.col))).alias("digest"))
 
 
+def wide_digests(spark, sf_dir, schema: T.StructType):
+    """As :func:`digests`, a column of a batch at a time: texts of two thousand values a row are too much for Spark's expressions."""
+    ids = numbers(spark, sf_dir)
+    shape = T.StructType([ids.schema["event_id"], T.StructField("digest", T.StringType(), False)])
+
+    def digested(keep: list[pa.Array], fields: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*keep, texts.digests(schema, fields)], names=["event_id", "digest"])
+
+    return generate_then(ids, "event_id", schema, digested, shape, SMALL, ("event_id",))
+
+
 @query("gen_mid_event", digest_sql(schemas.mid_event()))
 def gen_mid_event(spark, sf_dir):
     """50 fields with records inside records."""
@@ -426,4 +437,4 @@ def gen_mid_event(spark, sf_dir):
 @query("gen_wide_event", digest_sql(schemas.wide_event()))
 def gen_wide_event(spark, sf_dir):
     """797 fields, 228 of them arrays."""
-    return digests(spark, sf_dir, schemas.wide_event())
+    return wide_digests(spark, sf_dir, schemas.wide_event())

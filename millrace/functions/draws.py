@@ -59,12 +59,17 @@ def with_lanes(df: DataFrame, row_id: Column | str, seed: int = 42) -> DataFrame
     return hashed.select("*", lane(1, PRIMES[0]).alias(LANE_A), lane(9, PRIMES[1]).alias(LANE_B))
 
 
+def remainder(number, divisor: int):
+    """``number % divisor`` of an array: numpy divides by a constant several times faster than it takes remainders."""
+    return number - number // divisor * divisor
+
+
 def mixed(lane_a, lane_b, k: list[int], pos=None):
     """Twin of :meth:`Draws.number` for arrays of 64-bit integers; ``k`` from :func:`coefficients`."""
-    stride = (lane_b * k[1] + k[2]) % PRIMES[1]
+    stride = remainder(lane_b * k[1] + k[2], PRIMES[1])
     if pos is not None:
         stride = stride * (pos + 1)
-    return ((lane_a * k[0] + stride + k[5]) % PRIMES[0] * k[3] + k[4]) % PRIMES[1]
+    return remainder(remainder(lane_a * k[0] + stride + k[5], PRIMES[0]) * k[3] + k[4], PRIMES[1])
 
 
 @dataclass(frozen=True)

@@ -204,6 +204,17 @@ def generate(df: DataFrame, row_id: str, schema, options: GeneratorOptions | Non
     return laned.select(*[F.col(c) for c in keep], *columns)
 
 
+def generate_then(df: DataFrame, row_id: str, schema, then: vectors.Made, shape: T.StructType, options: GeneratorOptions | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The records of :func:`generate`, handed to ``then`` in the task that makes them; what it returns, in ``shape``, are the rows.
+
+    For wide records only (``vectors.suits``): nothing of them goes through Spark rows on the way.
+    """
+    options, schema = options or GeneratorOptions(), schemas.resolve(schema)
+    if not vectors.suits(schema, options):
+        raise ValueError("not a wide record")
+    return vectors.with_fields(_prepared(df, row_id, options), schema, options, keep, then, shape)
+
+
 def generate_records(df: DataFrame, row_id: str, schema, options: GeneratorOptions | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """As :func:`generate`, with the record in one struct column ``record``."""
     options, schema = options or GeneratorOptions(), schemas.resolve(schema)

@@ -3,14 +3,14 @@
 A record of several hundred fields is more code than Spark compiles, and lambda bodies never are compiled:
 every node of every value would be interpreted. Here a field is a few numpy operations on a batch of rows;
 the elements of its array are one longer batch. Only the hash of a fresh string is computed one by one.
+What is computed from the records can be computed in the same task, before any value becomes a value of a Spark row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +19,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+try:
+    from _sha2 import sha256  # OpenSSL prepares each hash for longer than it computes one block
+except ImportError:
+    from hashlib import sha256
+
 from millrace import schemas
 from millrace.functions.draws import DIGIT_LETTER, LANES, LETTERS_PER_HASH, SIGN_LETTER, coefficients, mixed
 
 MANY_LEAVES = 200  # values of one element each; smaller records are compiled as SQL
-ROWS = 512  # rows made at once
+ROWS = (256, 2048)  # fewest and most rows made at once
+BATCH_BYTES = 128 << 20  # most of what is made at once, beyond the fewest rows
+ROWS_OUT = 512  # rows sent to the JVM at once
 LETTERS = np.frombuffer(
     ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + DIGIT_LETTER * 10 + SIGN_LETTER * 2).encode(), np.uint8
 )
+PAIRS = np.stack([np.repeat(LETTERS, 64), np.tile(LETTERS, 64)], axis=1).view(np.uint16)[:, 0]  # of twelve bits
 NUMBERS = {T.ByteType: np.int8, T.ShortType: np.int16, T.IntegerType: np.int32, T.LongType: np.int64}
 multipliers = cache(coefficients)
 
@@ -52,6 +60,12 @@ def leaves(schema: T.StructType) -> int:
     return below(schema)
 
 
+def rows_at_once(schema: T.StructType, options) -> int:
+    """Every call of numpy costs the same for few rows; wide values in long collections are held in memory."""
+    record = leaves(schema) * options.max_collection * options.max_chars // 4
+    return int(np.clip(BATCH_BYTES // max(1, record), *ROWS))
+
+
 def suits(schema: T.StructType, options) -> bool:
     """The record is wide, and of the types that :class:`Vectors` makes."""
     plain = (T.BooleanType, T.DoubleType, T.FloatType, T.StringType, T.BinaryType, T.TimestampType, *NUMBERS)
@@ -123,7 +137,7 @@ class Vectors:
             start = chunk * LETTERS_PER_HASH
             which = fresh[sizes[fresh] > start]
             wide = min(LETTERS_PER_HASH, made.shape[1] - start)
-            made[which, start : start + wide] = letters(self.hashed(which, path, chunk, at))[:, :wide]
+            made[which, start : start + wide] = letters(self.hashed(which, path, chunk, at), wide)
         flat = made[np.arange(made.shape[1]) < sizes[:, None]]
         ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         return pa.Array.from_buffers(arrow, len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
@@ -135,7 +149,9 @@ class Vectors:
             head += tail
             found = [sha256(row + head).digest() for row in rows]
         else:
-            found = [sha256(b"%b%b|%d%b" % (row, head, pos, tail)).digest() for row, pos in zip(rows, at.pos[which].tolist(), strict=True)]
+            places = at.pos[which].tolist()
+            ends = {pos: b"%b|%d%b" % (head, pos, tail) for pos in set(places)}
+            found = [sha256(row + ends[pos]).digest() for row, pos in zip(rows, places, strict=True)]
         return np.frombuffer(b"".join(found), np.uint8).reshape(-1, 32)
 
     def array(self, kind: T.ArrayType, arrow: pa.ListType, name: str, path: str, at: Places) -> pa.Array:
@@ -152,13 +168,15 @@ class Vectors:
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), items, type=arrow)
 
 
-def letters(hashes: np.ndarray) -> np.ndarray:
-    """Base64 of the hashes, with the characters that are not letters replaced."""
-    bytes_ = np.zeros((len(hashes), 33), np.uint8)
-    bytes_[:, :32] = hashes
+def letters(hashes: np.ndarray, wide: int) -> np.ndarray:
+    """The first ``wide`` characters of the hashes' base64, with those that are not letters replaced."""
+    triples = -(-wide // 4)
+    bytes_ = np.zeros((len(hashes), 3 * triples), np.uint16)
+    known = min(3 * triples, hashes.shape[1])
+    bytes_[:, :known] = hashes[:, :known]
     a, b, c = bytes_[:, 0::3], bytes_[:, 1::3], bytes_[:, 2::3]
-    six = np.stack([a >> 2, (a & 3) << 4 | b >> 4, (b & 15) << 2 | c >> 6, c & 63], axis=2)
-    return LETTERS[six.reshape(len(hashes), 44)[:, :LETTERS_PER_HASH]]
+    made = np.stack([PAIRS[a << 4 | b >> 4], PAIRS[(b & 15) << 8 | c]], axis=2)
+    return made.view(np.uint8).reshape(len(hashes), 4 * triples)[:, :wide]
 
 
 def places(batch: pa.RecordBatch) -> Places:
@@ -168,24 +186,35 @@ def places(batch: pa.RecordBatch) -> Places:
     return Places(plain, *numbers, lane_a.is_null().to_numpy(zero_copy_only=False), np.arange(batch.num_rows))
 
 
-def with_fields(laned: DataFrame, schema: T.StructType, options, keep: tuple[str, ...]) -> DataFrame:
-    """Columns ``_k0``.. with the columns to keep and ``_f0``.. with the fields, for each row of a frame with lanes."""
+Made = Callable[[list[pa.Array], list[pa.Array]], pa.RecordBatch]
+
+
+def with_fields(laned: DataFrame, schema: T.StructType, options, keep: tuple[str, ...], then: Made | None = None, shape: T.StructType | None = None) -> DataFrame:
+    """Columns ``_k0``.. with the columns to keep and ``_f0``.. with the fields, for each row of a frame with lanes.
+
+    With ``then``, what it makes of the columns to keep and the fields of a batch, in ``shape``.
+    """
     kept = laned.select(*[F.col(c).alias(f"_k{n}") for n, c in enumerate(keep)], *LANES)
     fields = [T.StructField(f"_f{n}", schemas.optional(f.dataType)) for n, f in enumerate(schema.fields)]
     spec = T.StructType([*kept.schema.fields[: len(keep)], *fields])
     arrow = to_arrow_schema(spec)
+    rows = rows_at_once(schema, options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = Vectors(options)
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
                 at = places(part)
                 made = [
                     vectors.value(f.dataType, a.type, f.name, f.name, at)
                     for f, a in zip(schema.fields, list(arrow)[len(keep) :], strict=True)
                 ]
                 old = [part.column(n).cast(arrow.field(n).type) for n in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(old + made, schema=arrow)
+                if then is not None:
+                    yield then(old, made)
+                    continue
+                whole = pa.RecordBatch.from_arrays(old + made, schema=arrow)
+                yield from (whole.slice(first, ROWS_OUT) for first in range(0, whole.num_rows, ROWS_OUT))
 
-    return kept.mapInArrow(run, spec)
+    return kept.mapInArrow(run, spec if then is None else shape)

@@ -49,6 +49,33 @@ def test_wide_records_are_not_interpreted(spark):
     assert "MapInArrow" in made and "lambdafunction" not in made
 
 
+def test_digests_of_wide_records_are_made_from_columns(spark, monkeypatch, tmp_path):
+    """The digests of the SQL expressions, also for repeated ids and rows without id, and none of those expressions."""
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    from catalog import generation
+
+    parquet.write_table(pa.table({"event_id": pa.array([*range(3000), 3, 3, None, None, -5, 2**62], pa.int64())}), f"{tmp_path}/events.parquet")
+    inner = T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())])
+    kinds = [T.BooleanType(), T.DoubleType(), T.StringType(), T.LongType(), T.TimestampType(), inner]
+    schema = T.StructType([T.StructField(f"{part}{n}", made) for n, kind in enumerate(kinds) for part, made in (("p", kind), ("a", T.ArrayType(kind)))])
+    by_sql = generation.digests(spark, str(tmp_path), schema)
+    assert "MapInArrow" not in plan_text(by_sql)
+    wanted = sorted(map(str, by_sql.collect()))
+    monkeypatch.setattr(vectors, "MANY_LEAVES", 1)
+    made = generation.wide_digests(spark, str(tmp_path), schema)
+    assert made.schema == by_sql.schema and sorted(map(str, made.collect())) == wanted and len(wanted) == 3006
+    plan = plan_text(generation.gen_wide_event(spark, str(tmp_path)))
+    assert "MapInArrow" in plan and "concat_ws" not in plan
+
+
+def test_long_records_are_made_in_smaller_batches():
+    wide = schemas.wide_event()
+    small = GeneratorOptions(max_collection=5, min_chars=10, max_chars=20)
+    assert vectors.rows_at_once(wide, small) == 2048 and 256 <= vectors.rows_at_once(wide, GeneratorOptions()) < 512
+
+
 def test_other_records_stay_sql():
     wide, options = schemas.wide_event(), GeneratorOptions()
     assert vectors.suits(wide, options)
